@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumisift.functions.hashing import with_signature
 from lumisift.functions.vectors import quantise
+from lumisift.operators.stencils import by_image
 
 FIELD = "img"
 FEATURE = "EMBEDDING"
@@ -43,3 +44,35 @@ def documents_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     return vectors(spark, sf_dir).join(docs, "doc_id", "left").withColumn("name", F.col("source")).withColumn("meta", meta)
+
+
+def tiles8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One 8x8 colour image per vector, laid out by image."""
+    level = F.transform(
+        "embedding",
+        lambda e: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(e.cast("double") * 400.0 + 128.0))).cast("int"),
+    )
+    rows = by_image(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), level.alias("r")))
+
+    def turned(by: int):
+        return F.concat(F.slice("r", by + 1, F.size("r") - by), F.slice("r", 1, by))
+
+    return rows.select(
+        "image_id", F.lit(8).alias("w"), F.lit(8).alias("h"), "r", turned(1).alias("g"), turned(7).alias("b")
+    )
+
+
+def tiles32(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tiles enlarged to 32x32 and lightly textured, shifted so that blocks cross tile edges."""
+
+    def enlarged(channel: str):
+        def cell(p):
+            x, y = p % 32, (p / 32).cast("int")
+            source = (((y + 1) / 4).cast("int") % 8) * 8 + (((x + 1) / 4).cast("int") % 8)
+            return F.least(F.lit(255), F.get(F.col(channel), source) + (x * 3 + y * 5) % 4)
+
+        return F.transform(F.sequence(F.lit(0), F.lit(1023)), cell).alias(channel)
+
+    return tiles8(spark, sf_dir).select(
+        "image_id", F.lit(32).alias("w"), F.lit(32).alias("h"), *[enlarged(ch) for ch in ("r", "g", "b")]
+    )
