@@ -439,20 +439,22 @@ def jpeg_coefficient_histogram(images: DataFrame) -> DataFrame:
 # --- Tamura --------------------------------------------------------------------------------------
 
 
-def box_sum(plane: Column, half: int) -> Column:
-    """Sum of a plane with its copies shifted by ``half`` right, down and both."""
-    pairs = F.zip_with(plane, shifted_null(plane, half, 0), lambda a, b: a + b)
-    return F.zip_with(pairs, shifted_null(pairs, 0, half), lambda a, b: a + b)
+def with_box_sum(images: DataFrame, plane: str, half: int, name: str) -> DataFrame:
+    """Adds the sum of a plane with its copies shifted by ``half`` right, down and both.
 
-
-def shifted_null(plane: Column, dx: int, dy: int) -> Column:
-    return stencils.shifted(plane, dx, dy)
+    Step by step, so that each plane is computed once and not once per shift.
+    """
+    add = lambda a, b: a + b
+    across = images.withColumn("ahead", stencils.shifted(c(plane), half, 0))
+    across = across.withColumn("across", F.zip_with(c(plane), "ahead", add))
+    down = across.withColumn("ahead", stencils.shifted(c("across"), 0, half))
+    return down.withColumn(name, F.zip_with("across", "ahead", add)).drop("ahead", "across")
 
 
 def tamura_windows(images: DataFrame) -> DataFrame:
     """Luminance with window sums of side 2 and 4 around each pixel."""
-    rows = stencils.with_luminance(images).withColumn("w2", box_sum(c("lum"), 1))
-    rows = rows.withColumn("w4", box_sum(c("w2"), 2))
+    rows = with_box_sum(stencils.with_luminance(images), "lum", 1, "w2")
+    rows = with_box_sum(rows, "w2", 2, "w4")
     planes = {"lum": c("lum")}
     for side, plane in ((2, "w2"), (4, "w4")):
         half = side // 2
