@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumisift.functions.hashing import with_signature
@@ -76,3 +77,60 @@ def tiles32(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles8(spark, sf_dir).select(
         "image_id", F.lit(32).alias("w"), F.lit(32).alias("h"), *[enlarged(ch) for ch in ("r", "g", "b")]
     )
+
+
+def encode_png(w: int, h: int, r, g, b) -> bytes:
+    """RGB planes to a PNG, for fixtures that need encoded images."""
+    import struct
+    import zlib
+
+    import numpy as np
+
+    rgb = np.stack([np.asarray(p, dtype=np.uint8).reshape(h, w) for p in (r, g, b)], axis=2).reshape(h, w * 3)
+    lines = np.concatenate([np.zeros((h, 1), np.uint8), rgb], axis=1).tobytes()
+
+    def chunk(kind: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    header = struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+
+def with_png(images: DataFrame) -> DataFrame:
+    """Adds the tile as encoded bytes."""
+
+    @F.pandas_udf("binary")
+    def pack(w: pd.Series, h: pd.Series, r: pd.Series, g: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([encode_png(*row) for row in zip(w, h, r, g, b)])
+
+    return images.withColumn("png", pack("w", "h", "r", "g", "b"))
+
+
+def page_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata rows of web pages: one per HTML attribute and per part of the address."""
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url", "html")
+    element = r"<([a-zA-Z][a-zA-Z0-9]*)\s+([^<>]*)>"
+    attribute = r'([a-zA-Z-]+)="([^"]*)"'
+
+    def every(text, pattern: str, group: int):
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+    elements = pages.select("doc_id", F.explode(F.arrays_zip(
+        every("html", element, 1).alias("directory"), every("html", element, 2).alias("body")
+    )).alias("e")).select("doc_id", "e.directory", "e.body")
+    attributes = elements.select("doc_id", "directory", F.explode(F.arrays_zip(
+        every("body", attribute, 1).alias("tag_name"), every("body", attribute, 2).alias("description")
+    )).alias("a")).select("doc_id", "directory", "a.tag_name", "a.description")
+    parts = F.array(*[
+        F.struct(F.lit("Page URL").alias("directory"), F.lit(tag).alias("tag_name"), F.try_parse_url(F.col("url"), F.lit(part)).alias("description"))
+        for tag, part in (("Host Name", "HOST"), ("Scheme", "PROTOCOL"))
+    ])
+    return attributes.unionByName(pages.select("doc_id", F.explode(parts).alias("p")).select("doc_id", "p.*"))
+
+
+def first_of_each_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of query documents: the first one of every label."""
+    rows = table(spark, sf_dir, "embeddings").groupBy("label").agg(
+        F.min("vec_id").alias("query_id"), F.min_by("embedding", "vec_id").alias("embedding")
+    )
+    return rows.select("query_id", quantise(F.col("embedding")).alias("vec"))

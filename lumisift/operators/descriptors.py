@@ -79,46 +79,58 @@ def colour64() -> Column:
     return idiv("r", 64) * 16 + idiv("g", 64) * 4 + idiv("b", 64)
 
 
-def hsv() -> tuple[Column, Column, Column]:
-    """Integer hue (0-359), saturation and value (0-255)."""
-    r, g, b = (c(n).cast("bigint") for n in ("r", "g", "b"))
-    mx = F.greatest(r, g, b)
-    chroma = mx - F.least(r, g, b)
+def with_hsv(rows: DataFrame) -> DataFrame:
+    """Adds integer hue (0-359), saturation and value (0-255) as ``hue, sat, mx``.
+
+    Derived values become columns step by step: each is then computed once per row, where nested
+    expressions would repeat it in every branch and outgrow the limits of generated code.
+    """
+    r, g, b = c("r"), c("g"), c("b")
+    rows = rows.withColumns({"mx": F.greatest(r, g, b), "chroma": F.greatest(r, g, b) - F.least(r, g, b)})
     hue = (
-        F.when(chroma == 0, F.lit(0).cast("bigint"))
-        .when(mx == r, idiv((g - b) * 60 + chroma * 360, chroma) % 360)
-        .when(mx == g, idiv((b - r) * 60 + chroma * 120, chroma))
-        .otherwise(idiv((r - g) * 60 + chroma * 240, chroma))
+        F.when(c("chroma") == 0, F.lit(0).cast("bigint"))
+        .when(c("mx") == r, idiv((g - b) * 60 + c("chroma") * 360, "chroma") % 360)
+        .when(c("mx") == g, idiv((b - r) * 60 + c("chroma") * 120, "chroma"))
+        .otherwise(idiv((r - g) * 60 + c("chroma") * 240, "chroma"))
     )
-    saturation = F.when(mx == 0, F.lit(0).cast("bigint")).otherwise(idiv(chroma * 255, mx))
-    return hue, saturation, mx
+    saturation = F.when(c("mx") == 0, F.lit(0).cast("bigint")).otherwise(idiv(c("chroma") * 255, "mx"))
+    return rows.withColumns({"hue": hue, "sat": saturation})
 
 
 # Upper hue edges of seven hue regions, with the last one wrapping to the first.
 HUE_EDGES = (20, 45, 75, 165, 195, 270, 340)
 
 
-def colour24() -> Column:
-    """Black, grey, white, then seven hues in three shades."""
-    hue, saturation, value = hsv()
-    region = None
-    for k, edge in enumerate(HUE_EDGES):
-        region = F.when(hue < edge, k) if region is None else region.when(hue < edge, k)
-    region = region.otherwise(0)
-    shade = F.when(value < 128, 0).when(saturation >= 128, 1).otherwise(2)
-    return (
-        F.when(value < 52, 0)
-        .when(saturation < 52, F.when(value < 204, 1).otherwise(2))
-        .otherwise(region * 3 + shade + 3)
-    )
-
-
-def lbp_code() -> Column:
-    code = None
-    for bit in range(8):
-        term = F.when(c(f"n{bit}") >= c("lum"), 1 << bit).otherwise(0)
-        code = term if code is None else code + term
-    return code
+def with_colour24(rows: DataFrame) -> DataFrame:
+    """Adds ``colour``: black, grey, white, then seven hues in three shades."""
+    region = F.when(c("hue") < HUE_EDGES[0], 0)
+    for k, edge in enumerate(HUE_EDGES[1:], start=1):
+        region = region.when(c("hue") < edge, k)
+    shade = F.when(c("mx") < 128, 0).when(c("sat") >= 128, 1).otherwise(2)
+    return with_hsv(rows).withColumn("colour", (
+        F.when(c("mx") < 52, 0)
+        .when(c("sat") < 52, F.when(c("mx") < 204, 1).otherwise(2))
+        .otherwise(region.otherwise(0) * 3 + shade + 3)
+    ))
+
+
+def with_patterns(rows: DataFrame) -> DataFrame:
+    """Adds what the ring says about its centre: ``code`` and ``rclass``, ``rank``, ``gx`` and ``gy``."""
+    at_least = [F.when(c(f"n{bit}") >= c("lum"), 1 << bit).otherwise(0) for bit in range(8)]
+    below = [F.when(c(f"n{bit}") < c("lum"), 1).otherwise(0) for bit in range(8)]
+    rows = rows.withColumns({
+        "code": sum(at_least[1:], at_least[0]),
+        "rank": sum(below[1:], below[0]),
+        "gx": c("n3") - c("n7"),
+        "gy": c("n5") - c("n1"),
+    })
+    rows = rows.withColumn("rclass", F.get(F.array(*[F.lit(k) for k in rotation_classes()]), c("code")))
+    return rows.withColumns({
+        "octant": octant(c("gx"), c("gy")),
+        "weight": F.abs("gx") + F.abs("gy"),
+        "small": F.least(F.abs("gx"), F.abs("gy")),
+        "large": F.greatest(F.abs("gx"), F.abs("gy")),
+    })
 
 
 def rotation_classes() -> list[int]:
@@ -128,21 +140,12 @@ def rotation_classes() -> list[int]:
     return [order[m] for m in least]
 
 
-def rotation_class() -> Column:
-    return F.get(F.array(*[F.lit(k) for k in rotation_classes()]), lbp_code())
-
-
 def pyramid_cell(level: int) -> Column:
     """Cell index of a pixel over grids 1x1, 2x2, 4x4 laid one after another."""
     side, first = 1 << level, (0, 1, 5)[level]
     return idiv(c("y") * side, "h") * side + idiv(c("x") * side, "w") + first
 
 
-def gradient() -> tuple[Column, Column]:
-    """Central differences from the ring: right minus left, below minus above."""
-    return c("n3") - c("n7"), c("n5") - c("n1")
-
-
 def octant(gx: Column, gy: Column) -> Column:
     return (
         F.when(gx < 0, 4).otherwise(0) + F.when(gy < 0, 2).otherwise(0) + F.when(F.abs(gx) < F.abs(gy), 1).otherwise(0)
@@ -163,14 +166,18 @@ def opponent_histogram() -> list[Entry]:
     return [Entry(o1 * 16 + o2 * 4 + o3)]
 
 
+def hsv_cells(images: DataFrame) -> DataFrame:
+    rows = with_hsv(stencils.point(images))
+    return rows.withColumn("cell", idiv(c("hue") * 16, 360) * 16 + idiv("sat", 64) * 4 + idiv("mx", 64))
+
+
 def scalable_colour() -> list[Entry]:
     """Haar pyramid of a 256-bin HSV histogram, each coefficient as a signed sum over pixels.
 
     Bins 0-15 are the sums of level 4, 16-31 its differences, 32-63 the differences of level 3; a
     difference is first half minus second half.
     """
-    hue, saturation, value = hsv()
-    cell = idiv(hue * 16, 360) * 16 + idiv(saturation, 64) * 4 + idiv(value, 64)
+    cell = c("cell")
     return [
         Entry(idiv(cell, 16)),
         Entry(idiv(cell, 16) + 16, F.when(cell % 16 < 8, 1).otherwise(-1)),
@@ -181,30 +188,28 @@ def scalable_colour() -> list[Entry]:
 # --- ring tallies --------------------------------------------------------------------------------
 
 
+def rings(images: DataFrame) -> DataFrame:
+    return with_patterns(stencils.ring(images))
+
+
 def joint_histogram() -> list[Entry]:
-    rank = None
-    for bit in range(8):
-        term = F.when(c(f"n{bit}") < c("lum"), 1).otherwise(0)
-        rank = term if rank is None else rank + term
-    return [Entry(colour64() * 9 + rank)]
+    return [Entry(colour64() * 9 + c("rank"))]
 
 
 def local_binary_patterns() -> list[Entry]:
-    return [Entry(lbp_code())]
+    return [Entry(c("code"))]
 
 
 def rotation_invariant_patterns() -> list[Entry]:
-    return [Entry(rotation_class())]
+    return [Entry(c("rclass"))]
 
 
 def patterns_pyramid() -> list[Entry]:
-    return [Entry(pyramid_cell(level) * 36 + rotation_class()) for level in range(3)]
+    return [Entry(pyramid_cell(level) * 36 + c("rclass")) for level in range(3)]
 
 
 def gradient_pyramid() -> list[Entry]:
-    gx, gy = gradient()
-    weight = F.abs(gx) + F.abs(gy)
-    return [Entry(pyramid_cell(level) * 8 + octant(gx, gy), weight) for level in range(3)]
+    return [Entry(pyramid_cell(level) * 8 + c("octant"), c("weight")) for level in range(3)]
 
 
 # --- 2x2 block tallies ---------------------------------------------------------------------------
@@ -212,60 +217,48 @@ def gradient_pyramid() -> list[Entry]:
 EDGE_THRESHOLD = 11_000
 
 
-def edge_strengths() -> list[Column]:
-    """Vertical, horizontal, two diagonals and non-directional, scaled by 1000."""
-    p, q, s, t = c("la"), c("lb"), c("lc"), c("ld")
-    return [
-        F.abs(p - q + s - t) * 1000,
-        F.abs(p + q - s - t) * 1000,
-        F.abs(p - t) * 1414,
-        F.abs(q - s) * 1414,
-        F.abs(p - q - s + t) * 2000,
-    ]
-
-
-def edge_type() -> Column:
-    """First strongest filter, or NULL below the threshold."""
-    strengths = edge_strengths()
-    best = F.greatest(*strengths)
-    kind = None
-    for k, strength in enumerate(strengths):
-        kind = F.when(strength == best, k) if kind is None else kind.when(strength == best, k)
-    return F.when(best >= EDGE_THRESHOLD, kind)
+# Texture of the joint descriptor for each of the eight Haar textures.
+JOINT_TEXTURE = (0, 5, 2, 3, 1, 4, 6, 6)
 
 
-def haar_texture() -> Column:
+def blocks(images: DataFrame) -> DataFrame:
+    """2x2 blocks with their colour, strongest edge ``kind`` (NULL below the threshold) and textures."""
     p, q, s, t = c("la"), c("lb"), c("lc"), c("ld")
-    bands = (F.abs(p - q + s - t), F.abs(p + q - s - t), F.abs(p - q - s + t))
-    return sum((F.when(band >= 40, w).otherwise(0) for band, w in zip(bands[1:], (2, 1))), F.when(bands[0] >= 40, 4).otherwise(0))
+    rows = with_colour24(stencils.blocks2(images)).withColumns({
+        "vertical": F.abs(p - q + s - t),
+        "horizontal": F.abs(p + q - s - t),
+        "falling": F.abs(p - t) * 1414,
+        "rising": F.abs(q - s) * 1414,
+        "mixed": F.abs(p - q - s + t),
+    })
+    strengths = [c("vertical") * 1000, c("horizontal") * 1000, c("falling"), c("rising"), c("mixed") * 2000]
+    rows = rows.withColumn("best", F.greatest(*strengths))
+    kind = F.when(c("best") < EDGE_THRESHOLD, F.lit(None).cast("int"))
+    for k, strength in enumerate(strengths):
+        kind = kind.when(strength == c("best"), k)
+    high = [F.when(c(band) >= 40, w).otherwise(0) for band, w in (("vertical", 4), ("horizontal", 2), ("mixed", 1))]
+    rows = rows.withColumns({"kind": kind, "haar": high[0] + high[1] + high[2]})
+    joint = F.get(F.array(*[F.lit(t) for t in JOINT_TEXTURE]), c("haar"))
+    return rows.withColumns({"texture": F.coalesce(c("kind") + 1, F.lit(0)), "joint": joint})
 
 
 def edge_histogram() -> list[Entry]:
     """Sub-images are a 4x4 grid over the blocks."""
     across, down = idiv("w", 2), idiv("h", 2)
     sub = idiv(c("by") * 4, down) * 4 + idiv(c("bx") * 4, across)
-    return [Entry(sub * 5 + edge_type(), 1, edge_type().isNotNull())]
-
-
-def cedd_texture() -> Column:
-    return F.coalesce(edge_type() + 1, F.lit(0))
-
-
-# Texture of the joint descriptor for each of the eight Haar textures.
-JOINT_TEXTURE = (0, 5, 2, 3, 1, 4, 6, 6)
+    return [Entry(sub * 5 + c("kind"), 1, c("kind").isNotNull())]
 
 
 def cedd() -> list[Entry]:
-    return [Entry(cedd_texture() * 24 + colour24())]
+    return [Entry(c("texture") * 24 + c("colour"))]
 
 
 def fcth() -> list[Entry]:
-    return [Entry(haar_texture() * 24 + colour24())]
+    return [Entry(c("haar") * 24 + c("colour"))]
 
 
 def jcd() -> list[Entry]:
-    mapped = F.get(F.array(*[F.lit(t) for t in JOINT_TEXTURE]), haar_texture())
-    return [Entry(cedd_texture() * 24 + colour24()), Entry(mapped * 24 + colour24())]
+    return [Entry(c("texture") * 24 + c("colour")), Entry(c("joint") * 24 + c("colour"))]
 
 
 # --- correlogram ---------------------------------------------------------------------------------
@@ -281,7 +274,12 @@ def colour_windows(images: DataFrame) -> DataFrame:
         F.arrays_zip("r", "g", "b"), lambda p: (idiv(p["r"], 64) * 16 + idiv(p["g"], 64) * 4 + idiv(p["b"], 64)).cast("int")
     )
     offsets = [(0, 0)] + [at for d in (1, 2, 3) for at in chebyshev_ring(d)]
-    return stencils.window(images.withColumn("colour", bins), "colour", offsets)
+    px = stencils.window(images.withColumn("colour", bins), "colour", offsets)
+    inside = {}
+    for k in range(-3, 4):
+        inside[f"x_{k}".replace("-", "m")] = (c("x") + k).between(0, c("w") - 1)
+        inside[f"y_{k}".replace("-", "m")] = (c("y") + k).between(0, c("h") - 1)
+    return px.withColumns(inside)
 
 
 CORRELOGRAM_BINS = 192
@@ -293,7 +291,7 @@ def correlogram() -> list[Entry]:
     for d in (1, 2, 3):
         same = total = None
         for dx, dy in chebyshev_ring(d):
-            inside = (c("x") + dx).between(0, c("w") - 1) & (c("y") + dy).between(0, c("h") - 1)
+            inside = c(f"x_{dx}".replace("-", "m")) & c(f"y_{dy}".replace("-", "m"))
             neighbour = c(f"p_{dx}_{dy}".replace("-", "m"))
             t = F.when(inside, 1).otherwise(0)
             s = F.when(inside & (neighbour == own), 1).otherwise(0)
@@ -500,10 +498,8 @@ def tamura(images: DataFrame) -> DataFrame:
             F.struct(F.lit(1).cast("bigint").alias("bin"), F.floor(contrast * 10000 + 0.5).cast("bigint").alias("value")),
         )).alias("e"),
     ).select("image_id", "e.bin", "e.value").filter(c("value") != 0)
-    gx, gy = gradient()
-    small, large = F.least(F.abs(gx), F.abs(gy)), F.greatest(F.abs(gx), F.abs(gy))
-    direction = octant(gx, gy) * 2 + F.when(small * 1000 < large * 414, 1).otherwise(0)
-    directions = tally(stencils.ring(images), [Entry(direction + 2, 1, large > 0)])
+    direction = c("octant") * 2 + F.when(c("small") * 1000 < c("large") * 414, 1).otherwise(0)
+    directions = tally(rings(images), [Entry(direction + 2, 1, c("large") > 0)])
     return moments.unionByName(directions)
 
 
@@ -517,20 +513,20 @@ def power(x: Column, k: int) -> Column:
 DESCRIPTORS: dict[str, Tally | Callable[[DataFrame], DataFrame]] = {
     "SIMPLE_COLOR_HISTOGRAM": Tally(stencils.point, simple_colour_histogram),
     "OPPONENT_HISTOGRAM": Tally(stencils.point, opponent_histogram),
-    "JOINT_HISTOGRAM": Tally(stencils.ring, joint_histogram),
-    "LOCAL_BINARY_PATTERNS": Tally(stencils.ring, local_binary_patterns),
-    "ROTATION_INVARIANT_LOCAL_BINARY_PATTERNS": Tally(stencils.ring, rotation_invariant_patterns),
-    "BINARY_PATTERNS_PYRAMID": Tally(stencils.ring, patterns_pyramid),
+    "JOINT_HISTOGRAM": Tally(rings, joint_histogram),
+    "LOCAL_BINARY_PATTERNS": Tally(rings, local_binary_patterns),
+    "ROTATION_INVARIANT_LOCAL_BINARY_PATTERNS": Tally(rings, rotation_invariant_patterns),
+    "BINARY_PATTERNS_PYRAMID": Tally(rings, patterns_pyramid),
     "AUTO_COLOR_CORRELOGRAM": Tally(colour_windows, correlogram, correlogram_ratio),
-    "EDGE_HISTOGRAM": Tally(stencils.blocks2, edge_histogram),
+    "EDGE_HISTOGRAM": Tally(blocks, edge_histogram),
     "COLOR_LAYOUT": colour_layout,
     "LUMINANCE_LAYOUT": luminance_layout,
     "JPEG_COEFFICIENT_HISTOGRAM": jpeg_coefficient_histogram,
-    "SCALABLE_COLOR": Tally(stencils.point, scalable_colour),
-    "PHOG": Tally(stencils.ring, gradient_pyramid),
-    "CEDD": Tally(stencils.blocks2, cedd),
-    "FCTH": Tally(stencils.blocks2, fcth),
-    "JCD": Tally(stencils.blocks2, jcd),
+    "SCALABLE_COLOR": Tally(hsv_cells, scalable_colour),
+    "PHOG": Tally(rings, gradient_pyramid),
+    "CEDD": Tally(blocks, cedd),
+    "FCTH": Tally(blocks, fcth),
+    "JCD": Tally(blocks, jcd),
     "GABOR": gabor,
     "TAMURA": tamura,
 }

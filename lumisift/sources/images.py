@@ -189,5 +189,5 @@ def cap_size(images: DataFrame, max_side: int = MAX_SIDE) -> DataFrame:
     )
     return small.unionByName(whole.select(
         "image_id", F.col("nw").alias("w"), F.col("nh").alias("h"),
-        *[F.transform("px", lambda p, ch=ch: p[ch]).alias(ch) for ch in ("r", "g", "b")],
+        *[F.col(f"px.{ch}").alias(ch) for ch in ("r", "g", "b")],
     ))
