@@ -108,7 +108,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 @query("x2_stream_dedup", "SELECT event_id, event_type, value FROM events")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document is sent twice; each is kept once."""
-    events = table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
     source = as_files(events.coalesce(1), spark, "replayed", copies=2)
     out = shared_folder(spark, "deduplicated")
     once = ingest.unique_documents(stream_of(spark, source), "ts", "40 days", ("event_id",))

@@ -172,7 +172,7 @@ def image_search(
             else:
                 rows = hash_candidates(
                     rows, query.hash, hashes, limit=limit, per_shard=per_shard, bundle_aware=bundle_aware
-                ).select(*index.columns)
+                ).drop("overlap")
     if where is not None:
         rows = rows.filter(where)
     return scored(rows, vec, metric, query.boost)
