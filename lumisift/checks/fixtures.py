@@ -66,16 +66,15 @@ def tiles8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tiles32(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tiles enlarged to 32x32 and lightly textured, shifted so that blocks cross tile edges."""
 
-    def enlarged(channel: str):
-        def cell(p):
-            x, y = p % 32, (p / 32).cast("int")
-            source = (((y + 1) / 4).cast("int") % 8) * 8 + (((x + 1) / 4).cast("int") % 8)
-            return F.least(F.lit(255), F.get(F.col(channel), source) + (x * 3 + y * 5) % 4)
-
-        return F.transform(F.sequence(F.lit(0), F.lit(1023)), cell).alias(channel)
+    def enlarged(turn: int):
+        """A channel is the first one turned by a few places, so all three read one plane."""
+        x, y = "p % 32", "CAST(p div 32 AS INT)"
+        source = f"CAST(((({y} + 1) div 4) % 8 * 8 + (({x} + 1) div 4) % 8 + {turn}) % 64 AS INT)"
+        return F.expr(f"transform(sequence(0, 1023), p -> CAST(least(255, get(r, {source}) + ({x} * 3 + {y} * 5) % 4) AS INT))")
 
     return tiles8(spark, sf_dir).select(
-        "image_id", F.lit(32).alias("w"), F.lit(32).alias("h"), *[enlarged(ch) for ch in ("r", "g", "b")]
+        "image_id", F.lit(32).alias("w"), F.lit(32).alias("h"),
+        enlarged(0).alias("r"), enlarged(1).alias("g"), enlarged(7).alias("b"),
     )
 
 

@@ -125,8 +125,11 @@ def parse_terms(text: Column) -> Column:
 
 
 def postings(features: DataFrame, mode: str, keys: list[str], sig: str | None = None) -> DataFrame:
-    """One row per ``(document, bundle, hash)``: the inverted-index form of a signature column."""
+    """One row per ``(document, bundle, hash)``: the inverted-index form of a signature column.
+
+    Outer explode and a test of its output: an inner explode would be guarded by a filter on the
+    signature, and the signature computed a second time for it.
+    """
     sig = sig or signature_column(mode)
-    return features.select(
-        *keys, F.lit(hash_mode(mode)).alias("hash_mode"), F.posexplode(sig).alias("bundle", "h")
-    ).withColumn("bundle", F.col("bundle").cast("bigint"))
+    exploded = features.select(*keys, F.lit(hash_mode(mode)).alias("hash_mode"), F.posexplode_outer(sig).alias("bundle", "h"))
+    return exploded.filter(F.col("bundle").isNotNull()).withColumn("bundle", F.col("bundle").cast("bigint"))

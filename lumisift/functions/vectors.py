@@ -58,7 +58,7 @@ def bytes_to_vector(payload: Column) -> Column:
 
 def int_literal(values: Sequence[int]) -> Column:
     """A constant ``ARRAY<BIGINT>``; Catalyst folds it into one literal."""
-    return F.array(*[F.lit(int(v)).cast("bigint") for v in values]).cast("array<bigint>")
+    return F.expr(f"CAST(array({', '.join(f'CAST({int(v)} AS BIGINT)' for v in values)}) AS ARRAY<BIGINT>)")
 
 
 def total(values: Column) -> Column:

@@ -29,12 +29,17 @@ class Entry:
     when: Column | None = None
 
     def struct(self, **labels: str) -> Column:
-        row = F.struct(
-            *[F.lit(v).alias(k) for k, v in labels.items()],
-            self.bin.cast("bigint").alias("bin"),
-            (self.value if isinstance(self.value, Column) else F.lit(self.value)).cast("bigint").alias("value"),
-        )
-        return row if self.when is None else F.when(self.when, row)
+        """The entry as a value. Where ``when`` does not hold it adds nothing to bin 0.
+
+        A filter would say the same, but it would be pushed below the derived columns with all of
+        their expressions repeated in it.
+        """
+        value = (self.value if isinstance(self.value, Column) else F.lit(self.value)).cast("bigint")
+        at = self.bin.cast("bigint")
+        if self.when is not None:
+            zero = F.lit(0).cast("bigint")
+            at, value = F.coalesce(at, zero), F.when(self.when, value).otherwise(zero)
+        return F.struct(*[F.lit(v).alias(k) for k, v in labels.items()], at.alias("bin"), value.alias("value"))
 
 
 @dataclass(frozen=True)
@@ -53,8 +58,7 @@ def tally(rows: DataFrame, entries: Sequence[Entry]) -> DataFrame:
     else:
         exploded = rows.select("image_id", F.explode(F.array(*[e.struct() for e in entries])).alias("e"))
     return (
-        exploded.filter(F.col("e").isNotNull())
-        .groupBy("image_id", F.col("e.bin").alias("bin"))
+        exploded.groupBy("image_id", F.col("e.bin").alias("bin"))
         .agg(F.sum("e.value").alias("value"))
         .filter(F.col("value") != 0)
     )
@@ -116,21 +120,17 @@ def with_colour24(rows: DataFrame) -> DataFrame:
 
 def with_patterns(rows: DataFrame) -> DataFrame:
     """Adds what the ring says about its centre: ``code`` and ``rclass``, ``rank``, ``gx`` and ``gy``."""
-    at_least = [F.when(c(f"n{bit}") >= c("lum"), 1 << bit).otherwise(0) for bit in range(8)]
-    below = [F.when(c(f"n{bit}") < c("lum"), 1).otherwise(0) for bit in range(8)]
+    code = " + ".join(f"IF(n{bit} >= lum, {1 << bit}, 0)" for bit in range(8))
+    rank = " + ".join(f"IF(n{bit} < lum, 1, 0)" for bit in range(8))
+    classes = ", ".join(map(str, rotation_classes()))
+    rows = rows.withColumns({"code": F.expr(code), "rank": F.expr(rank), "gx": F.expr("n3 - n7"), "gy": F.expr("n5 - n1")})
     rows = rows.withColumns({
-        "code": sum(at_least[1:], at_least[0]),
-        "rank": sum(below[1:], below[0]),
-        "gx": c("n3") - c("n7"),
-        "gy": c("n5") - c("n1"),
-    })
-    rows = rows.withColumn("rclass", F.get(F.array(*[F.lit(k) for k in rotation_classes()]), c("code")))
-    return rows.withColumns({
-        "octant": octant(c("gx"), c("gy")),
-        "weight": F.abs("gx") + F.abs("gy"),
-        "small": F.least(F.abs("gx"), F.abs("gy")),
-        "large": F.greatest(F.abs("gx"), F.abs("gy")),
+        "rclass": F.expr(f"get(array({classes}), code)"),
+        "octant": F.expr("IF(gx < 0, 4, 0) + IF(gy < 0, 2, 0) + IF(abs(gx) < abs(gy), 1, 0)"),
+        "small": F.expr("least(abs(gx), abs(gy))"),
+        "large": F.expr("greatest(abs(gx), abs(gy))"),
     })
+    return rows.withColumn("weight", F.expr("small + large"))
 
 
 def rotation_classes() -> list[int]:
@@ -146,12 +146,6 @@ def pyramid_cell(level: int) -> Column:
     return idiv(c("y") * side, "h") * side + idiv(c("x") * side, "w") + first
 
 
-def octant(gx: Column, gy: Column) -> Column:
-    return (
-        F.when(gx < 0, 4).otherwise(0) + F.when(gy < 0, 2).otherwise(0) + F.when(F.abs(gx) < F.abs(gy), 1).otherwise(0)
-    )
-
-
 # --- point tallies -------------------------------------------------------------------------------
 
 
@@ -264,22 +258,22 @@ def jcd() -> list[Entry]:
 # --- correlogram ---------------------------------------------------------------------------------
 
 
+def plane_name(dx: int, dy: int) -> str:
+    return f"p_{dx}_{dy}".replace("-", "m")
+
+
 def chebyshev_ring(d: int) -> list[tuple[int, int]]:
     span = range(-d, d + 1)
     return [(dx, dy) for dy in span for dx in span if max(abs(dx), abs(dy)) == d]
 
 
 def colour_windows(images: DataFrame) -> DataFrame:
-    bins = F.transform(
-        F.arrays_zip("r", "g", "b"), lambda p: (idiv(p["r"], 64) * 16 + idiv(p["g"], 64) * 4 + idiv(p["b"], 64)).cast("int")
-    )
+    bins = F.expr("transform(arrays_zip(r, g, b), p -> CAST(p.r div 64 * 16 + p.g div 64 * 4 + p.b div 64 AS INT))")
     offsets = [(0, 0)] + [at for d in (1, 2, 3) for at in chebyshev_ring(d)]
     px = stencils.window(images.withColumn("colour", bins), "colour", offsets)
-    inside = {}
-    for k in range(-3, 4):
-        inside[f"x_{k}".replace("-", "m")] = (c("x") + k).between(0, c("w") - 1)
-        inside[f"y_{k}".replace("-", "m")] = (c("y") + k).between(0, c("h") - 1)
-    return px.withColumns(inside)
+    sides = [(axis, size, k) for axis, size in (("x", "w"), ("y", "h")) for k in range(-3, 4)]
+    inside = [f"{a} + {k} BETWEEN 0 AND {size} - 1 AS {a}_{k}".replace("_-", "_m") for a, size, k in sides]
+    return px.selectExpr("*", *inside)
 
 
 CORRELOGRAM_BINS = 192
@@ -287,17 +281,15 @@ CORRELOGRAM_BINS = 192
 
 def correlogram() -> list[Entry]:
     """Per colour and distance, same-coloured pairs; all pairs go to a second set of bins."""
-    own, out = c("p_0_0"), []
+    out = []
     for d in (1, 2, 3):
-        same = total = None
-        for dx, dy in chebyshev_ring(d):
-            inside = c(f"x_{dx}".replace("-", "m")) & c(f"y_{dy}".replace("-", "m"))
-            neighbour = c(f"p_{dx}_{dy}".replace("-", "m"))
-            t = F.when(inside, 1).otherwise(0)
-            s = F.when(inside & (neighbour == own), 1).otherwise(0)
-            total = t if total is None else total + t
-            same = s if same is None else same + s
-        out += [Entry(own * 3 + (d - 1), same), Entry(own * 3 + (d - 1) + CORRELOGRAM_BINS, total)]
+        at = [(plane_name(dx, dy), f"x_{dx}".replace("-", "m"), f"y_{dy}".replace("-", "m")) for dx, dy in chebyshev_ring(d)]
+        same = " + ".join(f"IF({x} AND {y} AND {plane} = p_0_0, 1, 0)" for plane, x, y in at)
+        total = " + ".join(f"IF({x} AND {y}, 1, 0)" for _, x, y in at)
+        out += [
+            Entry(F.expr(f"p_0_0 * 3 + {d - 1}"), F.expr(same)),
+            Entry(F.expr(f"p_0_0 * 3 + {d - 1 + CORRELOGRAM_BINS}"), F.expr(total)),
+        ]
     return out
 
 
@@ -338,25 +330,22 @@ def gabor_windows(images: DataFrame) -> DataFrame:
     offsets = [(dx, dy) for dy in SPAN for dx in SPAN]
     px = stencils.window(stencils.with_luminance(images), "lum", offsets)
     centres = stencils.interior(px, 2).filter((c("x") % 4 == 2) & (c("y") % 4 == 2))
-    return centres.select("image_id", *[c(f"p_{dx}_{dy}".replace("-", "m")).cast("bigint").alias(f"f{k}") for k, (dx, dy) in enumerate(offsets)])
+    return centres.selectExpr("image_id", *[f"CAST({plane_name(*at)} AS BIGINT) AS f{k}" for k, at in enumerate(offsets)])
 
 
 def gabor(images: DataFrame) -> DataFrame:
-    rows = gabor_windows(images)
     kernels = gabor_kernels()
-    responses = rows.select("image_id", *[
-        sum((c(f"f{k}") * w for k, w in enumerate(kernel) if w), F.lit(0).cast("bigint")).alias(f"k{i}")
-        for i, kernel in enumerate(kernels)
-    ])
+    terms = [" + ".join(f"f{k} * {w}" for k, w in enumerate(kernel) if w) for kernel in kernels]
+    responses = gabor_windows(images).selectExpr("image_id", *[f"{text} AS k{i}" for i, text in enumerate(terms)])
     sums = []
     for i in range(len(kernels)):
-        sums += [F.sum(F.abs(f"k{i}")).alias(f"v{2 * i}"), F.sum(c(f"k{i}") * c(f"k{i}")).alias(f"v{2 * i + 1}")]
+        sums += [F.expr(f"sum(abs(k{i}))").alias(f"v{2 * i}"), F.expr(f"sum(k{i} * k{i})").alias(f"v{2 * i + 1}")]
     return unpivot(responses.groupBy("image_id").agg(*sums), [f"v{j}" for j in range(2 * len(kernels))])
 
 
 def unpivot(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns to ``(bin, value)`` rows, in the order given."""
-    cells = F.array(*[F.col(name).cast("bigint") for name in columns])
+    cells = F.expr(f"array({', '.join(f'CAST({name} AS BIGINT)' for name in columns)})")
     return (
         wide.select("image_id", F.posexplode(cells).alias("bin", "value"))
         .select("image_id", F.col("bin").cast("bigint").alias("bin"), "value")
@@ -375,8 +364,9 @@ def dct_basis() -> list[list[int]]:
     return [[round(1024 * math.cos((2 * x + 1) * u * math.pi / 16)) for x in range(8)] for u in range(8)]
 
 
-def basis_value(u: int, position: Column) -> Column:
-    return F.get(F.array(*[F.lit(b).cast("bigint") for b in dct_basis()[u]]), position.cast("int"))
+def basis_value(u: int, position: str) -> str:
+    """SQL text of ``basis[u][position]``; the table is a constant."""
+    return f"get(array({', '.join(f'{b}L' for b in dct_basis()[u])}), CAST({position} AS INT))"
 
 
 def grid_means(images: DataFrame, planes: dict[str, Column]) -> DataFrame:
@@ -391,9 +381,13 @@ def grid_means(images: DataFrame, planes: dict[str, Column]) -> DataFrame:
 
 def layout_coefficients(images: DataFrame, wanted: Sequence[tuple[str, int, int]], planes: dict[str, Column]) -> DataFrame:
     """Coefficients ``(plane, u, v)`` of the grid means; bins follow the order of ``wanted``."""
-    cells = grid_means(images, planes)
+    cells = grid_means(images, planes).selectExpr(
+        "*",
+        *[f"{basis_value(u, 'gx')} AS across_{u}" for u in sorted({u for _, u, _ in wanted})],
+        *[f"{basis_value(v, 'gy')} AS down_{v}" for v in sorted({v for _, _, v in wanted})],
+    )
     sums = [
-        F.sum(c(plane) * basis_value(u, c("gx")) * basis_value(v, c("gy"))).alias(f"v{k}")
+        F.expr(f"sum({plane} * across_{u} * down_{v})").alias(f"v{k}")
         for k, (plane, u, v) in enumerate(wanted)
     ]
     return unpivot(cells.groupBy("image_id").agg(*sums), [f"v{k}" for k in range(len(wanted))])
@@ -417,21 +411,20 @@ def luminance_layout(images: DataFrame) -> DataFrame:
 def jpeg_coefficient_histogram(images: DataFrame) -> DataFrame:
     """Separable 8x8 transform: lines by projection, columns by aggregation, then classes are counted."""
     basis = dct_basis()
-    lines = stencils.line_segments(images).select(
-        "image_id", "sx", idiv("y", 8).alias("sy"), (c("y") % 8).alias("line"),
-        *[F.get("f", F.lit(x)).cast("bigint").alias(f"f{x}") for x in range(8)],
+    lines = stencils.line_segments(images).selectExpr(
+        "image_id", "sx", "y div 8 AS sy", *[f"CAST(f[{x}] AS BIGINT) AS f{x}" for x in range(8)],
+        *[f"{basis_value(v, 'y % 8')} AS down_{v}" for v in range(8)],
     )
-    across = lines.select("image_id", "sx", "sy", "line", *[
-        sum((c(f"f{x}") * basis[u][x] for x in range(8)), F.lit(0).cast("bigint")).alias(f"u{u}") for u in range(8)
+    across = lines.selectExpr("image_id", "sx", "sy", *[f"down_{v}" for v in range(8)], *[
+        " + ".join(f"f{x} * {basis[u][x]}" for x in range(8)) + f" AS u{u}" for u in range(8)
     ])
-    blocks = across.groupBy("image_id", "sx", "sy").agg(*[
-        F.sum(c(f"u{u}") * basis_value(v, c("line"))).alias(f"c{u * 8 + v}") for u in range(8) for v in range(8)
+    blocks8 = across.groupBy("image_id", "sx", "sy").agg(*[
+        F.expr(f"sum(u{u} * down_{v}) AS c{u * 8 + v}") for u in range(8) for v in range(8)
     ])
-    cells = blocks.select("image_id", F.posexplode(F.array(*[c(f"c{k}") for k in range(64)])).alias("k", "coef"))
-    klass = (
-        F.when(c("coef") < -JPEG_THRESHOLD, 0).when(c("coef") < 0, 1).when(c("coef") <= JPEG_THRESHOLD, 2).otherwise(3)
-    )
-    return cells.groupBy("image_id", (c("k") * 4 + klass).cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("value"))
+    coefficients = ", ".join(f"c{k}" for k in range(64))
+    cells = blocks8.select("image_id", F.expr(f"posexplode(array({coefficients})) AS (k, coef)"))
+    klass = f"CASE WHEN coef < -{JPEG_THRESHOLD} THEN 0 WHEN coef < 0 THEN 1 WHEN coef <= {JPEG_THRESHOLD} THEN 2 ELSE 3 END"
+    return cells.groupBy("image_id", F.expr(f"CAST(k * 4 + {klass} AS BIGINT)").alias("bin")).agg(F.expr("count(1)").alias("value"))
 
 
 # --- Tamura --------------------------------------------------------------------------------------
@@ -443,9 +436,9 @@ def with_box_sum(images: DataFrame, plane: str, half: int, name: str) -> DataFra
     Step by step, so that each plane is computed once and not once per shift.
     """
     add = lambda a, b: a + b
-    across = images.withColumn("ahead", stencils.shifted(c(plane), half, 0))
+    across = images.withColumn("ahead", stencils.shifted(plane, half, 0))
     across = across.withColumn("across", F.zip_with(c(plane), "ahead", add))
-    down = across.withColumn("ahead", stencils.shifted(c("across"), 0, half))
+    down = across.withColumn("ahead", stencils.shifted("across", 0, half))
     return down.withColumn(name, F.zip_with("across", "ahead", add)).drop("ahead", "across")
 
 
@@ -457,10 +450,10 @@ def tamura_windows(images: DataFrame) -> DataFrame:
     for side, plane in ((2, "w2"), (4, "w4")):
         half = side // 2
         planes |= {
-            f"right{side}": stencils.shifted(c(plane), 0, -half),
-            f"left{side}": stencils.shifted(c(plane), -side, -half),
-            f"below{side}": stencils.shifted(c(plane), -half, 0),
-            f"above{side}": stencils.shifted(c(plane), -half, -side),
+            f"right{side}": stencils.shifted(plane, 0, -half),
+            f"left{side}": stencils.shifted(plane, -side, -half),
+            f"below{side}": stencils.shifted(plane, -half, 0),
+            f"above{side}": stencils.shifted(plane, -half, -side),
         }
     return stencils.pixels(rows, planes)
 

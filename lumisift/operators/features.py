@@ -41,7 +41,6 @@ def extract(images: DataFrame, names: Iterable[str]) -> DataFrame:
         parts.append(
             stencil(images)
             .select("image_id", F.explode(F.array(*entries)).alias("e"))
-            .filter(F.col("e").isNotNull())
             .groupBy("image_id", F.col("e.feature").alias("feature"), F.col("e.bin").alias("bin"))
             .agg(F.sum("e.value").alias("value"))
             .filter(F.col("value") != 0)

@@ -39,41 +39,51 @@ def by_image(images: DataFrame) -> DataFrame:
 
 
 def with_luminance(images: DataFrame) -> DataFrame:
-    lum = F.transform(
-        F.arrays_zip("r", "g", "b"), lambda p: idiv(p["r"] * 299 + p["g"] * 587 + p["b"] * 114, 1000).cast("int")
-    )
-    return images.withColumn("lum", lum)
+    weighed = "CAST((p.r * 299 + p.g * 587 + p.b * 114) div 1000 AS INT)"
+    return images.withColumn("lum", F.expr(f"transform(arrays_zip(r, g, b), p -> {weighed})"))
+
+
+def with_packed(images: DataFrame) -> DataFrame:
+    """Adds ``rgb``: the three channels in one number per pixel, so that a stencil zips one plane and not three."""
+    packed = "shiftleft(p.r, 16) | shiftleft(p.g, 8) | p.b"
+    return images.withColumn("rgb", F.expr(f"transform(arrays_zip(r, g, b), p -> {packed})"))
+
 
+def unpacked(plane: str, suffix: str = "") -> list[str]:
+    """Select items for the channels of a packed pixel."""
+    return [
+        f"shiftright({plane}, 16) AS r{suffix}", f"shiftright({plane}, 8) & 255 AS g{suffix}", f"{plane} & 255 AS b{suffix}"
+    ]
 
-def shifted(plane: Column, dx: int, dy: int) -> Column:
+
+def shifted(plane: str, dx: int, dy: int) -> Column:
     """Plane whose element p holds the value at (x + dx, y + dy).
 
     Elements whose neighbour falls outside the plane are NULL; those that wrap to another line are
-    wrong and belong to pixels the caller excludes by position.
+    wrong and belong to pixels the caller excludes by position. The expression is SQL text because one
+    parse is far cheaper than a driver call per operator, and stencils need dozens of these.
     """
-    offset = F.lit(dy) * F.col("w") + F.lit(dx)
-    size = F.col("w") * F.col("h")
-    ahead = F.slice(plane, offset + 1, F.greatest(size - offset, F.lit(0)))
-    behind = F.slice(F.concat(F.array_repeat(F.lit(None).cast("int"), -offset), plane), F.lit(1), size)
     if (dx, dy) == (0, 0):
-        return plane
-    if dy > 0 or (dy == 0 and dx > 0):
-        return F.when(offset > 0, ahead).otherwise(behind)
-    return F.when(offset < 0, behind).otherwise(ahead)
+        return F.col(plane)
+    ahead = f"slice({plane}, {dy} * w + {dx} + 1, greatest(w * h - ({dy} * w + {dx}), 0))"
+    behind = f"slice(concat(array_repeat(CAST(NULL AS INT), -({dy} * w + {dx})), {plane}), 1, w * h)"
+    return F.expr(f"CASE WHEN {dy} * w + {dx} > 0 THEN {ahead} ELSE {behind} END")
 
 
 def pixels(images: DataFrame, planes: Mapping[str, Column]) -> DataFrame:
-    """One row per pixel: ``image_id, w, h, x, y`` and one column per plane."""
+    """One row per pixel: ``image_id, w, h, x, y`` and one column per plane.
+
+    The zip is a step of its own, so that the loop over pixels compiles to a small method. The explode
+    is an outer one because the optimizer guards an inner one with a filter on the size of its input,
+    which it then pushes down by computing the whole zip once more; the position test drops the rows of
+    images without pixels just as well.
+    """
     zipped = F.arrays_zip(*[plane.alias(name) for name, plane in planes.items()])
     return (
-        images.select("image_id", "w", "h", F.posexplode(zipped).alias("p", "px"))
-        .filter(F.col("p") < F.col("w") * F.col("h"))
-        .select(
-            "image_id", "w", "h",
-            (F.col("p") % F.col("w")).alias("x"),
-            idiv("p", "w").cast("int").alias("y"),
-            *[F.col("px")[name].alias(name) for name in planes],
-        )
+        images.select("image_id", "w", "h", zipped.alias("zipped"))
+        .select("image_id", "w", "h", F.posexplode_outer("zipped").alias("p", "px"))
+        .filter("p < w * h")
+        .selectExpr("image_id", "w", "h", "p % w AS x", "CAST(p div w AS INT) AS y", *[f"px.{name} AS {name}" for name in planes])
     )
 
 
@@ -84,37 +94,34 @@ def point(images: DataFrame) -> DataFrame:
 
 def ring(images: DataFrame) -> DataFrame:
     """Interior pixels with the luminance of their eight neighbours, ``n0`` to ``n7``."""
-    planes = {c: F.col(c) for c in ("r", "g", "b", "lum")}
-    planes |= {f"n{bit}": shifted(F.col("lum"), dx, dy) for bit, (dx, dy) in enumerate(RING)}
-    return interior(pixels(with_luminance(images), planes), 1)
+    planes = {"rgb": F.col("rgb"), "lum": F.col("lum")}
+    planes |= {f"n{bit}": shifted("lum", dx, dy) for bit, (dx, dy) in enumerate(RING)}
+    px = interior(pixels(with_packed(with_luminance(images)), planes), 1)
+    return px.selectExpr("image_id", "w", "h", "x", "y", "lum", *unpacked("rgb"), *[f"n{bit}" for bit in range(8)])
 
 
 def interior(px: DataFrame, margin: int) -> DataFrame:
-    inside = F.col("x").between(F.lit(margin), F.col("w") - 1 - margin) & F.col("y").between(
-        F.lit(margin), F.col("h") - 1 - margin
-    )
-    return px.filter(inside)
+    return px.filter(f"x BETWEEN {margin} AND w - {1 + margin} AND y BETWEEN {margin} AND h - {1 + margin}")
 
 
 def blocks2(images: DataFrame) -> DataFrame:
-    """Non-overlapping 2x2 blocks: luminances ``a b c d`` and the block's mean colour."""
-    corners = {"a": (0, 0), "b_": (1, 0), "c": (0, 1), "d": (1, 1)}
-    planes = {name: shifted(F.col("lum"), *at) for name, at in corners.items()}
-    for channel in ("r", "g", "b"):
-        planes |= {f"{channel}{k}": shifted(F.col(channel), *at) for k, at in enumerate(corners.values())}
-    px = pixels(with_luminance(images), planes).filter(
-        (F.col("x") % 2 == 0) & (F.col("y") % 2 == 0) & (F.col("x") + 1 < F.col("w")) & (F.col("y") + 1 < F.col("h"))
+    """Non-overlapping 2x2 blocks: corner luminances ``la lb lc ld`` and the block's mean colour."""
+    corners = ((0, 0), (1, 0), (0, 1), (1, 1))
+    planes = {f"p{k}": shifted("rgb", *at) for k, at in enumerate(corners)}
+    px = pixels(with_packed(images), planes).filter("x % 2 = 0 AND y % 2 = 0 AND x + 1 < w AND y + 1 < h")
+    split = px.selectExpr(
+        "image_id", "w", "h", "x div 2 AS bx", "y div 2 AS by", *[item for k in range(4) for item in unpacked(f"p{k}", str(k))]
     )
-    means = [idiv(sum((F.col(f"{c}{k}") for k in range(1, 4)), F.col(f"{c}0")), 4).alias(c) for c in ("r", "g", "b")]
-    return px.select(
-        "image_id", "w", "h", idiv("x", 2).alias("bx"), idiv("y", 2).alias("by"),
-        *[F.col(n).cast("bigint").alias(m) for n, m in (("a", "la"), ("b_", "lb"), ("c", "lc"), ("d", "ld"))], *means,
+    return split.selectExpr(
+        "image_id", "w", "h", "bx", "by",
+        *[f"(299 * r{k} + 587 * g{k} + 114 * b{k}) div 1000 AS l{name}" for k, name in enumerate("abcd")],
+        *[f"({ch}0 + {ch}1 + {ch}2 + {ch}3) div 4 AS {ch}" for ch in ("r", "g", "b")],
     )
 
 
 def window(images: DataFrame, plane: str, offsets: Iterable[tuple[int, int]], name=lambda dx, dy: f"p_{dx}_{dy}") -> DataFrame:
     """Pixels with one plane at the given offsets; excluding edges is left to the caller."""
-    return pixels(images, {name(dx, dy).replace("-", "m"): shifted(F.col(plane), dx, dy) for dx, dy in offsets})
+    return pixels(images, {name(dx, dy).replace("-", "m"): shifted(plane, dx, dy) for dx, dy in offsets})
 
 
 def line_segments(images: DataFrame, length: int = 8) -> DataFrame:

@@ -144,18 +144,19 @@ def _matched_in_blocks(
     left = docs.withColumn("db", F.pmod(F.xxhash64("doc_id"), F.lit(doc_blocks))).withColumn(
         "qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<bigint>"))
     )
-    right = queries.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks))).withColumn(
+    asked = queries.select(F.col("query_id").alias("asked_id"), F.col("vec").alias("asked_vec"))
+    right = asked.withColumn("qb", F.pmod(F.xxhash64("asked_id"), F.lit(query_blocks))).withColumn(
         "db", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1)).cast("array<bigint>"))
-    )
+    ).withColumnsRenamed({"qb": "asked_qb", "db": "asked_db"})
 
     def run(doc_block: pd.DataFrame, query_block: pd.DataFrame) -> pd.DataFrame:
         if doc_block.empty or query_block.empty:
             return pd.DataFrame({"query_id": [], "doc_id": [], "distance": [], "score": []})
-        matcher = Matcher(query_block, k, metric, mode, bundle_aware)
+        matcher = Matcher(query_block.rename(columns={"asked_id": "query_id", "asked_vec": "vec"}), k, metric, mode, bundle_aware)
         matcher.add(doc_block)
         return matcher.result()
 
-    return left.groupBy("db", "qb").cogroup(right.groupBy("db", "qb")).applyInPandas(run, HIT_SCHEMA)
+    return left.groupBy("db", "qb").cogroup(right.groupBy("asked_db", "asked_qb")).applyInPandas(run, HIT_SCHEMA)
 
 
 def candidate_counts(index: DataFrame, queries: DataFrame, hash: str, bundle_aware: bool = False) -> DataFrame:
