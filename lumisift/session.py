@@ -20,6 +20,7 @@ def local_session(app: str, cores: int | None = None, memory: str | None = None)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.bindAddress", "127.0.0.1")
+        .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", memory or "8g")
         .getOrCreate()
     )

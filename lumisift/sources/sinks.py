@@ -22,3 +22,16 @@ def write_postings(postings: DataFrame, table: str, path: str, buckets: int, mod
         raise MappingError("buckets must be positive")
     writer = postings.write.mode(mode).format("parquet").option("path", path)
     writer.partitionBy("feature", "hash_mode").bucketBy(buckets, "h").sortBy("h").saveAsTable(table)
+
+
+def write_planes(images: DataFrame, table: str, path: str, buckets: int, mode: str = "overwrite") -> None:
+    """Decoded plane rows, bucketed by image.
+
+    Decoding is the costly step of ingest, so it is done once and kept; every descriptor then reads
+    the table without decoding and, being laid out by image, without any exchange.
+    """
+    if buckets < 1:
+        raise MappingError("buckets must be positive")
+    rows = images.select("image_id", "w", "h", "r", "g", "b").filter("w IS NOT NULL")
+    laid_out = rows.repartition(buckets, "image_id")
+    laid_out.write.mode(mode).format("parquet").option("path", path).bucketBy(buckets, "image_id").saveAsTable(table)

@@ -123,3 +123,14 @@ def test_visibility(spark):
     got = {tuple(r) for r in live.live(rows, gone, ["doc_id"]).collect()}
     assert got == {(1, 2, "b"), (3, 3, "d")}
     assert {tuple(r) for r in live.latest(live.as_of(rows, 1), ["doc_id"]).collect()} == {(1, 1, "a"), (2, 1, "c")}
+
+
+def test_bucketed_planes_need_no_exchange(spark, images, tmp_path):
+    from lumisift.sources.sinks import write_planes
+
+    write_planes(images, "planes_for_test", str(tmp_path / "planes"), buckets=4)
+    stored = spark.table("planes_for_test")
+    for name in ("CEDD", "LUMINANCE_LAYOUT", "JPEG_COEFFICIENT_HISTOGRAM"):
+        frame = described(stored, DESCRIPTORS[name])
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString(), name
+        assert cells(frame) == cells(described(images, DESCRIPTORS[name]))
