@@ -31,13 +31,12 @@ def local_session(app: str, cores: int | None = None, memory: str | None = None)
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    Where the cluster names no such folder the session is a local one (tests), and a temporary folder
-    is named instead so that later calls agree.
+    Where no such folder is named the session must be a local one (tests), and a temporary folder
+    takes its place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by the executors")
         base = tempfile.mkdtemp(prefix="lumisift-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
