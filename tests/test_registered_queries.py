@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from lumisift.checks import catalog
 from lumisift.checks.compare import check, oracle_connection
 
 SMALLEST = "/root/testdata/sf0.001"
@@ -17,14 +18,16 @@ def oracle():
     return oracle_connection(SMALLEST)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, oracle, name):
     verdict, _, _, _ = check(spark, oracle, SMALLEST, name)
     assert verdict == "ok"
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry_points.queries())
+    assert set(catalog.ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
