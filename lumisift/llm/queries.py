@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lumisift.llm import toxicity
 from lumisift.llm.byte_bpe import digests
 from lumisift.llm.quality import quality
 from lumisift.llm.token_counts import token_counts
@@ -37,3 +39,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id", (toxicity.remainder("doc_id") == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
