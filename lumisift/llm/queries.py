@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisift.llm import toxicity
+from lumisift.llm import decontamination, toxicity
 from lumisift.llm.byte_bpe import digests
 from lumisift.llm.quality import quality
 from lumisift.llm.token_counts import token_counts
@@ -48,3 +48,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", (toxicity.remainder("doc_id") == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
