@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lumisift.llm import decontamination, toxicity
 from lumisift.llm.byte_bpe import digests
+from lumisift.llm.near_dedup import near_duplicates
 from lumisift.llm.quality import quality
 from lumisift.llm.token_counts import token_counts
 
@@ -53,3 +54,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2)
