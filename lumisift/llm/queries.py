@@ -12,6 +12,7 @@ from lumisift.llm import decontamination, toxicity
 from lumisift.llm.byte_bpe import digests
 from lumisift.llm.near_dedup import near_duplicates
 from lumisift.llm.quality import quality
+from lumisift.llm.suffix_dedup import removed
 from lumisift.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +60,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed(table(spark, sf_dir, "documents")).drop("kept")
