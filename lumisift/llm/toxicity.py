@@ -19,14 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 #: Rows of the embedding table, its width, filters of each width, and the widths.
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 17, 8, 6, (1, 2, 3)
 #: Bounds of the sample a model is fitted and calibrated on: documents of each label, words of a document.
 FIT_ROWS, FIT_WORDS = 5_000, 3_000
+#: Threshold of languages with fewer than `LEAST` toxic or other documents in the calibration sample.
+DEFAULT, LEAST = 0.7, 20
 #: Words a worker remembers, and words scored at a time; both bound memory, never the result.
 REMEMBERED, STRIDE = 400_000, 200_000
 _WORD = re.compile(r"\w+")
@@ -61,6 +63,7 @@ class Convolution:
         self.out = np.full(FILTERS * len(WIDTHS), 0.5, np.float32)
         self.shift = np.float32(-1.0)
         self.scale = (1.0, 0.0)  # of the logit, set by calibration
+        self.thresholds: dict[str, float] = {}  # by language, set by calibration
 
     def start(self, docs: list[np.ndarray], toxic: np.ndarray) -> None:
         """Set the first dimension from how far a feature's share of toxic documents is above its share of others."""
@@ -206,11 +209,14 @@ class Scorer:
         return self.rows[np.array(at, np.int64)]
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Convolution:
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str | None = None
+) -> Convolution:
     """Fit and calibrate a model on a bounded sample of labelled documents outside the held-out third.
 
     Documents labelled more than once are toxic if any label is 1; null labels, ids and texts are not learnt from. Of
-    the sample a fifth is kept for calibration. Without labels of both kinds the model scores everything below 0.5.
+    the sample a fifth is kept for calibration, also of a threshold for each language if `lang_col` is given; languages
+    never enter a score. Without labels of both kinds the model scores everything below 0.5.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (remainder(id_col) != 1))
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic"))
@@ -220,18 +226,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len({r.toxic for r in chosen}) < 2:
         return model
     ids = docs.sparkSession.createDataFrame(pd.DataFrame({"id": [r.id for r in chosen], "toxic": [r.toxic for r in chosen]}), known.schema)
-    few = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    few = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.coalesce(F.col(lang_col), F.lit("")) if lang_col else F.lit("")).alias("lang")).where("text is not null")
     few = few.join(F.broadcast(ids), "id")  # at most 2 * FIT_ROWS rows
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc, text, toxic in zip(batch["id"], batch["text"], batch["toxic"], strict=True):
+            for doc, text, toxic, lang in zip(batch["id"], batch["text"], batch["toxic"], batch["lang"], strict=True):
                 words = words_of(text)
                 if len(words) <= FIT_WORDS:
-                    yield pd.DataFrame({"id": [doc], "toxic": [toxic], "words": [np.array([features(w) for w in words], np.int32).tobytes()]})
+                    yield pd.DataFrame({"id": [doc], "toxic": [toxic], "lang": [lang], "words": [np.array([features(w) for w in words], np.int32).tobytes()]})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    sample = few.select("id", "text", "toxic").mapInPandas(hashed, f"id {kind}, toxic int, words binary").dropDuplicates(["id"]).toPandas()
+    sample = few.select("id", "text", "toxic", "lang").mapInPandas(hashed, f"id {kind}, toxic int, lang string, words binary").dropDuplicates(["id"]).toPandas()
     sample = sample.sort_values("id", ignore_index=True)
     rows = [np.frombuffer(w, np.int32).reshape(-1, 3) for w in sample["words"]]
     toxic = sample["toxic"].to_numpy()
@@ -239,19 +245,36 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model.fit([r for r, a in zip(rows, aside, strict=True) if not a], toxic[~aside])
     if aside.any() and 0 < toxic[aside].sum() < aside.sum():
         logits = model.logits([model.project(r) for r, a in zip(rows, aside, strict=True) if a])
-        model.scale = _logistic(logits, toxic[aside])
+        model.scale = a, b = _logistic(logits, toxic[aside])
+        scores, langs = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30))), sample["lang"].to_numpy()[aside]
+        for lang in np.unique(langs) if lang_col else ():
+            own = langs == lang
+            if min(toxic[aside][own].sum(), (1 - toxic[aside][own]).sum()) >= LEAST:
+                model.thresholds[lang] = _best_threshold(scores[own], toxic[aside][own])
     return model
 
 
+def _best_threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
+    """The threshold in hundredths with the best F1, of equally good ones the nearest to the default."""
+    cuts = np.arange(5, 96) / 100
+    hit = np.array([(scores[toxic == 1] >= c).sum() for c in cuts])
+    wrong = np.array([(scores[toxic == 0] >= c).sum() for c in cuts])
+    f1 = 2 * hit / (hit + wrong + (toxic == 1).sum())
+    good = cuts[f1 >= f1.max() - 1e-12]
+    return float(good[np.abs(good - DEFAULT).argmin()])
+
+
 def _logistic(logits: np.ndarray, toxic: np.ndarray, steps: int = 200) -> tuple[float, float]:
-    """Scale and shift that make logits probabilities, by Newton steps with smoothed targets."""
+    """Scale and shift that make logits probabilities where both labels are equally frequent, by Newton steps with
+    smoothed targets."""
     n1, n0 = toxic.sum(), (1 - toxic).sum()
     target = np.where(toxic == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    share = np.where(toxic == 1, len(toxic) / 2 / n1, len(toxic) / 2 / n0)
     a, b = 1.0, 0.0
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
-        w = p * (1 - p) + 1e-9
-        g = np.array([((p - target) * logits).sum() + 1e-3 * (a - 1), (p - target).sum()])
+        w = share * p * (1 - p) + 1e-9
+        g = np.array([(share * (p - target) * logits).sum() + 1e-3 * (a - 1), (share * (p - target)).sum()])
         h = np.array([[(w * logits * logits).sum() + 1e-3, (w * logits).sum()], [(w * logits).sum(), w.sum()]])
         d = np.clip(np.linalg.solve(h + 1e-9 * np.eye(2), g), -0.5, 0.5)
         a, b = a - d[0], b - d[1]
@@ -260,34 +283,26 @@ def _logistic(logits: np.ndarray, toxic: np.ndarray, steps: int = 200) -> tuple[
     return (float(a), float(b)) if a > 0 else (1.0, 0.0)
 
 
-def scored(docs: DataFrame, model: Convolution, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Scores of whole texts between 0 and 1 (`id, score`), from the text alone. Null texts count as empty; repeated
-    rows stay; an empty table gives no rows."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # the size of the embedding table, a constant
+def score_column(model: Convolution, spark: SparkSession, text: Column) -> Column:
+    """The score of a whole text, between 0 and 1, from the text alone; a null text counts as empty."""
+    shared = spark.sparkContext.broadcast(model)  # the size of the embedding table, a constant
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(shared.value)
-        for batch in batches:
-            scores = [scorer.score(text.as_py() or "") for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["id", "score"])
+        for texts in batches:
+            yield pd.Series([scorer.score(text or "") for text in texts], dtype=float)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
-
-
-def thresholds(
-    scores: DataFrame, labels: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", label_col: str = "toxic",
-    default: float = 0.7, least: int = 50,
-) -> DataFrame:
-    """For each language the threshold, in hundredths, with the best F1 on labelled documents outside the held-out third
-    (`lang, threshold`); of equally good ones the one nearest the default. Languages with fewer than `least` toxic or
-    other labels are left to the default."""
-    known = labels.where(F.col(label_col).isNotNull() & (remainder(id_col) != 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic"))
-    bins = scores.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.floor(F.col("score") * 100).alias("bin"))
-    bins = bins.join(known, "id").groupBy("lang", "bin").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    each = bins.groupBy("lang").agg(F.collect_list(F.struct("bin", "bad", "good")).alias("bins"), F.sum("bad").alias("all_bad"), F.sum("good").alias("all_good"))
-    each = each.where(f"all_bad >= {least} and all_good >= {least}").select("lang", "all_bad", "bins", F.explode(F.sequence(F.lit(5), F.lit(95))).alias("cut"))
-    over = lambda what: F.aggregate(F.filter("bins", lambda x: x["bin"] >= F.col("cut")), F.lit(0).cast("long"), lambda s, x: s + x[what])
-    f1 = 2 * over("bad") / (over("bad") + over("good") + F.col("all_bad"))
-    best = each.withColumn("f1", f1).groupBy("lang").agg(F.max_by("cut", F.struct("f1", -F.abs(F.col("cut") - round(default * 100)), -F.col("cut"))).alias("cut"))
-    return best.select("lang", (F.col("cut") / 100).alias("threshold"))
+    return score(text)
+
+
+def scored(docs: DataFrame, model: Convolution, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Scores of all documents (`id, score`). Repeated rows stay, other columns are left out; an empty table gives no
+    rows."""
+    return docs.select(id_col, score_column(model, docs.sparkSession, F.col(text_col)).alias("score"))
+
+
+def threshold_of(model: Convolution, lang: Column) -> Column:
+    """The model's threshold for a document's language, or the default."""
+    known = [x for pair in model.thresholds.items() for x in map(F.lit, pair)]
+    return F.coalesce(F.create_map(*known)[F.coalesce(lang, F.lit(""))], F.lit(DEFAULT)) if known else F.lit(DEFAULT)
