@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lumisift.llm import decontamination, toxicity
 from lumisift.llm.byte_bpe import digests
+from lumisift.llm.line_dedup import without_repeats
 from lumisift.llm.near_dedup import near_duplicates
 from lumisift.llm.quality import quality
 from lumisift.llm.suffix_dedup import removed
@@ -65,3 +66,8 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
