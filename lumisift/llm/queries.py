@@ -12,6 +12,7 @@ from lumisift.llm import decontamination, toxicity
 from lumisift.llm.byte_bpe import digests
 from lumisift.llm.line_dedup import without_repeats
 from lumisift.llm.near_dedup import near_duplicates
+from lumisift.llm.pii import pseudonymised
 from lumisift.llm.quality import quality
 from lumisift.llm.suffix_dedup import removed
 from lumisift.llm.token_counts import token_counts
@@ -71,3 +72,8 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymised(table(spark, sf_dir, "documents"), key="a key for tests")
