@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lumisift.llm import decontamination, toxicity
 from lumisift.llm.byte_bpe import digests
+from lumisift.llm.html_text import main_text
 from lumisift.llm.line_dedup import without_repeats
 from lumisift.llm.near_dedup import near_duplicates
 from lumisift.llm.pii import pseudonymised
@@ -77,3 +78,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymised(table(spark, sf_dir, "documents"), key="a key for tests")
+
+
+@query
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
