@@ -167,3 +167,12 @@ def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest()
 
     return _mapped(df, id_col, text_col, path, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", columns)
+
+
+def coded(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Packed ids with their number, and the digest of the bytes they decode to. Nulls count as empty texts."""
+
+    def columns(own: ByteBpe, ids: bytes) -> tuple[int, bytes, str]:
+        return len(ids) // 4, ids, hashlib.sha256(own.decode(ids)).hexdigest()
+
+    return _mapped(df, id_col, text_col, path, "n_tokens bigint, ids binary, decoded_sha256 string", columns)
