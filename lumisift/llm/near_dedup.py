@@ -5,9 +5,11 @@ key of the second collection. So M * M tables of 2 * R minhashes cost only 2 * M
 J meet in some table unless one collection has no key in common: with J = 0.8, R = 3 and M = 14 that happens to fewer
 than one pair in ten thousand, and to fewer still above. What meets is confirmed on the full sets.
 
-Texts with equal sets are one class and only its first document goes on. In a table's bucket every document is compared
-with the bucket's first only; afterwards buckets whose documents are still in different components are searched for the
-missing links, so buckets of any size are handled without all their pairs.
+Texts with equal sets are one class and only its first document goes on. A bucket with more than `CROWD` documents is
+split by a key of a third collection, which parts texts that share a frequent line rather than most of their text; a
+pair at the threshold meets in some fifty tables, of which the split leaves about half. Every document of a bucket is
+compared with two of it only: the one that meets most others in all tables, and the first. Afterwards buckets whose
+documents are still in different components are searched for the missing links.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from pyspark.sql.functions import pandas_udf
 from lumisift.llm.components import components
 from lumisift.llm.stored import stored
 
-#: Keys of a collection, minhashes of a key.
-M, R = 14, 3
+#: Keys of a collection, minhashes of a key, documents of a bucket from which on it is split.
+M, R, CROWD = 14, 3, 12
+#: Bits of an odd sketch, a multiple of 64.
+BITS = 1024
 #: Words whose hashes a worker remembers; bounds memory, never the result.
 REMEMBERED = 500_000
 
@@ -69,8 +73,8 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
 
 
 def minhashes(hashes: np.ndarray) -> np.ndarray:
-    """2 * M * R minhashes of a set that isn't empty, a bounded part of it at a time."""
-    factors = _mixed(np.arange(1, 2 * M * R + 1, dtype=np.uint64)) | np.uint64(1)
+    """3 * M * R minhashes of a set that isn't empty, a bounded part of it at a time."""
+    factors = _mixed(np.arange(1, 3 * M * R + 1, dtype=np.uint64)) | np.uint64(1)
     best = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(hashes), 4096):
         best = np.minimum(best, (hashes[None, i : i + 4096] * factors[:, None]).min(1))
@@ -78,15 +82,20 @@ def minhashes(hashes: np.ndarray) -> np.ndarray:
 
 
 def keys(best: np.ndarray) -> np.ndarray:
-    """The keys of both collections from the minhashes."""
-    out = np.arange(1, 2 * M + 1, dtype=np.uint64)
-    for part in best.reshape(2 * M, R).T:
+    """The keys of the three collections from the minhashes."""
+    out = np.arange(1, 3 * M + 1, dtype=np.uint64)
+    for part in best.reshape(3 * M, R).T:
         out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + part)
     return out.view(np.int64)
 
 
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) % BITS, minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """`id, n_shingles, digest, first, second` of documents `id, text`; digest and keys are null for empty sets."""
+    """`id, n_shingles, digest, odd, first, second, third` of documents `id, text`; all after the size are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,16 +103,16 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             for text in batch.column(1):
                 hashes = shingle_hashes(text.as_py(), width)
                 if not len(hashes):
-                    rows.append((0, None, None, None))
+                    rows.append((0, *[None] * 5))
                     continue
                 made = keys(minhashes(hashes))
-                rows.append((len(hashes), hashlib.blake2b(hashes.tobytes(), digest_size=16).digest(), made[:M], made[M:]))
-            kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                rows.append((len(hashes), hashlib.blake2b(hashes.tobytes(), digest_size=16).digest(), odd_sketch(hashes), made[:M], made[M : 2 * M], made[2 * M :]))
+            kinds = [pa.int64(), pa.binary(), *[pa.list_(pa.int64())] * 4]
             made = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", "n_shingles", "digest", "first", "second"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", "n_shingles", "digest", "odd", "first", "second", "third"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, n_shingles bigint, digest binary, first array<bigint>, second array<bigint>")
+    return docs.mapInArrow(run, f"id {kind}, n_shingles bigint, digest binary, odd array<bigint>, first array<bigint>, second array<bigint>, third array<bigint>")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -137,20 +146,33 @@ def near_duplicates(
     sketch = stored(sketches(docs, width), "sketches")
     full = sketch.where("digest is not null and id is not null")
     classes = full.groupBy("digest").agg(F.min("id").alias("head"))
-    heads = full.join(classes.withColumnRenamed("digest", "of"), F.expr("digest = of and id = head"), "left_semi").select("id", "first", "second")
+    heads = full.join(classes.withColumnRenamed("digest", "of"), F.expr("digest = of and id = head"), "left_semi").select("id", "first", "second", "third")
     tables = heads.select("id", "second", F.posexplode("first").alias("i", "x")).select("id", "i", "x", F.posexplode("second").alias("j", "y"))
-    tables = tables.select("id", F.xxhash64("i", "j", "x", "y").alias("bucket"))
-    bucket = Window.partitionBy("bucket")
-    crowded = tables.withColumn("anchor", F.min("id").over(bucket)).withColumn("last", F.max("id").over(bucket))
-    crowded = stored(crowded.where("anchor <> last").select("bucket", "id", "anchor"), "buckets")
-    tried = stored(crowded.where("id <> anchor").select(F.col("anchor").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    split = F.pmod(F.col("i") + F.col("j"), F.lit(M))  # which third key a crowded bucket is split by; in the bucket's lowest bits
+    hashed = F.shiftleft(F.shiftright(F.xxhash64("i", "j", "x", "y"), 8), 8) + split
+    tables = tables.select("id", hashed.alias("bucket"))
+    size = F.count("*").over(Window.partitionBy("bucket"))
+    met = stored(tables.withColumn("size", size).where("size > 1"), "buckets")
+    thirds = heads.select("id", "third")
+    leaf = F.xxhash64("bucket", F.get("third", F.shiftrightunsigned(F.shiftleft("bucket", 56), 56).cast("int")))
+    deeper = met.where(f"size > {CROWD}").join(thirds, "id").select("id", leaf.alias("bucket"))
+    deeper = deeper.withColumn("size", size).where("size > 1")
+    crowded = stored(met.where(f"size <= {CROWD}").select("id", "bucket", "size").union(deeper.select("id", "bucket", "size")), "leaves")
+    weight = crowded.groupBy("id").agg(F.sum("size").alias("weight"))
+    known = crowded.join(weight, "id")
+    anchors = known.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("most"), F.min("id").alias("least"))
+    pairs = known.join(anchors, "bucket").select("id", F.explode(F.array(-F.col("most.id"), F.col("least"))).alias("anchor")).where("id <> anchor")
+    tried = stored(pairs.select(F.least("id", "anchor").alias("a"), F.greatest("id", "anchor").alias("b")).distinct(), "pairs")
     links = stored(confirm(tried, docs, width, percent), "links")
     roots = components(links)
     rooted = crowded.join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
     apart = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-    rooted = stored(rooted.join(apart, "bucket", "left_semi"), "apart")
-    other = rooted.select("bucket", F.col("id").alias("b"), F.col("root").alias("root_b"))
-    more = rooted.join(other, "bucket").where("root < root_b").select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+    rooted = rooted.join(apart, "bucket", "left_semi").join(full.select("id", "n_shingles", "odd").dropDuplicates(["id"]), "id")
+    rooted = stored(rooted.select("bucket", "id", "root", "n_shingles", "odd"), "apart")
+    other = rooted.select("bucket", *(F.col(c).alias(a) for c, a in (("id", "b"), ("root", "root_b"), ("n_shingles", "n_b"), ("odd", "odd_b"))))
+    differ = sum((F.bit_count(F.get("odd", i).bitwiseXOR(F.get("odd_b", i))) for i in range(BITS // 64)), F.lit(0))
+    possible = differ * (100 + percent) <= (F.col("n_shingles") + F.col("n_b")) * (100 - percent)
+    more = rooted.join(other, (rooted.bucket == other.bucket) & (F.col("root") < F.col("root_b")) & possible).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
     more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
     links = stored(links.union(confirm(more, docs, width, percent)), "links")
     roots = components(links)
