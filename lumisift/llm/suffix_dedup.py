@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def window_keys(data: np.ndarray) -> np.ndarray:
         by = min(have, width - have)
         h = np.minimum(h[: len(h) - by], h[by:])
         have += by
-    return h
+    return h >> np.uint64(16)  # six bytes are enough to tell keys of a bucket apart; what they confuse is compared later
 
 
 def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,8 +88,8 @@ def repeated_keys(docs: DataFrame, buckets: int) -> DataFrame:
             for a, b in zip(at, [*at[1:], len(key)], strict=True):
                 used, local = np.unique(doc[a:b], return_inverse=True)
                 # bytes of equal significance together: the leading ones of sorted keys compress well
-                planes = np.ascontiguousarray(key[a:b].view(np.uint8).reshape(-1, 8).T).tobytes()
-                rows.append((int(bucket[a]), planes, local.astype(np.int32).tobytes(), [ids[i] for i in used], [content[i] for i in used]))
+                planes = np.ascontiguousarray(key[a:b].view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes()
+                rows.append((int(bucket[a]), planes, local.astype(np.uint16).tobytes(), [ids[i] for i in used], [content[i] for i in used]))
             made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             return pa.RecordBatch.from_arrays(made, ["bucket", "planes", "docs", "ids", "content"])
 
@@ -102,7 +103,7 @@ def repeated_keys(docs: DataFrame, buckets: int) -> DataFrame:
                 ids.append(doc)
                 content.append(xxhash.xxh3_64_intdigest(text) - (1 << 63))
                 size += len(text)
-                if size > 4 * PART:
+                if size > 4 * PART or len(ids) == 1 << 16:
                     yield flush()
                     keys, owner, ids, content, size = [], [], [], [], 0
         if ids:
@@ -111,9 +112,10 @@ def repeated_keys(docs: DataFrame, buckets: int) -> DataFrame:
     def meet(table: pa.Table) -> pa.Table:
         keys, contents, owners, ids = [], [], [], []
         for row in table.to_pylist():
-            key = np.frombuffer(row["planes"], np.uint8).reshape(8, -1).T
-            local = np.frombuffer(row["docs"], np.int32)
-            keys.append(np.ascontiguousarray(key).view(np.uint64).ravel())
+            local = np.frombuffer(row["docs"], np.uint16).astype(np.int32)
+            key = np.zeros((len(local), 8), np.uint8)
+            key[:, :6] = np.frombuffer(row["planes"], np.uint8).reshape(6, -1).T
+            keys.append(key.view(np.uint64).ravel())
             contents.append(np.array(row["content"], np.int64)[local])
             owners.append(local + len(ids))
             ids += row["ids"]
@@ -189,38 +191,45 @@ class Shards:
             bwt = np.concatenate([text[ends], before]).astype(np.uint8)
             heads = np.flatnonzero(~inner) + len(own)
             yield {
-                "bucket": int(place[a]), "bwt": bwt.tobytes(), "heads": heads.astype(np.int32).tobytes(),
-                "digests": b"".join(xxhash.xxh3_128_digest(segments[s]) for s in own),
+                "bucket": int(place[a]), "bwt": zstandard.compress(bwt.tobytes(), 3), "heads": heads.astype(np.int32).tobytes(),
+                "digests": b"".join(xxhash.xxh3_64_digest(segments[s]) for s in own),
                 "docs": [values[s][0] for s in own], "starts": [values[s][1] for s in own],
             }
 
 
 def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Positions sorted by their suffixes, each `left` bytes long; a suffix that ends is before its continuations, and
-    equal suffixes stay in order of position. Eight bytes are compared at a time, ties only are compared further."""
+    equal suffixes stay in order of position. Seven bytes and how many of them there are make one key; ties only are
+    compared further."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(16, np.uint8)])
     words = np.ndarray(n + 8, np.dtype(">u8"), padded, 0, (1,)).astype(np.uint64)
-    order = np.arange(n, dtype=np.int32)
-    group = np.zeros(n, np.int32)
-    depth, active = 0, np.arange(n, dtype=np.int32)  # places in `order` still tied
-    while len(active):
-        at = order[active]
-        rest = np.clip(left[at] - depth, 0, 8)
-        word = words[np.minimum(at + depth, n + 7)]
-        word = np.where(rest < 8, word >> ((8 - np.maximum(rest, 1)) * 8).astype(np.uint64) << ((8 - np.maximum(rest, 1)) * 8).astype(np.uint64), word)
-        word[rest == 0] = 0
-        by = np.lexsort((rest, word, group[active]))
-        order[active] = at[by]
-        w, r, g = word[by], rest[by], group[active][by]
-        new = np.concatenate([[True], (w[1:] != w[:-1]) | (r[1:] != r[:-1]) | (g[1:] != g[:-1])])
-        ids = np.cumsum(new) - 1
-        count = np.bincount(ids)
-        tied = (count[ids] > 1) & (r == 8)
-        group[active] = ids
-        active = active[tied]
-        depth += 8
-    return order
+    byte = np.uint64(8)
+    mask = np.array([0, *((1 << 64) - (1 << (64 - 8 * k)) for k in range(1, 8)), (1 << 64) - 256], np.uint64)  # the first k bytes, 7 at most
+    order, depth, active, group = np.arange(n, dtype=np.int32), 0, None, None
+    while True:
+        at = order if active is None else order[active]
+        rest = np.clip(left[at] - np.int32(depth), 0, 8)
+        key = (words[np.minimum(at + np.int32(depth), n + 7)] & mask[rest]) | rest.astype(np.uint64)
+        by = np.argsort(key, kind="stable") if active is None else np.lexsort((key, group))
+        key = key[by]
+        new = np.empty(len(key), bool)
+        new[:1] = True
+        new[1:] = key[1:] != key[:-1]
+        if active is not None:
+            group = group[by]
+            new[1:] |= group[1:] != group[:-1]
+            order[active] = at[by]
+        else:
+            order = at[by]
+        alone = new.copy()
+        alone[:-1] &= new[1:]
+        tied = ~alone & ((key & np.uint64(255)) == byte)
+        if not tied.any():
+            return order
+        group = np.cumsum(new, dtype=np.int32)[tied]
+        active = np.flatnonzero(tied).astype(np.int32) if active is None else active[tied]
+        depth += 7
 
 
 class Merge:
@@ -231,7 +240,7 @@ class Merge:
         self.docs, self.starts = [], []
         digests = []
         for shard in shards:
-            bwt = np.frombuffer(shard["bwt"], np.uint8).astype(np.int16) + 1
+            bwt = np.frombuffer(zstandard.decompress(shard["bwt"]), np.uint8).astype(np.int16) + 1
             heads = np.frombuffer(shard["heads"], np.int32)
             bwt[heads] = 0  # nothing before a segment's start
             n = len(shard["docs"])
@@ -243,7 +252,7 @@ class Merge:
             longer.append(np.where(lf >= 0, lf + np.int32(base), np.int32(-1)))
             head.append(np.arange(n) + base)
             base += len(bwt)
-            digests += [shard["digests"][16 * i : 16 * i + 16] for i in range(n)]
+            digests += [shard["digests"][8 * i : 8 * i + 8] for i in range(n)]
             self.docs += shard["docs"]
             self.starts += shard["starts"]
         self.before, self.longer = np.concatenate(before), np.concatenate(longer)
