@@ -36,18 +36,57 @@ def batch_hash_topk(spark: SparkSession, sf: str) -> DataFrame:
     return batch.batch_topk(signed(spark, sf), queries, 10, hash="BIT_SAMPLING", bundle_aware=True)
 
 
-@query("q23_same_image", f"""WITH {v.SIGNATURES},
-anchors AS (SELECT bundle, h, min(doc_id) AS anchor FROM sig GROUP BY 1, 2),
-edges AS (SELECT a.anchor, s.doc_id, count(*) AS shared FROM sig s JOIN anchors a ON a.bundle = s.bundle AND a.h = s.h
-  WHERE a.anchor < s.doc_id GROUP BY 1, 2 HAVING count(*) >= 2),
-prod AS (SELECT e.anchor, e.doc_id, e.shared, sum(x.v * y.v) AS ab, sum(x.v * x.v) AS aa, sum(y.v * y.v) AS bb
-  FROM edges e JOIN ql x ON x.doc_id = e.doc_id JOIN ql y ON y.doc_id = e.anchor AND y.i = x.i GROUP BY 1, 2, 3)
-SELECT anchor, doc_id, shared, distance FROM (
-  SELECT anchor, doc_id, shared, 1.0::DOUBLE - ab::DOUBLE / sqrt(aa::DOUBLE * bb::DOUBLE) AS distance FROM prod) WHERE distance <= 0.8""")
+PAIRS = f"""WITH {v.SIGNATURES},
+met AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM sig x JOIN sig y ON x.bundle = y.bundle AND x.h = y.h AND x.doc_id < y.doc_id
+  GROUP BY 1, 2 HAVING count(*) >= 2),
+prod AS (SELECT a, b, shared, sum(x.v * y.v) AS ab, sum(x.v * x.v) AS aa, sum(y.v * y.v) AS bb
+  FROM met JOIN ql x ON x.doc_id = a JOIN ql y ON y.doc_id = b AND y.i = x.i GROUP BY 1, 2, 3),
+near AS (SELECT a, b, shared, 1.0::DOUBLE - ab::DOUBLE / sqrt(aa::DOUBLE * bb::DOUBLE) AS distance FROM prod)"""
+
+
+@query("q23_same_image", f"{PAIRS} SELECT a, b, shared, distance FROM near WHERE distance <= 0.8")
 def same_image(spark: SparkSession, sf: str) -> DataFrame:
     return batch.same_image(signed(spark, sf), "BIT_SAMPLING", threshold=0.8, min_shared=2)
 
 
+@query("q23_near_duplicates", f"""{PAIRS} SELECT doc_id, min(distance) AS nearest FROM (
+  SELECT a AS doc_id, distance FROM near UNION ALL SELECT b, distance FROM near) WHERE distance <= 0.8 GROUP BY 1""")
+def near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document that has a near-duplicate."""
+    pairs = batch.same_image(signed(spark, sf), "BIT_SAMPLING", threshold=0.8, min_shared=2)
+    ends = pairs.select(F.col("a").alias("doc_id"), "distance").unionByName(pairs.select(F.col("b").alias("doc_id"), "distance"))
+    return ends.groupBy("doc_id").agg(F.min("distance").alias("nearest"))
+
+
+EVERY = v.pairs("true")
+EVERY_NEAR = """near AS (SELECT DISTINCT q.doc_id AS query_id, d.doc_id FROM sig q JOIN sig d ON d.bundle = q.bundle AND d.h = q.h)"""
+
+
+@query("q22_batch_hash_all", f"""WITH {v.SIGNATURES}, {EVERY}, {EVERY_NEAR},
+top AS (SELECT dist.query_id, dist.doc_id, cosine AS distance, {v.score('cosine')} AS score,
+  row_number() OVER (PARTITION BY dist.query_id ORDER BY {v.score('cosine')} DESC, dist.doc_id) AS rank
+  FROM dist JOIN near ON near.query_id = dist.query_id AND near.doc_id = dist.doc_id)
+SELECT query_id, doc_id, distance, score, rank FROM top WHERE rank <= 3""")
+def batch_hash_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every stored vector asks, in several chunks of queries."""
+    asked = vectors(spark, sf).select(F.col("doc_id").alias("query_id"), "vec")
+    return batch.batch_topk(signed(spark, sf), asked, 3, hash="BIT_SAMPLING", bundle_aware=True, chunk_numbers=200 * 64)
+
+
+@query("q22_batch_limit", f"""WITH {v.SIGNATURES}, {ASKED}, {BATCH},
+shared AS (SELECT q.doc_id AS query_id, d.doc_id, count(*) AS overlap FROM (SELECT doc_id, h FROM sig WHERE doc_id IN (SELECT id FROM asked)) q
+  JOIN (SELECT DISTINCT doc_id, h FROM sig) d ON d.h = q.h GROUP BY 1, 2),
+kept AS (SELECT *, row_number() OVER (PARTITION BY query_id, doc_id % 5 ORDER BY overlap DESC, doc_id) AS r FROM shared),
+top AS (SELECT dist.query_id, dist.doc_id, cosine AS distance, {v.score('cosine')} AS score,
+  row_number() OVER (PARTITION BY dist.query_id ORDER BY {v.score('cosine')} DESC, dist.doc_id) AS rank
+  FROM dist JOIN kept ON kept.query_id = dist.query_id AND kept.doc_id = dist.doc_id WHERE r <= 6)
+SELECT query_id, doc_id, distance, score, rank FROM top WHERE rank <= 10""")
+def batch_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """The six candidates of each shard with the largest overlap, then the ten best of them."""
+    queries = first_of_each_label(spark, sf)
+    return batch.batch_topk(signed(spark, sf), queries, 10, hash="BIT_SAMPLING", limit=6, per_shard=True, chunk_numbers=4 * 64)
+
+
 @query("q24_recall", f"""WITH {v.SIGNATURES}, {ASKED}, {BATCH}, {RANKED},
 near AS (SELECT DISTINCT q.doc_id AS query_id, d.doc_id FROM sig q JOIN sig d ON d.h = q.h WHERE q.doc_id IN (SELECT id FROM asked)),
 size AS (SELECT query_id, count(*) AS candidates FROM near GROUP BY 1)
@@ -55,7 +94,7 @@ SELECT top.query_id, count(*) AS wanted, count(near.doc_id) AS hit, max(size.can
 FROM top LEFT JOIN near ON near.query_id = top.query_id AND near.doc_id = top.doc_id JOIN size ON size.query_id = top.query_id
 WHERE rank <= 10 GROUP BY 1""")
 def recall(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.hash_quality(signed(spark, sf), first_of_each_label(spark, sf), 10, "BIT_SAMPLING")
+    return quality.hash_quality(signed(spark, sf), first_of_each_label(spark, sf), 10, "BIT_SAMPLING", chunk_numbers=4 * 64)
 
 
 @query("q25_hash_docfreq", f"WITH {v.SIGNATURES} SELECT h, count(DISTINCT doc_id) AS doc_freq, count(*) AS postings FROM sig GROUP BY 1")
@@ -73,10 +112,10 @@ def query_terms(spark: SparkSession, sf: str) -> DataFrame:
 # --- streams -------------------------------------------------------------------------------------
 
 
-def as_files(rows: DataFrame, spark: SparkSession, purpose: str, copies: int = 1) -> str:
-    """A directory of Parquet files for a file stream; ``copies`` repeats every document."""
+def as_files(spark: SparkSession, purpose: str, *sent: DataFrame) -> str:
+    """A directory of Parquet files for a file stream, in the order they are sent."""
     path = shared_folder(spark, purpose)
-    for _ in range(copies):
+    for rows in sent:
         rows.write.mode("append").parquet(path)
     return path
 
@@ -92,24 +131,26 @@ def finish(started) -> None:
         raise started.exception()
 
 
-@query("x1_stream_ingest", f"WITH {v.SIGNATURES} SELECT doc_id, bundle, h FROM sig")
-def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """New vectors arrive as files; features and postings are written batch by batch."""
-    source = as_files(table(spark, sf, "embeddings").repartition(4, "vec_id"), spark, "incoming")
-    out = shared_folder(spark, "ingested")
+UPDATED = v.SIGNATURES.replace("sum(q.v * p.coef)", "sum(q.v * CASE WHEN q.doc_id % 5 = 0 THEN -1 ELSE 1 END * p.coef)")
 
-    def to_features(rows: DataFrame) -> DataFrame:
-        return rows.select(F.col("vec_id").alias("doc_id"), quantise(F.col("embedding")).alias("vec"))
 
-    finish(ingest.start_ingest(stream_of(spark, source), to_features, f"{out}/features", f"{out}/postings", f"{out}/checkpoint"))
+@query("x1_stream_ingest", f"WITH {UPDATED} SELECT doc_id, bundle, h FROM sig")
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors arrive as files in several micro-batches; a fifth of them is sent again as a second version, another
+    third is repeated as it was."""
+    first = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.lit(0).alias("version"), quantise(F.col("embedding")).alias("vec"))
+    second = first.filter("doc_id % 5 = 0").select("doc_id", F.lit(1).alias("version"), F.transform("vec", lambda x: -x).alias("vec"))
+    source = as_files(spark, "incoming", first.repartition(3, "doc_id"), second.repartition(2, "doc_id"), first.filter("doc_id % 3 = 0").repartition(2, "doc_id"))
+    out = shared_folder(spark, "ingested")
+    finish(ingest.start_ingest(stream_of(spark, source), lambda rows: rows, f"{out}/features", f"{out}/postings", f"{out}/checkpoint"))
     return ingest.ingested(spark, f"{out}/postings").select("doc_id", "bundle", "h")
 
 
 @query("x2_stream_dedup", "SELECT event_id, event_type, value FROM events")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document is sent twice; each is kept once."""
+    """Every event is sent twice, the copy in a later micro-batch; each is kept once."""
     events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
-    source = as_files(events.coalesce(1), spark, "replayed", copies=2)
+    source = as_files(spark, "replayed", *[events.repartition(2, "event_id")] * 2)
     out = shared_folder(spark, "deduplicated")
     once = ingest.unique_documents(stream_of(spark, source), "ts", "40 days", ("event_id",))
     finish(
@@ -127,7 +168,7 @@ FROM near JOIN dist ON dist.query_id = near.query_id AND dist.doc_id = near.doc_
 def stream_match(spark: SparkSession, sf: str) -> DataFrame:
     """The first document of every label arrives again and is matched against the stored ones."""
     arriving = first_of_each_label(spark, sf).select(F.col("query_id").alias("doc_id"), "vec")
-    source = as_files(arriving.repartition(2, "doc_id"), spark, "arriving")
+    source = as_files(spark, "arriving", arriving.repartition(2, "doc_id"))
     stored = signed(spark, sf)
     out = shared_folder(spark, "alerts")
     postings = hashing.postings(stored, "BIT_SAMPLING", ["doc_id"])

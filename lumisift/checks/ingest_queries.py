@@ -33,8 +33,8 @@ def base64_content(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", F.length("content").cast("bigint").alias("n_bytes"), F.md5("content").alias("digest"))
 
 
-@query("s2_quarantine", """SELECT CASE WHEN doc_id % 10 = 4 THEN 'No content is provided.' WHEN doc_id % 10 = 3
-  THEN 'Malformed base64 content.' ELSE 'accepted' END AS outcome, count(*) AS docs FROM documents GROUP BY 1""")
+@query("s2_quarantine", """SELECT CASE WHEN doc_id % 10 = 4 THEN 'the document carries no image' WHEN doc_id % 10 = 3
+  THEN 'the image is not base64' ELSE 'accepted' END AS outcome, count(*) AS docs FROM documents GROUP BY 1""")
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents.with_content(submitted(spark, sf), "img")
     return docs.groupBy(F.coalesce("error", F.lit("accepted")).alias("outcome")).agg(F.count(F.lit(1)).alias("docs"))

@@ -97,18 +97,13 @@ def scored_once(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("f7_explain", f"""WITH {v.SIGNATURES}, {v.pairs()}, {v.OVERLAP}
-SELECT d.doc_id, o.doc_id IS NOT NULL AS matched,
-  CASE WHEN o.doc_id IS NULL THEN 0.0::DOUBLE ELSE {v.score('d.cosine', 2.0)} END AS value,
-  CASE WHEN o.doc_id IS NOT NULL THEN 2.0::DOUBLE END AS boost,
-  CASE WHEN o.doc_id IS NOT NULL THEN {v.score('d.cosine', 2.0)} / 2.0::DOUBLE END AS image_score,
-  CASE WHEN o.doc_id IS NULL THEN 'no matching term' ELSE 'image query, product of:' END AS description
-FROM dist d LEFT JOIN ov o ON o.doc_id = d.doc_id""")
+SELECT d.doc_id, true AS matched, {v.score('d.cosine', 2.0)} AS value, 2.0::DOUBLE AS boost,
+  {v.score('d.cosine', 2.0)} / 2.0::DOUBLE AS image_score, 'score of the image times the boost' AS description
+FROM dist d JOIN ov o ON o.doc_id = d.doc_id""")
 def explain(spark: SparkSession, sf: str) -> DataFrame:
     index = signed(spark, sf)
-    vec = query_vec(index)
-    matched = search.shares_hash(F.col("sig_bit_sampling"), search.query_signature("BIT_SAMPLING", vec))
-    score = F.when(matched, score_of(distance("cosine", F.col("vec"), int_literal(vec)), 2.0))
-    return index.select("doc_id", explanation(score, 2.0).alias("why")).select("doc_id", "why.*")
+    hits = search.image_search(index, request(index, hash="BIT_SAMPLING", boost=2.0), explain=True)
+    return hits.select("doc_id", "explanation.*")
 
 
 @query("f8_scores_comparable", f"""WITH {v.VECTORS}, {v.pairs('q.doc_id IN (0, 1)')}
@@ -415,3 +410,24 @@ def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
     index = vectors(spark, sf)
     rows = index.select("doc_id", F.call_function("img_distance", F.lit("l2"), "vec", int_literal(query_vec(index))).alias("distance"))
     return rows.withColumn("score", F.call_function("img_score", "distance", F.lit(1.5)))
+
+
+ALL_METRICS = f"""WITH {v.VECTORS}, {v.pairs()}, shifted AS (SELECT doc_id, i, v + 10000 AS v FROM ql),
+  sums AS (SELECT doc_id, sum(v)::DOUBLE AS s FROM shifted GROUP BY 1),
+  prob AS (SELECT s.doc_id, i, v::DOUBLE / t.s AS p FROM shifted s JOIN sums t ON t.doc_id = s.doc_id),
+  div AS (SELECT a.doc_id, round(sum(CASE WHEN a.p > 0 THEN a.p * ln(2.0 * a.p / (a.p + b.p)) ELSE 0 END
+    + CASE WHEN b.p > 0 THEN b.p * ln(2.0 * b.p / (a.p + b.p)) ELSE 0 END) / 2.0, 6) AS jsd
+    FROM prob a JOIN prob b ON a.i = b.i AND b.doc_id = 0 GROUP BY 1)"""
+
+
+@query("u2_sql_all_metrics", f"""{ALL_METRICS}
+SELECT dist.doc_id, l1::DOUBLE AS l1, l2, cosine, tanimoto, jsd FROM dist JOIN div ON div.doc_id = dist.doc_id""")
+def sql_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Every metric of general vectors by its SQL name; the divergence takes the vectors shifted to histograms."""
+    register_sql_functions(spark)
+    index = vectors(spark, sf)
+    vec = query_vec(index)
+    by_name = {m: F.call_function("img_distance", F.lit(m), "vec", int_literal(vec)) for m in ("l1", "l2", "cosine", "tanimoto")}
+    up = F.transform("vec", lambda x: x + 10000)
+    by_name["jsd"] = F.call_function("img_distance", F.lit("jsd"), up, int_literal([x + 10000 for x in vec]))
+    return index.select("doc_id", *(d.alias(m) for m, d in by_name.items()))

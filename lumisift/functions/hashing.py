@@ -60,15 +60,19 @@ def plane_matrix(mode: str, dim: int) -> tuple[np.ndarray, np.ndarray]:
 def signatures_of(mode: str, vectors: np.ndarray) -> np.ndarray:
     """(batch x bundles) hashes of a batch of equally long integer vectors."""
     planes, bias = plane_matrix(mode, vectors.shape[1])
-    peak = int(np.abs(vectors).max(initial=0)) * CENTRE * max(1, vectors.shape[1])
-    if peak < EXACT_DOUBLE:  # every partial sum is a whole number a double holds exactly
-        dots = (vectors.astype(np.float64) @ planes.astype(np.float64)).astype(np.int64)
-    else:
-        dots = vectors @ planes
+    # the largest partial sum of each row: a double holds it exactly, or the row is done with Python's whole numbers
+    peak = np.abs(vectors.astype(np.float64)).max(axis=1, initial=0) * CENTRE * max(1, vectors.shape[1])
+    large = peak >= EXACT_DOUBLE
+    dots = np.where(large[:, None], 0, vectors).astype(np.float64) @ planes.astype(np.float64)
+    exact = vectors[large].astype(object) @ planes.astype(object)
     if mode == "BIT_SAMPLING":
-        bits = (dots >= 0).reshape(len(vectors), BUNDLES, BITS)
-        return bits @ (np.int64(1) << np.arange(BITS, dtype=np.int64))
-    return (dots + bias) // LSH_WIDTH
+        signs = dots >= 0
+        signs[large] = (exact >= 0).astype(bool)
+        return signs.reshape(len(vectors), BUNDLES, BITS) @ (np.int64(1) << np.arange(BITS, dtype=np.int64))
+    hashes = (dots.astype(np.int64) + bias) // LSH_WIDTH
+    cells = (exact + bias) // LSH_WIDTH  # a cell number may need more than 64 bits: it wraps, as equal numbers do alike
+    hashes[large] = ((cells + (1 << 63)) % (1 << 64) - (1 << 63)).astype(np.int64)
+    return hashes
 
 
 def signature(vec: Column, mode: str) -> Column:

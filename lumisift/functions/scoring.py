@@ -25,5 +25,5 @@ def explanation(score: Column, boost: float) -> Column:
         F.coalesce(score, F.lit(0.0)).alias("value"),
         F.when(matched, details).alias("boost"),
         F.when(matched, score / F.lit(float(boost))).alias("image_score"),
-        F.when(matched, F.lit("image query, product of:")).otherwise(F.lit("no matching term")).alias("description"),
+        F.when(matched, F.lit("score of the image times the boost")).otherwise(F.lit("not a candidate of this clause")).alias("description"),
     )

@@ -4,24 +4,60 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from lumisift.functions.vectors import LAYOUT_CHANNEL_SIZES, LAYOUT_SCALE, LAYOUT_WEIGHTS, QUANTUM
+
 _VECTOR = "ARRAY<BIGINT>"
-_DOT = "aggregate(zip_with({0}, {1}, (x, y) -> x * y), 0L, (s, x) -> s + x)"
+
+
+def _fold(values: str) -> str:
+    return f"aggregate({values}, 0D, (s, x) -> s + x)"
+
+
+def _zip(body: str, left: str = "a", right: str = "b") -> str:
+    return f"zip_with({left}, {right}, (x, y) -> {body})"
+
+
+def _dot(left: str, right: str) -> str:
+    return _fold(_zip("CAST(x AS DOUBLE) * CAST(y AS DOUBLE)", left, right))
+
+
+def _jsd() -> str:
+    bins = _zip("named_struct('x', CAST(x AS DOUBLE), 'y', CAST(y AS DOUBLE))")
+    half = "CASE WHEN {0} > 0 THEN {0} * ln(2D * {0} / ({0} + {1})) ELSE 0D END".format
+    p, q = "v.x / s.a", "v.y / s.b"
+    sums = "named_struct('a', CAST({0} AS DOUBLE), 'b', CAST({1} AS DOUBLE), 'd', 0D)".format(
+        *(f"aggregate({side}, 0L, (s, x) -> s + x)" for side in "ab")
+    )
+    step = f"named_struct('a', s.a, 'b', s.b, 'd', s.d + {half(p, q)} + {half(q, p)})"
+    last = "CASE WHEN s.a = 0 AND s.b = 0 THEN 0D WHEN s.a = 0 OR s.b = 0 THEN round(ln(2D), 6) ELSE round(s.d / 2D, 6) END"
+    return f"aggregate({bins}, {sums}, (s, v) -> CASE WHEN s.a = 0 OR s.b = 0 THEN s ELSE {step} END, s -> {last})"
+
+
+def _layout() -> str:
+    start, channels = 0, []
+    for size in LAYOUT_CHANNEL_SIZES:
+        weights = ", ".join(f"{float(w)}D" for w in LAYOUT_WEIGHTS[start : start + size])
+        steps = _zip(f"CAST(x - y AS DOUBLE) / {LAYOUT_SCALE}D", f"slice(a, {start + 1}, {size})", f"slice(b, {start + 1}, {size})")
+        channels.append(f"sqrt({_fold(_zip('x * x * y', steps, f'array({weights})'))})")
+        start += size
+    return f"round({' + '.join(channels)}, 6)"
 
 
 def register_sql_functions(spark: SparkSession) -> None:
     """Define the functions in this session; their bodies are inlined by the optimizer."""
-    ab, aa, bb = _DOT.format("a", "b"), _DOT.format("a", "a"), _DOT.format("b", "b")
+    ab, aa, bb = _dot("a", "b"), _dot("a", "a"), _dot("b", "b")
+    difference = "(CAST(x AS DOUBLE) - CAST(y AS DOUBLE))"
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION img_distance(metric STRING, a {_VECTOR}, b {_VECTOR})
         RETURNS DOUBLE
         RETURN CASE lower(metric)
-            WHEN 'l1' THEN CAST(aggregate(zip_with(a, b, (x, y) -> abs(x - y)), 0L, (s, x) -> s + x) AS DOUBLE)
-            WHEN 'l2' THEN sqrt(CAST(aggregate(zip_with(a, b, (x, y) -> (x - y) * (x - y)), 0L,
-                                               (s, x) -> s + x) AS DOUBLE)) / 10000D
-            WHEN 'cosine' THEN CASE WHEN {aa} > 0 AND {bb} > 0
-                THEN 1D - CAST({ab} AS DOUBLE) / sqrt(CAST({aa} AS DOUBLE) * CAST({bb} AS DOUBLE)) END
+            WHEN 'l1' THEN {_fold(_zip(f"abs({difference})"))}
+            WHEN 'l2' THEN sqrt({_fold(_zip(f"{difference} * {difference}"))}) / {float(QUANTUM)}D
+            WHEN 'cosine' THEN 1D - try_divide({ab}, sqrt({aa} * {bb}))
             WHEN 'tanimoto' THEN CASE WHEN {aa} = 0 AND {bb} = 0 THEN 0D WHEN {aa} = 0 OR {bb} = 0 THEN 100D
-                ELSE 100D * (1D - CAST({ab} AS DOUBLE) / CAST({aa} + {bb} - {ab} AS DOUBLE)) END
+                ELSE 100D * (1D - {ab} / ({aa} + {bb} - {ab})) END
+            WHEN 'jsd' THEN {_jsd()}
+            WHEN 'layout' THEN {_layout()}
             ELSE CAST(raise_error(concat('unknown metric ', metric)) AS DOUBLE) END""")
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION img_score(distance DOUBLE, boost DOUBLE DEFAULT 1D)

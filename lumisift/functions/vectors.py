@@ -40,20 +40,16 @@ def vector_to_bytes(values: Column) -> Column:
 def bytes_to_vector(payload: Column) -> Column:
     """Inverse of :func:`vector_to_bytes`.
 
-    ``conv`` reads 16 hex digits as an unsigned number, so the upper half is read apart and
-    shifted to restore the sign.
+    The hex text is cut into pieces of 16 digits once. ``conv`` reads them as unsigned numbers, so the
+    upper half is read apart and shifted to restore the sign.
     """
-    digits = F.hex(payload)
-    last = (F.length(payload) / F.lit(8)).cast("int") - F.lit(1)
 
-    def element(i: Column) -> Column:
-        upper = F.conv(F.substring(digits, i * 16 + 1, F.lit(8)), 16, 10).cast("bigint")
-        lower = F.conv(F.substring(digits, i * 16 + 9, F.lit(8)), 16, 10).cast("bigint")
+    def element(digits: Column) -> Column:
+        upper = F.conv(F.substring(digits, 1, 8), 16, 10).cast("bigint")
+        lower = F.conv(F.substring(digits, 9, 8), 16, 10).cast("bigint")
         return F.shiftleft(upper, 32).bitwiseOR(lower)
 
-    return F.when(F.length(payload) == 0, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(0), last), element)
-    )
+    return F.transform(F.regexp_extract_all(F.hex(payload), F.lit("[0-9A-F]{16}"), F.lit(0)), element)
 
 
 def int_literal(values: Sequence[int]) -> Column:
@@ -65,52 +61,67 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+
+
 def dot(a: Column, b: Column) -> Column:
-    return total(F.zip_with(a, b, lambda x, y: x * y))
+    """In doubles: products of large bins leave the range of whole numbers."""
+    return _sum(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")))
 
 
 def l1(a: Column, b: Column) -> Column:
-    return total(F.zip_with(a, b, lambda x, y: F.abs(x - y))).cast("double")
+    return _sum(F.zip_with(a, b, lambda x, y: F.abs(x.cast("double") - y.cast("double"))))
 
 
 def l2(a: Column, b: Column, scale: float = QUANTUM) -> Column:
-    squares = total(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)))
-    return F.sqrt(squares.cast("double")) / F.lit(float(scale))
+    squares = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
+    return F.sqrt(_sum(squares)) / F.lit(float(scale))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """NULL when either side is the zero vector."""
-    norm = F.sqrt(dot(a, a).cast("double") * dot(b, b).cast("double"))
-    return F.when(norm > 0, F.lit(1.0) - dot(a, b).cast("double") / norm)
+def cosine(a: Column, b: Column, bb: Column | None = None) -> Column:
+    """NULL when either side is the zero vector. ``bb`` is the squared length of ``b`` if it is known."""
+    bb = dot(b, b) if bb is None else bb
+    return F.lit(1.0) - F.try_divide(dot(a, b), F.sqrt(dot(a, a) * bb))
 
 
-def tanimoto(a: Column, b: Column) -> Column:
-    aa, bb, ab = dot(a, a), dot(b, b), dot(a, b)
-    return (
-        F.when((aa == 0) & (bb == 0), F.lit(0.0))
-        .when((aa == 0) | (bb == 0), F.lit(100.0))
-        .otherwise(F.lit(100.0) * (F.lit(1.0) - ab.cast("double") / (aa + bb - ab).cast("double")))
-    )
+def tanimoto(a: Column, b: Column, bb: Column | None = None) -> Column:
+    bb = dot(b, b) if bb is None else bb
+    sums = F.struct(dot(a, a).alias("aa"), bb.alias("bb"), dot(a, b).alias("ab"))
+    return let(sums, lambda s: F.when((s["aa"] == 0) & (s["bb"] == 0), F.lit(0.0))
+               .when((s["aa"] == 0) | (s["bb"] == 0), F.lit(100.0))
+               .otherwise(F.lit(100.0) * (F.lit(1.0) - s["ab"] / (s["aa"] + s["bb"] - s["ab"]))))
 
 
 def jsd(a: Column, b: Column) -> Column:
-    """Jensen-Shannon divergence of two non-negative histograms, rounded to six decimals."""
-    sum_a, sum_b = total(a).cast("double"), total(b).cast("double")
+    """Jensen-Shannon divergence of two non-negative histograms, rounded to six decimals.
+
+    The sums start the fold and travel with it, so each is taken once and not for every bin.
+    """
 
     def half(p: Column, q: Column) -> Column:
         return F.when(p > 0, p * F.ln(F.lit(2.0) * p / (p + q))).otherwise(F.lit(0.0))
 
-    terms = F.zip_with(
-        F.transform(a, lambda x: x.cast("double") / sum_a),
-        F.transform(b, lambda y: y.cast("double") / sum_b),
-        lambda p, q: half(p, q) + half(q, p),
-    )
-    value = F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x) / F.lit(2.0)
-    return (
-        F.when((sum_a == 0) & (sum_b == 0), F.lit(0.0))
-        .when((sum_a == 0) | (sum_b == 0), F.round(F.ln(F.lit(2.0)), 6))
-        .otherwise(F.round(value, 6))
-    )
+    def add(s: Column, v: Column) -> Column:
+        p, q = v["x"] / s["a"], v["y"] / s["b"]
+        return F.struct(s["a"].alias("a"), s["b"].alias("b"), (s["d"] + half(p, q) + half(q, p)).alias("d"))
+
+    def finish(s: Column) -> Column:
+        return (
+            F.when((s["a"] == 0) & (s["b"] == 0), F.lit(0.0))
+            .when((s["a"] == 0) | (s["b"] == 0), F.round(F.ln(F.lit(2.0)), 6))
+            .otherwise(F.round(s["d"] / F.lit(2.0), 6))
+        )
+
+    bins = F.zip_with(a, b, lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")))
+    sums = F.struct(total(a).cast("double").alias("a"), total(b).cast("double").alias("b"), F.lit(0.0).alias("d"))
+    empty = lambda s: (s["a"] == 0) | (s["b"] == 0)
+    return F.aggregate(bins, sums, lambda s, v: F.when(empty(s), s).otherwise(add(s, v)), finish)
 
 
 def layout(
@@ -137,8 +148,10 @@ def layout(
 METRICS = {"l1": l1, "l2": l2, "cosine": cosine, "tanimoto": tanimoto, "jsd": jsd, "layout": layout}
 
 
-def distance(metric: str, a: Column, b: Column) -> Column:
+def distance(metric: str, a: Column, b: Column, bb: Column | None = None) -> Column:
+    """Distance of two vectors; ``bb``, the squared length of ``b``, saves its computation where a metric needs it."""
     try:
-        return METRICS[metric.lower()](a, b)
+        fn = METRICS[metric.lower()]
+        return fn(a, b, bb) if fn in (cosine, tanimoto) else fn(a, b)
     except KeyError:
         raise QueryError(f"unknown metric {metric!r}; known: {', '.join(sorted(METRICS))}") from None

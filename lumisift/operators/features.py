@@ -23,7 +23,7 @@ def extract(images: DataFrame, names: Iterable[str]) -> DataFrame:
     """``(image_id, feature, bin, value)`` of several features.
 
     Tallies over one stencil are fused: their entries are exploded together and summed in a single
-    aggregation, so sixteen features cost four passes over the pixels rather than sixteen.
+    aggregation, so all features of one stencil cost one pass over the pixels.
     """
     wanted = list(dict.fromkeys(feature_name(n) for n in names))
     unknown = [n for n in wanted if n not in DESCRIPTORS]
@@ -97,7 +97,7 @@ def vector_of_image(spark: SparkSession, payload: bytes, name: str) -> list[int]
     decoded = decode_images(one).filter(F.col("error").isNull()).drop("error")
     row = feature_table(decoded, [name]).select("vec").limit(1).head()
     if row is None:
-        raise QueryError("Failed to parse image")
+        raise QueryError("the image of the query cannot be decoded")
     return list(row.vec)
 
 
@@ -115,16 +115,15 @@ def missing_features(docs: DataFrame, features: DataFrame, names: Sequence[str],
 
 def backfill(images: DataFrame, existing: DataFrame, names: Sequence[str]) -> DataFrame:
     """Vectors of the missing pairs only, after a mapping gained features."""
-    out = None
-    for name in map(feature_name, names):
-        have = existing.filter(F.col("feature") == name).select("image_id")
-        part = feature_table(images.join(have, "image_id", "left_anti"), [name])
-        out = part if out is None else out.unionByName(part)
-    return out
+    names = [feature_name(n) for n in names]
+    have = existing.filter(F.col("feature").isin(names)).groupBy("image_id").agg(F.collect_set("feature").alias("have"))
+    todo = images.join(have, "image_id", "left").filter(F.size(F.coalesce("have", F.array().cast("array<string>"))) < len(set(names)))
+    made = feature_table(todo.drop("have"), names)  # images that lack any feature go through the pixels once, for all of them
+    return made.join(existing.select("image_id", "feature"), ["image_id", "feature"], "left_anti")
 
 
 def require_complete(docs: DataFrame, features: DataFrame, names: Sequence[str], key: str = "doc_id") -> DataFrame:
     """Strict mode: reading the result fails if any declared pair has no vector."""
     pairs = expected_pairs(docs, names, key).join(features, [key, "feature"], "left")
-    failure = F.raise_error(F.concat(F.lit("Failed to index feature "), F.col("feature")))
+    failure = F.raise_error(F.concat(F.lit("no vector for feature "), F.col("feature")))
     return pairs.withColumn("vec", F.coalesce("vec", failure.cast("array<bigint>")))

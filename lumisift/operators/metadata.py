@@ -37,7 +37,7 @@ def with_errors(rows: DataFrame, declared: Mapping[str, str], ignore_errors: boo
     for key, type_name in declared.items():
         mine = (F.col("key") == key) & F.col("description").isNotNull() & typed(F.col("description"), type_name).isNull()
         bad = mine if bad is None else bad | mine
-    message = F.concat(F.lit("Failed to extract metadata from image: "), F.col("key"))
+    message = F.concat(F.lit("metadata not readable as declared: "), F.col("key"))
     if ignore_errors:
         return rows.withColumn("error", F.when(bad, message))
     return rows.withColumn("error", F.when(bad, F.raise_error(message).cast("string")))

@@ -10,26 +10,22 @@ SALT = "__salt"
 RANK = "__rank"
 
 
+def _ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+    window = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn(RANK, F.row_number().over(window)).filter(F.col(RANK) <= n)
+
+
 def top_n_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, spread: Sequence[str], salts: int = 64
 ) -> DataFrame:
     """Rows ranked ``<= n`` within ``group`` under ``order``.
 
-    The rank is taken twice: first inside ``(group, salt)``, where the salt is a hash of the
-    ``spread`` columns, then inside ``group`` over the at most ``salts * n`` survivors. A row among
-    the best n of its group is among the best n of its part, so nothing is lost, and a group holding
-    most of the table is ranked by ``salts`` tasks.
+    Up to the optimizer's own bound every task cuts its part of a group to ``n`` rows before the
+    exchange, so one ranking is enough. Above it the rank is taken twice: first inside ``(group,
+    salt)``, where the salt is a hash of the ``spread`` columns, then among the at most ``salts * n``
+    survivors; a row among the best n of its group is among the best n of its part.
     """
-    parts = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts))
-    first = Window.partitionBy(*group, SALT).orderBy(*order)
-    second = Window.partitionBy(*group).orderBy(*order)
-    return (
-        df.withColumn(SALT, parts)
-        .withColumn(RANK, F.row_number().over(first))
-        .filter(F.col(RANK) <= n)
-        .drop(SALT)
-        .withColumn(RANK, F.row_number().over(second))
-        .filter(F.col(RANK) <= n)
-        .withColumn("rank", F.col(RANK).cast("bigint"))
-        .drop(RANK)
-    )
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        parts = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts))
+        df = _ranked(df.withColumn(SALT, parts), [*group, SALT], order, n).drop(SALT, RANK)
+    return _ranked(df, group, order, n).withColumn("rank", F.col(RANK).cast("bigint")).drop(RANK)

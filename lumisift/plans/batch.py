@@ -1,10 +1,10 @@
 """Many query images at once, and images the distance rule calls the same.
 
-A batch is matched in one scan. When the query matrix is small (checked), it is shipped with the
-task; every Arrow batch of documents is scored against all queries by one matrix product and each
-task keeps only its best ``k`` per query, so what is shuffled is ``tasks x queries x k`` rows and no
-(query, document) pair is ever materialised as a row. A larger query set is split into blocks that
-meet document blocks in a co-grouped shuffle, with the same kernel and the same result.
+A batch is matched in scans of the documents, one for each chunk of queries. A chunk is bounded in
+numbers, so what is shipped with the tasks is bounded however many queries there are; every Arrow batch
+of documents meets it in blocks of bounded size, and each task keeps only its best rows per query. What
+is shuffled is ``tasks x queries x kept`` rows; no (query, document) pair is ever materialised as a row
+and no document is replicated.
 """
 
 from __future__ import annotations
@@ -17,20 +17,50 @@ from pyspark.sql import DataFrame, functions as F
 
 from lumisift.errors import QueryError
 from lumisift.functions import hashing
+from lumisift.functions.vectors import LAYOUT_CHANNEL_SIZES, LAYOUT_SCALE, LAYOUT_WEIGHTS, QUANTUM
 from lumisift.operators.topk import top_n_per_group
 
-MAX_BROADCAST_QUERIES = 4_096
-DOCS_PER_BLOCK = 50_000
-HIT_SCHEMA = "query_id bigint, doc_id bigint, distance double, score double"
+CHUNK_NUMBERS = 4_000_000
+"""Vector elements of a chunk of queries (32 MB)."""
+BLOCK_CELLS = 1_000_000
+"""(document, query) cells scored at a time; at most ``dim`` times as many numbers are held for the stepwise metrics."""
+CROWD = 64
+HIT_SCHEMA = "query_id bigint, doc_id bigint, shard bigint, overlap bigint, distance double, score double"
+
+
+def _jsd(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Divergence of each row of ``x`` from one query, with the arithmetic of the column expression."""
+    sx, sq = x.sum(axis=1), q.sum()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p, r = x / sx[:, None], q / sq
+        half = lambda a, b: np.where(a > 0, a * np.log(2.0 * a / (a + b)), 0.0)
+        value = np.cumsum(half(p, r) + half(r, p), axis=1)[:, -1] / 2.0
+    apart = np.round(np.log(2.0), 6)
+    return np.where((sx == 0) & (sq == 0), 0.0, np.where((sx == 0) | (sq == 0), apart, np.round(value, 6)))
+
+
+def _layout(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    start, out = 0, np.zeros(len(x))
+    for size in LAYOUT_CHANNEL_SIZES:
+        at = slice(start, start + size)
+        out = out + np.sqrt(np.cumsum(((x[:, at] - q[at]) / LAYOUT_SCALE) ** 2 * np.array(LAYOUT_WEIGHTS[at]), axis=1)[:, -1])
+        start += size
+    return np.round(out, 6)
+
+
+_STEPWISE = {
+    "l1": lambda x, q: np.abs(x - q).sum(axis=1),
+    "l2": lambda x, q: np.sqrt(((x - q) ** 2).sum(axis=1)) / float(QUANTUM),
+    "jsd": _jsd,
+    "layout": _layout,
+}
 
 
 def pairwise(metric: str, docs: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """(docs x queries) distances with the arithmetic of the column expressions."""
     x, q = docs.astype(np.float64), queries.astype(np.float64)
-    if metric == "l1":
-        return np.stack([np.abs(x - row).sum(axis=1) for row in q], axis=1)
-    if metric == "l2":
-        return np.stack([np.sqrt(((x - row) ** 2).sum(axis=1)) / 10_000.0 for row in q], axis=1)
+    if metric in _STEPWISE:
+        return np.stack([_STEPWISE[metric](x, row) for row in q], axis=1)
     ab, aa, bb = x @ q.T, (x * x).sum(axis=1)[:, None], (q * q).sum(axis=1)[None, :]
     with np.errstate(divide="ignore", invalid="ignore"):
         if metric == "cosine":
@@ -46,56 +76,96 @@ def scores(distances: np.ndarray) -> np.ndarray:
         return np.where(distances <= 1, 2.0 - distances, 1.0 / distances)
 
 
-def candidate_mask(doc_sigs: np.ndarray, query_sigs: np.ndarray, bundle_aware: bool) -> np.ndarray:
-    """(docs x queries): at least one hash in common."""
+def overlaps(doc_sigs: np.ndarray, query_sigs: np.ndarray, bundle_aware: bool) -> np.ndarray:
+    """(docs x queries): matching query hashes; repeats count on the query side, not on the document side."""
     if bundle_aware:
-        return np.stack([(doc_sigs == row).any(axis=1) for row in query_sigs], axis=1)
-    return np.stack([np.isin(doc_sigs, row).any(axis=1) for row in query_sigs], axis=1)
+        return np.stack([(doc_sigs == row).sum(axis=1) for row in query_sigs], axis=1)
+    out = np.zeros((len(doc_sigs), len(query_sigs)), np.int64)
+    held = np.sort(doc_sigs, axis=1)
+    once = np.concatenate([np.ones((len(held), 1), bool), held[:, 1:] != held[:, :-1]], axis=1)
+    for j, row in enumerate(query_sigs):
+        terms, times = np.unique(row, return_counts=True)
+        at = np.minimum(np.searchsorted(terms, held), len(terms) - 1)
+        out[:, j] = np.where(once & (terms[at] == held), times[at], 0).sum(axis=1)
+    return out
 
 
 class Matcher:
-    """Scores document batches against a fixed query matrix and keeps the best ``k`` per query."""
+    """Scores document batches against a chunk of queries and keeps the best rows per query.
 
-    def __init__(self, queries: pd.DataFrame, k: int, metric: str, mode: str | None, bundle_aware: bool):
+    Without a limit the best are those with the highest scores. With one they are the candidates with
+    the largest overlap, per shard where the limit is: which of them score best is decided afterwards.
+    """
+
+    def __init__(self, queries: pd.DataFrame, keep: int, metric: str, mode: str | None, bundle_aware: bool, limited: bool):
         self.ids = queries["query_id"].to_numpy(np.int64)
         self.vecs = np.stack(queries["vec"].to_numpy()).astype(np.int64)
-        self.k, self.metric, self.bundle_aware = k, metric, bundle_aware
+        self.keep, self.metric, self.bundle_aware, self.limited = keep, metric, bundle_aware, limited
         self.sigs = None if mode is None else hashing.signatures_of(mode, self.vecs)
-        self.best = [(np.empty(0, np.int64), np.empty(0)) for _ in self.ids]
-
-    def distances(self, docs: pd.DataFrame) -> np.ndarray:
-        """NaN marks a pair that is not scored."""
-        out = pairwise(self.metric, np.stack(docs["vec"].to_numpy()).astype(np.int64), self.vecs)
-        if self.sigs is not None:
-            mask = candidate_mask(np.stack(docs["sig"].to_numpy()), self.sigs, self.bundle_aware)
-            out = np.where(mask, out, np.nan)
-        return out
+        self.best = [np.empty((0, 5)) for _ in self.ids]  # doc_id is kept apart: it may not fit a double
+        self.docs = [np.empty(0, np.int64) for _ in self.ids]
 
     def add(self, docs: pd.DataFrame) -> None:
-        if docs.empty:
-            return
-        ids, distances = docs["doc_id"].to_numpy(np.int64), self.distances(docs)
-        for j, (held_ids, held) in enumerate(self.best):
-            scored = ~np.isnan(distances[:, j])
-            all_ids = np.concatenate([held_ids, ids[scored]])
-            all_d = np.concatenate([held, distances[scored, j]])
-            keep = np.lexsort((all_ids, -scores(all_d)))[: self.k]
-            self.best[j] = (all_ids[keep], all_d[keep])
+        rows = max(1, BLOCK_CELLS // max(1, len(self.ids)))
+        for start in range(0, len(docs), rows):
+            self._add(docs.iloc[start : start + rows])
+
+    def _add(self, docs: pd.DataFrame) -> None:
+        ids, shards = docs["doc_id"].to_numpy(np.int64), docs["shard"].to_numpy(np.int64)
+        distances = pairwise(self.metric, np.stack(docs["vec"].to_numpy()).astype(np.int64), self.vecs)
+        shared = None if self.sigs is None else overlaps(np.stack(docs["sig"].to_numpy()), self.sigs, self.bundle_aware)
+        for j in range(len(self.ids)):
+            mask = ~np.isnan(distances[:, j])
+            if shared is not None:
+                mask &= shared[:, j] > 0
+            new = np.stack([shards[mask], np.zeros(mask.sum()) if shared is None else shared[mask, j], distances[mask, j], scores(distances[mask, j]), mask[mask]], axis=1)
+            held, all_ids = np.concatenate([self.best[j], new]), np.concatenate([self.docs[j], ids[mask]])
+            if self.limited:
+                order = np.lexsort((all_ids, -held[:, 1], held[:, 0]))
+                first = np.searchsorted(held[order, 0], held[order, 0])
+                order = order[np.arange(len(order)) - first < self.keep]  # the best of each shard
+            else:
+                order = np.lexsort((all_ids, -held[:, 3]))[: self.keep]
+            self.best[j], self.docs[j] = held[order], all_ids[order]
 
     def result(self) -> pd.DataFrame:
-        return pd.concat(
-            [pd.DataFrame({"query_id": q, "doc_id": i, "distance": d, "score": scores(d)}) for q, (i, d) in zip(self.ids, self.best)],
-            ignore_index=True,
-        )
+        rows, lengths = np.concatenate(self.best), [len(d) for d in self.docs]
+        return pd.DataFrame({
+            "query_id": np.repeat(self.ids, lengths), "doc_id": np.concatenate(self.docs), "shard": rows[:, 0].astype(np.int64),
+            "overlap": rows[:, 1].astype(np.int64), "distance": rows[:, 2], "score": rows[:, 3],
+        })
 
 
-def _inputs(index: DataFrame, mode: str | None) -> DataFrame:
-    columns = [F.col("doc_id"), F.col("vec")]
+def _inputs(index: DataFrame, mode: str | None, per_shard: bool) -> DataFrame:
+    shard = F.col("shard").cast("bigint") if per_shard else F.lit(0).cast("bigint")
+    columns = [F.col("doc_id"), F.col("vec"), shard.alias("shard")]
     if mode is not None:
         columns.append(F.col(hashing.signature_column(mode)).alias("sig"))
     return index.filter(F.col("vec").isNotNull()).select(*columns)
 
 
+def query_chunks(queries: DataFrame, numbers: int) -> Iterator[pd.DataFrame]:
+    """Queries in chunks of at most ``numbers`` vector elements, one chunk at a time on the driver."""
+    held, size = [], 0
+    for row in queries.select("query_id", "vec").filter("vec IS NOT NULL").toLocalIterator():
+        if held and size + len(row.vec) > numbers:
+            yield pd.DataFrame(held, columns=["query_id", "vec"])
+            held, size = [], 0
+        held.append((row.query_id, row.vec))
+        size += len(row.vec)
+    if held:
+        yield pd.DataFrame(held, columns=["query_id", "vec"])
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    if not parts:
+        raise QueryError("a batch needs at least one query")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def batch_topk(
     index: DataFrame,
     queries: DataFrame,
@@ -104,102 +174,96 @@ def batch_topk(
     *,
     hash: str | None = None,
     bundle_aware: bool = False,
-    max_broadcast: int = MAX_BROADCAST_QUERIES,
+    limit: int = -1,
+    per_shard: bool = False,
+    chunk_numbers: int = CHUNK_NUMBERS,
 ) -> DataFrame:
     """``(query_id, doc_id, distance, score, rank)``: the best ``k`` documents of each query.
 
-    With ``hash`` only documents sharing a hash with the query take part.
+    With ``hash`` only documents sharing a hash with the query take part, with a positive ``limit``
+    only the ``limit`` of them with the largest overlap, in total or in each shard.
     """
     mode = None if hash is None else hashing.hash_mode(hash)
-    docs, asked = _inputs(index, mode), queries.select("query_id", "vec")
-    head = asked.limit(max_broadcast + 1).toPandas()
-    if head.empty:
-        raise QueryError("No image specified for image query")
-    if len(head) <= max_broadcast:
-        hits = _matched_in_scan(docs, head, k, metric, mode, bundle_aware)
-    else:
-        hits = _matched_in_blocks(docs, asked, k, metric, mode, bundle_aware, max_broadcast)
-    order = [F.col("score").desc(), F.col("doc_id")]
-    return top_n_per_group(hits, ["query_id"], order, k, ["doc_id"])
+    limited = mode is not None and limit > 0
+    docs = _inputs(index, mode, limited and per_shard)
 
+    def matched(chunk: pd.DataFrame) -> DataFrame:
+        shipped = docs.sparkSession.sparkContext.broadcast(chunk)
 
-def _matched_in_scan(docs: DataFrame, queries: pd.DataFrame, k: int, metric: str, mode: str | None, bundle_aware: bool) -> DataFrame:
-    shipped = docs.sparkSession.sparkContext.broadcast(queries)
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            matcher = Matcher(shipped.value, limit if limited else k, metric, mode, bundle_aware, limited)
+            for part in parts:
+                matcher.add(part)
+            yield matcher.result()
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(shipped.value, k, metric, mode, bundle_aware)
-        for part in parts:
-            matcher.add(part)
-        yield matcher.result()
+        return docs.mapInPandas(run, HIT_SCHEMA)
 
-    return docs.mapInPandas(run, HIT_SCHEMA)
+    hits = _union([matched(chunk) for chunk in query_chunks(queries, chunk_numbers)])
+    if limited:
+        hits = top_n_per_group(hits, ["query_id", "shard"], [F.col("overlap").desc(), F.col("doc_id")], limit, ["doc_id"]).drop("rank")
+    best = top_n_per_group(hits, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k, ["doc_id"])
+    return best.select("query_id", "doc_id", "distance", "score", "rank")
 
 
-def _matched_in_blocks(
-    docs: DataFrame, queries: DataFrame, k: int, metric: str, mode: str | None, bundle_aware: bool, block: int
-) -> DataFrame:
-    """Document block x query block groups of bounded size; ids are hashed, so no block is hot."""
-    query_blocks = -(-queries.count() // block) * 2
-    doc_blocks = -(-docs.count() // DOCS_PER_BLOCK) * 2
-    left = docs.withColumn("db", F.pmod(F.xxhash64("doc_id"), F.lit(doc_blocks))).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<bigint>"))
-    )
-    asked = queries.select(F.col("query_id").alias("asked_id"), F.col("vec").alias("asked_vec"))
-    right = asked.withColumn("qb", F.pmod(F.xxhash64("asked_id"), F.lit(query_blocks))).withColumn(
-        "db", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1)).cast("array<bigint>"))
-    ).withColumnsRenamed({"qb": "asked_qb", "db": "asked_db"})
-
-    def run(doc_block: pd.DataFrame, query_block: pd.DataFrame) -> pd.DataFrame:
-        if doc_block.empty or query_block.empty:
-            return pd.DataFrame({"query_id": [], "doc_id": [], "distance": [], "score": []})
-        matcher = Matcher(query_block.rename(columns={"asked_id": "query_id", "asked_vec": "vec"}), k, metric, mode, bundle_aware)
-        matcher.add(doc_block)
-        return matcher.result()
-
-    return left.groupBy("db", "qb").cogroup(right.groupBy("asked_db", "asked_qb")).applyInPandas(run, HIT_SCHEMA)
-
-
-def candidate_counts(index: DataFrame, queries: DataFrame, hash: str, bundle_aware: bool = False) -> DataFrame:
-    """``(query_id, candidates, docs)`` of a bounded batch: how much a hash search leaves to score."""
+def candidate_counts(index: DataFrame, queries: DataFrame, hash: str, bundle_aware: bool = False, chunk_numbers: int = CHUNK_NUMBERS) -> DataFrame:
+    """``(query_id, candidates, docs)``: how much a hash search leaves to score."""
     mode = hashing.hash_mode(hash)
-    head = queries.select("query_id", "vec").limit(MAX_BROADCAST_QUERIES + 1).toPandas()
-    if len(head) > MAX_BROADCAST_QUERIES:
-        raise QueryError("count candidates for at most %d queries at a time" % MAX_BROADCAST_QUERIES)
-    shipped = index.sparkSession.sparkContext.broadcast(head)
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        asked = shipped.value
-        sigs = hashing.signatures_of(mode, np.stack(asked["vec"].to_numpy()).astype(np.int64))
-        found, seen = np.zeros(len(asked), np.int64), 0
-        for part in parts:
-            if len(part):
-                found += candidate_mask(np.stack(part["sig"].to_numpy()), sigs, bundle_aware).sum(axis=0)
+    docs = _inputs(index, mode, False).select("doc_id", "sig")
+
+    def counted(chunk: pd.DataFrame) -> DataFrame:
+        shipped = docs.sparkSession.sparkContext.broadcast(chunk)
+
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            asked = shipped.value
+            sigs = hashing.signatures_of(mode, np.stack(asked["vec"].to_numpy()).astype(np.int64))
+            found, seen, rows = np.zeros(len(asked), np.int64), 0, max(1, BLOCK_CELLS // len(asked))
+            for part in parts:
                 seen += len(part)
-        yield pd.DataFrame({"query_id": asked["query_id"].to_numpy(np.int64), "candidates": found, "docs": seen})
+                for start in range(0, len(part), rows):
+                    block = np.stack(part["sig"].iloc[start : start + rows].to_numpy())
+                    found += (overlaps(block, sigs, bundle_aware) > 0).sum(axis=0)
+            yield pd.DataFrame({"query_id": asked["query_id"].to_numpy(np.int64), "candidates": found, "docs": seen})
 
-    partial = _inputs(index, mode).select("doc_id", "sig").mapInPandas(run, "query_id bigint, candidates bigint, docs bigint")
+        return docs.mapInPandas(run, "query_id bigint, candidates bigint, docs bigint")
+
+    partial = _union([counted(chunk) for chunk in query_chunks(queries, chunk_numbers)])
     return partial.groupBy("query_id").agg(F.sum("candidates").alias("candidates"), F.sum("docs").alias("docs"))
 
 
-def same_image(index: DataFrame, mode: str, metric: str = "cosine", threshold: float = 1.0, min_shared: int = 1) -> DataFrame:
-    """``(anchor, doc_id, shared, distance)``: documents within ``threshold`` of an earlier one in a hash bucket.
+def same_image(index: DataFrame, mode: str, metric: str = "cosine", threshold: float = 1.0, min_shared: int = 2) -> DataFrame:
+    """``(a, b, shared, distance)``: pairs of different images within ``threshold`` that share at least
+    ``min_shared`` hashes in place, plus a pair of distance 0 from each further document of one and the same
+    vector to the first.
 
-    The anchor of a ``(bundle, hash)`` bucket is its first document. Every other member is compared
-    with the anchor only, so the work is one comparison per posting even when one bucket holds most
-    of the table, and no member is dropped.
+    Equal vectors are collapsed before, so a picture copied any number of times is one image here. Buckets of
+    more than ``CROWD`` images are split by a second hash if two must be shared, which leaves images that are
+    alike; the pairs reported are all there are. Their number, and with it the work, follows how many
+    different images are near each other, not how often any of them occurs.
     """
     from lumisift.functions.vectors import distance
 
-    posted = hashing.postings(index, mode, ["doc_id"]).select("doc_id", "bundle", "h")
-    anchors = posted.groupBy("bundle", "h").agg(F.min("doc_id").alias("anchor"))
-    edges = (
-        posted.join(anchors, ["bundle", "h"])
-        .filter(F.col("anchor") < F.col("doc_id"))
-        .groupBy("anchor", "doc_id")
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .filter(F.col("shared") >= min_shared)
-    )
-    vecs = index.select("doc_id", "vec")
-    paired = edges.join(vecs, "doc_id").join(vecs.select(F.col("doc_id").alias("anchor"), F.col("vec").alias("anchor_vec")), "anchor")
-    scored = paired.select("anchor", "doc_id", "shared", distance(metric, F.col("vec"), F.col("anchor_vec")).alias("distance"))
-    return scored.filter(F.col("distance") <= threshold)
+    sig = hashing.signature_column(mode)
+    rows = index.filter(F.col("vec").isNotNull()).select("doc_id", "vec", F.col(sig).alias("sig"))
+    heads = rows.groupBy("vec").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"))
+    copies = rows.join(heads.filter("copies > 1"), "vec").filter("doc_id <> head")
+    twins = copies.select(F.col("head").alias("a"), F.col("doc_id").alias("b"), F.size("sig").cast("bigint").alias("shared"), F.lit(0.0).alias("distance"))
+    images = rows.join(heads.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
+    posted = images.select("doc_id", F.posexplode_outer("sig").alias("bundle", "h")).filter("bundle IS NOT NULL")
+    sizes = posted.groupBy("bundle", "h").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    posted = posted.join(sizes, ["bundle", "h"])
+    few = posted.filter(f"size <= {CROWD}").select("doc_id", F.xxhash64("bundle", "h").alias("bucket"))
+    many = posted.filter(f"size > {CROWD}").select("doc_id", "bundle", "h")
+    if min_shared >= 2:
+        many = many.join(images.select("doc_id", "sig"), "doc_id").select("doc_id", "bundle", "h", F.posexplode_outer("sig").alias("other", "g"))
+        many = many.filter("other <> bundle").select("doc_id", F.xxhash64("bundle", "h", "other", "g").alias("bucket"))
+    else:
+        many = many.select("doc_id", F.xxhash64("bundle", "h").alias("bucket"))
+    posted = few.unionByName(many)
+    later = posted.select("bucket", F.col("doc_id").alias("b"))
+    pairs = posted.withColumnRenamed("doc_id", "a").join(later, "bucket").filter("a < b").select("a", "b").distinct()
+    left = images.select(F.col("doc_id").alias("a"), F.col("vec").alias("vec_a"), F.col("sig").alias("sig_a"))
+    right = images.select(F.col("doc_id").alias("b"), F.col("vec").alias("vec_b"), F.col("sig").alias("sig_b"))
+    shared = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda same: same)).cast("bigint")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", shared.alias("shared"), "vec_a", "vec_b").filter(F.col("shared") >= min_shared)
+    found = both.select("a", "b", "shared", F.explode_outer(F.array(distance(metric, F.col("vec_a"), F.col("vec_b")))).alias("distance"))
+    return found.filter(F.col("distance") <= threshold).unionByName(twins)

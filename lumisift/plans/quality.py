@@ -17,11 +17,11 @@ def recall_at_k(exact: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def hash_quality(index: DataFrame, queries: DataFrame, k: int, hash: str, metric: str = "cosine", bundle_aware: bool = False) -> DataFrame:
+def hash_quality(index: DataFrame, queries: DataFrame, k: int, hash: str, metric: str = "cosine", bundle_aware: bool = False, **how) -> DataFrame:
     """Recall against the scan together with the share of documents left to score."""
-    exact = batch_topk(index, queries, k, metric)
-    found = batch_topk(index, queries, k, metric, hash=hash, bundle_aware=bundle_aware)
-    return recall_at_k(exact, found).join(candidate_counts(index, queries, hash, bundle_aware), "query_id")
+    exact = batch_topk(index, queries, k, metric, **how)
+    found = batch_topk(index, queries, k, metric, hash=hash, bundle_aware=bundle_aware, **how)
+    return recall_at_k(exact, found).join(candidate_counts(index, queries, hash, bundle_aware, **how), "query_id")
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:

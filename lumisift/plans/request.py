@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+import binascii
 from dataclasses import dataclass, fields
 from typing import Any
 
@@ -35,14 +37,14 @@ class ImageQuery:
 
     def __post_init__(self) -> None:
         if not self.field:
-            raise QueryError("image query malformed, no field")
+            raise QueryError("an image clause needs the name of its field")
         if not self.feature:
-            raise QueryError("No feature specified for image query")
+            raise QueryError("an image clause needs a feature")
         object.__setattr__(self, "feature", feature_name(self.feature))
         if self.hash is not None:
             object.__setattr__(self, "hash", hash_mode(self.hash))
         if self.image is None and not self.has_lookup:
-            raise QueryError("No image specified for image query")
+            raise QueryError("an image clause needs an image, or the type, id and path of a stored document")
 
     @property
     def has_lookup(self) -> bool:
@@ -57,14 +59,20 @@ class ImageQuery:
     def parse(cls, body: dict[str, dict[str, Any]]) -> ImageQuery:
         """From ``{field: {parameter: value}}``; unknown parameters are errors."""
         if not isinstance(body, dict) or len(body) != 1:
-            raise QueryError("image query malformed, no field")
+            raise QueryError("expected one field with the parameters of its image clause")
         ((field, params),) = body.items()
         for key in params:
             if key not in REQUEST_KEYS:
-                raise QueryError(f"image query does not support [{key}]")
+                raise QueryError(f"unknown parameter {key!r} of an image clause")
         if params.get("feature") is None:
-            raise QueryError("No feature specified for image query")
-        return cls(field=field, **{k: v for k, v in params.items() if v is not None})
+            raise QueryError("an image clause needs a feature")
+        given = {k: v for k, v in params.items() if v is not None}
+        if isinstance(given.get("image"), str):  # bytes are base64 text in a request
+            try:
+                given["image"] = base64.b64decode(given["image"], validate=True)
+            except binascii.Error as cause:
+                raise QueryError("the image of an image clause is not base64") from cause
+        return cls(field=field, **given)
 
     def to_dict(self) -> dict[str, dict[str, Any]]:
         """Dict form; parameters left at their default are omitted."""
@@ -72,5 +80,5 @@ class ImageQuery:
         for f in fields(self):
             value = getattr(self, f.name)
             if f.name != "field" and value is not None and value != f.default:
-                params[f.name] = value
+                params[f.name] = base64.b64encode(value).decode() if f.name == "image" else value
         return {self.field: params}

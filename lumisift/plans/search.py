@@ -13,7 +13,8 @@ Two ways find hash candidates, with equal results:
 
 * inline - the signature is a column of the index table, so candidates and scores come from one scan;
 * postings - ``(h, doc_id)`` rows bucketed by ``h``; the literal ``IN`` list prunes buckets and row
-  groups, and only the candidates' vectors are fetched. Right when hashes are selective.
+  groups, and the rows of other documents are dropped before they are scored. Right when hashes are
+  selective.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumisift.errors import QueryError
 from lumisift.functions import hashing
-from lumisift.functions.scoring import score_of
+from lumisift.functions.scoring import explanation, score_of
 from lumisift.functions.vectors import distance, int_literal
 from lumisift.operators.registry import metric_of
 from lumisift.operators.topk import top_n_per_group
@@ -43,14 +44,18 @@ def stored_vector(
 ) -> list[int]:
     """Feature vector of a stored document, read back rather than extracted again."""
     rows = clause_rows(lookup, path, feature).filter((F.col("type") == type) & (F.col("doc_id") == F.lit(id)))
+    if "deleted" in lookup.columns:
+        rows = rows.filter(~F.coalesce(F.col("deleted"), F.lit(False)))
     if index is not None:
         rows = rows.filter(F.col("index") == index)
     if routing is not None:
         rows = rows.filter(F.col("routing") == routing)
-    row = rows.select("vec").limit(1).head()
-    if row is None:
-        raise QueryError("No image specified for image query")
-    return list(row.vec)
+    found = rows.select("vec").limit(2).collect()
+    if not found:
+        raise QueryError("the query document has no such feature or is not live")
+    if len(found) > 1:
+        raise QueryError("several vectors match the query document: name its index, or look it up among latest versions")
+    return list(found[0].vec)
 
 
 def query_vector(index: DataFrame, query: ImageQuery, lookup: DataFrame | None = None) -> list[int]:
@@ -72,8 +77,14 @@ def query_signature(mode: str, vec: Sequence[int]) -> list[int]:
 
 
 def scored(rows: DataFrame, vec: Sequence[int], metric: str, boost: float = 1.0) -> DataFrame:
-    out = rows.withColumn("distance", distance(metric, F.col("vec"), int_literal(vec)))
-    return out.withColumn("score", score_of(F.col("distance"), boost)).filter(F.col("score").isNotNull())
+    """Distance and score, each computed once per row.
+
+    As plain columns they would be copied into the filter on the score, which the optimizer moves below
+    them; the rows of a generator are not. The query's squared length is a number from the start.
+    """
+    d = distance(metric, F.col("vec"), int_literal(vec), F.lit(float(sum(int(v) * int(v) for v in vec))))
+    hit = F.transform(F.array(d), lambda x: F.struct(x.alias("distance"), score_of(x, boost).alias("score")))
+    return rows.select("*", F.inline_outer(hit)).filter(F.col("score").isNotNull())
 
 
 def shares_hash(sig: Column, hashes: Sequence[int], bundle_aware: bool = False) -> Column:
@@ -129,6 +140,15 @@ def postings_candidates(
     return grouped if limit <= 0 else keep_best(grouped, limit, per_shard)
 
 
+def _mapped(index: DataFrame, query: ImageQuery) -> bool:
+    """Whether the index has signatures of the hash for the feature; one row is looked at."""
+    column = hashing.signature_column(query.hash)
+    if column not in index.columns:
+        return False
+    rows = clause_rows(index, query.field, query.feature)
+    return rows.limit(1).count() == 0 or rows.filter(F.col(column).isNotNull()).limit(1).count() > 0
+
+
 def image_search(
     index: DataFrame,
     query: ImageQuery,
@@ -141,20 +161,23 @@ def image_search(
     where: Column | None = None,
     pre_filter: Column | None = None,
     missing: str = "error",
+    vec: Sequence[int] | None = None,
+    explain: bool = False,
 ) -> DataFrame:
     """Documents of ``index`` with ``distance`` and ``score`` against the query.
 
     ``where`` is the rest of the request and applies after a candidate limit; ``pre_filter`` applies
     before it. ``missing="empty"`` turns a search on a hash that the index does not carry into an
-    empty result instead of an error.
+    empty result instead of an error. ``vec`` is the query's vector if it is known; ``explain`` adds
+    why each row has its score.
     """
-    vec = query_vector(index, query, lookup)
+    vec = query_vector(index, query, lookup) if vec is None else vec
     metric = metric or metric_of(query.feature)
     rows = clause_rows(index, query.field, query.feature)
     if pre_filter is not None:
         rows = rows.filter(pre_filter)
     if query.hash is not None:
-        if postings is None and hashing.signature_column(query.hash) not in index.columns:
+        if postings is None and not _mapped(index, query):
             if missing != "empty":
                 raise QueryError(f"hash {query.hash} is not mapped for {query.field}.{query.feature}")
             rows = rows.filter(F.lit(False))
@@ -175,11 +198,15 @@ def image_search(
                 ).drop("overlap")
     if where is not None:
         rows = rows.filter(where)
-    return scored(rows, vec, metric, query.boost)
+    hits = scored(rows, vec, metric, query.boost)
+    return hits.withColumn("explanation", explanation(F.col("score"), query.boost)) if explain else hits
 
 
 def top_hits(hits: DataFrame, size: int) -> DataFrame:
-    """Best hits first, documents in id order among equals."""
+    """Best hits first, documents in id order among equals.
+
+    For a page: the rows of a bounded ``size`` end in one task. To rank everything, sort the hits.
+    """
     return hits.orderBy(F.col("score").desc(), F.col("doc_id")).limit(size)
 
 
@@ -197,11 +224,13 @@ def should(*clauses: DataFrame) -> DataFrame:
 
 
 def multi_feature_search(index: DataFrame, clauses: Sequence[tuple[ImageQuery, Sequence[int]]]) -> DataFrame:
-    """Several image clauses in one scan.
+    """Several image clauses; a document scores the sum of those it matches.
 
-    Each row belongs to one feature, so a CASE picks its clause; the scores of a document meet in one
+    Clauses with a hash are searched each by itself, with their limits. The others share one scan: each row belongs to one feature, so a CASE picks its clause; the scores of a document meet in one
     aggregation with map-side partial sums instead of one scan and one join per clause.
     """
+    if any(query.hash is not None for query, _ in clauses):
+        return should(*(image_search(index, query, vec=vec) for query, vec in clauses))
     score, keep = None, None
     for query, vec in clauses:
         mine = (F.col("field") == query.field) & (F.col("feature") == query.feature)

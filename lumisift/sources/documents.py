@@ -4,13 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-NO_CONTENT = "No content is provided."
-
-
-def read_documents(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+NO_CONTENT = "the document carries no image"
 
 
 def with_content(docs: DataFrame, field: str, mode: str = "PERMISSIVE") -> DataFrame:
@@ -21,7 +17,7 @@ def with_content(docs: DataFrame, field: str, mode: str = "PERMISSIVE") -> DataF
         return docs.withColumn("content", F.coalesce(content, failed)).withColumn("error", F.lit(None).cast("string"))
     return docs.withColumn("content", content).withColumn(
         "error",
-        F.when(F.col(field).isNull(), F.lit(NO_CONTENT)).when(F.col("content").isNull(), F.lit("Malformed base64 content.")),
+        F.when(F.col(field).isNull(), F.lit(NO_CONTENT)).when(F.col("content").isNull(), F.lit("the image is not base64")),
     )
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumisift.errors import ImageProcessError
 from lumisift.operators.stencils import idiv, pixels
+from lumisift.sources.documents import NO_CONTENT
 
 MAX_SIDE = 1024
 PIXELS_PER_BATCH = 4_000_000
@@ -103,9 +104,12 @@ def unpack(payload: bytes) -> np.ndarray:
         import io
 
         from PIL import Image
-    except ImportError:
-        raise ImageProcessError("no decoder for this image format on the worker") from None
-    return np.asarray(Image.open(io.BytesIO(payload)).convert("RGB"), dtype=np.int64)
+    except ImportError as cause:
+        raise ImageProcessError("no decoder for this image format on the worker") from cause
+    try:
+        return np.asarray(Image.open(io.BytesIO(payload)).convert("RGB"), dtype=np.int64)
+    except OSError as cause:
+        raise ImageProcessError("the image cannot be decoded") from cause
 
 
 def _plane_row(image_id: object, rgb: np.ndarray, max_side: int) -> tuple:
@@ -140,7 +144,7 @@ def decode_images(encoded: DataFrame, max_side: int = MAX_SIDE) -> DataFrame:
                 for image_id, content in zip(part["image_id"], part["content"]):
                     try:
                         if content is None:
-                            raise ImageProcessError("No content is provided.")
+                            raise ImageProcessError(NO_CONTENT)
                         yield _plane_row(image_id, unpack(bytes(content)), max_side)
                     except Exception as exc:  # data errors stay with their row
                         yield (image_id, None, None, None, None, None, str(exc) or type(exc).__name__)

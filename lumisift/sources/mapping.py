@@ -34,7 +34,7 @@ class ImageMapping:
             raise MappingError(f"{name} is not an image field")
         declared = node.get("feature")
         if not declared:
-            raise MappingError("Feature not found")
+            raise MappingError("a mapping needs at least one feature")
         features = {}
         for key, options in declared.items():
             try:
@@ -44,7 +44,7 @@ class ImageMapping:
         metadata = {}
         for key, options in (node.get("metadata") or {}).items():
             if options.get("type") not in SCALAR_TYPES:
-                raise MappingError(f"No handler for type [{options.get('type')}] declared on field [{key}]")
+                raise MappingError(f"unknown type of a metadata key [{options.get('type')}] declared on field [{key}]")
             metadata[key] = dict(options)
         return cls(name, features, metadata)
 
@@ -92,7 +92,7 @@ def _hashes(options: MappingType[str, Any]) -> tuple[str, ...]:
         return (hash_mode(declared),)
     if isinstance(declared, (list, tuple)):
         return tuple(hash_mode(h) for h in declared)
-    raise MappingError("Malformed hash value")
+    raise MappingError("hashes are a name or a list of names")
 
 
 def parse_properties(document_mapping: MappingType[str, Any]) -> tuple[dict[str, ImageMapping], list[str]]:

@@ -1,9 +1,11 @@
-"""Continuous ingest: new documents become features and postings, each exactly once."""
+"""Continuous ingest: new documents become features and postings, and a document sent again replaces itself."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumisift.functions import hashing
@@ -24,18 +26,22 @@ def start_ingest(
 ):
     """Processes what is available and stops.
 
-    Output of batch ``n`` goes to directory ``batch=n`` in overwrite mode, so a batch that is run
-    again after a failure replaces its own output and nothing else. The signature is computed once,
-    with the features, and the postings are read back from them.
+    Output of batch ``n`` goes to ``stream=<id>/batch=n`` in overwrite mode, so a batch that is run
+    again after a failure replaces its own output and nothing else. The stream's id lies with its
+    checkpoint: a stream that starts afresh gets a new one and overwrites nothing. The signature is
+    computed once, with the features, and the postings are read back from them.
     """
+    stream_id = _stream_id(stream.sparkSession, checkpoint)
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        target = f"{features_path}/batch={number}"
+        keys = [c for c in ("doc_id", "version") if c in batch.columns]
+        batch = batch.dropDuplicates(keys) if keys else batch
+        target = f"{features_path}/stream={stream_id}/batch={number}"
         hashing.with_signature(to_features(batch), mode).write.mode("overwrite").parquet(target)
         written = spark.read.parquet(target)
         rows = hashing.postings(written, mode, [c for c in ("doc_id", "version", "field", "feature") if c in written.columns])
-        rows.write.mode("overwrite").parquet(f"{postings_path}/batch={number}")
+        rows.write.mode("overwrite").parquet(f"{postings_path}/stream={stream_id}/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -45,10 +51,26 @@ def start_ingest(
     )
 
 
-def ingested(spark: SparkSession, path: str) -> DataFrame:
-    """Everything written so far, one row per key even across batches."""
-    return spark.read.parquet(path)
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    path = f"{checkpoint.rstrip('/')}-id"
+    try:
+        return spark.read.text(path).head()[0]
+    except AnalysisException:
+        made = uuid.uuid4().hex
+        spark.createDataFrame([(made,)], "id string").coalesce(1).write.mode("overwrite").text(path)
+        return made
 
 
-def watermark_column(df: DataFrame, epoch_seconds: str) -> DataFrame:
-    return df.withColumn("arrived", F.timestamp_seconds(F.col(epoch_seconds)))
+def ingested(spark: SparkSession, path: str, key: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The rows of each document's latest version, from the latest batch that brought it.
+
+    Versions are compared first where rows have them; then streams and batches decide.
+    """
+    rows = spark.read.parquet(path)
+    rank = [F.col("version")] if "version" in rows.columns else []
+    arrival = F.struct(*rank, F.col("batch").cast("bigint").alias("batch"), F.col("stream").cast("string").alias("stream"))
+    last = rows.groupBy(*key).agg(F.max(arrival).alias("last"))
+    same = F.col("batch").cast("bigint").eqNullSafe(F.col("last.batch")) & F.col("stream").cast("string").eqNullSafe(F.col("last.stream"))
+    for name in ("version",) if rank else ():
+        same = same & F.col(name).eqNullSafe(F.col(f"last.{name}"))
+    return rows.join(last, list(key)).filter(same).drop("last", "stream", "batch")

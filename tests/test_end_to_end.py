@@ -1,120 +1,96 @@
-"""Index random images from base64 documents and search them in every way a client would."""
+"""From documents with embedded images to searches, through one declared mapping and the given tiles."""
 
 import base64
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lumisift.checks.fixtures import encode_png
-from lumisift.functions import hashing
-from lumisift.operators import features, metadata
+from lumisift.checks.fixtures import encode_png, tiles32
+from lumisift.operators.index import index_documents
 from lumisift.plans import search
 from lumisift.plans.request import ImageQuery
-from lumisift.sources import documents, images
 from lumisift.sources.mapping import parse_properties
 
-N = 12
-DOCUMENT_MAPPING = {
-    "_source": {"excludes": ["img"]},
+SMALLEST = "/root/testdata/sf0.001"
+COUNT = 20
+MAPPING = {
+    "_source": {"excludes": ["photo"]},
     "properties": {
-        "img": {
+        "photo": {
             "type": "image",
-            "feature": {"CEDD": {"hash": "BIT_SAMPLING"}, "JCD": {"hash": ["BIT_SAMPLING", "LSH"]}, "FCTH": {}},
-            "metadata": {"exif_ifd0.x_resolution": {"type": "string", "store": "yes"}},
+            "feature": {"edge_histogram": {"hash": "LSH"}, "GABOR": {"hash": ["LSH", "BIT_SAMPLING"]}, "TAMURA": {}},
+            "metadata": {"sensor.gain": {"type": "integer"}},
         },
-        "name": {"type": "string", "index": "not_analyzed"},
+        "title": {"type": "string"},
     },
 }
 
 
-def blue_noise(seed):
-    rng = np.random.default_rng(seed)
-    w, h = (int(v) for v in rng.integers(20, 60, 2))
-    values = rng.integers(0, 512, w * h)
-    return encode_png(w, h, np.zeros(w * h), values >> 8, values & 255)
-
-
-IMAGES = [blue_noise(i) for i in range(N)]
-
-
 @pytest.fixture(scope="module")
-def index(spark):
-    mapping = parse_properties(DOCUMENT_MAPPING)[0]["img"]
-    rows = [(i, f"name{i}", base64.b64encode(p).decode()) for i, p in enumerate(IMAGES)]
-    sent = spark.createDataFrame(rows, "doc_id bigint, name string, img string")
-    docs = documents.accepted(documents.with_content(sent, "img"))
-    decoded = images.decode_images(docs.withColumnRenamed("doc_id", "image_id"))
-    vecs = features.feature_table(decoded.filter("error is null"), list(mapping.features))
-    tags = docs.select(
-        "doc_id", F.lit("Exif IFD0").alias("directory"), F.lit("X Resolution").alias("tag_name"),
-        F.lit("72 dots per inch").alias("description"),
-    )
-    stored = documents.stored_source(sent, parse_properties(DOCUMENT_MAPPING)[1])
-    declared = {k: v["type"] for k, v in mapping.metadata.items()}
-    table = (
-        vecs.withColumnRenamed("image_id", "doc_id").join(metadata.attach(stored, tags, declared), "doc_id")
-        .withColumns({"index": F.lit("test"), "type": F.lit("test"), "field": F.lit("img"), "shard": F.pmod("doc_id", F.lit(5))})
-    )
-    for mode in hashing.MODES:
-        table = hashing.with_signature(table, mode)
-    return table.cache()
+def tiles(spark):
+    rows = tiles32(spark, SMALLEST).filter(F.col("image_id") < COUNT).collect()
+    return {r.image_id: encode_png(r.w, r.h, r.r, r.g, r.b) for r in rows}
 
 
-def image_query(**more):
-    return ImageQuery(**{"field": "img", "feature": "CEDD", "image": IMAGES[0], **more})
-
+@pytest.fixture(scope="module")
+def outcome(spark, tiles):
+    sent = [(i, f"tile {i % 4}", base64.b64encode(p).decode()) for i, p in tiles.items()] + [(100, "none", None), (101, "bad", "aGVsbG8=")]
+    docs = spark.createDataFrame(sent, "doc_id bigint, title string, photo string")
+    tags = spark.createDataFrame([(i, "Sensor", "Gain", str(i * 10)) for i in tiles], "doc_id bigint, directory string, tag_name string, description string")
+    mappings, excludes = parse_properties(MAPPING)
+    return index_documents(docs, tags, "photo", mappings["photo"], excludes)
 
-def stored_query(**more):
-    return ImageQuery(field="img", feature="CEDD", index="test", type="test", id=0, path="img", **more)
 
+@pytest.fixture(scope="module")
+def index(outcome):
+    whole = outcome.index.withColumns({"index": F.lit("tiles"), "type": F.lit("tile"), "shard": F.pmod("doc_id", F.lit(3))})
+    return whole.cache()
 
-def first(hits):
-    return search.top_hits(hits, N).collect()[0]
 
+def by_image(tiles, i, **more):
+    return ImageQuery(**{"field": "photo", "feature": "GABOR", "image": tiles[i], **more})
 
-def test_hash_search(index):
-    hits = search.image_search(index, image_query(hash="BIT_SAMPLING"))
-    best = first(hits)
-    assert (best.name, best.score) == ("name0", 2.0) and best["exif_ifd0.x_resolution"] == ["72 dots per inch"]
-    assert "img" not in index.columns
 
+def by_document(i, **more):
+    return ImageQuery(**{"field": "photo", "feature": "TAMURA", "type": "tile", "id": i, "path": "photo", **more})
 
-def test_scan_with_boost(index):
-    total = search.hits_summary(search.image_search(index, image_query(boost=2.0))).head()
-    assert (total.total_hits, total.max_score) == (N, 4.0)
 
+def test_one_row_per_document_and_feature(index, tiles):
+    assert index.count() == 3 * COUNT and "photo" not in index.columns
+    assert {r.feature for r in index.select("feature").distinct().collect()} == {"EDGE_HISTOGRAM", "GABOR", "TAMURA"}
+    gain = {r.doc_id: r["sensor.gain"] for r in index.filter("feature = 'TAMURA'").collect()}
+    assert gain == {i: [i * 10] for i in tiles}
 
-def test_must_term(index):
-    rows = search.image_search(index, image_query(), pre_filter=F.col("name") == "name0").collect()
-    assert [r.name for r in rows] == ["name0"]
 
+def test_failures_are_rows(outcome):
+    errors = {r.doc_id: r.error for r in outcome.errors.collect()}
+    assert set(errors) == {100, 101} and errors[100] == "the document carries no image"
 
-def test_hash_with_limit(index):
-    assert first(search.image_search(index, image_query(hash="BIT_SAMPLING", limit=10))).score == 2.0
 
+def test_signatures_follow_the_mapping(index):
+    signed = {r.feature: (r.a, r.b) for r in index.groupBy("feature").agg(F.count("sig_lsh").alias("a"), F.count("sig_bit_sampling").alias("b")).collect()}
+    assert signed == {"EDGE_HISTOGRAM": (COUNT, 0), "GABOR": (COUNT, COUNT), "TAMURA": (0, 0)}
 
-def test_metadata_term(index):
-    wanted = F.array_contains("`exif_ifd0.x_resolution`", "72 dots per inch")
-    assert index.filter(wanted).select("doc_id").distinct().count() == N
 
+@pytest.mark.parametrize("how", [{}, {"hash": "BIT_SAMPLING"}, {"hash": "LSH", "limit": 3}, {"boost": 3.0}])
+def test_an_indexed_image_finds_itself(index, tiles, how):
+    best = search.top_hits(search.image_search(index, by_image(tiles, 7, **how)), 1).head()
+    assert (best.doc_id, best.score) == (7, 2.0 * how.get("boost", 1.0))
 
-def test_stored_document(index):
-    hits = search.image_search(index, stored_query())
-    assert hits.count() == N and (first(hits).name, first(hits).score) == ("name0", 2.0)
 
+def test_hash_without_mapping_is_an_error(index):
+    from lumisift.errors import QueryError
 
-def test_stored_document_with_hash(index):
-    best = first(search.image_search(index, stored_query(hash="BIT_SAMPLING")))
-    assert (best.name, best.score) == ("name0", 2.0)
+    with pytest.raises(QueryError, match="not mapped"):
+        search.image_search(index, by_document(3, hash="LSH"))
+    assert search.image_search(index, by_document(3, hash="LSH"), missing="empty").count() == 0
 
 
-def test_image_wins_over_stored_document(index):
-    asked = ImageQuery(field="img", feature="CEDD", image=IMAGES[0], index="test", type="test", id=5, path="img")
-    assert first(search.image_search(index, asked)).name == "name0"
+def test_lookup_with_other_conditions(index):
+    hits = search.image_search(index, by_document(3), where=F.array_contains("`sensor.gain`", 50) | (F.col("title") == "tile 2"))
+    assert {r.doc_id for r in hits.collect()} == {5} | {i for i in range(COUNT) if i % 4 == 2}
 
 
-def test_other_features_and_lsh(index):
-    for feature in ("JCD", "FCTH"):
-        assert first(search.image_search(index, image_query(feature=feature))).name == "name0"
-    assert first(search.image_search(index, image_query(feature="JCD", hash="LSH"), bundle_aware=True)).name == "name0"
+def test_decoded_once(outcome):
+    plan = outcome.index._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan  # the planes are read back from the table they were written to

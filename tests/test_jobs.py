@@ -56,42 +56,79 @@ def found(frame):
     return out
 
 
-@pytest.mark.parametrize("bound", [100, 4])
-def test_batch_in_scan_and_in_blocks(index, bound, monkeypatch):
-    monkeypatch.setattr(batch, "DOCS_PER_BLOCK", 20)
-    asked = [0, 1, 2, 3, 10, 31, 44]
+@pytest.mark.parametrize("queries_at_once", [100, 2])
+def test_batch_in_chunks_and_blocks(index, queries_at_once, monkeypatch):
+    monkeypatch.setattr(batch, "BLOCK_CELLS", 7 * queries_at_once)
+    asked, chunk = [0, 1, 2, 3, 10, 31, 44], queries_at_once * DIM
     queries = index.filter(F.col("doc_id").isin(asked)).select(F.col("doc_id").alias("query_id"), "vec")
-    assert found(batch.batch_topk(index, queries, 6, max_broadcast=bound)) == brute(asked, 6, lambda q, d: True)
-    hashed = batch.batch_topk(index, queries, 6, hash="bit_sampling", bundle_aware=True, max_broadcast=bound)
+    assert found(batch.batch_topk(index, queries, 6, chunk_numbers=chunk)) == brute(asked, 6, lambda q, d: True)
+    hashed = batch.batch_topk(index, queries, 6, hash="bit_sampling", bundle_aware=True, chunk_numbers=chunk)
     assert found(hashed) == brute(asked, 6, lambda q, d: any(a == b for a, b in zip(SIGS[q], SIGS[d])))
-    free = batch.batch_topk(index, queries, 6, hash="bit_sampling", max_broadcast=bound)
+    free = batch.batch_topk(index, queries, 6, hash="bit_sampling", chunk_numbers=chunk)
     assert found(free) == brute(asked, 6, lambda q, d: bool(set(SIGS[q]) & set(SIGS[d])))
 
 
+@pytest.mark.parametrize("per_shard", [True, False])
+@pytest.mark.parametrize("aware", [True, False])
+def test_batch_limit_keeps_the_largest_overlaps(index, per_shard, aware, monkeypatch):
+    monkeypatch.setattr(batch, "BLOCK_CELLS", 20)
+    asked = [1, 5, 8]
+    queries = index.filter(F.col("doc_id").isin(asked)).select(F.col("doc_id").alias("query_id"), "vec")
+    sharded = index.withColumn("shard", F.pmod("doc_id", F.lit(3)))
+    got = found(batch.batch_topk(sharded, queries, 5, hash="bit_sampling", bundle_aware=aware, limit=4, per_shard=per_shard))
+    for q in asked:
+        same = lambda d: sum(a == b for a, b in zip(SIGS[q], SIGS[d])) if aware else sum(h in set(SIGS[d]) for h in SIGS[q])  # noqa: B023, E731
+        kept = []
+        for shard in range(3) if per_shard else (None,):
+            of = [d for d in VECS if same(d) and (shard is None or d % 3 == shard)]
+            kept += sorted(of, key=lambda d: (-same(d), d))[:4]
+        assert got[q] == sorted(kept, key=lambda d: (-score(cosine(VECS[d], VECS[q])), d))[:5]
+
+
 def test_batch_metrics_equal_columns(index):
     from lumisift.functions.vectors import distance, int_literal
 
-    queries = index.filter("doc_id = 1").select(F.col("doc_id").alias("query_id"), "vec")
-    for metric in ("l1", "l2", "cosine", "tanimoto"):
-        rows = {r.doc_id: r.distance for r in batch.batch_topk(index, queries, 90, metric).collect()}
-        want = {r.doc_id: r.d for r in index.select("doc_id", distance(metric, F.col("vec"), int_literal(VECS[1])).alias("d")).collect()}
-        assert rows == want, metric
+    for metric in ("l1", "l2", "cosine", "tanimoto", "jsd", "layout"):
+        up = F.transform("vec", lambda x: x + 9000) if metric == "jsd" else F.slice("vec", 1, 12) if metric == "layout" else F.col("vec")
+        rows = index.select("doc_id", up.alias("vec"))
+        queries = rows.filter("doc_id = 1").select(F.col("doc_id").alias("query_id"), "vec")
+        vec = queries.head().vec
+        have = {r.doc_id: r.distance for r in batch.batch_topk(rows, queries, 90, metric).collect()}
+        want = {r.doc_id: r.d for r in rows.select("doc_id", distance(metric, F.col("vec"), int_literal(vec)).alias("d")).collect()}
+        assert have == pytest.approx(want, abs=2e-6 if metric in ("jsd", "layout") else 0), metric
 
 
-def test_same_image_edges(index):
-    anchors = {}
+def test_huge_bins_do_not_overflow(spark):
+    from lumisift.functions.vectors import distance, int_literal
+
+    rows = spark.createDataFrame([(1, [10**18, -3 * 10**17]), (2, [5, 7])], "doc_id bigint, vec array<bigint>")
+    vec = [-(10**18), 4 * 10**17]
+    for metric in ("l1", "l2", "cosine", "tanimoto"):
+        got = [r.d for r in rows.orderBy("doc_id").select(distance(metric, F.col("vec"), int_literal(vec)).alias("d")).collect()]
+        one = batch.pairwise(metric, np.array([[10**18, -3 * 10**17], [5, 7]]), np.array([vec]))[:, 0]
+        assert got == pytest.approx(list(one), rel=1e-12)
+    big = np.array([[26 * 10**16] * 16, [1] * 16])
+    planes, _ = hashing.plane_matrix("BIT_SAMPLING", 16)
+    signs = [[sum(int(a) * int(b) for a, b in zip(row, col)) >= 0 for col in planes.T] for row in big]
+    bits = np.array(signs).reshape(2, hashing.BUNDLES, hashing.BITS) @ (1 << np.arange(hashing.BITS))
+    assert (hashing.signatures_of("BIT_SAMPLING", big) == bits).all()
+    assert (hashing.signatures_of("BIT_SAMPLING", big)[0] == hashing.signatures_of("BIT_SAMPLING", big[1:])[0]).all()
+
+
+@pytest.mark.parametrize("shared,crowd", [(2, 64), (2, 3), (1, 3)])
+def test_same_image_is_complete(index, shared, crowd, monkeypatch):
+    monkeypatch.setattr(batch, "CROWD", crowd)
+    heads = {}
     for d in sorted(VECS):
-        for bundle, h in enumerate(SIGS[d]):
-            anchors.setdefault((bundle, h), d)
-    want = {}
-    for d in VECS:
-        for bundle, h in enumerate(SIGS[d]):
-            a = anchors[bundle, h]
-            if a < d:
-                want[a, d] = want.get((a, d), 0) + 1
-    want = {k: n for k, n in want.items() if n >= 3 and cosine(VECS[k[0]], VECS[k[1]]) <= 0.5}
-    got = {(r.anchor, r.doc_id): r.shared for r in batch.same_image(index, "BIT_SAMPLING", threshold=0.5, min_shared=3).collect()}
-    assert got == want and all((0, d) in got for d in VECS if d % 3 == 0 and d)
+        heads.setdefault(tuple(VECS[d]), d)
+    want = {(heads[tuple(v)], d): hashing.BUNDLES for d, v in VECS.items() if heads[tuple(v)] != d}
+    for a in heads.values():
+        for b in heads.values():
+            n = sum(x == y for x, y in zip(SIGS[a], SIGS[b]))
+            if a < b and n >= shared and cosine(VECS[a], VECS[b]) <= 0.5:
+                want[a, b] = n
+    got = [(r.a, r.b, r.shared) for r in batch.same_image(index, "BIT_SAMPLING", threshold=0.5, min_shared=shared).collect()]
+    assert {(a, b): n for a, b, n in got} == want and len(got) == len(want)
 
 
 def test_quality_and_term_statistics(index):
@@ -111,20 +148,27 @@ def read_stream(spark, path, files=1):
     return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def test_ingest_survives_a_replay(spark, index, tmp_path):
+def test_ingest_replays_updates_and_fresh_checkpoints(spark, index, tmp_path):
     source = str(tmp_path / "in")
-    index.select("doc_id", "vec").repartition(3, "doc_id").write.parquet(source)
+    first = index.select("doc_id", F.lit(0).alias("version"), "vec")
+    first.repartition(3, "doc_id").write.parquet(source)
     paths = [str(tmp_path / "features"), str(tmp_path / "postings")]
-    ingest.start_ingest(read_stream(spark, source), lambda b: b, *paths, str(tmp_path / "c1")).awaitTermination()
+    run = lambda path, checkpoint, files=1: ingest.start_ingest(read_stream(spark, path, files), lambda b: b, *paths, str(tmp_path / checkpoint)).awaitTermination()
+    run(source, "c1")
     assert spark.read.parquet(paths[1]).count() == 90 * 50
-    # the same batches once more, as after a lost commit
-    ingest.start_ingest(read_stream(spark, source), lambda b: b, *paths, str(tmp_path / "c2")).awaitTermination()
+    # a second version of some documents and a repetition of others, in later batches of the same stream
+    first.filter("doc_id < 10").withColumns({"version": F.lit(1), "vec": F.transform("vec", lambda x: -x)}).write.mode("append").parquet(source)
+    first.filter("doc_id < 20").write.mode("append").parquet(source)
+    run(source, "c1")
+    latest = {r.doc_id: (r.version, r.sig_bit_sampling) for r in ingest.ingested(spark, paths[0]).collect()}
+    flipped = {d: [int(h) for h in hashing.signatures_of("BIT_SAMPLING", -np.array([VECS[d]]))[0]] for d in range(10)}
+    assert latest == {d: (1, flipped[d]) if d < 10 else (0, SIGS[d]) for d in VECS}
     assert ingest.ingested(spark, paths[1]).count() == 90 * 50
-    assert {r.doc_id: r.sig_bit_sampling for r in spark.read.parquet(paths[0]).collect()} == SIGS
-    # later files only add
-    index.select((F.col("doc_id") + 1000).alias("doc_id"), "vec").write.mode("append").parquet(source)
-    ingest.start_ingest(read_stream(spark, source, 100), lambda b: b, *paths, str(tmp_path / "c2")).awaitTermination()
-    assert spark.read.parquet(paths[1]).select("doc_id").distinct().count() == 180
+    # other files with a new checkpoint keep what is there
+    other = str(tmp_path / "other")
+    first.filter("doc_id < 5").withColumn("doc_id", F.col("doc_id") + 1000).write.parquet(other)
+    run(other, "c2", 100)
+    assert {r.doc_id for r in ingest.ingested(spark, paths[0]).collect()} == {*VECS, *range(1000, 1005)}
 
 
 def test_incoming_images_are_matched(spark, index, tmp_path):
