@@ -21,9 +21,10 @@ import tiktoken
 from pyspark.sql import DataFrame
 
 from lumisift.llm.byte_pieces import all_chars, byte_chars, chunks, groups, splitter
+from lumisift.llm.workers import hold
 
 #: Parts a worker remembers before it starts afresh; bounds its memory (about 200 bytes each), never the result.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -125,6 +126,7 @@ def coder(path: str) -> ByteBpe:
 
 def _mapped(df: DataFrame, id_col: str, text_col: str, path: str, schema: str, columns) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("byte_bpe", coder.cache_clear)
         own = coder(path)
         for batch in batches:
             texts = [text or "" for text in batch.column(1).to_pylist()]
@@ -151,6 +153,7 @@ def decoded(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "id
     """Texts of packed ids, the inverse of `encoded`; null ids give a null text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("byte_bpe", coder.cache_clear)
         own = coder(path)
         for batch in batches:
             texts = [None if ids is None else own.decode(ids).decode("utf-8", "replace") for ids in batch.column(1).to_pylist()]

@@ -28,13 +28,14 @@ from pyspark.sql.functions import pandas_udf
 
 from lumisift.llm.components import components
 from lumisift.llm.stored import stored
+from lumisift.llm.workers import hold
 
 #: Keys of a collection, minhashes of a key, documents of a bucket from which on it is split.
 M, R, CROWD = 14, 3, 12
 #: Bits of an odd sketch, a multiple of 64.
 BITS = 1024
 #: Words whose hashes a worker remembers; bounds memory, never the result.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 @functools.cache
@@ -98,6 +99,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     """`id, n_shingles, digest, odd, first, second, third` of documents `id, text`; all after the size are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("near_dedup", _words.cache_clear)
         for batch in batches:
             rows = []
             for text in batch.column(1):
@@ -120,6 +122,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 
     @pandas_udf("array<bigint>")
     def sets(texts: pd.Series) -> pd.Series:
+        hold("near_dedup", _words.cache_clear)
         return pd.Series([shingle_hashes(text, width).view(np.int64) for text in texts], dtype=object)
 
     asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()

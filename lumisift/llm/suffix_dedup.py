@@ -31,11 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumisift.llm.stored import stored
+from lumisift.llm.workers import hold
 
 #: Bytes of a repeated string and of the grams whose hashes make keys.
 WINDOW, GRAM = 50, 24
 #: Windows of a segment at most, bytes of text handled at a time, and bytes of text for each bucket.
-RUN, PART, BUCKET_BYTES = 64, 4_000_000, 6_000_000
+RUN, PART, BUCKET_BYTES = 64, 3_000_000, 6_000_000
 
 
 def window_keys(data: np.ndarray) -> np.ndarray:
@@ -78,6 +79,8 @@ def repeated_keys(docs: DataFrame, buckets: int) -> DataFrame:
     rows as there are buckets with such keys."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("suffix_dedup", int)
+
         def flush() -> pa.RecordBatch:
             key, doc = np.concatenate(keys), np.concatenate(owner).astype(np.int32)
             bucket = (key % np.uint64(buckets)).astype(np.int64)

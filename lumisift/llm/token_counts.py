@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame
 from tokenizers import Regex, pre_tokenizers
 
 from lumisift.llm.byte_pieces import all_chars, byte_chars, chunks, groups, splitter
+from lumisift.llm.workers import hold
 
 #: Pieces a worker remembers before it starts afresh; bounds its memory (about 150 bytes each), never the result.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 
 @functools.cache
@@ -157,11 +158,11 @@ class PrefixCounter:
                 yield part, 1
             else:
                 found = self.pieces(part)
-                self.forget()
                 self.learn({p for p in found if p not in self.whole})
                 yield from ((p, self.whole[p]) for p in found)
 
     def count(self, text: str) -> int:
+        self.forget()
         return sum(n for _, n in self.parts(text))
 
     def count_all(self, texts: list[str]) -> list[int]:
@@ -180,7 +181,7 @@ class PrefixCounter:
             for c, found in split.items():
                 (first if isinstance(c, tuple) else parts)[c] = sum(map(whole.__getitem__, found))
             for text, c in zip(group, cut, strict=True):
-                out.append(self.count(text) if c is None else first[(c[0],)] + sum(map(parts.__getitem__, c[1:])))
+                out.append(sum(n for _, n in self.parts(text)) if c is None else first[(c[0],)] + sum(map(parts.__getitem__, c[1:])))
         return out
 
     def prefixes(self, text: str) -> list[int]:
@@ -229,6 +230,7 @@ def token_counts(df: DataFrame, path: str, limit: int, id_col: str = "doc_id", t
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("token_counts", counter.cache_clear)
         count = counter(path).count_all
         for batch in batches:
             texts = [text or "" for text in batch.column(1).to_pylist()]
@@ -248,6 +250,7 @@ def truncated(df: DataFrame, path: str, budget: int, id_col: str = "doc_id", tex
     n_tokens`). Nulls count as empty texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("token_counts", counter.cache_clear)
         own = counter(path)
         for batch in batches:
             cut, tokens = [], []

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from lumisift.llm.workers import hold
+
 #: Rows of the embedding table, its width, filters of each width, and the widths.
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 17, 8, 6, (1, 2, 3)
 #: Bounds of the sample a model is fitted and calibrated on: documents of each label, words of a document.
@@ -30,7 +32,7 @@ FIT_ROWS, FIT_WORDS = 5_000, 3_000
 #: Threshold of languages with fewer than `LEAST` toxic or other documents in the calibration sample.
 DEFAULT, LEAST = 0.7, 20
 #: Words a worker remembers, and words scored at a time; both bound memory, never the result.
-REMEMBERED, STRIDE = 400_000, 200_000
+REMEMBERED, STRIDE = 150_000, 100_000
 _WORD = re.compile(r"\w+")
 _EDGE = max(WIDTHS) - 1
 
@@ -196,7 +198,8 @@ class Scorer:
             made = self.model.project(np.array([features(w) for w in new]))
             used = len(self.place)
             if used + len(new) > len(self.rows):
-                self.rows = np.concatenate([self.rows[:used], np.zeros((max(len(new), used), self.rows.shape[1]), np.float32)])
+                more = max(len(new), min(used, 20_000))
+                self.rows = np.concatenate([self.rows[:used], np.zeros((more, self.rows.shape[1]), np.float32)])
             self.rows[used : used + len(new)] = made
             self.place.update(zip(new, range(used, used + len(new)), strict=True))
 
@@ -289,6 +292,7 @@ def score_column(model: Convolution, spark: SparkSession, text: Column) -> Colum
 
     @pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hold("toxicity", int)  # what others left goes; a scorer ends with its task
         scorer = Scorer(shared.value)
         for texts in batches:
             yield pd.Series([scorer.score(text or "") for text in texts], dtype=float)
