@@ -112,12 +112,12 @@ def without_repeats(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     """The table with later copies of repeated runs of lines deleted from its texts, and `n_lines` (all lines) and
     `n_removed`.
 
-    Null texts stay null and have no lines; lines without a word always stay. Ids are integers, a null one is before
-    all others. Rows with equal id and text are one document; of rows with equal ids the texts' order is arbitrary but
+    Null texts stay null and have no lines; lines without a word always stay. Ids are integers; a row with a
+    null one keeps its text and deletes nothing. Rows with equal id and text are one document; of rows with equal ids the texts' order is arbitrary but
     fixed. Columns of the input named like the new ones are replaced, all others stay; an empty table gives no rows.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    gone = stored(deleted_lines(docs, min_words), "gone").withColumnsRenamed({"id": "__id", "version": "__version", "gone": "__gone"})
+    gone = stored(deleted_lines(docs.where("id is not null"), min_words), "gone").withColumnsRenamed({"id": "__id", "version": "__version", "gone": "__gone"})
 
     @pandas_udf("bigint")
     def version(texts: pd.Series) -> pd.Series:
@@ -135,7 +135,7 @@ def without_repeats(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
         return pd.Series(out, dtype=object)
 
     own = df.withColumn("__own", version(F.col(text_col)))
-    both = own.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__version")), "left")
+    both = own.join(gone, (F.col(id_col).cast("long") == F.col("__id")) & (F.col("__own") == F.col("__version")), "left")
     lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(F.col(text_col), "\n")))
     both = both.withColumns({"n_lines": lines.cast("long"), "n_removed": F.coalesce(F.size("__gone"), F.lit(0)).cast("long")})
     return both.withColumn(text_col, rest(F.col(text_col), F.col("__gone"))).drop("__own", "__id", "__version", "__gone")

@@ -171,7 +171,7 @@ def test_line_cases(spark):
     line = "one two three four five six seven eight nine ten"
     rows = [(2, line), (2, line), (None, line), (1, f"{line}\n{line}\nrest"), (3, "")]
     got = Counter((r.doc_id, r.text) for r in line_dedup.without_repeats(frame(spark, rows)).collect())
-    assert got == Counter([(2, ""), (2, ""), (None, line), (1, "rest"), (3, "")])
+    assert got == Counter([(2, ""), (2, ""), (None, line), (1, f"{line}\nrest"), (3, "")])
     assert line_dedup.without_repeats(frame(spark, [])).count() == 0
 
 
@@ -203,7 +203,8 @@ def test_leaks(spark):
     table, bench = frame(spark, [(*d, "x") for d in docs], "doc_id bigint, text string, score string"), frame(spark, items, "item_id bigint, text string")
     got = [(r.doc_id, r.item_id) for r in decontamination.leaks(table, bench).collect()]
     want = brute_leaks(docs, items)
-    assert set(got) == want and len(want) > 20 and got.count((202, got and next(i for d, i in got if d == 202))) == 2
+    assert set(got) == want and len(want) > 10
+    assert sorted(i for d, i in got if d == 202) == sorted([i for d, i in got if d == 0] * 2)
     clean = decontamination.clean(table, bench)
     assert {r.doc_id for r in clean.collect()} == {d for d, _ in docs} - {d for d, _ in want} and clean.columns == table.columns
     assert decontamination.leaks(table, bench.limit(0)).count() == 0 and decontamination.leaks(table.limit(0), bench).count() == 0
