@@ -27,7 +27,7 @@ def test_boost_and_explanation(spark):
     score = score_of(F.col("d"), 2.0)
     hit, miss = [r.e for r in rows.select(explanation(score, 2.0).alias("e")).collect()]
     assert (hit.matched, hit.value, hit.boost, hit.image_score) == (True, 4.0, 2.0, 2.0)
-    assert (miss.matched, miss.value, miss.description) == (False, 0.0, "no matching term")
+    assert (miss.matched, miss.value, miss.description) == (False, 0.0, "not a candidate of this clause")
     plain = rows.limit(1).select(explanation(score_of(F.col("d")), 1.0).alias("e")).head().e
     assert plain.boost is None
 
