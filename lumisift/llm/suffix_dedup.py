@@ -146,15 +146,27 @@ class Shards:
         self.buckets = buckets
         self.first: dict[bytes, list] = {}  # segment -> [document, starts, key]
         self.size = 0
+        self.union = bytearray()  # texts of the segments, what neighbours share once
+        self.ends: list[int] = []  # of the pieces of the union
+        self.place: list[int] = []  # of each segment in it
 
     def add(self, doc: int, text: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, covered: dict[int, list]) -> None:
         """Take a document's segments. What an earlier document's equal segment settles goes to `covered`."""
+        piece_end = -1  # of the last piece of the union, in this text
         for a, b, key in zip(starts.tolist(), ends.tolist(), keys.tolist(), strict=True):
             segment = text[a : b + WINDOW - 1]
             had = self.first.get(segment)
             if had is None:
                 self.first[segment] = [doc, [a], key]
                 self.size += len(segment)
+                if a < piece_end:
+                    self.union += text[piece_end : b + WINDOW - 1]
+                    self.ends[-1] = len(self.union)
+                else:
+                    self.union += segment
+                    self.ends.append(len(self.union))
+                piece_end = b + WINDOW - 1
+                self.place.append(len(self.union) - (piece_end - a))
             elif had[0] == doc:
                 had[1].append(a)
             elif had[0] < doc:
@@ -175,7 +187,7 @@ class Shards:
         owner = np.repeat(np.arange(len(segments), dtype=np.int32), length)
         start = np.concatenate([[0], np.cumsum(length)[:-1]])
         left = (np.repeat(start + length, length) - np.arange(len(text))).astype(np.int32)  # bytes from a suffix's start to its segment's end
-        order = suffix_order(text, left)
+        order = self._order(np.repeat(np.array(self.place) - start, length) + np.arange(len(text)), left)
         bucket = np.array([v[2] for v in self.first.values()], np.uint64) % np.uint64(self.buckets)
         place = bucket[owner[order]]
         split = np.argsort(place, kind="stable")  # keeps the sorted order within a bucket
@@ -200,6 +212,41 @@ class Shards:
             }
 
 
+    def _order(self, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """The order of the segments' suffixes, which begin `at` places of the union and are `left` bytes long.
+
+        Segments of one text overlap, so only the union's suffixes are sorted. A suffix that is cut off after `left`
+        bytes stands before all that continue it: at the first place of the union's order with which it shares them,
+        shorter ones first.
+        """
+        text = np.frombuffer(bytes(self.union), np.uint8)
+        ends = np.array(self.ends)
+        rest = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(text))
+        rest = np.minimum(rest, RUN + WINDOW).astype(np.int32)
+        order = suffix_order(text, rest)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        common = np.zeros(len(order), np.int16)  # bytes shared with the suffix before, in order
+        active, depth = np.arange(1, len(order)), 0
+        while len(active):
+            a, b = order[active - 1], order[active]
+            longer = (rest[a] > depth) & (rest[b] > depth)
+            active, a, b = active[longer], a[longer], b[longer]
+            active = active[text[a + depth] == text[b + depth]]
+            depth += 1
+            common[active] = depth
+        key = np.empty(len(at), np.int64)
+        by_length = np.argsort(left.astype(np.uint8), kind="stable")
+        bounds = np.searchsorted(left[by_length], np.arange(1, RUN + WINDOW + 1))
+        here = np.arange(len(order), dtype=np.int32)
+        for n, a, b in zip(range(1, RUN + WINDOW), bounds[:-1], bounds[1:], strict=True):
+            if a < b:
+                first = np.maximum.accumulate(np.where(common < n, here, 0))
+                rows = by_length[a:b]
+                key[rows] = first[rank[at[rows]]].astype(np.int64) * 256 + n
+        return np.argsort(key, kind="stable").astype(np.int32)
+
+
 def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Positions sorted by their suffixes, each `left` bytes long; a suffix that ends is before its continuations, and
     equal suffixes stay in order of position. Seven bytes and how many of them there are make one key; ties only are
@@ -279,15 +326,16 @@ class Merge:
         segment, left = self.walk()
         lone = self.same[segment] == segment  # of equal segments one takes part
         self.segment, self.left = segment, left
-        rows = np.flatnonzero(lone & (self.before > 0))  # every suffix of one byte, through the row after it
-        group = np.zeros(len(rows), np.int64)
+        rows = np.flatnonzero(lone & (self.before > 0)).astype(np.int32)  # every suffix of one byte, through the row after it
+        group = np.zeros(len(rows), np.int32)
+        done = rows, group
         for _ in range(WINDOW):
             order = np.argsort(self.before[rows], kind="stable")
             byte, came, rows = self.before[rows][order], group[order], self.longer[rows][order]
-            new = np.concatenate([[True], (byte[1:] != byte[:-1]) | (came[1:] != came[:-1])]) if len(rows) else np.zeros(0, bool)
-            group = np.cumsum(new) - 1
-            shared = np.bincount(group, minlength=1)[group] > 1 if len(rows) else new
-            rows, group = rows[shared], group[shared]
+            new = np.ones(len(rows) + 1, bool)  # a boundary before each row, and one at the end
+            new[1:-1] = (byte[1:] != byte[:-1]) | (came[1:] != came[:-1])
+            shared = ~(new[:-1] & new[1:])
+            rows, group = rows[shared], (np.cumsum(new[:-1], dtype=np.int32) - 1)[shared]
             done = rows, group
             further = self.before[rows] > 0
             rows, group = rows[further], group[further]
