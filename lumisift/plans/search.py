@@ -146,7 +146,7 @@ def _mapped(index: DataFrame, query: ImageQuery) -> bool:
     if column not in index.columns:
         return False
     rows = clause_rows(index, query.field, query.feature)
-    return rows.limit(1).count() == 0 or rows.filter(F.col(column).isNotNull()).limit(1).count() > 0
+    return rows.filter(F.col(column).isNotNull()).limit(1).count() > 0 or rows.limit(1).count() == 0
 
 
 def image_search(
