@@ -60,6 +60,20 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE word AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+held AS (SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws ELSE
+    list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS shingles FROM word),
+member AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM held),
+link AS (SELECT x.doc_id AS a, y.doc_id AS b FROM member x JOIN member y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))),
+reach AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.doc_id)
+SELECT h.doc_id, len(h.shingles) AS n_shingles, r.root AS component_id, h.doc_id = r.root AS kept
+FROM held h JOIN (SELECT doc_id, min(root) AS root FROM reach GROUP BY 1) r ON r.doc_id = h.doc_id"""
+ORACLES["op5_near_duplicates"] = NEAR_DUPLICATES
+
+
 @query
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2)
@@ -70,6 +84,25 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed(table(spark, sf_dir, "documents")).drop("kept")
 
 
+LINE_DEDUP = r"""
+WITH whole AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+line AS (SELECT doc_id, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line FROM whole),
+used AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w
+  FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+total AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY i) AS t FROM used),
+reach AS (SELECT a.doc_id, a.i, b.i AS j FROM total a JOIN total b ON b.doc_id = a.doc_id AND b.i BETWEEN a.i AND a.i + 9
+  WHERE b.t - a.t + a.w >= 10),
+span AS (SELECT doc_id, i, min(j) AS j FROM reach GROUP BY 1, 2 UNION SELECT doc_id, max(i), j FROM reach GROUP BY doc_id, j),
+body AS (SELECT s.doc_id, s.i, s.j, string_agg(c.line, chr(10) ORDER BY c.i) AS body
+  FROM span s JOIN total c ON c.doc_id = s.doc_id AND c.i BETWEEN s.i AND s.j GROUP BY 1, 2, 3),
+later AS (SELECT doc_id, i, j FROM (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, i) AS place FROM body) WHERE place > 1),
+gone AS (SELECT DISTINCT l.doc_id, c.pos FROM later l JOIN total c ON c.doc_id = l.doc_id AND c.i BETWEEN l.i AND l.j),
+kept AS (SELECT line.doc_id, count(gone.pos) AS n_removed, string_agg(line, chr(10) ORDER BY line.pos) FILTER (gone.pos IS NULL) AS rest
+  FROM line LEFT JOIN gone ON gone.doc_id = line.doc_id AND gone.pos = line.pos GROUP BY 1)
+SELECT w.doc_id, len(w.ls) AS n_lines, k.n_removed, sha256(coalesce(k.rest, '')) AS kept_sha256 FROM whole w JOIN kept k ON k.doc_id = w.doc_id"""
+ORACLES["op6_line_dedup"] = LINE_DEDUP
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
