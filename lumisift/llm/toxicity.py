@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -147,7 +147,7 @@ class Convolution:
         x = self.table[ids].sum(1)
         return np.concatenate([x @ f[k] for f in self.filters for k in range(len(f))], 1)
 
-    def logits(self, projected: list[np.ndarray]) -> np.ndarray:
+    def logits(self, projected: Iterable[np.ndarray]) -> np.ndarray:
         return np.array([self.logit(iter([p])) for p in projected])
 
     def logit(self, pieces: Iterator[np.ndarray]) -> float:
@@ -247,7 +247,7 @@ def fit(
     aside = np.array([zlib.crc32(f"calibrate {i}".encode()) % 5 == 0 for i in sample["id"]])
     model.fit([r for r, a in zip(rows, aside, strict=True) if not a], toxic[~aside])
     if aside.any() and 0 < toxic[aside].sum() < aside.sum():
-        logits = model.logits([model.project(r) for r, a in zip(rows, aside, strict=True) if a])
+        logits = model.logits(model.project(r) for r, a in zip(rows, aside, strict=True) if a)
         model.scale = a, b = _logistic(logits, toxic[aside])
         scores, langs = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30))), sample["lang"].to_numpy()[aside]
         for lang in np.unique(langs) if lang_col else ():
