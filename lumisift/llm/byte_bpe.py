@@ -20,7 +20,7 @@ import sentencepiece
 import tiktoken
 from pyspark.sql import DataFrame
 
-from lumisift.llm.byte_pieces import all_chars, byte_chars, chunks, groups, splitter
+from lumisift.llm.byte_pieces import all_chars, byte_chars, chunks, groups, small, splitter
 from lumisift.llm.workers import hold
 
 #: Parts a worker remembers before it starts afresh; bounds its memory (about 200 bytes each), never the result.
@@ -128,7 +128,7 @@ def _mapped(df: DataFrame, id_col: str, text_col: str, path: str, schema: str, c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("byte_bpe", coder.cache_clear)
         own = coder(path)
-        for batch in batches:
+        for batch in small(batches):
             texts = [text or "" for text in batch.column(1).to_pylist()]
             rows = [columns(own, packed) for packed in own.encode_all(texts)]
             made = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]

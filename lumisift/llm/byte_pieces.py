@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 
 #: White space as the Unicode property has it (the standard engine also counts four separators).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -73,6 +75,13 @@ def groups(texts: list[str], chars: int = 2_000_000):
         yield group
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `rows`, so that what is made of a batch stays small next to the batch."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 @functools.cache
 def byte_chars() -> list[str]:
     """The printable stand-in of every byte: itself if it is printable, else the next free character from 256 on."""

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Regex, pre_tokenizers
 
-from lumisift.llm.byte_pieces import all_chars, byte_chars, chunks, groups, splitter
+from lumisift.llm.byte_pieces import all_chars, byte_chars, chunks, groups, small, splitter
 from lumisift.llm.workers import hold
 
 #: Pieces a worker remembers before it starts afresh; bounds its memory (about 150 bytes each), never the result.
@@ -232,7 +232,7 @@ def token_counts(df: DataFrame, path: str, limit: int, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("token_counts", counter.cache_clear)
         count = counter(path).count_all
-        for batch in batches:
+        for batch in small(batches):
             texts = [text or "" for text in batch.column(1).to_pylist()]
             tokens, sizes = count(texts), [len(text.encode()) for text in texts]
             yield pa.RecordBatch.from_arrays(
