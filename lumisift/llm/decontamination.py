@@ -1,15 +1,16 @@
-"""Benchmark decontamination: every training passage asks a BM25 index of test items, and what it finds is verified.
-
-Test items are cut into segments of at most `SEGMENT` words, which are the index's documents; a training text is read
-in passages of twice that length, half overlapping, so that any run of a segment's length lies in one of them. A
-segment's threshold is the least score of a passage that holds four fifths of its word shingles: missing so many
-shingles costs at most as many words, so it is the segment's own score less its heaviest terms. Weights are divided by
-that threshold, and everything from 1 on is retrieved; nothing that verification would accept is lost.
-
-As in block-max WAND, terms whose weights cannot lift a segment to its threshold start no search (for each segment its
-commonest terms), and a block of segments is scored only if the sum of its terms' block maxima reaches the threshold.
-Retrieved segments are verified by their shingles, and an item counts as leaked into a document if the passages cover
-`OVERLAP` of the item's shingles; the shares of its question and of its answer are reported.
+"""Benchmark decontamination: every training document asks a BM25 index of test items, and what it finds is verified.
+
+A document asks with the words of all its passages together, so it does not matter where in it the parts of an item
+stand. An item's threshold is the least score of a document that holds four fifths of its word shingles. Missing so many
+shingles costs at most as many words: around a shingle that is there, a missing word first met to the right ends a
+missing shingle of its own, one only met to the left starts one. So the threshold is the item's own score less its
+heaviest terms. Weights are divided by it, and everything from 1 on is retrieved; nothing that verification would accept
+is lost.
+
+As in block-max WAND, terms whose weights cannot lift an item to its threshold start no search (for each item its
+commonest terms), and a block of items is scored only if the sum of its terms' block maxima reaches the threshold.
+A retrieved item is verified by its shingles: it counts as leaked into a document if the whole document holds `OVERLAP`
+of them, in one place or in many; the shares of its question and of its answer are reported.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-#: Words of a shingle, share of an item's shingles that makes a leak, words of a segment, segments of a block.
-SHINGLE, OVERLAP, SEGMENT, BLOCK = 5, 0.8, 64, 32
+#: Words of a shingle, share of an item's shingles that makes a leak, items of a block.
+SHINGLE, OVERLAP, BLOCK = 5, 0.8, 32
 #: BM25 parameters.
 K1, B = 1.2, 0.75
 #: Items of one index. Larger benchmarks take as many passes over the training texts as they have parts of this size.
@@ -50,11 +51,10 @@ def split_answer(text: str) -> tuple[str, str]:
 
 
 class BlockMaxIndex:
-    """Segments of test items with BM25 weights relative to each segment's threshold."""
+    """Test items with BM25 weights relative to each item's threshold."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.items, self.segments = [], []  # (id, shingles, question's, answer's); (item, shingles, weights)
-        cut = []
+        self.items, self.weights, texts = [], [], []  # (id, shingles, question's, answer's); of each item's terms; its words
         for item, text in items:
             words = words_of(text or "")
             whole = shingles(words)
@@ -63,48 +63,42 @@ class BlockMaxIndex:
             n_question = len(words_of(split_answer(text)[0]))
             answer = shingles(words[max(0, n_question - SHINGLE + 1) :]) if n_question < len(words) else set()
             self.items.append((item, whole, shingles(words[:n_question]), answer))
-            parts = max(1, math.ceil((len(words) - SHINGLE + 1) / (SEGMENT - SHINGLE + 1)))
-            step = math.ceil((len(words) - SHINGLE + 1) / parts)
-            for i in range(parts):  # segments share four words, so every shingle is in one of them
-                part = words[i * step : (i + 1) * step + SHINGLE - 1]
-                if len(part) >= SHINGLE:
-                    cut.append((len(self.items) - 1, part))
-        frequency = Counter(t for _, part in cut for t in set(part))
-        mean = sum(len(part) for _, part in cut) / max(1, len(cut))
-        idf = {t: math.log(1 + (len(cut) - n + 0.5) / (n + 0.5)) for t, n in frequency.items()}
+            texts.append(words)
+        frequency = Counter(t for words in texts for t in set(words))
+        mean = sum(map(len, texts)) / max(1, len(texts))
+        idf = {t: math.log(1 + (len(texts) - n + 0.5) / (n + 0.5)) for t, n in frequency.items()}
         self.start: dict[str, list[int]] = defaultdict(list)
         self.block_max: dict[str, dict[int, float]] = defaultdict(dict)
-        for item, part in cut:
-            own = shingles(part)
-            norm = K1 * (1 - B + B * len(part) / mean)
-            weight = {t: idf[t] * n * (K1 + 1) / (n + norm) for t, n in Counter(part).items()}
-            missing = math.floor((1 - OVERLAP) * len(own) + 1e-9)
+        for at, words in enumerate(texts):
+            norm = K1 * (1 - B + B * len(words) / mean)
+            weight = {t: idf[t] * n * (K1 + 1) / (n + norm) for t, n in Counter(words).items()}
+            missing = math.floor((1 - OVERLAP) * len(self.items[at][1]) + 1e-9)
             least = sum(sorted(weight.values())[: max(1, len(weight) - missing)]) * (1 - 1e-9)
-            weight = {t: w / least for t, w in weight.items()}
-            at, left = len(self.segments), 1.0
+            weight, left = {t: w / least for t, w in weight.items()}, 1.0
             for t in sorted(weight, key=lambda t: (-frequency[t], t)):  # the commonest together stay below the threshold
                 left -= weight[t]
                 if left <= 0:
                     self.start[t].append(at)
             for t, w in weight.items():
                 self.block_max[t][at // BLOCK] = max(w, self.block_max[t].get(at // BLOCK, 0.0))
-            self.segments.append((item, own, weight))
+            self.weights.append(weight)
         self.start, self.block_max = dict(self.start), dict(self.block_max)
 
     def retrieve(self, terms: set[str], starting: list[str]) -> Iterator[tuple[int, float]]:
-        """Segments that a passage's terms lift to their threshold, with their scores; `starting`: those of its terms
-        that start a search."""
+        """Items that a document's terms lift to their threshold, with their scores; `starting`: those of its terms that
+        start a search."""
         blocks = defaultdict(set)
         for t in starting:
-            for s in self.start[t]:
-                blocks[s // BLOCK].add(s)
+            for i in self.start[t]:
+                blocks[i // BLOCK].add(i)
+        known = [m for t in terms if (m := self.block_max.get(t))] if blocks else []
         for block, found in blocks.items():
-            if len(found) > 1 and sum(m[block] for t in terms if (m := self.block_max.get(t)) and block in m) < 1:
+            if len(found) > 1 and sum(m[block] for m in known if block in m) < 1:
                 continue
-            for s in found:
-                score = sum(w for t, w in self.segments[s][2].items() if t in terms)
+            for i in found:
+                score = sum(w for t, w in self.weights[i].items() if t in terms)
                 if score >= 1:
-                    yield s, score
+                    yield i, score
 
     def leaks(self, text: str) -> list[dict]:
         """Items leaked into a text."""
@@ -112,29 +106,14 @@ class BlockMaxIndex:
         start = self.start
         if start.keys().isdisjoint(words):
             return []
-        passages = defaultdict(list)  # a passage is two strides long
-        for i, w in enumerate(words):
-            if w in start:
-                passages[i // SEGMENT].append(w)
-                if i >= SEGMENT:
-                    passages[i // SEGMENT - 1].append(w)
-        seen, best = defaultdict(set), defaultdict(float)
-        for p, starting in passages.items():
-            part = words[p * SEGMENT : (p + 2) * SEGMENT]
-            own = None
-            for s, score in self.retrieve(set(part), list(dict.fromkeys(starting))):
-                own = own or shingles(part)
-                item, wanted, _ = self.segments[s]
-                hit = wanted & own
-                if len(hit) >= OVERLAP * len(wanted) - 1e-9:
-                    seen[item] |= hit
-                    best[item] = max(best[item], score)
-        out = []
-        for item, hit in seen.items():
-            item_id, whole, question, answer = self.items[item]
+        terms, own, out = set(words), None, []
+        for i, score in self.retrieve(terms, [t for t in terms if t in start]):
+            own = own or shingles(words)
+            item_id, whole, question, answer = self.items[i]
+            hit = whole & own
             if len(hit) >= OVERLAP * len(whole) - 1e-9:
                 share = lambda of: len(hit & of) / len(of) if of else None  # noqa: E731, B023
-                out.append({"item_id": item_id, "score": best[item], "overlap": len(hit) / len(whole), "question_overlap": share(question), "answer_overlap": share(answer)})
+                out.append({"item_id": item_id, "score": score, "overlap": len(hit) / len(whole), "question_overlap": share(question), "answer_overlap": share(answer)})
         return sorted(out, key=lambda x: x["item_id"])
 
 

@@ -218,6 +218,33 @@ def test_long_items_are_cut_and_found_whole(spark):
     assert [(r.doc_id, r.item_id, r.overlap) for r in got] == [(1, 7, 1.0)]
 
 
+def test_leaks_agree_with_whole_documents(spark):
+    """Items of 65 to 400 words of which 75 to 95 % are present, at one end, with words changed or in pieces far apart."""
+    rng = random.Random(11)
+    items = [(i, prose(rng, n)) for i, n in enumerate([65] * 8 + [rng.randint(66, 400) for _ in range(32)] + [30] * 10)]
+    items += [(60, " ".join([prose(rng, 40)] * 3)), (61, "one two three four five " * 20 + prose(rng, 60))]
+    docs = [(0, prose(rng, 20) + " " + " ".join(items[0][1].split()[:56]) + " " + prose(rng, 20))]
+    for i in range(1, 300):
+        words = rng.choice(items)[1].split()
+        keep = round(len(words) * rng.uniform(0.75, 0.95))
+        if i % 3 == 0:
+            words = words[:keep]
+        elif i % 3 == 1:
+            for at in rng.sample(range(len(words)), max(1, (len(words) - keep) // 4)):
+                words[at] = "changed"
+        cut = sorted(rng.sample(range(len(words)), rng.randint(0, 3)))
+        pieces = [" ".join(words[a:b]) for a, b in zip([0, *cut], [*cut, len(words)], strict=True)]
+        docs.append((i, f" {prose(rng, rng.choice([90, 200]))} ".join(["", *pieces, ""])))
+    held = {d: decontamination.shingles(decontamination.words_of(t)) for d, t in docs}
+    wanted = {i: decontamination.shingles(decontamination.words_of(t)) for i, t in items}
+    want = {(d, i, len(w & h) / len(w)) for d, h in held.items() for i, w in wanted.items() if 10 * len(w & h) >= 8 * len(w)}
+    bench = frame(spark, items, "item_id bigint, text string")
+    got = [(r.doc_id, r.item_id, r.overlap) for r in decontamination.leaks(frame(spark, docs), bench).collect()]
+    assert Counter(got) == Counter(want) and 60 < len(want) < 290 and any(d == 0 for d, _, _ in want)
+    left = {r.doc_id for r in decontamination.clean(frame(spark, docs), bench).collect()}
+    assert left == held.keys() - {d for d, _, _ in want}
+
+
 def test_parts_of_the_benchmark_give_the_same(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
     pairs = lambda: {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, bench).collect()}
