@@ -43,7 +43,9 @@ SYLLABLES = {"latin": "bar bel cor dan der fal gar hol kin lan mar ner pol ras s
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
 _GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
-_STARTS = {*_GENDER, *ADDRESS}
+#: A name begins with one of these as a whole run of letters, whatever stands next to it.
+_STARTS = {*_GENDER, *(title.rstrip(".") for title in ADDRESS)}
+_LETTERS = re.compile(r"[^\W\d_]+")
 _NAME = re.compile(
     rf"\b(?:(?P<title>{'|'.join(map(re.escape, sorted(ADDRESS, key=len, reverse=True)))})\s+)?"
     rf"(?P<name>(?:(?P<given>{'|'.join(sorted(_GENDER, key=len, reverse=True))})\b(?:\s+(?P<sur>[^\W\d_]+))?)|(?P<only>[^\W\d_]+))"
@@ -76,7 +78,7 @@ def entities(text: str) -> list[tuple[str, str, int, int]]:
         found += [("ssn", m.group(), *m.span()) for m in _SSN.finditer(text)]
         found += [("phone", v, *m.span()) for m in _PHONE.finditer(text) if 7 <= len(v := re.sub(r"\D", "", m.group())) <= 15]
         found += [("ip", m.group(), *m.span()) for m in _IP.finditer(text) if all(int(x) < 256 for x in m.group().split("."))]
-    if not _STARTS.isdisjoint(text.split()):
+    if not _STARTS.isdisjoint(_LETTERS.findall(text)):
         for m in _NAME.finditer(text):
             given, sur, only = m["given"], m["sur"], m["only"]
             if given:

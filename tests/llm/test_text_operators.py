@@ -257,6 +257,20 @@ def test_surrogates_keep_type_format_and_coreference():
     assert [e[0] for e in pii.entities("see 233.233.171.252, version 3.0.")] == ["ip"] and pii.entities("") == []
 
 
+def test_names_next_to_punctuation():
+    """No name stands as a word between spaces; each is found by itself and where an unrelated name does so."""
+    names = {"Maria Lopez": "latin|f|Maria|lopez", "Anna": "latin|f|Anna|", "John Smith": "latin|m|John|smith", "Пётр": "cyrillic|m|Пётр|"}
+    signs = [c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "_"] + list("«»“”„‘’—–…¿¡、。\u00a0\u200b")
+    for name, value in names.items():
+        for c in signs:
+            for text in (f"{c}{name}{c}", f"from {name.split()[0]}{c}" if " " not in name else f"Name{c}{name}{c}", f"{c}{name}"):
+                assert [e[1] for e in pii.entities(text) if e[0] == "name"] == [value], text
+                assert [e[1] for e in pii.entities(text + " and Karl here") if e[0] == "name"] == [value, "latin|m|Karl|"]
+    for title in pii.ADDRESS:
+        assert [e[1].split("|")[3] for e in pii.entities(f'("{title} Weber")')] == ["weber"], title
+    assert pii.entities("Annabel, _Anna_ Anna1 Mariano") == []
+
+
 def test_collisions_are_drawn_again(spark):
     """Thirty of a hundred two-digit numbers leave seventy surrogates, so many draws collide."""
     values = [f"{i:02d}" for i in range(30)]
