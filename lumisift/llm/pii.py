@@ -4,6 +4,10 @@ A surrogate is a function of the key, the entity's kind and its normalised value
 get the same one, each in its own format (case, separators). That two entities never share a surrogate, and that no
 surrogate is an entity of the corpus, is checked over the distinct entities: all but one of those that collide draw
 again until nothing collides. Only the entities that had to draw again are joined back to the documents.
+
+Given names are not drawn: the key makes one cycle of each script's and gender's list, and a given name's surrogate is
+the next one of it. Different given names so have different surrogates, none its own, though each is a name of the list
+that the corpus may have as well.
 """
 
 from __future__ import annotations
@@ -102,6 +106,10 @@ class Surrogates:
 
     def __init__(self, key: str):
         self.key = key.encode()
+        self.given: dict[str, str] = {}  # the next name of its list's cycle
+        for names in GIVEN.values():
+            cycle = sorted(names, key=lambda n: hmac.new(self.key, f"given\x1f{n}".encode(), hashlib.sha256).digest())
+            self.given.update(zip(cycle, cycle[1:] + cycle[:1], strict=True))
 
     def _stream(self, *what: object) -> Iterator[int]:
         n = 0
@@ -135,13 +143,12 @@ class Surrogates:
             draw = self._stream(kind, value, attempt)
             return ".".join(str(1 + next(draw) % 254) for _ in range(4))
         if kind == "name":
-            script, gender, given, sur = value.split("|")
-            names = [n for n in GIVEN.get((script, gender or "m"), GIVEN["latin", gender or "m"]) if n != given]
-            first = next(self._stream("given", given)) % len(names)  # alone or with a surname, a given name has one surrogate
+            script, _, given, sur = value.split("|")
             draw = self._stream("surname", sur, attempt)
             parts = SYLLABLES.get(script, SYLLABLES["latin"])
             last = "".join(parts[next(draw) % len(parts)] for _ in range(3 + attempt // 4)).capitalize() if sur else ""
-            return " ".join(x for x in (names[first] if given else "", last) if x)
+            first = self.given[given] if given else ""  # alone or with a surname, a given name has one surrogate
+            return " ".join(x for x in (first, last) if x)
         put, out = iter(self._chars(kind, value, attempt)), []
         for c in mention:
             new = next(put, c) if c.isalnum() else c
@@ -162,7 +169,7 @@ class Surrogates:
 def replacements(found: DataFrame, key: str, rounds: int = 100) -> DataFrame:
     """Entities `kind, value` that do not take their first surrogate, with the number of the draw they take.
 
-    Names without a surname stay with their first draw: there are fewer given names than people.
+    Names without a surname are not drawn and cannot collide: their surrogates are a permutation of the list's names.
     """
     makers = Surrogates(key)
 

@@ -271,6 +271,21 @@ def test_names_next_to_punctuation():
     assert pii.entities("Annabel, _Anna_ Anna1 Mariano") == []
 
 
+def test_given_names_keep_apart(spark):
+    for key in map(str, range(50)):
+        maker = pii.Surrogates(key)
+        for (script, gender), names in pii.GIVEN.items():
+            made = [maker.of("name", f"{script}|{gender}|{n}|", n) for n in names]
+            assert sorted(made) == sorted(names) and all(a != b for a, b in zip(made, names, strict=True))
+            whole = [maker.of("name", f"{script}|{gender}|{n}|weber", f"{n} Weber").split()[0] for n in names]
+            assert whole == made
+    assert len({pii.Surrogates(key).given["Anna"] for key in map(str, range(50))}) > 10
+    names = pii.GIVEN["latin", "f"]
+    out = pii.pseudonymised(frame(spark, [(1, ", ".join(names) + "."), (2, f"({names[0]})")]), "k").orderBy("doc_id").collect()
+    made = re.findall(r"\w+", out[0].text)
+    assert out[0].n_name == len(set(made)) == len(names) and out[1].text == f"({made[0]})"
+
+
 def test_collisions_are_drawn_again(spark):
     """Thirty of a hundred two-digit numbers leave seventy surrogates, so many draws collide."""
     values = [f"{i:02d}" for i in range(30)]
