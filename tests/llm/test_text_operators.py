@@ -135,6 +135,32 @@ def test_repeated_runs_of_a_host_go_and_unique_ones_stay(spark):
     assert html_text.main_text(frame(spark, [], "page_id bigint, url string, html string")).count() == 0
 
 
+def test_pages_without_article_agree_with_ranked_suffixes(spark):
+    """Suffixes of each host are sorted; where neighbours' common prefix is six tokens or more in a row and they begin
+    on distinct pages, those six tokens of all of them go."""
+    rng = random.Random(4)
+    pages = {}
+    for i in range(60):
+        shared = [" ".join(f"s{k}w{j}" for j in range(3 + 2 * k)) for k in range(5)]
+        parts = [rng.choice(shared) if rng.random() < 0.5 else " ".join(f"u{rng.randint(0, 3)}" for _ in range(rng.randint(1, 9))) for _ in range(6)]
+        pages[i] = (f"http://h{i % 3}.example/{i}", parts)
+    want, n = {}, html_text.RUN
+    for host in range(3):
+        words = {i: " ".join(parts).split() for i, (_, parts) in pages.items() if i % 3 == host}
+        order = sorted((w[k:], i, k) for i, w in words.items() for k in range(len(w)))
+        gone, group = set(), []
+        for x in [*order, ([], None, 0)]:
+            if group and (len(x[0]) < n or x[0][:n] != group[-1][0][:n]):
+                if len({i for _, i, _ in group}) > 1:
+                    gone |= {(i, k + d) for _, i, k in group for d in range(n)}
+                group = []
+            group += [x] if len(x[0]) >= n else []
+        want |= {i: " ".join(w for k, w in enumerate(ws) if (i, k) not in gone) for i, ws in words.items()}
+    rows = [(i, url, "<body>" + "".join(f"<p>{p}</p>" for p in parts) + "</body>") for i, (url, parts) in pages.items()]
+    got = {r.page_id: r.text for r in html_text.main_text(frame(spark, rows, "page_id bigint, url string, html string")).collect()}
+    assert got == want and any(want.values()) and want != {i: " ".join(p) for i, (_, p) in pages.items()}
+
+
 def test_main_text_of_the_given_pages(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}
