@@ -3,10 +3,12 @@
 A byte-pair encoding of a prefix ends in exactly one token, and what stands before that token is the encoding of a
 shorter prefix. So one pass over a piece finds, for each of its prefixes, the last token and the count: the token `t`
 that ends there is right if the merges would never join anything across the border between `t` and the last token of
-the prefix before it. Truncation and budget questions are then lookups; nothing is encoded again.
+the prefix before it. In a text's table of prefixes a budget question is then a lookup.
 
 Texts are split into pieces first and merges never cross them, so a document's table is the running sum over its
-pieces, each piece having a table of its own that is kept per worker while the piece is frequent.
+pieces. Only the last entry of a piece's table, its count, is kept per worker, which is all that totals need. No table
+of prefixes is stored: `truncated` builds one for each text, and counts again at every prefix of white space after white
+space and of a piece that begins with an apostrophe, since these are split otherwise when cut.
 """
 
 from __future__ import annotations
