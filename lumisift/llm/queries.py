@@ -13,6 +13,7 @@ from lumisift.llm.byte_bpe import digests
 from lumisift.llm.html_text import main_text
 from lumisift.llm.line_dedup import without_repeats
 from lumisift.llm.near_dedup import near_duplicates
+from lumisift.llm.phrases import collocations
 from lumisift.llm.pii import pseudonymised
 from lumisift.llm.quality import quality
 from lumisift.llm.suffix_dedup import removed
@@ -116,3 +117,31 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
+
+
+PHRASES = r"""
+WITH piece AS (SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+word AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM piece),
+gram AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM word, (SELECT unnest([1, 2, 3]) AS k) WHERE len(ws) >= k),
+total AS (SELECT lang, count(*) AS n FROM gram WHERE k = 1 GROUP BY 1),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM gram GROUP BY 1, 2, 3 HAVING count(*) >= 10),
+long AS (SELECT lang, f, string_split(phrase, ' ') AS ws FROM f WHERE k = 3),
+inner_two AS (SELECT lang, phrase, max(f) AS f FROM (
+  SELECT lang, f, ws[1] || ' ' || ws[2] AS phrase FROM long UNION ALL SELECT lang, f, ws[2] || ' ' || ws[3] FROM long) GROUP BY 1, 2),
+kept AS (SELECT f.lang, f.k, f.phrase, f.f AS a, string_split(f.phrase, ' ') AS ws FROM f LEFT JOIN inner_two i USING (lang, phrase)
+  WHERE f.k > 1 AND (f.k = 3 OR i.f IS NULL OR 100 * i.f < 50 * f.f)),
+cut AS (SELECT lang, phrase, a, c, array_to_string(ws[1:c], ' ') AS x, array_to_string(ws[c + 1:], ' ') AS y
+  FROM kept, (SELECT unnest([1, 2]) AS c) WHERE c < k),
+scored AS (SELECT cut.*, l.f AS l, r.f AS r, (1000000 * a::HUGEINT * a) // (l.f::HUGEINT * r.f) AS score
+  FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = x JOIN f r ON r.lang = cut.lang AND r.phrase = y),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+ORACLES["op12_phrase_collocations"] = PHRASES
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=10, longest=3, top=2000)
