@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisift.llm import decontamination, toxicity
+from lumisift.llm import decontamination, language, lexical, toxicity
 from lumisift.llm.byte_bpe import digests
 from lumisift.llm.html_text import main_text
 from lumisift.llm.line_dedup import without_repeats
@@ -145,3 +145,31 @@ ORACLES["op12_phrase_collocations"] = PHRASES
 @query
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), least=10, longest=3, top=2000)
+
+
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identified(docs, language.fit(docs))
+    return found.select("doc_id", (language.remainder("doc_id") == 0).alias("held_out"), "lang_pred", "score")
+
+
+LEXICAL_SEARCH = r"""
+WITH held AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+total AS (SELECT count(*)::BIGINT AS docs, sum(len(ts))::BIGINT AS terms FROM held WHERE len(ts) > 0),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY 1, 2),
+word AS (SELECT doc_id, len(ts) AS n, unnest(ts) AS term FROM held),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM word SEMI JOIN asked USING (term) GROUP BY 1, 2, 3),
+weight AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term),
+part AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))) AS s FROM tf JOIN weight USING (term), total),
+score AS (SELECT item_id, doc_id, sum(times * s)::BIGINT AS score FROM asked JOIN part USING (term) GROUP BY 1, 2 HAVING sum(times * s) > 0),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM score)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+ORACLES["op13_lexical_search"] = LEXICAL_SEARCH
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
