@@ -3,18 +3,19 @@
 Everything is per language. Texts are split as bytes into normalised pieces (`byte_words`), where a run of words is the
 very string of its phrase.
 
-1. *Bounds.* For 1, 2, ... words, every task counts its runs under a 64-bit key, Spark sums the counts of all tasks, and
-   keys that reach the least count are set in a bit table of fixed size. Two different phrases may share a key, so a sum
-   is an upper bound. A run is counted only if the tables hold its words, its first and its last words but one (Apriori:
-   no part of a frequent phrase is rarer), which keeps most positions out of the exchange.
-2. *Candidates.* The distinct phrases whose keys the tables hold. They contain every phrase that is frequent enough.
+1. *Bounds.* For 1, 2, ... words, every task counts its runs under a key of `KEY_BITS` bits. Keys travel sorted, as
+   compressed differences, to the task that adds the counts of their range; keys that reach the least count are set in a
+   bit table of fixed size. Two different phrases may share a key, so a sum is an upper bound. A run is counted only if
+   the tables hold its words and its first and its last words but one (Apriori: no part of a frequent phrase is rarer),
+   which keeps most positions out of the exchange.
+2. *Candidates.* The distinct phrases of two words and more whose keys the tables hold, and the words in them. They
+   contain every phrase that is frequent enough and every part of one.
 3. *Counts.* Candidates are built into double-array tries of at most `PHRASES` phrases over bytes, by Spark tasks, and
-   broadcast, at most `AT_ONCE` at a time. In every chunk of text numpy moves the states of all word beginnings ahead
+   broadcast, one at a time. In every chunk of text numpy moves the states of all word beginnings ahead
    byte by byte; states that accept where a word ends are counted with `bincount`, and Spark adds the tasks' counts.
    These counts are exact whatever the keys did, and what does not reach the least count leaves.
 
-What is broadcast is bounded by constants. The number of passes of step 3 is the number of candidates by
-`PHRASES * AT_ONCE`; a pass costs little next to reading the text.
+What is broadcast is bounded by constants. The number of passes of step 3 is the number of candidates by `PHRASES`.
 """
 
 from __future__ import annotations
@@ -37,10 +38,12 @@ from lumisift.llm.stored import stored
 from lumisift.llm.workers import hold
 from lumisift.operators.topk import top_n_per_group
 
-#: Bits of a table of keys, phrases of a trie, tries that are broadcast together.
-BITS, PHRASES, AT_ONCE = 1 << 27, 200_000, 3
-#: Keys a task holds before it hands on what it counted; bounds memory only.
-HELD = 2_000_000
+#: Bits of a key, bits of a table of keys, phrases of a trie.
+KEY_BITS, BITS, PHRASES = 48, 1 << 27, 400_000
+#: Bytes of text for which a task adds counts, and keys a task holds before it hands on what it counted; bound memory only.
+SHARE, HELD = 16_000_000, 1_500_000
+#: Copies of a word's count.
+SALTS = 16
 #: The language of texts whose language is null.
 UNDETERMINED = "und"
 #: Separators, fixed values: what ends a piece, and what lies between words.
@@ -206,12 +209,18 @@ class _Tables:
 
     def holds(self, n: int, keys: np.ndarray) -> np.ndarray:
         table, out = self.tables[n - 1], None
-        for place in (keys % np.uint64(BITS), (keys >> np.uint64(32)) % np.uint64(BITS)):
+        for place in _places(keys):
             bit = (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
             out = bit if out is None else out & bit
         return out.astype(bool)
 
 
+def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a key."""
+    again = byte_words.mixed(keys * np.uint64(0x9E3779B97F4A7C15))
+    return again % np.uint64(BITS), (again >> np.uint64(32)) % np.uint64(BITS)
+
+
 def _salted(batch: pa.RecordBatch) -> tuple[pa.Array, list[str], np.ndarray, np.ndarray]:
     """Texts, the batch's languages, the place of each row's language among them, and a salt for its keys."""
     lang = batch.column(0).fill_null(UNDETERMINED).dictionary_encode()
@@ -221,22 +230,38 @@ def _salted(batch: pa.RecordBatch) -> tuple[pa.Array, list[str], np.ndarray, np.
     return batch.column(1), langs, of, salts
 
 
-def _runs(found: Words, n: int, salt: np.ndarray, tables: _Tables | None) -> tuple[np.ndarray, np.ndarray]:
-    """Words at which runs of `n` words begin that the tables do not rule out, and the runs' keys."""
-    own, running = _keys(), _keys().running(found.text)
-    key = lambda at, k: byte_words.mixed(own.spans(running, found.start[at], found.end[at + k - 1]) + salt[at])
-    at = found.linked(n)
-    if n > 1:
-        for shorter in (1, n - 1) if n > 2 else (1,):
-            for first in {0, n - shorter}:
-                at = at[tables.holds(shorter, key(at + first, shorter))]
-    return at, key(at, n)
+def _runs(found: Words, longest: int, salt: np.ndarray, tables: _Tables) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For 1 to `longest` words, the words at which runs begin that the tables of shorter runs do not rule out, and the
+    runs' keys."""
+    running, held = _keys().running(found.text), None
+    for n in range(1, longest + 1):
+        at = found.linked(n)
+        if n > 1:
+            at = at[held[at] & held[at + 1]]
+        raw = _keys().spans(running, found.start[at], found.end[at + n - 1])
+        keys = byte_words.mixed(raw + salt[at]) >> np.uint64(64 - KEY_BITS)
+        yield n, at, keys
+        if n < longest:
+            held = np.zeros(len(found.start), bool)
+            held[at] = tables.holds(n, keys)
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Ascending keys as compressed differences, byte by byte of all of them."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    return pa.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").reshape(-1), dtype=np.uint64)
 
 
 class _Sums:
-    """Counts by key, handed on when many are held."""
+    """Counts by key, up to the least count that matters, handed on when many are held."""
 
-    def __init__(self):
+    def __init__(self, least: int, shares: int):
+        self.least, self.shares = least, shares
         self.keys, self.counts, self.held = [], [], 0
 
     def add(self, keys: np.ndarray) -> None:
@@ -244,96 +269,144 @@ class _Sums:
         self.keys.append(kept)
         self.counts.append(np.bincount(code, minlength=len(kept)))
         self.held += len(kept)
-
-    def merged(self) -> pa.RecordBatch:
-        code, kept = pd.factorize(np.concatenate([np.zeros(0, np.uint64), *self.keys]))
-        total = np.zeros(len(kept), np.int64)
-        np.add.at(total, code, np.concatenate([np.zeros(0, np.int64), *self.counts]))
-        self.keys, self.counts, self.held = [kept], [total], len(kept)
-        return pa.RecordBatch.from_arrays([pa.array(kept.view(np.int64)), pa.array(total)], ["key", "n"])
-
-    def full(self) -> pa.RecordBatch | None:
-        """What was counted, if merging leaves too much to go on with."""
-        if self.held < HELD:
-            return None
-        out = self.merged()
-        if self.held < HELD // 2:
-            return None
+        if self.held >= HELD:
+            self.merge()
+
+    def merge(self) -> None:
+        self.keys, self.counts = ([x] for x in _added(self.keys, self.counts))
+        self.counts[0] = np.minimum(self.counts[0], self.least)
+        self.held = len(self.keys[0])
+
+    def hand_on(self, all_of_it: bool = False) -> Iterator[pa.RecordBatch]:
+        """What was counted, a row for each share of the keys, if it is too much to go on with or there is no more."""
+        if all_of_it:
+            self.merge()
+        elif self.held < HELD // 2 or len(self.keys) > 1:
+            return
+        keys, counts = self.keys[0], self.counts[0]
+        share = keys // np.uint64(-(-(1 << KEY_BITS) // self.shares))
+        begin = np.flatnonzero(np.append(True, share[1:] != share[:-1])) if len(keys) else np.zeros(0, np.int64)
+        out = []
+        for low, high in zip(begin.tolist(), [*begin.tolist()[1:], len(keys)], strict=False):
+            times = pa.compress(counts[low:high].astype("<i8").tobytes(), "zstd", asbytes=True)
+            out.append((int(share[low]), high - low, _packed(keys[low:high]), times))
+        if out:
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], ["share", "many", "keys", "counts"])
         self.keys, self.counts, self.held = [], [], 0
-        return out
+
+
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending keys and the sums of their counts."""
+    keys, counts = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[begin], np.add.reduceat(counts, begin) if len(begin) else counts
 
 
 def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("text is not null")
 
 
-def _bounds(texts: DataFrame, n: int, tables: list[Broadcast]) -> DataFrame:
-    """Sums of counts by key for runs of `n` words: upper bounds of every phrase's count."""
+def _bit_table(texts: DataFrame, n: int, tables: list[Broadcast], least: int, shares: int) -> np.ndarray:
+    """A table of `BITS` bits with the two bits of every key of runs of `n` words whose counts add up to the least."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("phrases", _keys.cache_clear)
-        held, sums = _Tables(tables), _Sums()
+        held, sums = _Tables(tables), _Sums(least, shares)
         for batch in small(batches):
             column, _, of, salts = _salted(batch)
             for found in byte_words.words(column, _KIND):
-                sums.add(_runs(found, n, salts[of[found.row]], held)[1])
-                if (out := sums.full()) is not None:
-                    yield out
-        yield sums.merged()
-
-    return texts.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _bit_table(sums: DataFrame, least: int) -> np.ndarray:
-    """A table of `BITS` bits with the two bits of every key that reaches the least count."""
-    place = F.explode(F.array(*(F.pmod(F.shiftrightunsigned("key", by), F.lit(BITS)) for by in (0, 32)))).alias("place")
-    words = sums.where(F.col("n") >= least).select(place).groupBy(F.expr("place div 64").alias("word"))
-    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits")).toArrow()  # at most BITS / 64 rows
+                *_, (_, _, keys) = _runs(found, n, salts[of[found.row]], held)
+                sums.add(keys)
+                yield from sums.hand_on()
+        yield from sums.hand_on(all_of_it=True)
+
+    def add(part: pa.Table) -> pa.Table:
+        many = part["many"].to_pylist()
+        keys = [_unpacked(x, m) for x, m in zip(part["keys"].to_pylist(), many, strict=True)]
+        counts = [np.frombuffer(pa.decompress(x, 8 * m, "zstd", asbytes=True), "<i8") for x, m in zip(part["counts"].to_pylist(), many, strict=True)]
+        keys, counts = _added(keys, counts)
+        place = np.concatenate(_places(keys[counts >= least]))
+        word, code = np.unique(place >> np.uint64(6), return_inverse=True)
+        bits = np.zeros(len(word), np.uint64)
+        np.bitwise_or.at(bits, code, np.uint64(1) << (place & np.uint64(63)))
+        return pa.Table.from_arrays([pa.array(word.view(np.int64)), pa.array(bits.view(np.int64))], ["word", "bits"])
+
+    counted = texts.mapInArrow(count, "share bigint, many bigint, keys binary, counts binary")
+    words = counted.groupBy("share").applyInArrow(add, "word bigint, bits bigint")
+    words = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most BITS / 64 rows
     table = np.zeros(BITS // 64, np.uint64)
     table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return table
 
 
+class _Seen:
+    """Pairs of keys met by a task: a sorted part and a few recent ones."""
+
+    def __init__(self):
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+
+    def new(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Places of the first of each pair that was not met before."""
+        code, place = np.unique(keys, return_index=True)
+        at = np.minimum(np.searchsorted(self.keys, code), max(0, len(self.keys) - 1))
+        known = (self.keys[at] == code) & (self.checks[at] == checks[place]) if len(self.keys) else np.zeros(len(code), bool)
+        apart = np.flatnonzero(checks != checks[place[np.searchsorted(code, keys)]])  # another phrase of the same key
+        fresh = place[~known]
+        if len(self.keys) > HELD:
+            self.keys, self.checks = self.keys[:0], self.checks[:0]
+        fill = np.concatenate([self.keys, keys[fresh]])
+        order = np.argsort(fill, kind="stable")
+        self.keys, self.checks = fill[order], np.concatenate([self.checks, checks[fresh]])[order]
+        return np.append(fresh, apart)
+
+
+def _strings(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Spans of a text as binary values."""
+    size = end - start
+    offsets = np.append(0, np.cumsum(size))
+    data = text[np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])]
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+
+
 def _candidates(texts: DataFrame, longest: int, tables: list[Broadcast]) -> DataFrame:
-    """Distinct phrases whose keys the tables hold, and for every language a row without phrase that sums its words."""
+    """Distinct phrases of two words and more whose keys the tables hold (`lang, phrase, words`), and for every language
+    a row without phrase that sums its words in `n`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("phrases", _keys.cache_clear)
-        held, seen, total = _Tables(tables), {}, {}
+        held, seen, total = _Tables(tables), [_Seen() for _ in range(longest + 1)], {}
+        names = ["lang", "phrase", "words", "n"]
         for batch in small(batches):
             column, langs, of, salts = _salted(batch)
             for found in byte_words.words(column, _KIND):
-                lang, out = of[found.row], []
+                lang = of[found.row]
                 for code, many in enumerate(np.bincount(lang, minlength=len(langs)).tolist()):
                     total[langs[code]] = total.get(langs[code], 0) + many
-                text, other = found.text.tobytes(), _keys(6).running(found.text)
-                for n in range(1, longest + 1):
-                    at, keys = _runs(found, n, salts[lang], held)
+                other = _keys(6).running(found.text)
+                for n, at, keys in _runs(found, longest, salts[lang], held):
+                    if n == 1:
+                        continue
                     on = held.holds(n, keys)
                     at, keys = at[on], keys[on]
-                    check = byte_words.mixed(_keys(6).spans(other, found.start[at], found.end[at + n - 1]) + salts[lang[at]])  # tells phrases of one key apart
-                    code, place = np.unique(keys, return_index=True)
-                    apart = np.flatnonzero(check != check[place[np.searchsorted(code, keys)]])
-                    for i in np.append(place, apart).tolist():
-                        key, own = int(keys[i]), int(check[i])
-                        if seen.get(key) != own:
-                            seen.setdefault(key, own)
-                            first = at[i]
-                            out.append((langs[lang[first]], text[found.start[first] : found.end[first + n - 1]], n))
-                if len(seen) > HELD // 4:
-                    seen.clear()
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.string(), pa.binary(), pa.int64()), strict=True)], ["lang", "phrase", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([None] * len(total), pa.binary()), pa.array(list(total.values()), pa.int64())], ["lang", "phrase", "n"])
-
-    return texts.mapInArrow(run, "lang string, phrase binary, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.max("n").alias("words"))
+                    checks = byte_words.mixed(_keys(6).spans(other, found.start[at], found.end[at + n - 1]) + salts[lang[at]])
+                    at = at[seen[n].new(keys, checks)]
+                    phrase = _strings(found.text, found.start[at], found.end[at + n - 1])
+                    spoken = pa.array(langs, pa.string()).take(pa.array(lang[at]))
+                    yield pa.RecordBatch.from_arrays([spoken, phrase, pa.array(np.full(len(at), n)), pa.array(np.zeros(len(at), np.int64))], names)
+        none = pa.nulls(len(total), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), none, pa.nulls(len(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names)
+
+    return texts.mapInArrow(run, "lang string, phrase binary, words bigint, n bigint").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
 
 
 def _tries(candidates: DataFrame) -> DataFrame:
     """A row for each trie, built by the tasks: its arrays as bytes and its phrases' numbers, by part."""
 
     def build(part: pa.Table) -> pa.Table:
-        keys = [x.encode("utf-8", "surrogatepass") + AFTER_LANG + p for x, p in zip(part["lang"].to_pylist(), part["phrase"].to_pylist(), strict=True)]
+        keys = [x + AFTER_LANG + p for x, p in zip(*(part[c].cast(pa.binary()).to_pylist() for c in ("lang", "phrase")), strict=True)]
         trie = Trie.of(keys)
         arrays = [pa.array([x.tobytes()], pa.binary()) for x in (trie.base, trie.check, trie.accept)]
         return pa.Table.from_arrays([part["part"][:1], *arrays, pa.array([trie.phrases])], ["part", "base", "check", "accept", "phrases"])
@@ -343,31 +416,25 @@ def _tries(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("part").applyInArrow(ordered, "part bigint, base binary, check binary, accept binary, phrases bigint")
 
 
-def _counted(texts: DataFrame, tries: list[tuple[int, Trie]]) -> DataFrame:
+def _counted(texts: DataFrame, part: int, trie: Trie) -> DataFrame:
     """Occurrences by part and number of a phrase, in one pass over the texts."""
-    shared = texts.sparkSession.sparkContext.broadcast(tries)  # at most AT_ONCE tries of PHRASES phrases
+    shared = texts.sparkSession.sparkContext.broadcast(trie)  # PHRASES phrases
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("phrases", _keys.cache_clear)
         own = shared.value
-        totals = [np.zeros(trie.phrases, np.int64) for _, trie in own]
-        starts: list[dict[str, int]] = [{} for _ in own]
+        total, states = np.zeros(own.phrases, np.int64), {}
         for batch in small(batches):
             column, langs, of, _ = _salted(batch)
-            begin = []
-            for (_, trie), known in zip(own, starts, strict=True):
-                for lang in langs:
-                    if lang not in known:
-                        known[lang] = trie.state(lang.encode("utf-8", "surrogatepass") + AFTER_LANG)
-                begin.append(np.array([known[lang] for lang in langs], np.int32))
+            for lang in langs:
+                if lang not in states:
+                    states[lang] = own.state(lang.encode("utf-8", "surrogatepass") + AFTER_LANG)
+            begin = np.array([states[lang] for lang in langs], np.int32)
             for found in byte_words.words(column, _KIND):
-                lang = of[found.row]
-                for (_, trie), state, total in zip(own, begin, totals, strict=True):
-                    hits = np.concatenate([np.zeros(0, np.int32), *trie.accepted(found, state[lang])])
-                    total += np.bincount(hits, minlength=len(total))
-        for (part, _), total in zip(own, totals, strict=True):
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), part)), pa.array(at), pa.array(total[at])], ["part", "number", "f"])
+                hits = np.concatenate([np.zeros(0, np.int32), *own.accepted(found, begin[of[found.row]])])
+                total += np.bincount(hits, minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), part)), pa.array(at), pa.array(total[at])], ["part", "number", "f"])
 
     counts = texts.mapInArrow(run, "part bigint, number bigint, f bigint").groupBy("part", "number").agg(F.sum("f").alias("f"))
     out = stored(counts, "counts")
@@ -376,29 +443,34 @@ def _counted(texts: DataFrame, tries: list[tuple[int, Trie]]) -> DataFrame:
 
 
 def phrase_counts(docs: DataFrame, least: int, longest: int, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Exact counts of all phrases of 1 to `longest` words that occur `least` times or more in a language
-    (`lang, phrase, words, f`), and the words of each language (`lang, n`)."""
+    """Exact counts of all phrases of two words to `longest` that occur `least` times or more in a language, and of the
+    words in them (`lang, phrase, words, f`), and the words of each language (`lang, n`)."""
     spark, texts, tables = docs.sparkSession, _texts(docs, lang_col, text_col), []
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shares = min(-(-size // SHARE) or 1, 1 << (KEY_BITS - 1))
     for n in range(1, longest + 1):
-        tables.append(spark.sparkContext.broadcast(_bit_table(_bounds(texts, n, tables), least)))  # BITS bits
+        tables.append(spark.sparkContext.broadcast(_bit_table(texts, n, tables, least, shares)))  # BITS bits
     found = stored(_candidates(texts, longest, tables), "candidates")
     for table in tables:
         table.destroy()
     totals = found.where("phrase is null").select("lang", "n")
-    found = found.where("phrase is not null")
-    many = found.count()
-    parts = max(1, -(-many * 5 // (4 * PHRASES)))  # by a hash: a part is a quarter below the bound on average
-    found = found.select("lang", "phrase", "words", F.pmod(F.xxhash64("lang", "phrase"), F.lit(parts)).alias("part"))
-    tries, counts, group = stored(_tries(found), "tries"), None, []
+    found = found.where("phrase is not null").select("lang", F.col("phrase").cast("string").alias("phrase"), "words")
+    inside = found.select("lang", F.explode(F.split("phrase", " ")).alias("phrase"), F.lit(1).cast("bigint").alias("words")).distinct()
+    found = stored(found.unionByName(inside), "phrases")
+    parts = max(1, -(-found.count() * 9 // (8 * PHRASES)))  # by a hash: a part is an eighth below the bound on average
+    found = found.withColumn("part", F.pmod(F.xxhash64("lang", "phrase"), F.lit(parts)))
+    tries, counts = stored(_tries(found), "tries"), None
     for part in range(parts):
-        group += [(r.part, Trie(*(np.frombuffer(x, np.int32) for x in (r.base, r.check, r.accept)), r.phrases)) for r in tries.where(F.col("part") == part).toLocalIterator()]
-        if len(group) == AT_ONCE or part == parts - 1:
-            counted = _counted(texts, group)
-            counts, group = counted if counts is None else counts.unionByName(counted), []
+        for row in tries.where(F.col("part") == part).toArrow().to_batches():
+            arrays = (np.frombuffer(row[x][0].as_buffer(), np.int32) for x in ("base", "check", "accept"))
+            counted = _counted(texts, part, Trie(*arrays, row["phrases"][0].as_py()))
+            counts = counted if counts is None else counts.unionByName(counted)
+    if counts is None:
+        counts = found.select("part", F.col("words").alias("number"), F.col("words").alias("f")).where("false")
     place = Window.partitionBy("part").orderBy("lang", "phrase")
     numbered = found.select("lang", "phrase", "words", "part", (F.row_number().over(place) - 1).cast("bigint").alias("number"))
     frequent = numbered.join(counts, ["part", "number"]).where(F.col("f") >= least)
-    return stored(frequent.select("lang", F.col("phrase").cast("string").alias("phrase"), "words", "f"), "phrases"), totals
+    return stored(frequent.select("lang", "phrase", "words", "f"), "frequent"), totals
 
 
 def _words_of(first: Column, size: Column) -> Column:
@@ -423,15 +495,16 @@ def collocations(
     ))
     longer = phrases.where("words > 2").select("lang", "f", spans.alias("phrase")).groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
     phrases = phrases.join(longer, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < overlap * F.col("f"), F.lit(True)))
-    # the lowest cut; common parts are spread over salted copies of their counts
+    # the lowest cut; single words, which may be part of many phrases, are spread over copies of their counts
     cut = phrases.select("lang", "phrase", F.col("f").alias("a"), "ws", F.explode(F.expr("sequence(1, size(ws) - 1)")).alias("k"))
+    salt = lambda alone: F.when(alone, F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     cut = cut.select(
         "lang", "phrase", "a", "k", _words_of(F.lit(1), F.col("k")).alias("left"), _words_of(F.col("k") + 1, F.size("ws")).alias("right"),
-        F.pmod(F.xxhash64("phrase"), F.lit(16)).cast("int").alias("salt"),
+        salt(F.col("k") == 1).alias("left_salt"), salt(F.col("k") == F.size("ws") - 1).alias("right_salt"),
     )
-    part = counts.select("lang", "phrase", "f", F.explode(F.expr("sequence(0, 15)")).alias("salt"))
-    cut = cut.join(part.select("lang", "salt", F.col("phrase").alias("left"), F.col("f").alias("l")), ["lang", "salt", "left"])
-    cut = cut.join(part.select("lang", "salt", F.col("phrase").alias("right"), F.col("f").alias("r")), ["lang", "salt", "right"])
+    part = counts.select("lang", "phrase", "f", F.explode(F.expr(f"sequence(0, if(words = 1, {SALTS - 1}, 0))")).alias("salt"))
+    for side, name in (("left", "l"), ("right", "r")):
+        cut = cut.join(part.select("lang", F.col("salt").alias(f"{side}_salt"), F.col("phrase").alias(side), F.col("f").alias(name)), ["lang", f"{side}_salt", side])
     wide = lambda c: f"cast({c} as decimal(13, 0))"
     score = F.expr(f"cast(1000000 as decimal(7, 0)) * ({wide('a')} * {wide('a')}) div ({wide('l')} * {wide('r')})")
     cut = cut.withColumn("score", score)

@@ -71,7 +71,7 @@ def test_a_trie_accepts_its_phrases_and_nothing_else():
 @pytest.mark.parametrize("small", [False, True])
 def test_collocations_agree_with_brute_force(spark, monkeypatch, small):
     if small:  # several tries and passes, counts handed on early
-        for name, value in (("PHRASES", 30), ("AT_ONCE", 2), ("HELD", 40)):
+        for name, value in (("PHRASES", 30), ("SHARE", 500), ("HELD", 40)):
             monkeypatch.setattr(phrases, name, value)
     rng = random.Random(4)
     words = "a b c De ES en é 日本 x1 | foo".split()
