@@ -8,8 +8,9 @@ very string of its phrase.
    bit table of fixed size. Two different phrases may share a key, so a sum is an upper bound. A run is counted only if
    the tables hold its words and its first and its last words but one (Apriori: no part of a frequent phrase is rarer),
    which keeps most positions out of the exchange.
-2. *Candidates.* The distinct phrases of two words and more whose keys the tables hold, and the words in them. They
-   contain every phrase that is frequent enough and every part of one.
+2. *Candidates.* The phrases of two words and more whose keys reach the least count, and the words in them. They contain
+   every phrase that is frequent enough and every part of one. Texts have one of `COLOURS` colours, a hash; each key
+   carries the least colour of the texts it occurs in, and only those texts hand on its phrase.
 3. *Counts.* Candidates are built into double-array tries of at most `PHRASES` phrases over bytes, by Spark tasks, and
    broadcast, one at a time. In every chunk of text numpy moves the states of all word beginnings ahead
    byte by byte; states that accept where a word ends are counted with `bincount`, and Spark adds the tasks' counts.
@@ -38,8 +39,8 @@ from lumisift.llm.stored import stored
 from lumisift.llm.workers import hold
 from lumisift.operators.topk import top_n_per_group
 
-#: Bits of a key, bits of a table of keys, phrases of a trie.
-KEY_BITS, BITS, PHRASES = 48, 1 << 27, 400_000
+#: Bits of a key, bits of a table of keys, phrases of a trie, colours of texts.
+KEY_BITS, BITS, PHRASES, COLOURS = 48, 1 << 27, 800_000, 256
 #: Bytes of text for which a task adds counts, and keys a task holds before it hands on what it counted; bound memory only.
 SHARE, HELD = 16_000_000, 1_500_000
 #: Copies of a word's count.
@@ -76,7 +77,7 @@ class Trie:
         raw = np.frombuffer(b"".join(phrases[i] for i in order), np.uint8)
         begin = np.cumsum(size) - size
         node = np.zeros(len(order), np.int64)  # the state of each phrase's prefix so far
-        free = _Free(int(size.sum()) + 512)
+        free = _Free(2 * len(order))
         free.take(np.zeros(1, np.int64))
         base, check = free.array(0), free.array(-1)
         accept = free.array(-1)
@@ -102,7 +103,7 @@ class Trie:
             check[slot] = child_parent
             node[live] = slot[np.cumsum(first) - 1]
         top = free.top + 512
-        return cls(*(free.fit(x, fill)[:top].astype(np.int32) for x, fill in ((base, 0), (check, -1), (accept, -1))), len(phrases))
+        return cls(*(free.fit(x, fill)[:top].copy() for x, fill in ((base, 0), (check, -1), (accept, -1))), len(phrases))
 
     def state(self, prefix: bytes) -> int:
         """The state after a prefix, or -1."""
@@ -133,15 +134,15 @@ class _Free:
     """Free places of a double array that is being built. Places below 256 stay empty, so that no base is negative."""
 
     def __init__(self, size: int):
-        self.used = np.zeros(max(1024, size), bool)
+        self.used = np.zeros(1024 + size, bool)
         self.low, self.top = 256, 256
 
     def array(self, fill: int) -> np.ndarray:
-        return np.full(len(self.used), fill, np.int64)
+        return np.full(len(self.used), fill, np.int32)
 
     def fit(self, array: np.ndarray, fill: int) -> np.ndarray:
         more = len(self.used) - len(array)
-        return np.concatenate([array, np.full(more, fill, np.int64)]) if more > 0 else array
+        return np.concatenate([array, np.full(more, fill, np.int32)]) if more > 0 else array
 
     def _reach(self, n: int) -> None:
         if n + 512 > len(self.used):
@@ -221,6 +222,14 @@ def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return again % np.uint64(BITS), (again >> np.uint64(32)) % np.uint64(BITS)
 
 
+def _coloured(keys: np.ndarray, colours: np.ndarray) -> np.ndarray:
+    """Keys with a colour in their last bits; a bit beyond both tells them from keys alone."""
+    return keys * np.uint64(COLOURS) + colours
+
+
+_MARK = np.uint64(COLOURS << KEY_BITS)
+
+
 def _salted(batch: pa.RecordBatch) -> tuple[pa.Array, list[str], np.ndarray, np.ndarray]:
     """Texts, the batch's languages, the place of each row's language among them, and a salt for its keys."""
     lang = batch.column(0).fill_null(UNDETERMINED).dictionary_encode()
@@ -258,24 +267,26 @@ def _unpacked(packed: bytes, n: int) -> np.ndarray:
 
 
 class _Sums:
-    """Counts by key, up to the least count that matters, handed on when many are held."""
+    """Counts by key, up to the least count that matters, with the least colour; handed on when many are held."""
 
     def __init__(self, least: int, shares: int):
         self.least, self.shares = least, shares
         self.keys, self.counts, self.held = [], [], 0
 
     def add(self, keys: np.ndarray) -> None:
-        code, kept = pd.factorize(keys)
+        """More keys, coloured."""
+        kept, counts = _added(np.sort(keys), np.ones(len(keys), np.int64))
         self.keys.append(kept)
-        self.counts.append(np.bincount(code, minlength=len(kept)))
+        self.counts.append(counts)
         self.held += len(kept)
         if self.held >= HELD:
             self.merge()
 
     def merge(self) -> None:
-        self.keys, self.counts = ([x] for x in _added(self.keys, self.counts))
-        self.counts[0] = np.minimum(self.counts[0], self.least)
-        self.held = len(self.keys[0])
+        keys = np.concatenate([np.zeros(0, np.uint64), *self.keys])
+        order = np.argsort(keys)
+        keys, counts = _added(keys[order], np.concatenate([np.zeros(0, np.int64), *self.counts])[order])
+        self.keys, self.counts, self.held = [keys], [np.minimum(counts, self.least)], len(keys)
 
     def hand_on(self, all_of_it: bool = False) -> Iterator[pa.RecordBatch]:
         """What was counted, a row for each share of the keys, if it is too much to go on with or there is no more."""
@@ -284,7 +295,7 @@ class _Sums:
         elif self.held < HELD // 2 or len(self.keys) > 1:
             return
         keys, counts = self.keys[0], self.counts[0]
-        share = keys // np.uint64(-(-(1 << KEY_BITS) // self.shares))
+        share = keys // np.uint64(COLOURS * -(-(1 << KEY_BITS) // self.shares))
         begin = np.flatnonzero(np.append(True, share[1:] != share[:-1])) if len(keys) else np.zeros(0, np.int64)
         out = []
         for low, high in zip(begin.tolist(), [*begin.tolist()[1:], len(keys)], strict=False):
@@ -296,30 +307,30 @@ class _Sums:
         self.keys, self.counts, self.held = [], [], 0
 
 
-def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending keys and the sums of their counts."""
-    keys, counts = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ascending coloured keys the first of each key, which has its least colour, and the sums of their counts."""
+    plain = keys // np.uint64(COLOURS)
+    begin = np.flatnonzero(np.append(True, plain[1:] != plain[:-1])) if len(keys) else np.zeros(0, np.int64)
     return keys[begin], np.add.reduceat(counts, begin) if len(begin) else counts
 
 
 def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("text is not null")
+    colour = F.pmod(F.xxhash64(F.col(text_col)), F.lit(COLOURS))
+    return docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), colour.alias("colour")).where("text is not null")
 
 
-def _bit_table(texts: DataFrame, n: int, tables: list[Broadcast], least: int, shares: int) -> np.ndarray:
-    """A table of `BITS` bits with the two bits of every key of runs of `n` words whose counts add up to the least."""
+def _bit_table(texts: DataFrame, n: int, longest: int, tables: list[Broadcast], least: int, shares: int) -> np.ndarray:
+    """A table of `BITS` bits with the two bits of every key of runs of `n` words whose counts add up to the least: of the
+    key alone, for longer runs, and with its colour, for candidates."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("phrases", _keys.cache_clear)
         held, sums = _Tables(tables), _Sums(least, shares)
         for batch in small(batches):
-            column, _, of, salts = _salted(batch)
+            (column, _, of, salts), colour = _salted(batch), batch.column(2).to_numpy().astype(np.uint64)
             for found in byte_words.words(column, _KIND):
-                *_, (_, _, keys) = _runs(found, n, salts[of[found.row]], held)
-                sums.add(keys)
+                *_, (_, at, keys) = _runs(found, n, salts[of[found.row]], held)
+                sums.add(_coloured(keys, colour[found.row[at]]))
                 yield from sums.hand_on()
         yield from sums.hand_on(all_of_it=True)
 
@@ -327,8 +338,12 @@ def _bit_table(texts: DataFrame, n: int, tables: list[Broadcast], least: int, sh
         many = part["many"].to_pylist()
         keys = [_unpacked(x, m) for x, m in zip(part["keys"].to_pylist(), many, strict=True)]
         counts = [np.frombuffer(pa.decompress(x, 8 * m, "zstd", asbytes=True), "<i8") for x, m in zip(part["counts"].to_pylist(), many, strict=True)]
-        keys, counts = _added(keys, counts)
-        place = np.concatenate(_places(keys[counts >= least]))
+        keys, counts = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(keys)
+        keys, counts = _added(keys[order], counts[order])
+        keys = keys[counts >= least]
+        held = [keys // np.uint64(COLOURS)] if n < longest else []
+        place = np.concatenate([p for x in (held + [keys + _MARK] if n > 1 else held) for p in _places(x)] or [np.zeros(0, np.uint64)])
         word, code = np.unique(place >> np.uint64(6), return_inverse=True)
         bits = np.zeros(len(word), np.uint64)
         np.bitwise_or.at(bits, code, np.uint64(1) << (place & np.uint64(63)))
@@ -358,7 +373,7 @@ class _Seen:
         if len(self.keys) > HELD:
             self.keys, self.checks = self.keys[:0], self.checks[:0]
         fill = np.concatenate([self.keys, keys[fresh]])
-        order = np.argsort(fill, kind="stable")
+        order = np.argsort(fill)
         self.keys, self.checks = fill[order], np.concatenate([self.checks, checks[fresh]])[order]
         return np.append(fresh, apart)
 
@@ -380,7 +395,7 @@ def _candidates(texts: DataFrame, longest: int, tables: list[Broadcast]) -> Data
         held, seen, total = _Tables(tables), [_Seen() for _ in range(longest + 1)], {}
         names = ["lang", "phrase", "words", "n"]
         for batch in small(batches):
-            column, langs, of, salts = _salted(batch)
+            (column, langs, of, salts), colour = _salted(batch), batch.column(2).to_numpy().astype(np.uint64)
             for found in byte_words.words(column, _KIND):
                 lang = of[found.row]
                 for code, many in enumerate(np.bincount(lang, minlength=len(langs)).tolist()):
@@ -389,7 +404,7 @@ def _candidates(texts: DataFrame, longest: int, tables: list[Broadcast]) -> Data
                 for n, at, keys in _runs(found, longest, salts[lang], held):
                     if n == 1:
                         continue
-                    on = held.holds(n, keys)
+                    on = held.holds(n, _coloured(keys, colour[found.row[at]]) + _MARK)
                     at, keys = at[on], keys[on]
                     checks = byte_words.mixed(_keys(6).spans(other, found.start[at], found.end[at + n - 1]) + salts[lang[at]])
                     at = at[seen[n].new(keys, checks)]
@@ -449,7 +464,7 @@ def phrase_counts(docs: DataFrame, least: int, longest: int, lang_col: str = "la
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shares = min(-(-size // SHARE) or 1, 1 << (KEY_BITS - 1))
     for n in range(1, longest + 1):
-        tables.append(spark.sparkContext.broadcast(_bit_table(texts, n, tables, least, shares)))  # BITS bits
+        tables.append(spark.sparkContext.broadcast(_bit_table(texts, n, longest, tables, least, shares)))  # BITS bits
     found = stored(_candidates(texts, longest, tables), "candidates")
     for table in tables:
         table.destroy()
