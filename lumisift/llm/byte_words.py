@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time. A longer text is cut where no word and no piece is cut.
-CHUNK = 1_000_000
+CHUNK = 400_000
 WORD, SPACE, BREAK = 0, 1, 2
 #: The separators of normalised text: between two words of a piece, and behind the last word of a piece.
 INSIDE, LAST = 0x20, 0x0A
@@ -119,28 +119,36 @@ def mixed(keys: np.ndarray) -> np.ndarray:
     return keys ^ (keys >> np.uint64(29))
 
 
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _power(n: int) -> list[np.ndarray]:
+    """The first `n` powers of the base and of its inverse, remembered up to the size of a chunk."""
+    if len(_powers[0]) >= n:
+        return _powers
+    n = max(n, CHUNK * 5 // 4)
+    made = [np.cumprod(np.append(np.uint64(1), np.full(n - 1, x, np.uint64))) for x in (_BASE, _INVERSE)]
+    if n <= CHUNK * 2:
+        _powers[:] = made
+    return made
+
+
 class Keys:
     """64-bit keys of spans of a text, from one running sum: a polynomial in an odd base modulo 2^64 over random values
     of the bytes. Equal strings have equal keys; the reverse is not certain, so whoever counts checks or counts again."""
 
     def __init__(self, seed: int = 5):
         self.value = np.random.default_rng(seed).integers(1, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        self.powers = self.inverses = np.ones(1, np.uint64)
-
-    def _reach(self, n: int) -> None:
-        if len(self.powers) < n:
-            n = max(n, CHUNK * 5 // 4)
-            self.powers = np.cumprod(np.append(np.uint64(1), np.full(n - 1, _BASE, np.uint64)))
-            self.inverses = np.cumprod(np.append(np.uint64(1), np.full(n - 1, _INVERSE, np.uint64)))
 
     def running(self, text: np.ndarray) -> np.ndarray:
-        self._reach(len(text) + 1)
         out = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum(self.value[text] * self.powers[: len(text)], out=out[1:])
+        raw = self.value[text]
+        raw *= _power(len(text) + 1)[0][: len(text)]
+        np.cumsum(raw, out=out[1:])
         return out
 
     def spans(self, running: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        raw = (running[end] - running[start]) * self.inverses[start]
+        raw = (running[end] - running[start]) * _power(len(running))[1][start]
         return mixed(raw + (end - start).astype(np.uint64))
 
     def of(self, strings: list[bytes]) -> np.ndarray:

@@ -28,6 +28,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,9 +41,9 @@ from lumisift.llm.workers import hold
 from lumisift.operators.topk import top_n_per_group
 
 #: Bits of a key, bits of a table of keys, phrases of a trie, colours of texts.
-KEY_BITS, BITS, PHRASES, COLOURS = 48, 1 << 27, 800_000, 256
+KEY_BITS, BITS, PHRASES, COLOURS = 48, 1 << 27, 500_000, 256
 #: Bytes of text for which a task adds counts, and keys a task holds before it hands on what it counted; bound memory only.
-SHARE, HELD = 16_000_000, 1_500_000
+SHARE, HELD = 16_000_000, 800_000
 #: Copies of a word's count.
 SALTS = 16
 #: The language of texts whose language is null.
@@ -275,7 +276,7 @@ class _Sums:
 
     def add(self, keys: np.ndarray) -> None:
         """More keys, coloured."""
-        kept, counts = _added(np.sort(keys), np.ones(len(keys), np.int64))
+        kept, counts = _added(np.sort(keys), np.ones(len(keys), np.int32))
         self.keys.append(kept)
         self.counts.append(counts)
         self.held += len(kept)
@@ -285,7 +286,7 @@ class _Sums:
     def merge(self) -> None:
         keys = np.concatenate([np.zeros(0, np.uint64), *self.keys])
         order = np.argsort(keys)
-        keys, counts = _added(keys[order], np.concatenate([np.zeros(0, np.int64), *self.counts])[order])
+        keys, counts = _added(keys[order], np.concatenate([np.zeros(0, np.int32), *self.counts])[order])
         self.keys, self.counts, self.held = [keys], [np.minimum(counts, self.least)], len(keys)
 
     def hand_on(self, all_of_it: bool = False) -> Iterator[pa.RecordBatch]:
@@ -299,7 +300,7 @@ class _Sums:
         begin = np.flatnonzero(np.append(True, share[1:] != share[:-1])) if len(keys) else np.zeros(0, np.int64)
         out = []
         for low, high in zip(begin.tolist(), [*begin.tolist()[1:], len(keys)], strict=False):
-            times = pa.compress(counts[low:high].astype("<i8").tobytes(), "zstd", asbytes=True)
+            times = pa.compress(counts[low:high].astype("<i4").tobytes(), "zstd", asbytes=True)
             out.append((int(share[low]), high - low, _packed(keys[low:high]), times))
         if out:
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
@@ -311,7 +312,7 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Of ascending coloured keys the first of each key, which has its least colour, and the sums of their counts."""
     plain = keys // np.uint64(COLOURS)
     begin = np.flatnonzero(np.append(True, plain[1:] != plain[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[begin], np.add.reduceat(counts, begin) if len(begin) else counts
+    return keys[begin], np.minimum(np.add.reduceat(counts, begin, dtype=np.int64), 1 << 30).astype(np.int32) if len(begin) else counts
 
 
 def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
@@ -337,7 +338,7 @@ def _bit_table(texts: DataFrame, n: int, longest: int, tables: list[Broadcast],
     def add(part: pa.Table) -> pa.Table:
         many = part["many"].to_pylist()
         keys = [_unpacked(x, m) for x, m in zip(part["keys"].to_pylist(), many, strict=True)]
-        counts = [np.frombuffer(pa.decompress(x, 8 * m, "zstd", asbytes=True), "<i8") for x, m in zip(part["counts"].to_pylist(), many, strict=True)]
+        counts = [np.frombuffer(pa.decompress(x, 4 * m, "zstd", asbytes=True), "<i4") for x, m in zip(part["counts"].to_pylist(), many, strict=True)]
         keys, counts = np.concatenate(keys), np.concatenate(counts)
         order = np.argsort(keys)
         keys, counts = _added(keys[order], counts[order])
@@ -421,14 +422,14 @@ def _tries(candidates: DataFrame) -> DataFrame:
     """A row for each trie, built by the tasks: its arrays as bytes and its phrases' numbers, by part."""
 
     def build(part: pa.Table) -> pa.Table:
-        keys = [x + AFTER_LANG + p for x, p in zip(*(part[c].cast(pa.binary()).to_pylist() for c in ("lang", "phrase")), strict=True)]
-        trie = Trie.of(keys)
+        number = part["part"][:1]
+        part = part.sort_by([("lang", "ascending"), ("phrase", "ascending")])  # a phrase's number is its place
+        keys = pc.binary_join_element_wise(part["lang"].cast(pa.binary()), part["phrase"].cast(pa.binary()), AFTER_LANG)
+        trie = Trie.of(keys.to_pylist())
         arrays = [pa.array([x.tobytes()], pa.binary()) for x in (trie.base, trie.check, trie.accept)]
-        return pa.Table.from_arrays([part["part"][:1], *arrays, pa.array([trie.phrases])], ["part", "base", "check", "accept", "phrases"])
+        return pa.Table.from_arrays([number, *arrays, pa.array([trie.phrases])], ["part", "base", "check", "accept", "phrases"])
 
-    # sorted by phrase within a part, a phrase's number is its place
-    ordered = lambda part: build(part.sort_by([("lang", "ascending"), ("phrase", "ascending")]))
-    return candidates.groupBy("part").applyInArrow(ordered, "part bigint, base binary, check binary, accept binary, phrases bigint")
+    return candidates.groupBy("part").applyInArrow(build, "part bigint, base binary, check binary, accept binary, phrases bigint")
 
 
 def _counted(texts: DataFrame, part: int, trie: Trie) -> DataFrame:
