@@ -10,7 +10,7 @@ from lumisift.checks.registry import query
 from lumisift.checks.search_queries import posting_table, query_vec
 from lumisift.functions import hashing
 from lumisift.functions.vectors import quantise
-from lumisift.plans import batch, quality, search
+from lumisift.plans import batch, classes, quality, search
 from lumisift.session import shared_folder
 from lumisift.streaming import ingest, match
 
@@ -58,6 +58,25 @@ def near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return ends.groupBy("doc_id").agg(F.min("distance").alias("nearest"))
 
 
+LINKED = "link AS (SELECT a, b FROM near WHERE distance <= 0.8 UNION ALL SELECT b, a FROM near WHERE distance <= 0.8)"
+
+
+@query("q23_image_classes", f"""{PAIRS.replace("WITH", "WITH RECURSIVE", 1)}, {LINKED},
+reach AS (SELECT vec_id AS doc_id, vec_id AS root FROM embeddings UNION SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.doc_id),
+class AS (SELECT doc_id, min(root) AS class_id FROM reach GROUP BY 1),
+rep AS (SELECT c.doc_id, c.class_id, sum(x.v * y.v) AS ab, sum(x.v * x.v) AS aa, sum(y.v * y.v) AS bb
+  FROM class c JOIN ql x ON x.doc_id = c.doc_id JOIN ql y ON y.doc_id = c.class_id AND y.i = x.i GROUP BY 1, 2)
+SELECT doc_id, class_id, 1.0::DOUBLE - ab::DOUBLE / sqrt(aa::DOUBLE * bb::DOUBLE) AS distance FROM rep""")
+def image_classes(spark: SparkSession, sf: str) -> DataFrame:
+    return classes.image_classes(signed(spark, sf), "BIT_SAMPLING", threshold=0.8, min_shared=2)
+
+
+@query("q23_image_links", f"""{PAIRS}, {LINKED}
+SELECT vec_id AS doc_id, (SELECT count(*) FROM link WHERE link.a = e.vec_id) AS links FROM embeddings e""")
+def image_links(spark: SparkSession, sf: str) -> DataFrame:
+    return classes.image_links(signed(spark, sf), "BIT_SAMPLING", threshold=0.8, min_shared=2)
+
+
 EVERY = v.pairs("true")
 EVERY_NEAR = """near AS (SELECT DISTINCT q.doc_id AS query_id, d.doc_id FROM sig q JOIN sig d ON d.bundle = q.bundle AND d.h = q.h)"""
 
@@ -68,9 +87,9 @@ top AS (SELECT dist.query_id, dist.doc_id, cosine AS distance, {v.score('cosine'
   FROM dist JOIN near ON near.query_id = dist.query_id AND near.doc_id = dist.doc_id)
 SELECT query_id, doc_id, distance, score, rank FROM top WHERE rank <= 3""")
 def batch_hash_all(spark: SparkSession, sf: str) -> DataFrame:
-    """Every stored vector asks, in several chunks of queries."""
+    """Every stored vector asks."""
     asked = vectors(spark, sf).select(F.col("doc_id").alias("query_id"), "vec")
-    return batch.batch_topk(signed(spark, sf), asked, 3, hash="BIT_SAMPLING", bundle_aware=True, chunk_numbers=200 * 64)
+    return batch.batch_topk(signed(spark, sf), asked, 3, hash="BIT_SAMPLING", bundle_aware=True)
 
 
 @query("q22_batch_limit", f"""WITH {v.SIGNATURES}, {ASKED}, {BATCH},
@@ -84,7 +103,7 @@ SELECT query_id, doc_id, distance, score, rank FROM top WHERE rank <= 10""")
 def batch_limit(spark: SparkSession, sf: str) -> DataFrame:
     """The six candidates of each shard with the largest overlap, then the ten best of them."""
     queries = first_of_each_label(spark, sf)
-    return batch.batch_topk(signed(spark, sf), queries, 10, hash="BIT_SAMPLING", limit=6, per_shard=True, chunk_numbers=4 * 64)
+    return batch.batch_topk(signed(spark, sf), queries, 10, hash="BIT_SAMPLING", limit=6, per_shard=True)
 
 
 @query("q24_recall", f"""WITH {v.SIGNATURES}, {ASKED}, {BATCH}, {RANKED},

@@ -1,10 +1,10 @@
-"""Many query images at once, and images the distance rule calls the same.
+"""Many query images at once.
 
-A batch is matched in scans of the documents, one for each chunk of queries. A chunk is bounded in
-numbers, so what is shipped with the tasks is bounded however many queries there are; every Arrow batch
-of documents meets it in blocks of bounded size, and each task keeps only its best rows per query. What
-is shuffled is ``tasks x queries x kept`` rows; no (query, document) pair is ever materialised as a row
-and no document is replicated.
+An exact batch is matched in scans of the documents, one for each chunk of queries. A chunk is bounded in numbers, so
+what is shipped with the tasks is bounded however many queries there are; every Arrow batch of documents meets it in
+blocks of bounded size, and each task keeps only its best rows per query. What is shuffled is ``tasks x queries x kept``
+rows; no (query, document) pair is ever materialised as a row and no document is replicated. A batch with a hash is a
+join on the hashes instead (``hash_join``).
 """
 
 from __future__ import annotations
@@ -19,13 +19,14 @@ from lumisift.errors import QueryError
 from lumisift.functions import hashing
 from lumisift.functions.vectors import LAYOUT_CHANNEL_SIZES, LAYOUT_SCALE, LAYOUT_WEIGHTS, QUANTUM
 from lumisift.operators.topk import top_n_per_group
+from lumisift.plans.hash_join import hash_counts, hash_topk
 
 CHUNK_NUMBERS = 4_000_000
 """Vector elements of a chunk of queries (32 MB)."""
 BLOCK_CELLS = 1_000_000
 """(document, query) cells scored at a time; at most ``dim`` times as many numbers are held for the stepwise metrics."""
 CROWD = 64
-HIT_SCHEMA = "query_id bigint, doc_id bigint, shard bigint, overlap bigint, distance double, score double"
+HIT_SCHEMA = "query_id bigint, doc_id bigint, distance double, score double"
 
 
 def _jsd(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -76,33 +77,14 @@ def scores(distances: np.ndarray) -> np.ndarray:
         return np.where(distances <= 1, 2.0 - distances, 1.0 / distances)
 
 
-def overlaps(doc_sigs: np.ndarray, query_sigs: np.ndarray, bundle_aware: bool) -> np.ndarray:
-    """(docs x queries): matching query hashes; repeats count on the query side, not on the document side."""
-    if bundle_aware:
-        return np.stack([(doc_sigs == row).sum(axis=1) for row in query_sigs], axis=1)
-    out = np.zeros((len(doc_sigs), len(query_sigs)), np.int64)
-    held = np.sort(doc_sigs, axis=1)
-    once = np.concatenate([np.ones((len(held), 1), bool), held[:, 1:] != held[:, :-1]], axis=1)
-    for j, row in enumerate(query_sigs):
-        terms, times = np.unique(row, return_counts=True)
-        at = np.minimum(np.searchsorted(terms, held), len(terms) - 1)
-        out[:, j] = np.where(once & (terms[at] == held), times[at], 0).sum(axis=1)
-    return out
-
-
 class Matcher:
-    """Scores document batches against a chunk of queries and keeps the best rows per query.
-
-    Without a limit the best are those with the highest scores. With one they are the candidates with
-    the largest overlap, per shard where the limit is: which of them score best is decided afterwards.
-    """
+    """Scores document batches against a chunk of queries and keeps the best rows per query."""
 
-    def __init__(self, queries: pd.DataFrame, keep: int, metric: str, mode: str | None, bundle_aware: bool, limited: bool):
+    def __init__(self, queries: pd.DataFrame, keep: int, metric: str):
         self.ids = queries["query_id"].to_numpy(np.int64)
         self.vecs = np.stack(queries["vec"].to_numpy()).astype(np.int64)
-        self.keep, self.metric, self.bundle_aware, self.limited = keep, metric, bundle_aware, limited
-        self.sigs = None if mode is None else hashing.signatures_of(mode, self.vecs)
-        self.best = [np.empty((0, 5)) for _ in self.ids]  # doc_id is kept apart: it may not fit a double
+        self.keep, self.metric = keep, metric
+        self.best = [np.empty((0, 2)) for _ in self.ids]  # doc_id is kept apart: it may not fit a double
         self.docs = [np.empty(0, np.int64) for _ in self.ids]
 
     def add(self, docs: pd.DataFrame) -> None:
@@ -111,37 +93,18 @@ class Matcher:
             self._add(docs.iloc[start : start + rows])
 
     def _add(self, docs: pd.DataFrame) -> None:
-        ids, shards = docs["doc_id"].to_numpy(np.int64), docs["shard"].to_numpy(np.int64)
+        ids = docs["doc_id"].to_numpy(np.int64)
         distances = pairwise(self.metric, np.stack(docs["vec"].to_numpy()).astype(np.int64), self.vecs)
-        shared = None if self.sigs is None else overlaps(np.stack(docs["sig"].to_numpy()), self.sigs, self.bundle_aware)
         for j in range(len(self.ids)):
             mask = ~np.isnan(distances[:, j])
-            if shared is not None:
-                mask &= shared[:, j] > 0
-            new = np.stack([shards[mask], np.zeros(mask.sum()) if shared is None else shared[mask, j], distances[mask, j], scores(distances[mask, j]), mask[mask]], axis=1)
+            new = np.stack([distances[mask, j], scores(distances[mask, j])], axis=1)
             held, all_ids = np.concatenate([self.best[j], new]), np.concatenate([self.docs[j], ids[mask]])
-            if self.limited:
-                order = np.lexsort((all_ids, -held[:, 1], held[:, 0]))
-                first = np.searchsorted(held[order, 0], held[order, 0])
-                order = order[np.arange(len(order)) - first < self.keep]  # the best of each shard
-            else:
-                order = np.lexsort((all_ids, -held[:, 3]))[: self.keep]
+            order = np.lexsort((all_ids, -held[:, 1]))[: self.keep]
             self.best[j], self.docs[j] = held[order], all_ids[order]
 
     def result(self) -> pd.DataFrame:
         rows, lengths = np.concatenate(self.best), [len(d) for d in self.docs]
-        return pd.DataFrame({
-            "query_id": np.repeat(self.ids, lengths), "doc_id": np.concatenate(self.docs), "shard": rows[:, 0].astype(np.int64),
-            "overlap": rows[:, 1].astype(np.int64), "distance": rows[:, 2], "score": rows[:, 3],
-        })
-
-
-def _inputs(index: DataFrame, mode: str | None, per_shard: bool) -> DataFrame:
-    shard = F.col("shard").cast("bigint") if per_shard else F.lit(0).cast("bigint")
-    columns = [F.col("doc_id"), F.col("vec"), shard.alias("shard")]
-    if mode is not None:
-        columns.append(F.col(hashing.signature_column(mode)).alias("sig"))
-    return index.filter(F.col("vec").isNotNull()).select(*columns)
+        return pd.DataFrame({"query_id": np.repeat(self.ids, lengths), "doc_id": np.concatenate(self.docs), "distance": rows[:, 0], "score": rows[:, 1]})
 
 
 def query_chunks(queries: DataFrame, numbers: int) -> Iterator[pd.DataFrame]:
@@ -157,15 +120,6 @@ def query_chunks(queries: DataFrame, numbers: int) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(held, columns=["query_id", "vec"])
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    if not parts:
-        raise QueryError("a batch needs at least one query")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 def batch_topk(
     index: DataFrame,
     queries: DataFrame,
@@ -180,54 +134,34 @@ def batch_topk(
 ) -> DataFrame:
     """``(query_id, doc_id, distance, score, rank)``: the best ``k`` documents of each query.
 
-    With ``hash`` only documents sharing a hash with the query take part, with a positive ``limit``
-    only the ``limit`` of them with the largest overlap, in total or in each shard.
+    With ``hash`` only documents sharing a hash with the query take part, with a positive ``limit`` only the ``limit`` of
+    them with the largest overlap, in total or in each shard. A batch without queries gives no rows.
     """
-    mode = None if hash is None else hashing.hash_mode(hash)
-    limited = mode is not None and limit > 0
-    docs = _inputs(index, mode, limited and per_shard)
+    if hash is not None:
+        return hash_topk(index, queries, k, metric, hashing.hash_mode(hash), bundle_aware=bundle_aware, limit=limit, per_shard=per_shard)
+    docs = index.filter(F.col("vec").isNotNull()).select("doc_id", "vec")
 
     def matched(chunk: pd.DataFrame) -> DataFrame:
         shipped = docs.sparkSession.sparkContext.broadcast(chunk)
 
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            matcher = Matcher(shipped.value, limit if limited else k, metric, mode, bundle_aware, limited)
+            matcher = Matcher(shipped.value, k, metric)
             for part in parts:
                 matcher.add(part)
             yield matcher.result()
 
         return docs.mapInPandas(run, HIT_SCHEMA)
 
-    hits = _union([matched(chunk) for chunk in query_chunks(queries, chunk_numbers)])
-    if limited:
-        hits = top_n_per_group(hits, ["query_id", "shard"], [F.col("overlap").desc(), F.col("doc_id")], limit, ["doc_id"]).drop("rank")
+    hits = docs.sparkSession.createDataFrame([], HIT_SCHEMA)
+    for chunk in query_chunks(queries, chunk_numbers):
+        hits = hits.unionByName(matched(chunk))
     best = top_n_per_group(hits, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k, ["doc_id"])
     return best.select("query_id", "doc_id", "distance", "score", "rank")
 
 
-def candidate_counts(index: DataFrame, queries: DataFrame, hash: str, bundle_aware: bool = False, chunk_numbers: int = CHUNK_NUMBERS) -> DataFrame:
+def candidate_counts(index: DataFrame, queries: DataFrame, hash: str, bundle_aware: bool = False) -> DataFrame:
     """``(query_id, candidates, docs)``: how much a hash search leaves to score."""
-    mode = hashing.hash_mode(hash)
-    docs = _inputs(index, mode, False).select("doc_id", "sig")
-
-    def counted(chunk: pd.DataFrame) -> DataFrame:
-        shipped = docs.sparkSession.sparkContext.broadcast(chunk)
-
-        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            asked = shipped.value
-            sigs = hashing.signatures_of(mode, np.stack(asked["vec"].to_numpy()).astype(np.int64))
-            found, seen, rows = np.zeros(len(asked), np.int64), 0, max(1, BLOCK_CELLS // len(asked))
-            for part in parts:
-                seen += len(part)
-                for start in range(0, len(part), rows):
-                    block = np.stack(part["sig"].iloc[start : start + rows].to_numpy())
-                    found += (overlaps(block, sigs, bundle_aware) > 0).sum(axis=0)
-            yield pd.DataFrame({"query_id": asked["query_id"].to_numpy(np.int64), "candidates": found, "docs": seen})
-
-        return docs.mapInPandas(run, "query_id bigint, candidates bigint, docs bigint")
-
-    partial = _union([counted(chunk) for chunk in query_chunks(queries, chunk_numbers)])
-    return partial.groupBy("query_id").agg(F.sum("candidates").alias("candidates"), F.sum("docs").alias("docs"))
+    return hash_counts(index, queries, hashing.hash_mode(hash), bundle_aware)
 
 
 def same_image(index: DataFrame, mode: str, metric: str = "cosine", threshold: float = 1.0, min_shared: int = 2) -> DataFrame:

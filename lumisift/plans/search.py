@@ -20,7 +20,7 @@ Two ways find hash candidates, with equal results:
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,6 +32,9 @@ from lumisift.functions.vectors import distance, int_literal
 from lumisift.operators.registry import metric_of
 from lumisift.operators.topk import top_n_per_group
 from lumisift.plans.request import ImageQuery
+from lumisift.sources.mapping import ImageMapping
+
+Declared = Mapping[str, ImageMapping]
 
 
 def clause_rows(index: DataFrame, field: str, feature: str) -> DataFrame:
@@ -140,13 +143,13 @@ def postings_candidates(
     return grouped if limit <= 0 else keep_best(grouped, limit, per_shard)
 
 
-def _mapped(index: DataFrame, query: ImageQuery) -> bool:
-    """Whether the index has signatures of the hash for the feature; one row is looked at."""
-    column = hashing.signature_column(query.hash)
-    if column not in index.columns:
-        return False
-    rows = clause_rows(index, query.field, query.feature)
-    return rows.filter(F.col(column).isNotNull()).limit(1).count() > 0 or rows.limit(1).count() == 0
+def _mapped(index: DataFrame, query: ImageQuery, declared: Declared | None) -> bool:
+    """Whether the index has signatures of the hash for the feature, from the declaration of its fields if there is one,
+    else from its columns; no data is looked at."""
+    if declared is not None:
+        spec = declared.get(query.field)
+        return spec is not None and query.hash in spec.features.get(query.feature, ())
+    return hashing.signature_column(query.hash) in index.columns
 
 
 def image_search(
@@ -161,6 +164,7 @@ def image_search(
     where: Column | None = None,
     pre_filter: Column | None = None,
     missing: str = "error",
+    declared: Declared | None = None,
     vec: Sequence[int] | None = None,
     explain: bool = False,
 ) -> DataFrame:
@@ -168,7 +172,8 @@ def image_search(
 
     ``where`` is the rest of the request and applies after a candidate limit; ``pre_filter`` applies
     before it. ``missing="empty"`` turns a search on a hash that the index does not carry into an
-    empty result instead of an error. ``vec`` is the query's vector if it is known; ``explain`` adds
+    empty result instead of an error; ``declared`` are the parsed fields of the index's mapping, which tell hashes apart
+    by feature, where the columns alone do not. ``vec`` is the query's vector if it is known; ``explain`` adds
     why each row has its score.
     """
     vec = query_vector(index, query, lookup) if vec is None else vec
@@ -177,7 +182,7 @@ def image_search(
     if pre_filter is not None:
         rows = rows.filter(pre_filter)
     if query.hash is not None:
-        if postings is None and not _mapped(index, query):
+        if postings is None and not _mapped(index, query, declared):
             if missing != "empty":
                 raise QueryError(f"hash {query.hash} is not mapped for {query.field}.{query.feature}")
             rows = rows.filter(F.lit(False))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumisift.functions import hashing
-from lumisift.plans import batch, quality
+from lumisift.plans import batch, classes, hash_join, quality
 from lumisift.streaming import ingest, match
 
 DIM = 16
@@ -62,9 +62,9 @@ def test_batch_in_chunks_and_blocks(index, queries_at_once, monkeypatch):
     asked, chunk = [0, 1, 2, 3, 10, 31, 44], queries_at_once * DIM
     queries = index.filter(F.col("doc_id").isin(asked)).select(F.col("doc_id").alias("query_id"), "vec")
     assert found(batch.batch_topk(index, queries, 6, chunk_numbers=chunk)) == brute(asked, 6, lambda q, d: True)
-    hashed = batch.batch_topk(index, queries, 6, hash="bit_sampling", bundle_aware=True, chunk_numbers=chunk)
+    hashed = batch.batch_topk(index, queries, 6, hash="bit_sampling", bundle_aware=True)
     assert found(hashed) == brute(asked, 6, lambda q, d: any(a == b for a, b in zip(SIGS[q], SIGS[d])))
-    free = batch.batch_topk(index, queries, 6, hash="bit_sampling", chunk_numbers=chunk)
+    free = batch.batch_topk(index, queries, 6, hash="bit_sampling")
     assert found(free) == brute(asked, 6, lambda q, d: bool(set(SIGS[q]) & set(SIGS[d])))
 
 
@@ -85,6 +85,81 @@ def test_batch_limit_keeps_the_largest_overlaps(index, per_shard, aware, monkeyp
         assert got[q] == sorted(kept, key=lambda d: (-score(cosine(VECS[d], VECS[q])), d))[:5]
 
 
+@pytest.mark.parametrize("aware", [True, False])
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_candidates_of_split_buckets_are_whole(index, aware, hot):
+    heads = index.select(F.col("doc_id").alias("head"), F.col("sig_bit_sampling").alias("sig"))
+    asked = heads.filter("head % 4 = 0").select(F.col("head").alias("asked"), "sig")
+    got = {(r.asked, r.head): r.overlap for r in hash_join.candidates(heads, asked, aware, hot).collect()}
+    same = lambda q, d: sum(a == b for a, b in zip(SIGS[q], SIGS[d])) if aware else sum(h in set(SIGS[d]) for h in SIGS[q])
+    assert got == {(q, d): same(q, d) for q in VECS if q % 4 == 0 for d in VECS if same(q, d)}
+
+
+def test_hash_batch_scores_candidates_only(spark, index):
+    asked = index.select(F.col("doc_id").alias("query_id"), "vec")
+    found_rows = batch.batch_topk(index, asked, 2, hash="bit_sampling", bundle_aware=True)
+    plan = found_rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" not in plan and plan.count("Cross") == 2  # the total of all postings, one row, for either side
+    # a third of all documents are copies, asked as often: each copy finds the first two of them
+    got = found(found_rows)
+    assert set(got) == set(VECS) and all(got[q] == [0, 3] for q in VECS if q % 3 == 0)
+
+
+def test_batches_without_queries_or_documents(spark, index):
+    none = index.filter("false").select(F.col("doc_id").alias("query_id"), "vec")
+    asked = index.limit(2).select(F.col("doc_id").alias("query_id"), "vec")
+    for hash in (None, "BIT_SAMPLING"):
+        assert batch.batch_topk(index, none, 3, hash=hash).count() == 0
+        assert batch.batch_topk(index.filter("false"), asked, 3, hash=hash).count() == 0
+    assert [r.candidates for r in batch.candidate_counts(index.filter("false"), asked, "BIT_SAMPLING").collect()] == [0, 0]
+
+
+def classes_of(docs, linked):
+    root = {d: d for d in docs}
+    moved = True
+    while moved:
+        moved = False
+        for a, b in linked:
+            low = min(root[a], root[b])
+            moved |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    return root
+
+
+@pytest.mark.parametrize("metric,threshold", [("cosine", 0.02), ("cosine", 0.5), ("l2", 0.2)])
+@pytest.mark.parametrize("shared,tile,crowd", [(1, 256, 64), (2, 4, 3), (1, 3, 0)])
+def test_classes_and_links_agree_with_brute_force(index, metric, threshold, shared, tile, crowd):
+    far = lambda a, b: cosine(a, b) if metric == "cosine" else np.sqrt(((np.array(a, float) - b) ** 2).sum()) / 10_000
+    linked = set()
+    for a in VECS:
+        for b in VECS:
+            same = sum(x == y for x, y in zip(SIGS[a], SIGS[b]))
+            if a != b and (VECS[a] == VECS[b] or same >= shared and far(VECS[a], VECS[b]) <= threshold):
+                linked.add((a, b))
+    root = classes_of(VECS, linked)
+    how = {"metric": metric, "threshold": threshold, "min_shared": shared, "tile": tile, "crowd": crowd, "hot": 5}
+    got = {r.doc_id: r for r in classes.image_classes(index, "BIT_SAMPLING", **how).collect()}
+    assert {d: r.class_id for d, r in got.items()} == root
+    assert all(abs(r.distance - far(VECS[d], VECS[r.class_id])) < 1e-9 for d, r in got.items())
+    links = {r.doc_id: r.links for r in classes.image_links(index, "BIT_SAMPLING", **how).collect()}
+    assert links == {d: sum(a == d for a, _ in linked) for d in VECS}
+
+
+def test_a_crowd_of_near_images_is_a_row_each(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(-4000, 4000, DIM)
+    rows = [(i, [int(x) for x in (base + rng.integers(-40, 40, DIM) if i % 10 else rng.integers(-4000, 4000, DIM))]) for i in range(10_000)]
+    crowd = hashing.with_signature(spark.createDataFrame(rows, "doc_id bigint, vec array<bigint>").repartition(8), "BIT_SAMPLING")
+    got = classes.image_classes(crowd, "BIT_SAMPLING", threshold=0.01).groupBy("class_id").count().collect()
+    sizes = sorted((r["count"] for r in got), reverse=True)
+    assert sum(sizes) == 10_000 and sizes[0] == 9_000 and sizes[1] < 10
+
+
+def test_classes_of_no_images(index):
+    assert classes.image_classes(index.filter("false"), "BIT_SAMPLING").count() == 0
+    assert classes.image_links(index.filter("false"), "BIT_SAMPLING").count() == 0
+
+
 def test_batch_metrics_equal_columns(index):
     from lumisift.functions.vectors import distance, int_literal
 

@@ -141,6 +141,18 @@ def test_unmapped_hash(index):
     assert empty.count() == 0 and "score" in empty.columns
 
 
+def test_the_mapping_tells_which_hashes_a_feature_has(spark, index):
+    from lumisift.sources.mapping import ImageMapping
+
+    declared = {"img": ImageMapping.parse("img", {"feature": {"EMBEDDING": {"hash": "BIT_SAMPLING"}, "CEDD": {}}})}
+    assert ids(search.image_search(index, ask(hash="BIT_SAMPLING"), declared=declared)) == ids(search.image_search(index, ask(hash="BIT_SAMPLING")))
+    with pytest.raises(QueryError, match="not mapped"):
+        search.image_search(index, ask(hash="BIT_SAMPLING"), declared={"img": ImageMapping.parse("img", {"feature": {"EMBEDDING": {}}})})
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    search.image_search(index, ask(hash="BIT_SAMPLING"), vec=[1] * DIM)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before  # no job before the search
+
+
 def test_filters_before_and_after_the_limit(index):
     asked = ask(id=1, hash="BIT_SAMPLING", limit=5)
     after = search.image_search(index, asked, per_shard=False, where=F.col("shard").isin(0, 1))
