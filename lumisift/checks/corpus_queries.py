@@ -161,8 +161,23 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     second = first.filter("doc_id % 5 = 0").select("doc_id", F.lit(1).alias("version"), F.transform("vec", lambda x: -x).alias("vec"))
     source = as_files(spark, "incoming", first.repartition(3, "doc_id"), second.repartition(2, "doc_id"), first.filter("doc_id % 3 = 0").repartition(2, "doc_id"))
     out = shared_folder(spark, "ingested")
-    finish(ingest.start_ingest(stream_of(spark, source), lambda rows: rows, f"{out}/features", f"{out}/postings", f"{out}/checkpoint"))
-    return ingest.ingested(spark, f"{out}/postings").select("doc_id", "bundle", "h")
+    finish(ingest.start_ingest(stream_of(spark, source), lambda rows: rows, f"{out}/store", f"{out}/checkpoint"))
+    return ingest.ingested(spark, f"{out}/store", "postings").select("doc_id", "bundle", "h")
+
+
+@query("x1_two_streams", f"WITH {UPDATED} SELECT doc_id, bundle, h FROM sig")
+def two_streams(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors arrive without versions in several batches of one stream, a fifth of them turned twice; then a second stream
+    brings that fifth as it should be, and the store is compacted before it is read."""
+    first = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), quantise(F.col("embedding")).alias("vec"))
+    fifth = first.filter("doc_id % 5 = 0")
+    turned = lambda by: fifth.select("doc_id", F.transform("vec", lambda x: x * by).alias("vec"))
+    out = shared_folder(spark, "ingested")
+    for name, rows in (("a", [first.repartition(2, "doc_id"), turned(3).coalesce(1), turned(5).coalesce(1)]), ("b", [turned(-1).coalesce(1)])):
+        source = as_files(spark, "incoming", *rows)
+        finish(ingest.start_ingest(stream_of(spark, source, 1), lambda batch: batch, f"{out}/store", f"{out}/checkpoint-{name}"))
+    ingest.compact(spark, f"{out}/store")
+    return ingest.ingested(spark, f"{out}/store", "postings").select("doc_id", "bundle", "h")
 
 
 @query("x2_stream_dedup", "SELECT event_id, event_type, value FROM events")

@@ -28,6 +28,9 @@ SPREAD, CENTRE = 2_001, 1_000
 LSH_FIRST, LSH_STRIDE, LSH_WIDTH = 1_000, 768, 4_000_000
 EXACT_DOUBLE = 1 << 53
 
+DECLARED = "declared_features"
+"""Key in the metadata of a signature column for the features that have the hash."""
+
 
 def hash_mode(name: str) -> str:
     """Upper-case lookup of a hash mode name."""

@@ -49,7 +49,9 @@ def index_documents(
         named = [f for f, modes in mapping.features.items() if hash_mode in modes]
         if named:
             wanted = F.when(F.col("feature").isin(named), F.col("vec"))
-            vectors = vectors.withColumn(hashing.signature_column(hash_mode), hashing.signature(wanted, hash_mode))
+            name = hashing.signature_column(hash_mode)
+            # the schema says which features the hash is declared for, so that a search need not look at rows
+            vectors = vectors.select("*", hashing.signature(wanted, hash_mode).alias(name, metadata={hashing.DECLARED: named}))
     vectors = vectors.withColumn("field", F.lit(field))
     if features_path is not None:
         sinks.write_features(vectors, features_path)

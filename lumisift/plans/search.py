@@ -144,12 +144,15 @@ def postings_candidates(
 
 
 def _mapped(index: DataFrame, query: ImageQuery, declared: Declared | None) -> bool:
-    """Whether the index has signatures of the hash for the feature, from the declaration of its fields if there is one,
-    else from its columns; no data is looked at."""
+    """Whether the index has signatures of the hash for the feature: by the declaration of its fields if there is one, else
+    by what the column's metadata declares, else by the column alone. No data is looked at."""
     if declared is not None:
         spec = declared.get(query.field)
         return spec is not None and query.hash in spec.features.get(query.feature, ())
-    return hashing.signature_column(query.hash) in index.columns
+    column = hashing.signature_column(query.hash)
+    if column not in index.columns:
+        return False
+    return query.feature in index.schema[column].metadata.get(hashing.DECLARED, [query.feature])
 
 
 def image_search(

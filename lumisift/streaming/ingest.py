@@ -9,6 +9,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumisift.functions import hashing
+from lumisift.operators.index import index_documents
+from lumisift.sources.mapping import ImageMapping
+from lumisift.streaming import commits
+
+FEATURES, POSTINGS, ERRORS = "features", "postings", "errors"
+TAGS = "doc_id bigint, directory string, tag_name string, description string"
 
 
 def unique_documents(stream: DataFrame, event_time: str, delay: str, keys: tuple[str, ...] = ("doc_id", "version")) -> DataFrame:
@@ -16,39 +22,55 @@ def unique_documents(stream: DataFrame, event_time: str, delay: str, keys: tuple
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def start_ingest(
-    stream: DataFrame,
-    to_features: Callable[[DataFrame], DataFrame],
-    features_path: str,
-    postings_path: str,
-    checkpoint: str,
-    mode: str = "BIT_SAMPLING",
-):
-    """Processes what is available and stops.
+def _once(batch: DataFrame) -> DataFrame:
+    keys = [c for c in ("doc_id", "version") if c in batch.columns]
+    return batch.dropDuplicates(keys) if keys else batch
 
-    Output of batch ``n`` goes to ``stream=<id>/batch=n`` in overwrite mode, so a batch that is run
-    again after a failure replaces its own output and nothing else. The stream's id lies with its
-    checkpoint: a stream that starts afresh gets a new one and overwrites nothing. The signature is
-    computed once, with the features, and the postings are read back from them.
-    """
+
+def _postings(features: DataFrame) -> DataFrame:
+    """Posting rows of all signatures that stored features have."""
+    keys = [c for c in ("doc_id", "version", "field", "feature") if c in features.columns]
+    parts = [hashing.postings(features, mode, keys) for mode in hashing.MODES if hashing.signature_column(mode) in features.columns]
+    out = parts[0] if parts else features.select(*keys, F.lit("").alias("hash_mode"), F.lit(0).alias("bundle"), F.lit(0).alias("h")).filter("false")
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _start(stream: DataFrame, tables: Callable[[DataFrame], dict], store: str, checkpoint: str):
+    """Processes what is available and stops. Every micro-batch is one commit of the store; a batch that is run again
+    after a failure is committed once. The stream's id lies with its checkpoint, so a stream that starts afresh gets a
+    new one."""
     stream_id = _stream_id(stream.sparkSession, checkpoint)
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        keys = [c for c in ("doc_id", "version") if c in batch.columns]
-        batch = batch.dropDuplicates(keys) if keys else batch
-        target = f"{features_path}/stream={stream_id}/batch={number}"
-        hashing.with_signature(to_features(batch), mode).write.mode("overwrite").parquet(target)
-        written = spark.read.parquet(target)
-        rows = hashing.postings(written, mode, [c for c in ("doc_id", "version", "field", "feature") if c in written.columns])
-        rows.write.mode("overwrite").parquet(f"{postings_path}/stream={stream_id}/batch={number}")
-
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        commits.commit(batch.sparkSession, store, tables(_once(batch)), stream_id, number)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def start_ingest(stream: DataFrame, to_features: Callable[[DataFrame], DataFrame], store: str, checkpoint: str, mode: str = "BIT_SAMPLING"):
+    """Ingest of rows that ``to_features`` turns into feature rows. The signature is computed once, with the features, and
+    the postings are made from the features as written."""
+    make = lambda batch: {
+        FEATURES: lambda written: hashing.with_signature(to_features(batch), mode),
+        POSTINGS: lambda written: _postings(written(FEATURES)),
+    }
+    return _start(stream, make, store, checkpoint)
+
+
+def start_indexing(
+    stream: DataFrame, field: str, mapping: ImageMapping, store: str, checkpoint: str, tags: DataFrame | None = None, excludes: Sequence[str] = ()
+):
+    """Ingest of documents with an image field by the field's mapping: each image is decoded once, and the declared
+    features, hashes and metadata, the postings and the documents that failed are committed together."""
+
+    def make(batch: DataFrame) -> dict:
+        rows = batch.sparkSession.createDataFrame([], TAGS) if tags is None else tags
+        indexed = index_documents(batch, rows, field, mapping, excludes)
+        return {FEATURES: lambda written: indexed.index, POSTINGS: lambda written: _postings(written(FEATURES)), ERRORS: lambda written: indexed.errors}
+
+    return _start(stream, make, store, checkpoint)
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -61,16 +83,34 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
         return made
 
 
-def ingested(spark: SparkSession, path: str, key: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The rows of each document's latest version, from the latest batch that brought it.
+def ingested(spark: SparkSession, store: str, table: str = FEATURES, key: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The rows of each document's latest version, from the last commit that brought it, whichever stream that was.
 
-    Versions are compared first where rows have them; then streams and batches decide.
+    Versions are compared first where rows have them; then the order of commits decides. What is not committed does not
+    count.
     """
-    rows = spark.read.parquet(path)
-    rank = [F.col("version")] if "version" in rows.columns else []
-    arrival = F.struct(*rank, F.col("batch").cast("bigint").alias("batch"), F.col("stream").cast("string").alias("stream"))
-    last = rows.groupBy(*key).agg(F.max(arrival).alias("last"))
-    same = F.col("batch").cast("bigint").eqNullSafe(F.col("last.batch")) & F.col("stream").cast("string").eqNullSafe(F.col("last.stream"))
-    for name in ("version",) if rank else ():
-        same = same & F.col(name).eqNullSafe(F.col(f"last.{name}"))
-    return rows.join(last, list(key)).filter(same).drop("last", "stream", "batch")
+    return _latest(commits.committed(spark, store, table), key).drop("commit")
+
+
+def _latest(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    order = [c for c in ("version", "commit") if c in rows.columns]
+    last = rows.groupBy(*key).agg(F.max(F.struct(*order)).alias("__last"))
+    same = F.lit(True)
+    for name in order:
+        same = same & F.col(name).eqNullSafe(F.col(f"__last.{name}"))
+    return rows.join(last, list(key)).filter(same).drop("__last")
+
+
+def compact(spark: SparkSession, store: str, tables: Sequence[str] = (FEATURES, POSTINGS), key: Sequence[str] = ("doc_id",)) -> None:
+    """Writes the latest rows of all commits so far as one. Commits that come meanwhile stay as they are; files of the
+    old ones are left to readers that have begun."""
+    rows = commits.live(spark, store)
+    if len(rows) < 2:
+        return
+    last = max(r.covers if r.covers is not None else r.number for r in rows)
+    made = {name: (lambda written, name=name: _latest(_up_to(spark, store, name, last), key).drop("commit")) for name in tables}
+    commits.commit(spark, store, made, covers=last)
+
+
+def _up_to(spark: SparkSession, store: str, name: str, last: int) -> DataFrame:
+    return commits.committed(spark, store, name).filter(F.col("commit") <= last)

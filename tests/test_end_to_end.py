@@ -94,3 +94,22 @@ def test_lookup_with_other_conditions(index):
 def test_decoded_once(outcome):
     plan = outcome.index._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" not in plan  # the planes are read back from the table they were written to
+
+
+def test_documents_are_indexed_as_they_arrive(spark, tiles, tmp_path):
+    from lumisift.streaming import ingest
+
+    source, store = str(tmp_path / "in"), str(tmp_path / "store")
+    schema = "doc_id bigint, title string, photo string"
+    some = [(i, "new", base64.b64encode(tiles[i]).decode()) for i in range(4)]
+    for rows in (some[:2], [*some[2:], (50, "broken", "aGVsbG8=")], [(0, "again", some[1][2])]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    mappings, excludes = parse_properties(MAPPING)
+    ingest.start_indexing(stream, "photo", mappings["photo"], store, str(tmp_path / "c"), excludes=excludes).awaitTermination()
+    index = ingest.ingested(spark, store)
+    assert {(r.doc_id, r.title) for r in index.select("doc_id", "title").distinct().collect()} == {(0, "again"), (1, "new"), (2, "new"), (3, "new")}
+    best = search.top_hits(search.image_search(index, by_image(tiles, 1, hash="LSH")), 2).collect()
+    assert [(r.doc_id, r.score) for r in best] == [(0, 2.0), (1, 2.0)]
+    assert [r.doc_id for r in ingest.ingested(spark, store, "errors").collect()] == [50]
+    assert ingest.ingested(spark, store, "postings").filter("feature = 'GABOR'").count() == 4 * 2 * 50

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lumisift.functions import hashing
 from lumisift.plans import batch, classes, hash_join, quality
-from lumisift.streaming import ingest, match
+from lumisift.streaming import commits, ingest, match
 
 DIM = 16
 
@@ -227,23 +227,61 @@ def test_ingest_replays_updates_and_fresh_checkpoints(spark, index, tmp_path):
     source = str(tmp_path / "in")
     first = index.select("doc_id", F.lit(0).alias("version"), "vec")
     first.repartition(3, "doc_id").write.parquet(source)
-    paths = [str(tmp_path / "features"), str(tmp_path / "postings")]
-    run = lambda path, checkpoint, files=1: ingest.start_ingest(read_stream(spark, path, files), lambda b: b, *paths, str(tmp_path / checkpoint)).awaitTermination()
+    store = str(tmp_path / "store")
+    run = lambda path, checkpoint, files=1: ingest.start_ingest(read_stream(spark, path, files), lambda b: b, store, str(tmp_path / checkpoint)).awaitTermination()
     run(source, "c1")
-    assert spark.read.parquet(paths[1]).count() == 90 * 50
+    assert ingest.ingested(spark, store, "postings").count() == 90 * 50
     # a second version of some documents and a repetition of others, in later batches of the same stream
     first.filter("doc_id < 10").withColumns({"version": F.lit(1), "vec": F.transform("vec", lambda x: -x)}).write.mode("append").parquet(source)
     first.filter("doc_id < 20").write.mode("append").parquet(source)
     run(source, "c1")
-    latest = {r.doc_id: (r.version, r.sig_bit_sampling) for r in ingest.ingested(spark, paths[0]).collect()}
+    latest = {r.doc_id: (r.version, r.sig_bit_sampling) for r in ingest.ingested(spark, store).collect()}
     flipped = {d: [int(h) for h in hashing.signatures_of("BIT_SAMPLING", -np.array([VECS[d]]))[0]] for d in range(10)}
     assert latest == {d: (1, flipped[d]) if d < 10 else (0, SIGS[d]) for d in VECS}
-    assert ingest.ingested(spark, paths[1]).count() == 90 * 50
+    assert ingest.ingested(spark, store, "postings").count() == 90 * 50
     # other files with a new checkpoint keep what is there
     other = str(tmp_path / "other")
     first.filter("doc_id < 5").withColumn("doc_id", F.col("doc_id") + 1000).write.parquet(other)
     run(other, "c2", 100)
-    assert {r.doc_id for r in ingest.ingested(spark, paths[0]).collect()} == {*VECS, *range(1000, 1005)}
+    assert {r.doc_id for r in ingest.ingested(spark, store).collect()} == {*VECS, *range(1000, 1005)}
+
+
+def test_commits_of_two_streams_are_in_order(spark, tmp_path):
+    store, schema = str(tmp_path / "store"), "doc_id bigint, vec array<bigint>"
+
+    def send(stream, *values):
+        path = str(tmp_path / f"in-{stream}")
+        for value in values:
+            spark.createDataFrame([(1, [value] * DIM), (value, [value] * DIM)], schema).coalesce(1).write.mode("append").parquet(path)
+        ingest.start_ingest(read_stream(spark, path), lambda b: b, store, str(tmp_path / f"c-{stream}")).awaitTermination()
+
+    now = lambda: {r.doc_id: r.vec[0] for r in ingest.ingested(spark, store).collect()}
+    send("a", 10, 20, 30)
+    send("b", 99)
+    assert now() == {1: 99, 10: 10, 20: 20, 30: 30, 99: 99}
+    ingest.compact(spark, store)
+    assert len(commits.live(spark, store)) == 1 and now() == {1: 99, 10: 10, 20: 20, 30: 30, 99: 99}
+    send("a", 40)
+    assert now()[1] == 40 and len(commits.live(spark, store)) == 2
+    ingest.compact(spark, store)
+    assert now() == {1: 40, 10: 10, 20: 20, 30: 30, 40: 40, 99: 99}
+    assert ingest.ingested(spark, store, "postings").count() == 6 * 50
+
+
+def test_a_batch_that_fails_half_way_is_not_there(spark, tmp_path):
+    store, rows = str(tmp_path / "store"), spark.range(3).withColumnRenamed("id", "doc_id")
+    whole = {"features": lambda written: rows, "postings": lambda written: written("features")}
+    broken = {"features": lambda written: rows.selectExpr("doc_id + 10 AS doc_id"), "postings": lambda written: rows.select(F.raise_error(F.lit("lost")))}
+    assert commits.commit(spark, store, whole, "s", 0)
+    with pytest.raises(Exception, match="lost"):
+        commits.commit(spark, store, broken, "s", 1)
+    for table in ("features", "postings"):
+        assert sorted(r.doc_id for r in commits.committed(spark, store, table).collect()) == [0, 1, 2]
+    assert not commits.commit(spark, store, whole, "s", 0)  # a replay of what is committed
+    assert commits.commit(spark, store, whole, "s", 1)
+    assert [r.number for r in commits.manifests(spark, store)] == [1, 2]
+    (tmp_path / "store" / "_commits" / f"{3:020d}.json").write_text("")  # another stream holds number 3 and has not written yet
+    assert commits.commit(spark, store, whole, "t", 0) and [r.number for r in commits.manifests(spark, store)] == [1, 2, 4]
 
 
 def test_incoming_images_are_matched(spark, index, tmp_path):
