@@ -262,18 +262,21 @@ def plane_name(dx: int, dy: int) -> str:
     return f"p_{dx}_{dy}".replace("-", "m")
 
 
-def chebyshev_ring(d: int) -> list[tuple[int, int]]:
+def half_ring(d: int) -> list[tuple[int, int]]:
+    """One of each two opposite places at Chebyshev distance ``d``."""
     span = range(-d, d + 1)
-    return [(dx, dy) for dy in span for dx in span if max(abs(dx), abs(dy)) == d]
+    return [(dx, dy) for dy in span for dx in span if max(abs(dx), abs(dy)) == d and (dy, dx) > (0, 0)]
 
 
 def colour_windows(images: DataFrame) -> DataFrame:
+    """Pixels with their colour and the colours half around them; a pair of pixels is seen from one of its ends."""
     bins = F.expr("transform(arrays_zip(r, g, b), p -> CAST(p.r div 64 * 16 + p.g div 64 * 4 + p.b div 64 AS INT))")
-    offsets = [(0, 0)] + [at for d in (1, 2, 3) for at in chebyshev_ring(d)]
+    offsets = [(0, 0)] + [at for d in (1, 2, 3) for at in half_ring(d)]
     px = stencils.window(images.withColumn("colour", bins), "colour", offsets)
-    sides = [(axis, size, k) for axis, size in (("x", "w"), ("y", "h")) for k in range(-3, 4)]
-    inside = [f"{a} + {k} BETWEEN 0 AND {size} - 1 AS {a}_{k}".replace("_-", "_m") for a, size, k in sides]
-    return px.selectExpr("*", *inside)
+    inside = [f"x + {k} BETWEEN 0 AND w - 1 AS x_{k}".replace("_-", "_m") for k in range(-3, 4)]
+    inside += [f"y + {k} < h AS y_{k}" for k in range(4)]
+    box = [f"(least(x + {d}, w - 1) - greatest(x - {d}, 0) + 1) * (least(y + {d}, h - 1) - greatest(y - {d}, 0) + 1) AS box{d}" for d in range(4)]
+    return px.selectExpr("*", *inside, *box)
 
 
 CORRELOGRAM_BINS = 192
@@ -283,12 +286,11 @@ def correlogram() -> list[Entry]:
     """Per colour and distance, same-coloured pairs; all pairs go to a second set of bins."""
     out = []
     for d in (1, 2, 3):
-        at = [(plane_name(dx, dy), f"x_{dx}".replace("-", "m"), f"y_{dy}".replace("-", "m")) for dx, dy in chebyshev_ring(d)]
-        same = " + ".join(f"IF({x} AND {y} AND {plane} = p_0_0, 1, 0)" for plane, x, y in at)
-        total = " + ".join(f"IF({x} AND {y}, 1, 0)" for _, x, y in at)
+        at = [(plane_name(dx, dy), f"x_{dx}".replace("-", "m"), f"y_{dy}") for dx, dy in half_ring(d)]
+        same = " + ".join(f"IF({x} AND {y} AND {plane} = p_0_0, 2, 0)" for plane, x, y in at)  # for either end
         out += [
             Entry(F.expr(f"p_0_0 * 3 + {d - 1}"), F.expr(same)),
-            Entry(F.expr(f"p_0_0 * 3 + {d - 1 + CORRELOGRAM_BINS}"), F.expr(total)),
+            Entry(F.expr(f"p_0_0 * 3 + {d - 1 + CORRELOGRAM_BINS}"), F.expr(f"box{d} - box{d - 1}")),
         ]
     return out
 

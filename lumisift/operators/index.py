@@ -54,7 +54,9 @@ def index_documents(
             vectors = vectors.select("*", hashing.signature(wanted, hash_mode).alias(name, metadata={hashing.DECLARED: named}))
     vectors = vectors.withColumn("field", F.lit(field))
     if features_path is not None:
-        sinks.write_features(vectors, features_path)
+        made = shared_folder(spark, "vectors")  # laying rows out by ranges reads them twice, which is cheaper than making them twice
+        vectors.write.parquet(made)
+        sinks.write_features(spark.read.parquet(made), features_path)
         vectors = spark.read.parquet(features_path)
     posted = None
     for hash_mode in hashing.MODES:

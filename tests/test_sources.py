@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lumisift.checks.fixtures import encode_png
 from lumisift.errors import MappingError
 from lumisift.operators import metadata
-from lumisift.sources import documents, images
+from lumisift.sources import documents, images, sinks
 from lumisift.sources.mapping import ImageMapping, parse_properties
 
 MAPPING = {
@@ -154,3 +154,27 @@ def test_metadata_columns(spark):
     assert metadata.attach(docs, tags, {}) is docs
     attached = {r.doc_id: r["jpeg.image_width"] for r in metadata.attach(docs, tags, declared).collect()}
     assert attached == {1: [320, 640], 3: None}
+
+
+def rows_read(frame):
+    """Rows the Parquet readers of a plan hand on, after whole row groups are left out, and the files they opened."""
+    frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.length())]
+    return [sum(int(s.metrics().get(m).get().value()) for s in scans) for m in ("numOutputRows", "numFiles")]
+
+
+def test_stored_tables_skip_data(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr("(id * 7919) % 40000 AS doc_id", "'CEDD' AS feature", "transform(sequence(1, 8), i -> id * i) AS vec")
+    sinks.write_features(rows, str(tmp_path / "features"), row_group_bytes=64 << 10)
+    stored = spark.read.parquet(str(tmp_path / "features"))
+    found = stored.filter("feature = 'CEDD' AND doc_id = 777").select("vec")
+    assert found.count() == 1 and rows_read(found)[0] < 10_000
+    posted = rows.selectExpr("doc_id", "'f' AS field", "feature", "'LSH' AS hash_mode", "doc_id % 50 AS bundle", "doc_id % 4096 * 3 AS h")
+    name = "skipped_" + tmp_path.name.replace("-", "_")
+    sinks.write_postings(posted, name, str(tmp_path / "postings"), buckets=8, row_group_bytes=64 << 10)
+    files = list((tmp_path / "postings").rglob("*.parquet"))
+    assert len(files) == 8  # one for each bucket
+    some = spark.table(name).filter("feature = 'CEDD' AND hash_mode = 'LSH' AND h IN (3, 300)").select("doc_id")
+    assert some.count() == 2 * 10 and rows_read(some)[0] <= 2 * 40_000 // 8 and rows_read(some)[1] <= 2
+    spark.sql(f"DROP TABLE {name}")
