@@ -203,8 +203,9 @@ def stream_match(spark: SparkSession, sf: str) -> DataFrame:
     """The first document of every label arrives again and is matched against the stored ones."""
     arriving = first_of_each_label(spark, sf).select(F.col("query_id").alias("doc_id"), "vec")
     source = as_files(spark, "arriving", arriving.repartition(2, "doc_id"))
-    stored = signed(spark, sf)
     out = shared_folder(spark, "alerts")
+    signed(spark, sf).write.parquet(f"{out}/stored")  # signatures are made once and not for every micro-batch
+    stored = spark.read.parquet(f"{out}/stored")
     postings = hashing.postings(stored, "BIT_SAMPLING", ["doc_id"])
     finish(match.start_matching(stream_of(spark, source, 1), postings, stored, f"{out}/alerts", f"{out}/checkpoint"))
     return spark.read.parquet(f"{out}/alerts").select("new_id", "doc_id", "shared", "distance", "score")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lumisift.checks.fixtures import tiles8, tiles32
 from lumisift.checks.registry import query
-from lumisift.operators.descriptors import DESCRIPTORS, dct_basis, described, gabor_kernels
+from lumisift.operators.descriptors import DESCRIPTORS, described
 
 PX8 = """lv AS (
   SELECT vec_id AS image_id, generate_subscripts(embedding, 1) - 1 AS i,
@@ -83,12 +83,12 @@ FROM {source} WHERE {where} GROUP BY 1, 2 HAVING sum({value}) <> 0"""
 
 LEVELS = "(VALUES (1, 0), (2, 1), (4, 5)) l(side, first)"
 CELL = "(l.first + (y * l.side // h) * l.side + x * l.side // w)"
-BASIS = "basis(u, x, c) AS (VALUES " + ", ".join(
-    f"({u},{x},{value})" for u, row in enumerate(dct_basis()) for x, value in enumerate(row)
-) + ")"
-GABOR = "gk(k, dx, dy, c) AS (VALUES " + ", ".join(
-    f"({k},{i % 5 - 2},{i // 5 - 2},{value})" for k, kernel in enumerate(gabor_kernels()) for i, value in enumerate(kernel)
-) + ")"
+BASIS = """basis(u, x, c) AS MATERIALIZED (SELECT u.range, x.range, CAST(round(1024 * cos((2 * x.range + 1) * u.range * pi() / 16)) AS BIGINT)
+  FROM range(8) u, range(8) x)"""
+GABOR = """gk(k, dx, dy, c) AS MATERIALIZED (
+  SELECT s.k * 4 + o.range, dx.range - 2, dy.range - 2, CAST(round(1000 * exp(-((dx.range - 2) * (dx.range - 2) + (dy.range - 2) * (dy.range - 2)) / (2.0 * s.sigma * s.sigma))
+    * cos(2 * pi() * ((dx.range - 2) * cos(radians(o.range * 45)) + (dy.range - 2) * sin(radians(o.range * 45))) / s.wave)) AS BIGINT)
+  FROM (VALUES (0, 1, 3), (1, 2, 6)) s(k, sigma, wave), range(4) o, range(5) dx, range(5) dy)"""
 YCC = """ycc AS (
   SELECT image_id, x * 8 // w AS gx, y * 8 // h AS gy, p.plane, CAST(sum(CASE p.plane WHEN 0 THEN lum
       WHEN 1 THEN (128000 - 169 * r - 331 * g + 500 * b) // 1000 ELSE (128000 + 500 * r - 419 * g - 81 * b) // 1000 END) AS BIGINT) // count(*) AS m

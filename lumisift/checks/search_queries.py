@@ -9,7 +9,7 @@ from lumisift.checks.fixtures import FEATURE, FIELD, documents_index, signed, ve
 from lumisift.checks.registry import query
 from lumisift.functions import hashing
 from lumisift.functions.scoring import explanation, score_of
-from lumisift.functions.sql import register_sql_functions
+from lumisift.functions.sql import register_search, register_sql_functions
 from lumisift.functions.vectors import bytes_to_vector, distance, int_literal, vector_to_bytes
 from lumisift.plans import search
 from lumisift.plans.request import ImageQuery
@@ -412,6 +412,19 @@ def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("score", F.call_function("img_score", "distance", F.lit(1.5)))
 
 
+@query("u2_sql_search", f"""{HASHED}, best AS (SELECT doc_id, overlap FROM ov ORDER BY overlap DESC, doc_id LIMIT {LIMIT})
+SELECT {HIT}, best.overlap, {v.score('d.cosine', 2.0)} AS boosted FROM dist d JOIN best ON best.doc_id = d.doc_id""")
+def sql_search(spark: SparkSession, sf: str) -> DataFrame:
+    """A hash search with a candidate limit, written in SQL."""
+    index = signed(spark, sf)
+    register_search(spark, index, hash="BIT_SAMPLING")
+    vec = query_vec(index)
+    hashes = search.query_signature("BIT_SAMPLING", vec)
+    text = lambda numbers: f"array({', '.join(f'{x}L' for x in numbers)})"
+    return spark.sql(f"""SELECT doc_id, distance, explanation.image_score AS score, overlap, score AS boosted
+        FROM img_search('{FIELD}', '{FEATURE}', {text(vec)}, {text(hashes)}, q_limit => {LIMIT}, q_boost => 2D)""")
+
+
 ALL_METRICS = f"""WITH {v.VECTORS}, {v.pairs()}, shifted AS (SELECT doc_id, i, v + 10000 AS v FROM ql),
   sums AS (SELECT doc_id, sum(v)::DOUBLE AS s FROM shifted GROUP BY 1),
   prob AS (SELECT s.doc_id, i, v::DOUBLE / t.s AS p FROM shifted s JOIN sums t ON t.doc_id = s.doc_id),

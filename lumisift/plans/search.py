@@ -234,21 +234,18 @@ def should(*clauses: DataFrame) -> DataFrame:
 def multi_feature_search(index: DataFrame, clauses: Sequence[tuple[ImageQuery, Sequence[int]]]) -> DataFrame:
     """Several image clauses; a document scores the sum of those it matches.
 
-    Clauses with a hash are searched each by itself, with their limits. The others share one scan: each row belongs to one feature, so a CASE picks its clause; the scores of a document meet in one
-    aggregation with map-side partial sums instead of one scan and one join per clause.
+    Clauses with a hash are searched each by itself, with their limits. The others share one scan: each row belongs to one
+    feature, so a CASE picks its clause; the scores of a document meet in one aggregation with map-side partial sums instead
+    of one scan and one join per clause.
     """
     if any(query.hash is not None for query, _ in clauses):
         return should(*(image_search(index, query, vec=vec) for query, vec in clauses))
-    score, keep = None, None
+    near, keep = None, None
     for query, vec in clauses:
         mine = (F.col("field") == query.field) & (F.col("feature") == query.feature)
         value = score_of(distance(metric_of(query.feature), F.col("vec"), int_literal(vec)), query.boost)
-        score = F.when(mine, value) if score is None else score.when(mine, value)
+        near = F.when(mine, value) if near is None else near.when(mine, value)
         keep = mine if keep is None else keep | mine
-    return (
-        index.filter(keep & F.col("vec").isNotNull())
-        .select("doc_id", score.alias("score"))
-        .filter(F.col("score").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("clauses"))
-    )
+    # a row of a generator, as in `scored`: the test of the score stays above it
+    rows = index.filter(keep & F.col("vec").isNotNull()).select("doc_id", F.explode_outer(F.array(near)).alias("score"))
+    return rows.filter(F.col("score").isNotNull()).groupBy("doc_id").agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("clauses"))

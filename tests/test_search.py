@@ -195,3 +195,25 @@ def test_top_n_per_group_under_skew(spark):
     for r in got.orderBy("g", "rank").collect():
         have.setdefault(r.g, []).append(r.id)
     assert have == {g: members[:5] for g, members in want.items()}
+
+
+def test_sql_search_is_one_plan(spark, index):
+    from lumisift.functions.sql import register_search
+
+    register_search(spark, index, "find_images", "BIT_SAMPLING")
+    vec = search.query_vector(index, ask())
+    numbers = lambda xs: f"array({', '.join(f'{x}L' for x in xs)})"
+    call = lambda more, where="": spark.sql(f"SELECT * FROM find_images('img', 'embedding', {numbers(vec)}{more}) {where}")
+    scan = {r.doc_id: r.score for r in search.image_search(index, ask()).collect()}
+    assert {r.doc_id: r.score for r in call("").collect()} == scan
+    best = [r.doc_id for r in search.top_hits(search.image_search(index, ask()), 7).collect()]
+    assert sorted(r.doc_id for r in call(", size => 7").collect()) == sorted(best)
+    hashes = search.query_signature("BIT_SAMPLING", vec)
+    for limit in (-1, 3):
+        want = search.image_search(index, ask(hash="BIT_SAMPLING", limit=limit), per_shard=False)
+        assert ids(call(f", {numbers(hashes)}, q_limit => {limit}")) == ids(want)
+    assert ids(call("", "WHERE doc_id < 5")) == {0, 1, 2, 3, 4}
+    text = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text(call("")) and "Exchange" not in text(call("")) and "TakeOrdered" in text(call(", size => 7"))
+    why = call(", q_boost => 2D").select("score", "explanation.*").head()
+    assert why.matched and why.value == why.score and why.image_score * 2 == why.score
