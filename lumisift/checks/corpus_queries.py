@@ -209,3 +209,13 @@ def stream_match(spark: SparkSession, sf: str) -> DataFrame:
     postings = hashing.postings(stored, "BIT_SAMPLING", ["doc_id"])
     finish(match.start_matching(stream_of(spark, source, 1), postings, stored, f"{out}/alerts", f"{out}/checkpoint"))
     return spark.read.parquet(f"{out}/alerts").select("new_id", "doc_id", "shared", "distance", "score")
+
+
+@query("x3_stream_self_match", f"{PAIRS} SELECT a, b, shared, distance FROM near WHERE distance <= 0.8")
+def stream_self_match(spark: SparkSession, sf: str) -> DataFrame:
+    """All vectors arrive in four micro-batches and are matched with each other across them."""
+    arriving = vectors(spark, sf).select("doc_id", "vec")
+    source = as_files(spark, "arriving", arriving.repartition(4, "doc_id"))
+    out = shared_folder(spark, "alerts")
+    finish(match.start_self_matching(stream_of(spark, source, 1), f"{out}/alerts", f"{out}/checkpoint", threshold=0.8, min_shared=2))
+    return spark.read.parquet(f"{out}/alerts").select("a", "b", "shared", "distance")

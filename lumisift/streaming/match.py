@@ -1,4 +1,4 @@
-"""Incoming images matched against stored signatures."""
+"""Incoming images matched against stored signatures, and against each other."""
 
 from __future__ import annotations
 
@@ -59,3 +59,43 @@ def start_matching(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def self_matches(
+    stream: DataFrame, mode: str = "BIT_SAMPLING", metric: str = "cosine", threshold: float = 1.0, min_shared: int = 1,
+    event_time: str | None = None, within: str | None = None, delay: str = "0 seconds",
+) -> DataFrame:
+    """``(a, b, shared, distance)``, ``a < b``, as a stream: images of one stream that are near each other, in the same
+    micro-batch or in different ones.
+
+    The stream's postings are joined with themselves on ``(bundle, h)``, so what has arrived is state that lies by bucket
+    in the state store. A pair comes out once, from the first bundle it shares, with its distance taken there; no state is
+    collected and nothing is looked up. With ``event_time`` only images at most ``within`` apart match, and older ones
+    leave the state once the watermark, ``delay`` behind the newest, has passed them. A document that is sent again
+    matches again: drop replays first (``ingest.unique_documents``).
+    """
+    times = [] if event_time is None else [event_time]
+    rows = stream.select("doc_id", "vec", *times)
+    if event_time is not None:
+        rows = rows.withWatermark(event_time, delay)
+
+    def side(name: str) -> DataFrame:
+        signed = hashing.with_signature(rows, mode).withColumnRenamed(hashing.signature_column(mode), "sig")
+        posted = signed.select("*", F.posexplode_outer("sig").alias("bundle", "h")).filter("h IS NOT NULL")
+        columns = [F.col(c).alias(f"{c}_{name}") for c in ("vec", "sig", "bundle", "h")]
+        return posted.select(F.col("doc_id").alias(name), *columns, *[F.col(c).alias(f"time_{name}") for c in times])
+
+    met = (F.col("bundle_a") == F.col("bundle_b")) & (F.col("h_a") == F.col("h_b")) & (F.col("a") < F.col("b"))
+    if event_time is not None:
+        met = met & F.expr(f"time_b BETWEEN time_a - INTERVAL {within} AND time_a + INTERVAL {within}")
+    same = F.zip_with("sig_a", "sig_b", lambda x, y: x == y)
+    pairs = side("a").join(side("b"), met).withColumn("shared", F.size(F.filter(same, lambda x: x)).cast("bigint"))
+    first = pairs.filter((F.array_position(same, True) - 1 == F.col("bundle_a")) & (F.col("shared") >= min_shared))
+    judged = first.select("a", "b", "shared", F.explode_outer(F.array(distance(metric, F.col("vec_a"), F.col("vec_b")))).alias("distance"))
+    return judged.filter(F.col("distance") <= threshold)
+
+
+def start_self_matching(stream: DataFrame, alerts_path: str, checkpoint: str, **how):
+    """Writes the matches of :func:`self_matches` to files, each once, and stops when what is available is processed."""
+    writer = self_matches(stream, **how).writeStream.format("parquet").option("path", alerts_path)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

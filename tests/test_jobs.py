@@ -298,3 +298,24 @@ def test_incoming_images_are_matched(spark, index, tmp_path):
             if shared and cosine(VECS[q], VECS[d]) <= 0.2:
                 want[q, d] = shared
     assert got == want
+
+
+def test_incoming_images_match_each_other_across_batches(spark, index, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "alerts")
+    rows = index.select("doc_id", "vec", F.timestamp_seconds(F.col("doc_id") * 3600 + 86400).alias("ts"))
+    for low in (0, 15, 30):
+        rows.filter(F.col("doc_id").between(low, low + 14)).coalesce(1).write.mode("append").parquet(source)
+    near = {(a, b): sum(x == y for x, y in zip(SIGS[a], SIGS[b])) for a in range(45) for b in range(a + 1, 45) if cosine(VECS[a], VECS[b]) <= 0.2}
+    near = {pair: n for pair, n in near.items() if n >= 2}
+    match.start_self_matching(read_stream(spark, source), out, str(tmp_path / "c1"), threshold=0.2, min_shared=2).awaitTermination()
+    got = [(r.a, r.b, r.shared) for r in spark.read.parquet(out).collect()]
+    assert {(a, b): n for a, b, n in got} == near and len(got) == len(near)
+    # only images at most six hours apart; what is older leaves the state
+    query = match.start_self_matching(
+        read_stream(spark, source), out + "-near", str(tmp_path / "c2"), threshold=0.2, min_shared=2, event_time="ts", within="6 hours", delay="1 hour"
+    )
+    query.awaitTermination()
+    got = {(r.a, r.b) for r in spark.read.parquet(out + "-near").collect()}
+    assert got == {(a, b) for a, b in near if b - a <= 6}
+    held = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress if p["stateOperators"]]
+    assert held[-1] < 2 * 45 * hashing.BUNDLES
