@@ -15,8 +15,7 @@ WORD, SPACE, BREAK = 0, 1, 2
 INSIDE, LAST = 0x20, 0x0A
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_LOWER = bytes(range(256)).lower()  # of bytes: A to Z only
 
 
 def kinds(spaces: bytes, breaks: bytes) -> np.ndarray:
@@ -84,33 +83,39 @@ def _cuts(raw: np.ndarray, at: np.ndarray, kind: np.ndarray) -> Iterator[tuple[n
 def words(column: pa.Array, kind: np.ndarray) -> Iterator[Words]:
     """The words of all texts of a column, chunk by chunk."""
     raw, at = flat(column)
+    whole, table = memoryview(np.ascontiguousarray(raw)), kind.tobytes()
     for bounds, rows in _cuts(raw, at, kind):
-        low, high = bounds[0], bounds[-1]
-        part = _LOWER[raw[low:high]]
-        of = kind[part]
+        edges = bounds.tolist()
+        joined = b"\n".join([*(whole[a:b] for a, b in zip(edges, edges[1:], strict=False)), b""])  # one more byte behind each text
+        lower = joined.translate(_LOWER)
+        part, of = np.frombuffer(lower, np.uint8), np.frombuffer(bytearray(lower.translate(table)), np.uint8)
+        behind = bounds[1:] - bounds[0] + np.arange(len(rows))  # where those bytes lie
+        of[behind] = np.maximum(of[behind], SPACE)
         held = of == WORD
-        begins = held.copy()
-        begins[1:] &= ~held[:-1]
-        edge = (bounds[:-1] - low)[np.diff(bounds) > 0]
-        begins[edge] = held[edge]
-        ends = held.copy()
-        ends[:-1] &= ~held[1:]
-        ends[edge[1:] - 1] = held[edge[1:] - 1]
-        start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-        if not len(start):
+        keep = held.copy()
+        keep[1:] |= held[:-1]  # words, and the first byte behind each of them
+        first = np.flatnonzero(keep & ~held)
+        if not len(first):
             continue
-        row = rows[np.searchsorted(bounds[1:] - low, start, "right")]
-        passed = np.cumsum(of == BREAK, dtype=np.int32)
-        apart = np.append((row[1:] != row[:-1]) | (passed[start[1:]] != passed[end[:-1] - 1]), True)
-        size = end - start
-        begin = np.cumsum(size + 1) - size - 1
-        text = np.empty(int(begin[-1] + size[-1] + 1), np.uint8)
-        separators = begin + size
-        letters = np.ones(len(text), bool)
-        letters[separators] = False
-        text[letters] = part[held]
-        text[separators] = np.where(apart, LAST, INSIDE)
-        yield Words(text, begin, separators, row)
+        at_all = np.flatnonzero(keep)
+        text = part.take(at_all)
+        end = np.flatnonzero(of.take(at_all) != WORD)
+        row = rows[np.searchsorted(behind, first)]
+        # does the piece end before the next word? Most gaps have one byte or two
+        apart, open_gap = of.take(first) == BREAK, np.flatnonzero(of.take(first + 1, mode="clip") != WORD)
+        if len(open_gap) * 3 < len(first):
+            gap, k = first[open_gap], 1
+            while len(open_gap) and k < 8:
+                kinds_there = of.take(gap + k, mode="clip")
+                apart[open_gap[kinds_there == BREAK]] = True
+                on = (kinds_there != WORD) & (gap + k < len(of))
+                open_gap, gap, k = open_gap[on], gap[on], k + 1
+        if len(open_gap):  # the greatest kind up to the end of the next word
+            apart |= np.maximum.reduceat(of, first) == BREAK
+        apart[:-1] |= row[1:] != row[:-1]
+        apart[-1] = True
+        text[end] = np.where(apart, LAST, INSIDE)
+        yield Words(text, np.append(0, end[:-1] + 1), end, row)
 
 
 def mixed(keys: np.ndarray) -> np.ndarray:
