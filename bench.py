@@ -2,7 +2,7 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query runs once to warm up (class loading, generated code) and five times for the clock, which covers building the
+Each query runs once to warm up (class loading, generated code) and three times for the clock, which covers building the
 plan and running it into a sink that discards the rows. The median counts; the spread between the fastest and the slowest
 run says which differences mean something.
 """
@@ -27,7 +27,7 @@ HEADLINE = [
 ]
 
 
-RUNS = 5
+RUNS = 3
 
 
 def timed(spark, sf_dir: str, name: str) -> float:

@@ -116,6 +116,33 @@ def recall(spark: SparkSession, sf: str) -> DataFrame:
     return quality.hash_quality(signed(spark, sf), first_of_each_label(spark, sf), 10, "BIT_SAMPLING", chunk_numbers=4 * 64)
 
 
+PROBES = 40
+MARGINS = v.SIGNATURES.replace("sig AS (", """margin AS (SELECT q.doc_id, p.bundle, CAST(p.bit AS INTEGER) AS bit, sum(q.v * p.coef) AS dot
+    FROM ql q JOIN planes p ON p.i = q.i GROUP BY 1, 2, 3),
+sig AS (""")
+
+
+@query("q24_multi_probe", f"""WITH {MARGINS}, {ASKED}, {BATCH}, {RANKED},
+place AS (SELECT doc_id, bundle, bit, abs(dot) AS m, row_number() OVER (PARTITION BY doc_id, bundle ORDER BY abs(dot), bit) - 1 AS place
+  FROM margin WHERE doc_id IN (SELECT id FROM asked)),
+turn AS (SELECT doc_id, bundle, s.range AS s, sum(CASE WHEN (s.range >> CAST(place AS INTEGER)) & 1 = 1 THEN m ELSE 0 END) AS cost,
+  CAST(sum(CASE WHEN (s.range >> CAST(place AS INTEGER)) & 1 = 1 THEN 1 << bit ELSE 0 END) AS BIGINT) AS mask
+  FROM place, range(128) s WHERE place < 7 GROUP BY 1, 2, 3),
+probe AS (SELECT t.doc_id, t.bundle, xor(sig.h, t.mask) AS h FROM turn t JOIN sig ON sig.doc_id = t.doc_id AND sig.bundle = t.bundle
+  QUALIFY row_number() OVER (PARTITION BY t.doc_id, t.bundle ORDER BY cost, mask) <= {PROBES} + 1),
+met AS (SELECT q.doc_id AS query_id, d.doc_id, count(*) AS overlap FROM probe q JOIN sig d ON d.bundle = q.bundle AND d.h = q.h GROUP BY 1, 2),
+kept AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY overlap DESC, doc_id) AS r FROM met),
+size AS (SELECT query_id, count(*) AS candidates FROM kept WHERE r <= (SELECT count(*) // 5 FROM embeddings) GROUP BY 1)
+SELECT top.query_id, count(*) AS wanted, count(kept.doc_id) AS hit, max(size.candidates) AS candidates, (SELECT count(*) FROM embeddings) AS docs
+FROM top LEFT JOIN kept ON kept.query_id = top.query_id AND kept.doc_id = top.doc_id AND r <= (SELECT count(*) // 5 FROM embeddings)
+JOIN size ON size.query_id = top.query_id WHERE rank <= 10 GROUP BY 1""")
+def multi_probe(spark: SparkSession, sf: str) -> DataFrame:
+    """Near hashes are asked as well, and the fifth of the documents that most bundles answer with is scored."""
+    index = signed(spark, sf)
+    fifth = table(spark, sf, "embeddings").count() // 5
+    return quality.hash_quality(index, first_of_each_label(spark, sf), 10, "BIT_SAMPLING", probes=PROBES, limit=fifth)
+
+
 @query("q25_hash_docfreq", f"WITH {v.SIGNATURES} SELECT h, count(DISTINCT doc_id) AS doc_freq, count(*) AS postings FROM sig GROUP BY 1")
 def docfreq(spark: SparkSession, sf: str) -> DataFrame:
     return quality.document_frequency(posting_table(signed(spark, sf))).select("h", "doc_freq", "postings")

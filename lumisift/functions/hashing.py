@@ -78,6 +78,51 @@ def signatures_of(mode: str, vectors: np.ndarray) -> np.ndarray:
     return hashes
 
 
+PROBED_BITS = 7
+"""Bits of a bundle that probing may turn: those whose dot products are nearest to zero."""
+
+
+@lru_cache(maxsize=1)
+def _turns() -> np.ndarray:
+    """(subsets x places): which of the probed bits a probe turns; the first turns none."""
+    return (np.arange(1 << PROBED_BITS)[:, None] >> np.arange(PROBED_BITS)) & 1
+
+
+def probes_of(mode: str, vectors: np.ndarray, extra: int) -> np.ndarray:
+    """(batch x bundles x 1 + extra) hashes: a vector's own and the nearest other ones of each bundle.
+
+    For signs, those that turn the bits with the smallest absolute dot products in sum; for cells, those whose border is
+    nearest. Of equally near ones the smaller turn, or the lower cell, comes first.
+    """
+    planes, bias = plane_matrix(mode, vectors.shape[1])
+    own = signatures_of(mode, vectors)
+    dots = vectors.astype(np.float64) @ planes.astype(np.float64)
+    if mode == "BIT_SAMPLING":
+        extra = min(extra, (1 << PROBED_BITS) - 1)
+        size = np.abs(dots).reshape(len(vectors), BUNDLES, BITS)
+        place = np.argsort(size, axis=2, kind="stable")[:, :, :PROBED_BITS]
+        cost = np.take_along_axis(size, place, 2) @ _turns().T
+        mask = (np.int64(1) << place.astype(np.int64)) @ _turns().T
+        order = np.lexsort((mask, cost), axis=2)[:, :, : extra + 1]
+        return own[:, :, None] ^ np.take_along_axis(mask, order, 2)
+    steps = np.array([s for j in range(1, extra + 1) for s in (-j, j)], np.int64)
+    inside = ((dots + bias) % LSH_WIDTH)[:, :, None]
+    cost = np.where(steps > 0, steps * LSH_WIDTH - inside, inside + (-steps - 1) * LSH_WIDTH)
+    order = np.argsort(cost, axis=2, kind="stable")[:, :, :extra]
+    return np.concatenate([own[:, :, None], own[:, :, None] + steps[order]], axis=2)
+
+
+def probes(vec: Column, mode: str, extra: int) -> Column:
+    """``ARRAY<ARRAY<BIGINT>>``: for each bundle the vector's own hash and the ``extra`` nearest others."""
+    mode = hash_mode(mode)
+
+    @pandas_udf("array<array<bigint>>")
+    def probe(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda v: None if v is None else list(probes_of(mode, np.array([v], np.int64), extra)[0]))
+
+    return probe(vec)
+
+
 def signature(vec: Column, mode: str) -> Column:
     """``ARRAY<BIGINT>`` of :data:`BUNDLES` hashes; NULL vector, NULL signature."""
     mode = hash_mode(mode)

@@ -130,15 +130,16 @@ def batch_topk(
     bundle_aware: bool = False,
     limit: int = -1,
     per_shard: bool = False,
+    probes: int = 0,
     chunk_numbers: int = CHUNK_NUMBERS,
 ) -> DataFrame:
     """``(query_id, doc_id, distance, score, rank)``: the best ``k`` documents of each query.
 
     With ``hash`` only documents sharing a hash with the query take part, with a positive ``limit`` only the ``limit`` of
-    them with the largest overlap, in total or in each shard. A batch without queries gives no rows.
+    them with the largest overlap, in total or in each shard; ``probes`` are further hashes asked in each bundle. A batch without queries gives no rows.
     """
     if hash is not None:
-        return hash_topk(index, queries, k, metric, hashing.hash_mode(hash), bundle_aware=bundle_aware, limit=limit, per_shard=per_shard)
+        return hash_topk(index, queries, k, metric, hashing.hash_mode(hash), bundle_aware=bundle_aware, limit=limit, per_shard=per_shard, probes=probes)
     docs = index.filter(F.col("vec").isNotNull()).select("doc_id", "vec")
 
     def matched(chunk: pd.DataFrame) -> DataFrame:
@@ -159,9 +160,9 @@ def batch_topk(
     return best.select("query_id", "doc_id", "distance", "score", "rank")
 
 
-def candidate_counts(index: DataFrame, queries: DataFrame, hash: str, bundle_aware: bool = False) -> DataFrame:
+def candidate_counts(index: DataFrame, queries: DataFrame, hash: str, bundle_aware: bool = False, probes: int = 0) -> DataFrame:
     """``(query_id, candidates, docs)``: how much a hash search leaves to score."""
-    return hash_counts(index, queries, hashing.hash_mode(hash), bundle_aware)
+    return hash_counts(index, queries, hashing.hash_mode(hash), bundle_aware, probes)
 
 
 def same_image(index: DataFrame, mode: str, metric: str = "cosine", threshold: float = 1.0, min_shared: int = 2) -> DataFrame:

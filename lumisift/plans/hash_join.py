@@ -31,10 +31,12 @@ def distinct_documents(index: DataFrame, mode: str, keep: int, per_shard: bool =
     return few.withColumn("head", F.min("doc_id").over(Window.partitionBy("vec", "shard")))
 
 
-def distinct_queries(queries: DataFrame, mode: str) -> DataFrame:
-    """``(asked, vec, sig)``: each query vector once, under the smallest id that asks it."""
+def distinct_queries(queries: DataFrame, mode: str, probes: int = 0) -> DataFrame:
+    """``(asked, vec, sig)``: each query vector once, under the smallest id that asks it; with ``probes`` also the nearest
+    other hashes of each bundle as ``near``."""
     heads = queries.filter(F.col("vec").isNotNull()).groupBy("vec").agg(F.min("query_id").alias("asked"))
-    return heads.select("asked", "vec", hashing.signature(F.col("vec"), mode).alias("sig"))
+    near = [hashing.probes(F.col("vec"), mode, probes).alias("near")] if probes else []
+    return heads.select("asked", "vec", hashing.signature(F.col("vec"), mode).alias("sig"), *near)
 
 
 def _posted(heads: DataFrame, bundle_aware: bool) -> DataFrame:
@@ -48,6 +50,9 @@ def _posted(heads: DataFrame, bundle_aware: bool) -> DataFrame:
 
 def _asked(heads: DataFrame, bundle_aware: bool) -> DataFrame:
     """``(asked, bundle, h, times)``; without regard to positions repeats of a query's hash count."""
+    if "near" in heads.columns:
+        rows = heads.select("asked", F.posexplode_outer("near").alias("bundle", "hs"))
+        return rows.select("asked", "bundle", F.explode_outer("hs").alias("h"), F.lit(1).cast("bigint").alias("times")).filter(F.col("h").isNotNull())
     if bundle_aware:
         rows = heads.select("asked", F.posexplode_outer("sig").alias("bundle", "h"), F.lit(1).cast("bigint").alias("times"))
         return rows.filter(F.col("h").isNotNull())
@@ -81,15 +86,19 @@ def _scored(pairs: DataFrame, documents: DataFrame, queries: DataFrame, metric:
 
 
 def hash_topk(
-    index: DataFrame, queries: DataFrame, k: int, metric: str, mode: str, *, bundle_aware: bool = False, limit: int = -1, per_shard: bool = False
-) -> DataFrame:
+    index: DataFrame, queries: DataFrame, k: int, metric: str, mode: str, *, bundle_aware: bool = False, limit: int = -1, per_shard: bool = False,
+    probes: int = 0,
+) -> DataFrame:
     """``(query_id, doc_id, distance, score, rank)``: the best ``k`` of the documents that share a hash with the query.
 
     With a positive ``limit`` only the ``limit`` of them with the largest overlap take part, in total or in each shard.
-    Vectors of null and tables without rows give none; equal scores are ranked by ``doc_id``.
+    With ``probes`` a query asks in each bundle for that many of its nearest other hashes too (hashes in place only), and
+    the overlap counts the bundles that answer. Vectors of null and tables without rows give none; equal scores are ranked
+    by ``doc_id``.
     """
+    bundle_aware = bundle_aware or probes > 0
     members = distinct_documents(index, mode, max(k, limit), per_shard and limit > 0)
-    heads, asked = members.filter("doc_id = head"), distinct_queries(queries, mode)
+    heads, asked = members.filter("doc_id = head"), distinct_queries(queries, mode, probes)
     pairs = candidates(heads, asked, bundle_aware)
     if limit > 0:
         of_shard = pairs.join(heads.select("head", "shard"), "head")
@@ -107,12 +116,12 @@ def hash_topk(
     return all_of_them.join(best, "asked").select("query_id", "doc_id", "distance", "score", "rank")
 
 
-def hash_counts(index: DataFrame, queries: DataFrame, mode: str, bundle_aware: bool = False) -> DataFrame:
+def hash_counts(index: DataFrame, queries: DataFrame, mode: str, bundle_aware: bool = False, probes: int = 0) -> DataFrame:
     """``(query_id, candidates, docs)``: how much a hash search leaves to score, for every query with a vector."""
     rows = index.filter(F.col("vec").isNotNull()).select("doc_id", "vec", F.col(hashing.signature_column(mode)).alias("sig"))
     heads = rows.groupBy("vec", "sig").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"))
-    asked = distinct_queries(queries, mode)
-    found = candidates(heads, asked, bundle_aware).join(heads.select("head", "copies"), "head")
+    asked = distinct_queries(queries, mode, probes)
+    found = candidates(heads, asked, bundle_aware or probes > 0).join(heads.select("head", "copies"), "head")
     found = found.groupBy("asked").agg(F.sum("copies").alias("candidates"))
     of = queries.filter(F.col("vec").isNotNull()).select("query_id", "vec").join(asked.select("vec", "asked"), "vec").join(found, "asked", "left")
     docs = rows.agg(F.count(F.lit(1)).alias("docs"))  # one row

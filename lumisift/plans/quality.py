@@ -17,11 +17,16 @@ def recall_at_k(exact: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def hash_quality(index: DataFrame, queries: DataFrame, k: int, hash: str, metric: str = "cosine", bundle_aware: bool = False, **how) -> DataFrame:
-    """Recall against the scan together with the share of documents left to score."""
+def hash_quality(
+    index: DataFrame, queries: DataFrame, k: int, hash: str, metric: str = "cosine", bundle_aware: bool = False, probes: int = 0, limit: int = -1, **how
+) -> DataFrame:
+    """Recall against the scan together with the number of documents left to score."""
     exact = batch_topk(index, queries, k, metric, **how)
-    found = batch_topk(index, queries, k, metric, hash=hash, bundle_aware=bundle_aware)
-    return recall_at_k(exact, found).join(candidate_counts(index, queries, hash, bundle_aware), "query_id")
+    found = batch_topk(index, queries, k, metric, hash=hash, bundle_aware=bundle_aware, probes=probes, limit=limit)
+    counts = candidate_counts(index, queries, hash, bundle_aware, probes)
+    if limit > 0:
+        counts = counts.withColumn("candidates", F.least("candidates", F.lit(limit).cast("bigint")))
+    return recall_at_k(exact, found).join(counts, "query_id")
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:

@@ -107,3 +107,26 @@ def test_terms(spark):
     rows = spark.createDataFrame([([5, -5, 0],)], "s array<bigint>").select(hashing.terms(F.col("s")).alias("t"))
     assert rows.head().t == "5 -5 0"
     assert rows.select(hashing.parse_terms(F.col("t")).alias("s")).head().s == [5, -5, 0]
+
+
+def test_probes_are_the_nearest_hashes(spark):
+    rng = np.random.default_rng(2)
+    vecs = rng.integers(-5000, 5000, (3, 16))
+    planes, bias = hashing.plane_matrix("BIT_SAMPLING", 16)
+    got = hashing.probes_of("BIT_SAMPLING", vecs, 20)
+    for i, own in enumerate(hashing.signatures_of("BIT_SAMPLING", vecs)):
+        dots = np.abs(vecs[i] @ planes).reshape(hashing.BUNDLES, hashing.BITS)
+        for bundle in range(hashing.BUNDLES):
+            bits = sorted(range(hashing.BITS), key=lambda b: (dots[bundle, b], b))[: hashing.PROBED_BITS]  # noqa: B023
+            turns = [sum(1 << b for j, b in enumerate(bits) if s >> j & 1) for s in range(1 << hashing.PROBED_BITS)]
+            cost = {t: sum(dots[bundle, b] for b in range(hashing.BITS) if t >> b & 1) for t in turns}  # noqa: B023
+            assert got[i, bundle].tolist() == [int(own[bundle]) ^ t for t in sorted(turns, key=lambda t: (cost[t], t))[:21]]  # noqa: B023
+    cells, (planes, bias) = hashing.probes_of("LSH", vecs, 3), hashing.plane_matrix("LSH", 16)
+    for i in range(3):
+        for bundle in range(hashing.BUNDLES):
+            at = (int(vecs[i] @ planes[:, bundle]) + int(bias[bundle])) / hashing.LSH_WIDTH
+            own = int(np.floor(at))
+            away = lambda c: max(c - at, at - (c + 1), 0)  # noqa: B023, E731
+            assert cells[i, bundle].tolist() == sorted(range(own - 4, own + 5), key=lambda c: (c != own, away(c), c))[:4]
+    column = spark.createDataFrame([(v.tolist(),) for v in vecs], "vec array<bigint>").select(hashing.probes(F.col("vec"), "bit_sampling", 20).alias("p"))
+    assert [r.p for r in column.collect()] == got.tolist()
