@@ -127,6 +127,16 @@ def test_chains_across_buckets_are_found(spark):
     assert got == brute_classes(rows, 2)
 
 
+def test_lone_keys_reach_no_table(spark):
+    """Of M * M tables a document takes part only in those whose two keys other documents have as well."""
+    m = near_dedup.M
+    rows = [(i, list(range(100 * i, 100 * i + m)), list(range(100 * i + m, 100 * i + 2 * m))) for i in range(50)]
+    rows[7] = (7, [300, *rows[7][1][1:]], [300 + m, *rows[7][2][1:]])  # one key of each collection is document 3's
+    heads = spark.createDataFrame(rows, "id bigint, first array<bigint>, second array<bigint>")
+    got = near_dedup._tables(heads).collect()
+    assert sorted(r.id for r in got) == [3, 7] and len({r.bucket for r in got}) == 1
+
+
 def test_near_duplicate_cases(spark):
     rows = [(2, "a b c"), (2, "a b c"), (None, "a b c"), (1, "a B c"), (3, None), (4, "")]
     got = Counter((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(frame(spark, rows), width=2).collect())
