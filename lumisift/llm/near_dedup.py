@@ -9,9 +9,10 @@ leave before tables are made of pairs, so work follows the documents that share
 Texts with equal sets are one class and only its first document goes on. A bucket with more than `CROWD` documents is
 split by a key of a third collection, which parts texts that share a frequent line rather than most of their text; a
 pair at the threshold meets in some fifty tables, of which the split leaves about half; if all its buckets are split, it
-meets in none with a probability of 3.9e-5. Every document of a bucket is
-compared with two of it only: the one that meets most others in all tables, and the first. Afterwards buckets whose
-documents are still in different components are searched for the missing links.
+meets in none with a probability of 3.9e-5. Every document is compared with
+two others first: of all that anchor its buckets (the one of a bucket that meets most others in all tables, and the one
+with the least id) the heaviest and the least. Buckets whose documents are in different components then compare all with
+their own two anchors, and those that still are are searched for the missing links.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ from lumisift.llm.workers import hold
 M, R, CROWD = 16, 3, 12
 #: Bits of an odd sketch, a multiple of 64.
 BITS = 1024
+#: Bits of the table that thins texts before they are shuffled; bounds memory, never the result.
+MARKS = 1 << 26
 #: Words whose hashes a worker remembers; bounds memory, never the result.
 REMEMBERED = 200_000
 
@@ -119,6 +122,19 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, n_shingles bigint, digest binary, odd array<bigint>, first array<bigint>, second array<bigint>, third array<bigint>")
 
 
+def _among(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The documents whose hashed id is marked in a table of `MARKS` bits, before their texts are shuffled: all that are
+    asked for and a share of the others that is at most the share of bits that are marked."""
+    mark = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(MARKS))
+    marked = asked.select(mark.alias("mark"))
+    marked = marked.groupBy(F.expr("bitmap_bucket_number(mark)").alias("__part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(mark))").alias("__bits"))
+    own = docs.withColumn("__mark", mark)
+    own = own.withColumn("__part", F.expr("bitmap_bucket_number(__mark)")).withColumn("__at", F.expr("bitmap_bit_position(__mark)").cast("int"))
+    own = own.join(F.broadcast(marked), "__part")  # at most MARKS / 8 bytes
+    byte = F.conv(F.hex(F.substring("__bits", F.shiftright("__at", 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return own.where(F.getbit(byte, F.col("__at") % 8) == 1).select("id", "text")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those pairs `a, b` of documents whose full sets are similar enough."""
 
@@ -128,7 +144,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
         return pd.Series([shingle_hashes(text, width).view(np.int64) for text in texts], dtype=object)
 
     asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    full = docs.join(asked, "id", "left_semi").select("id", sets("text").alias("set"))
+    full = _among(docs, asked).join(asked, "id", "left_semi").select("id", sets("text").alias("set"))
     right = full.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
     left = full.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     both = pairs.join(right, "b").join(left, "a")
@@ -153,6 +169,18 @@ def _tables(heads: DataFrame) -> DataFrame:
     return pairs.select("id", hashed.alias("bucket"))
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("id", "anchor").alias("a"), F.greatest("id", "anchor").alias("b")).distinct()
+
+
+def _apart(known: DataFrame, roots: DataFrame) -> DataFrame:
+    """`id, bucket, weight, root` in the buckets that hold documents of several components."""
+    rooted = known.join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", "bucket", "weight", F.coalesce("root", "id").alias("root"))
+    rooted = stored(rooted, "rooted")
+    apart = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+    return stored(rooted.join(apart, "bucket", "left_semi"), "apart")
+
+
 def near_duplicates(
     df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
     confirm: Callable = confirmed,
@@ -177,16 +205,20 @@ def near_duplicates(
     deeper = deeper.withColumn("size", size).where("size > 1")
     crowded = stored(met.where(f"size <= {CROWD}").select("id", "bucket", "size").union(deeper.select("id", "bucket", "size")), "leaves")
     weight = crowded.groupBy("id").agg(F.sum("size").alias("weight"))
-    known = crowded.join(weight, "id")
-    anchors = known.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("most"), F.min("id").alias("least"))
-    pairs = known.join(anchors, "bucket").select("id", F.explode(F.array(-F.col("most.id"), F.col("least"))).alias("anchor")).where("id <> anchor")
-    tried = stored(pairs.select(F.least("id", "anchor").alias("a"), F.greatest("id", "anchor").alias("b")).distinct(), "pairs")
+    known = stored(crowded.join(weight, "id").select("id", "bucket", "weight"), "known")
+    heavy, least = F.struct("weight", (-F.col("id")).alias("id")), F.min("id").alias("least")
+    anchors = known.groupBy("bucket").agg(F.max(heavy).alias("most"), least)
+    near = known.join(anchors, "bucket").groupBy("id").agg(F.max(F.when(F.col("most.id") != -F.col("id"), F.col("most"))).alias("most"), F.min(F.when(F.col("least") != F.col("id"), F.col("least"))).alias("least"))
+    pairs = near.select("id", F.explode(F.array(-F.col("most.id"), F.col("least"))).alias("anchor")).where("anchor is not null")
+    tried = stored(_ordered(pairs), "pairs")
     links = stored(confirm(tried, docs, width, percent), "links")
-    roots = components(links)
-    rooted = crowded.join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
-    apart = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-    rooted = rooted.join(apart, "bucket", "left_semi").join(full.select("id", "n_shingles", "odd").dropDuplicates(["id"]), "id")
-    rooted = stored(rooted.select("bucket", "id", "root", "n_shingles", "odd"), "apart")
+    rooted = _apart(known, components(links))
+    anchors = rooted.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"), "root")).alias("most"), F.min(F.struct("id", "root")).alias("least"))
+    pairs = rooted.join(anchors, "bucket").select("id", "root", F.explode(F.array(F.struct((-F.col("most.id")).alias("id"), F.col("most.root").alias("root")), "least")).alias("anchor"))
+    more = stored(_ordered(pairs.where("root <> anchor.root").select("id", F.col("anchor.id").alias("anchor"))).join(tried, ["a", "b"], "left_anti"), "pairs")
+    links, tried = stored(links.union(confirm(more, docs, width, percent)), "links"), tried.union(more)
+    rooted = _apart(rooted.select("id", "bucket", "weight"), components(links))
+    rooted = stored(rooted.join(full.select("id", "n_shingles", "odd").dropDuplicates(["id"]), "id").select("bucket", "id", "root", "n_shingles", "odd"), "apart")
     other = rooted.select("bucket", *(F.col(c).alias(a) for c, a in (("id", "b"), ("root", "root_b"), ("n_shingles", "n_b"), ("odd", "odd_b"))))
     differ = sum((F.bit_count(F.get("odd", i).bitwiseXOR(F.get("odd_b", i))) for i in range(BITS // 64)), F.lit(0))
     possible = differ * (100 + percent) <= (F.col("n_shingles") + F.col("n_b")) * (100 - percent)
