@@ -3,8 +3,10 @@
 A word's embedding is the sum of three rows of one table: two hashes of the word, so that two words rarely share both,
 and one of its first four characters, so that unseen inflections of a known word are near it. Filters one, two and
 three words wide slide over the whole text, each keeps its largest response, and a logistic layer weighs them. The
-model is fitted on the driver on a bounded sample of labelled documents (`FIT_ROWS` of either label, none over
-`FIT_WORDS` words); the sample's words arrive as hashes. Scoring is a map over all documents, whole texts of any
+model is fitted in one task on a bounded sample of labelled documents (`FIT_ROWS` of either label), whose words arrive
+as hashes. Of a longer one that isn't toxic `FIT_WORDS` words are used, in stretches at equal distances over the whole
+text, as every part of it is not toxic either; a toxic one whose toxic part isn't known takes part in calibration only.
+Calibration and thresholds rest on whole texts of every length, scored in Spark. Scoring is a map over all documents, whole texts of any
 length, in pieces that overlap by the widest filter.
 
 The first embedding dimension starts from how much more often a feature is seen in toxic documents of the sample
@@ -13,6 +15,7 @@ The first embedding dimension starts from how much more often a feature is seen
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -23,12 +26,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from lumisift.llm.stored import stored
 from lumisift.llm.workers import hold
 
 #: Rows of the embedding table, its width, filters of each width, and the widths.
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 17, 8, 6, (1, 2, 3)
-#: Bounds of the sample a model is fitted and calibrated on: documents of each label, words of a document.
-FIT_ROWS, FIT_WORDS = 5_000, 3_000
+#: Bounds of the sample: documents of each label, words a document is fitted with, and stretches these are taken from.
+FIT_ROWS, FIT_WORDS, STRETCHES = 5_000, 3_000, 6
 #: Threshold of languages with fewer than `LEAST` toxic or other documents in the calibration sample.
 DEFAULT, LEAST = 0.7, 20
 #: Words a worker remembers, and words scored at a time; both bound memory, never the result.
@@ -179,11 +183,12 @@ class Scorer:
     def __init__(self, model: Convolution):
         self.model, self.place, self.rows = model, {}, np.zeros((0, FILTERS * sum(WIDTHS)), np.float32)
 
+    def logit(self, text: str) -> float:
+        return self.model.logit(self._pieces(words_of(text)))
+
     def score(self, text: str) -> float:
-        words = words_of(text)
         a, b = self.model.scale
-        logit = self.model.logit(self._pieces(words))
-        return float(1 / (1 + np.exp(-np.clip(a * logit + b, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(a * self.logit(text) + b, -30, 30))))
 
     def _pieces(self, words: list[str]) -> Iterator[np.ndarray]:
         for i in range(0, max(1, len(words)), STRIDE):
@@ -221,39 +226,60 @@ def fit(
     the sample a fifth is kept for calibration, also of a threshold for each language if `lang_col` is given; languages
     never enter a score. Without labels of both kinds the model scores everything below 0.5.
     """
+    spark = docs.sparkSession
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (remainder(id_col) != 1))
-    known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic"))
-    order = F.xxhash64("id", F.lit(3))
-    chosen = [r for t in (0, 1) for r in known.where(F.col("toxic") == t).orderBy(order, "id").limit(FIT_ROWS).collect()]
-    model = Convolution()
-    if len({r.toxic for r in chosen}) < 2:
-        return model
-    ids = docs.sparkSession.createDataFrame(pd.DataFrame({"id": [r.id for r in chosen], "toxic": [r.toxic for r in chosen]}), known.schema)
-    few = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.coalesce(F.col(lang_col), F.lit("")) if lang_col else F.lit("")).alias("lang")).where("text is not null")
-    few = few.join(F.broadcast(ids), "id")  # at most 2 * FIT_ROWS rows
+    known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
+    one, other = (known.where(F.col("toxic") == t).orderBy(F.xxhash64("id", F.lit(3)), "id").limit(FIT_ROWS) for t in (0, 1))
+    lang = F.coalesce(F.col(lang_col), F.lit("")) if lang_col else F.lit("")
+    few = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang")).where("text is not null")
+    few = few.join(F.broadcast(one.union(other)), "id").dropDuplicates(["id"])  # at most 2 * FIT_ROWS rows
+    aside = F.crc32(F.concat(F.lit("calibrate "), F.col("id").cast("string")).cast("binary")) % 5 == 0
+    few = stored(few.withColumn("aside", aside), "labelled")
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc, text, toxic, lang in zip(batch["id"], batch["text"], batch["toxic"], batch["lang"], strict=True):
+            for doc, text, toxic in zip(batch["id"], batch["text"], batch["toxic"], strict=True):
                 words = words_of(text)
-                if len(words) <= FIT_WORDS:
-                    yield pd.DataFrame({"id": [doc], "toxic": [toxic], "lang": [lang], "words": [np.array([features(w) for w in words], np.int32).tobytes()]})
+                if len(words) > FIT_WORDS:
+                    if toxic:  # its parts need not be
+                        continue
+                    starts = np.linspace(0, len(words) - FIT_WORDS // STRETCHES, STRETCHES).astype(int)
+                    words = [w for i in starts for w in words[i : i + FIT_WORDS // STRETCHES]]
+                yield pd.DataFrame({"id": [doc], "toxic": [toxic], "words": [np.array([features(w) for w in words], np.int32).tobytes()]})
+
+    def train(sample: pd.DataFrame) -> pd.DataFrame:
+        hold("toxicity", int)
+        sample = sample.sort_values("id", ignore_index=True)
+        toxic, model = sample["toxic"].to_numpy(), Convolution()
+        if len(set(toxic)) == 2:
+            model.fit([np.frombuffer(w, np.int32).reshape(-1, 3) for w in sample["words"]], toxic)
+        return pd.DataFrame({"model": [pickle.dumps((len(set(toxic)) == 2, model))]})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    sample = few.select("id", "text", "toxic", "lang").mapInPandas(hashed, f"id {kind}, toxic int, lang string, words binary").dropDuplicates(["id"]).toPandas()
-    sample = sample.sort_values("id", ignore_index=True)
-    rows = [np.frombuffer(w, np.int32).reshape(-1, 3) for w in sample["words"]]
-    toxic = sample["toxic"].to_numpy()
-    aside = np.array([zlib.crc32(f"calibrate {i}".encode()) % 5 == 0 for i in sample["id"]])
-    model.fit([r for r, a in zip(rows, aside, strict=True) if not a], toxic[~aside])
-    if aside.any() and 0 < toxic[aside].sum() < aside.sum():
-        logits = model.logits(model.project(r) for r, a in zip(rows, aside, strict=True) if a)
-        model.scale = a, b = _logistic(logits, toxic[aside])
-        scores, langs = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30))), sample["lang"].to_numpy()[aside]
+    sample = few.where("not aside").select("id", "text", "toxic").mapInPandas(hashed, f"id {kind}, toxic int, words binary")
+    made = sample.groupBy().applyInPandas(train, "model binary").collect()  # one task trains on the bounded sample
+    fitted, model = pickle.loads(made[0].model) if made else (False, Convolution())
+    if not fitted:
+        return model
+    shared = spark.sparkContext.broadcast(model)
+
+    @pandas_udf("double")
+    def logit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hold("toxicity", int)
+        scorer = Scorer(shared.value)
+        for texts in batches:
+            yield pd.Series([scorer.logit(text) for text in texts], dtype=float)
+
+    marked = few.where("aside").select("id", "toxic", "lang", logit("text").alias("logit")).orderBy("id").collect()  # a number for each
+    shared.destroy()
+    toxic, logits, langs = (np.array([r[c] for r in marked]) for c in ("toxic", "logit", "lang"))
+    if len(set(toxic)) == 2:
+        model.scale = a, b = _logistic(logits, toxic)
+        scores = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
         for lang in np.unique(langs) if lang_col else ():
             own = langs == lang
-            if min(toxic[aside][own].sum(), (1 - toxic[aside][own]).sum()) >= LEAST:
-                model.thresholds[lang] = _best_threshold(scores[own], toxic[aside][own])
+            if min(toxic[own].sum(), (1 - toxic[own]).sum()) >= LEAST:
+                model.thresholds[str(lang)] = _best_threshold(scores[own], toxic[own])
     return model
 
 
