@@ -97,6 +97,7 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         both = head.withColumn("at", F.col("start") + F.col("n") - depth).join(tail, ["id", "version", "at"])
         both = both.select("id", "version", F.col("start").alias("i"), "n", "head", "tail")
         later = _named(both, ["n", "head", "tail"]).where(F.struct("id", "version", "i") > F.col("name")).select("id", "version", "i", "n")
+        later = stored(later, "hits")
         hit = later if hit is None else hit.union(later)
         if 2 * depth > min_words:
             break
