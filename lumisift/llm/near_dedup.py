@@ -124,7 +124,8 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 def _among(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """The documents whose hashed id is marked in a table of `MARKS` bits, before their texts are shuffled: all that are
-    asked for and a share of the others that is at most the share of bits that are marked."""
+    asked for and a share of the others that is at most the share of bits that are marked. What follows must not be a
+    semi-join, which the optimizer would move below this one."""
     mark = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(MARKS))
     marked = asked.select(mark.alias("mark"))
     marked = marked.groupBy(F.expr("bitmap_bucket_number(mark)").alias("__part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(mark))").alias("__bits"))
@@ -144,7 +145,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
         return pd.Series([shingle_hashes(text, width).view(np.int64) for text in texts], dtype=object)
 
     asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    full = _among(docs, asked).join(asked, "id", "left_semi").select("id", sets("text").alias("set"))
+    full = _among(docs, asked).join(asked, "id").select("id", sets("text").alias("set"))
     right = full.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
     left = full.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     both = pairs.join(right, "b").join(left, "a")

@@ -143,6 +143,10 @@ def test_texts_are_thinned_before_they_are_shuffled(spark):
     got = [r.id for r in near_dedup._among(docs, asked).collect()]
     assert set(range(-2000, 2000, 50)) <= set(got) and len(got) == len(set(got)) < 100
     assert near_dedup._among(docs, asked.limit(0)).count() == 0
+    joined = near_dedup._among(docs, asked).join(asked, "id")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and plan.index("id#") < plan.index("bitmap_construct_agg") and plan.count("Join Inner") == 2
+    assert {r.id for r in joined.collect()} == set(range(-2000, 2000, 50)) and joined.count() == 80
 
 
 def test_near_duplicate_cases(spark):
