@@ -1,167 +1,26 @@
 """Images the distance rule calls the same, as classes: a row for each document instead of a row for each pair.
 
-Documents of equal vectors are one image. Images meet in the buckets of their hashes; where two must be shared, a large
-bucket is split by every second one. Three steps keep a crowd of near images from being compared pair by pair:
-
-1. every image is compared with the smallest of each of its buckets, and what that links is connected;
-2. only images that are not connected yet are compared: in a bucket of at most ``CROWD`` as pairs, in a larger one in tiles
-   of two blocks. There, images of one component are kept apart: a large one has blocks of its own, which meet the blocks
-   of others only, small ones share blocks;
-3. what that links is connected as well.
-
-A tile gives back at most a row for each of its images. `image_links` counts links and so has to compare all of them.
+Documents of equal vectors are one image. Images meet in tiles of two blocks (``plans.tiles``) and there in the buckets of
+their hashes. For classes, images of a bucket of more than ``CROWD`` are compared with its first one before, and only images
+that are not connected yet are compared after, so a crowd of near images is not compared pair by pair; a tile gives back at
+most a row for each of its images. `image_links` counts links and so has to compare all of them.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from lumisift.functions import hashing
-from lumisift.functions.vectors import QUANTUM, distance
+from lumisift.functions.vectors import distance
 from lumisift.operators.components import components, looked_up, written
-from lumisift.plans.batch import pairwise
 from lumisift.plans.hash_join import HOT
+from lumisift.plans.tiles import CROWD, TILE, connections, link_counts
 
-TILE = 256
-"""Images of a block."""
-CROWD = 64
-"""Images of a bucket up to which they are compared as joined pairs; larger buckets are compared in tiles."""
-STRIP = 64
-"""Images compared with a block at a time."""
-
-
-def _sized(posted: DataFrame, hot: int) -> DataFrame:
-    """Postings of buckets with several images, with their ``size``. The largest buckets, of which there are at most
-    ``hot``, get it from a broadcast list, so that none of them gathers in one task."""
-    sizes = posted.groupBy("bundle", "h").agg(F.count(F.lit(1)).alias("size"))
-    total = sizes.agg(F.sum("size").alias("total"))
-    marked = sizes.crossJoin(F.broadcast(total))  # one row
-    large = F.broadcast(marked.filter(F.col("size") * hot > F.col("total")).select("bundle", "h", "size"))
-    few = sizes.join(large.select("bundle", "h"), ["bundle", "h"], "left_anti").filter("size > 1")
-    rest = posted.join(large.select("bundle", "h"), ["bundle", "h"], "left_anti").join(few, ["bundle", "h"])
-    return rest.unionByName(posted.join(large.filter("size > 1"), ["bundle", "h"]))
 
-
-def _heads(index: DataFrame, mode: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents with a vector, their images ``(head, vec, sig, copies)``, and the images' sized postings."""
+def _heads(index: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with a vector and their images ``(head, vec, sig, copies)``."""
     rows = index.filter(F.col("vec").isNotNull()).select("doc_id", "vec", F.col(hashing.signature_column(mode)).alias("sig"))
-    heads = rows.groupBy("vec", "sig").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"))
-    return rows, heads, heads.select("head", F.posexplode_outer("sig").alias("bundle", "h")).filter("h IS NOT NULL")
-
-
-def _near(metric: str, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
-    """(a x b): whether the distance is within the threshold. Vectors whose lengths differ by more need no comparison."""
-    if metric not in ("l1", "l2"):
-        with np.errstate(invalid="ignore"):
-            return pairwise(metric, a, b) <= threshold
-    scale = float(QUANTUM) if metric == "l2" else 1.0
-    size = lambda x: (np.sqrt((x.astype(float) ** 2).sum(1)) if metric == "l2" else np.abs(x.astype(float)).sum(1)) / scale
-    na, nb = size(a), size(b)
-    slack = threshold * (1 + 1e-9) + 1e-9 * max(1.0, float(na.max(initial=0)), float(nb.max(initial=0)))
-    order = np.argsort(nb)
-    first, last = np.searchsorted(nb[order], na - slack, "left"), np.searchsorted(nb[order], na + slack, "right")
-    out = np.zeros((len(a), len(b)), bool)
-    for start in range(0, len(a), STRIP):
-        rows = np.arange(start, min(start + STRIP, len(a)))
-        cols = order[first[rows].min() : last[rows].max()]
-        if len(cols):
-            out[np.ix_(rows, cols)] = pairwise(metric, a[rows], b[cols]) <= threshold
-    return out
-
-
-def linked(sigs_a: np.ndarray, sigs_b: np.ndarray, vecs_a: np.ndarray, vecs_b: np.ndarray, bundle: int, metric: str, threshold: float, min_shared: int) -> np.ndarray:
-    """(a x b): images within the threshold that share enough hashes in place and none before this bundle."""
-    shared, earlier = np.zeros((len(sigs_a), len(sigs_b)), np.int16), np.zeros((len(sigs_a), len(sigs_b)), bool)
-    for i in range(sigs_a.shape[1]):
-        same = sigs_a[:, i, None] == sigs_b[None, :, i]
-        shared += same
-        if i < bundle:
-            earlier |= same
-    wanted = ~earlier & (shared >= min_shared)
-    return wanted & _near(metric, vecs_a, vecs_b, threshold) if wanted.any() else wanted
-
-
-def _components(links: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The smallest id each image reaches."""
-    root = ids.copy()
-    far = np.iinfo(np.int64).max
-    while True:
-        near = np.minimum(root, np.where(links, root[None, :], far).min(1, initial=far))
-        if (near == root).all():
-            return root
-        root = near
-
-
-def _buckets(heads: DataFrame, posted: DataFrame, min_shared: int, tile: int, hot: int) -> DataFrame:
-    """``(head, bucket)``: images that may be linked have a bucket in common."""
-    sized = _sized(posted, hot)
-    if min_shared < 2:
-        return sized.select("head", F.xxhash64("bundle", "h").alias("bucket"))
-    many = sized.filter(F.col("size") > tile).join(heads.select("head", "sig"), "head")
-    many = many.select("head", "bundle", "h", F.posexplode_outer("sig").alias("other", "g")).filter("other > bundle")
-    few = sized.filter(F.col("size") <= tile).select("head", F.xxhash64("bundle", "h").alias("bucket"))
-    return few.unionByName(many.select("head", F.xxhash64("bundle", "h", "other", "g").alias("bucket")))
-
-
-def _anchored(buckets: DataFrame, heads: DataFrame, metric: str, threshold: float, min_shared: int) -> DataFrame:
-    """``(a, b)``: links of images with the smallest image of a bucket."""
-    first = buckets.groupBy("bucket").agg(F.min("head").alias("root"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    pairs = looked_up(buckets, "bucket", "head", first.withColumnRenamed("bucket", "node"))
-    pairs = pairs.filter("head <> found").select(F.col("head").alias("a"), F.col("found").alias("b")).distinct()
-    return _judged(pairs, heads, metric, threshold, min_shared).select("a", "b")
-
-
-def _judged(pairs: DataFrame, heads: DataFrame, metric: str, threshold: float, min_shared: int) -> DataFrame:
-    """The pairs ``a, b`` that are linked, with the ``first`` bundle they share."""
-    left = heads.select(F.col("head").alias("a"), F.col("vec").alias("vec_a"), F.col("sig").alias("sig_a"))
-    right = heads.select(F.col("head").alias("node"), F.struct("vec", "sig").alias("root"))
-    both = looked_up(pairs.join(left, "a"), "b", "a", right)
-    same = F.zip_with("sig_a", "found.sig", lambda x, y: x == y)
-    both = both.withColumn("first", F.array_position(same, True) - 1).filter(F.size(F.filter(same, lambda x: x)) >= min_shared)
-    judged = both.select(*pairs.columns, "first", F.explode_outer(F.array(distance(metric, F.col("vec_a"), F.col("found.vec")))).alias("distance"))
-    return judged.filter(F.col("distance") <= threshold)
-
-
-def _apart(buckets: DataFrame, tile: int, crowd: int) -> DataFrame:
-    """``(head, root, bucket, low, high, side)``: the images of crowded buckets with several components, in every tile their block
-    takes part in. A block is a text: a component's number and a part of it, or a part of all small components."""
-    members = buckets.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("own"))
-    large = F.col("own") > tile
-    whole = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("roots"), F.sum(F.when(large, 0).otherwise(F.col("own"))).alias("small"), F.sum("own").alias("size")
-    )
-    members = members.join(whole.filter(F.col("size") > crowd).filter("roots > 1"), "bucket")
-    parts = F.ceil(F.when(large, F.col("own")).otherwise(F.col("small")) / F.lit(tile)).cast("int")
-    members = members.withColumn("parts", parts).withColumn("of", F.when(large, F.col("root")))
-    name = lambda part: F.concat_ws("/", F.coalesce(F.col("of").cast("string"), F.lit("small")), part.cast("string"))
-    blocks = members.select("bucket", "of", "parts").distinct().select("bucket", "of", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    blocks = blocks.select("bucket", "of", name(F.col("part")).alias("block"))
-    other = blocks.select("bucket", F.col("of").alias("of_other"), F.col("block").alias("other"))
-    same = F.coalesce(F.col("of") == F.col("of_other"), F.lit(False))
-    tiles = blocks.join(other, "bucket").filter(~same).select(
-        "bucket", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    )
-    placed = buckets.join(members.select("bucket", "root", "of", "parts"), ["bucket", "root"])
-    spread = F.when(F.col("of").isNull(), F.xxhash64("root")).otherwise(F.xxhash64("head"))
-    placed = placed.select("head", "root", "bucket", name(F.pmod(spread, F.col("parts"))).alias("block"))
-    return placed.join(tiles, ["bucket", "block"]).select("head", "root", "bucket", "low", "high", F.col("block").alias("side"))
-
-
-def _tile(part: pd.DataFrame, low: str, high: str) -> tuple[list[pd.DataFrame], list[tuple[np.ndarray, np.ndarray]]]:
-    """The sides of a tile, one if it is a block with itself, and their signatures and vectors."""
-    sides = [part] if low == high else [part[part["side"] == low], part[part["side"] == high]]
-    return sides, [(np.stack(s["sig"].to_list()), np.stack(s["vec"].to_list())) for s in sides if len(s)]
-
-
-def _square(met: np.ndarray, sizes: list[int]) -> np.ndarray:
-    """Links among all images of a tile, from those between its sides."""
-    if len(sizes) == 1:
-        return met & ~np.eye(len(met), dtype=bool)
-    links, n = np.zeros((sum(sizes), sum(sizes)), bool), sizes[0]
-    links[:n, n:], links[n:, :n] = met, met.T
-    return links
+    return rows, rows.groupBy("vec", "sig").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"))
 
 
 def image_classes(
@@ -172,35 +31,12 @@ def image_classes(
     Two documents are linked if their distance is within ``threshold`` and they share at least ``min_shared`` hashes in
     place, or if their vectors are equal. A class is what links connect, named by its smallest document, its
     representative; ``distance`` is the one to the representative (NULL where the metric has none). An empty table gives
-    no rows.
+    no rows. ``tile`` is the images of a block; ``hot`` has no effect any more, as buckets are not gathered in tasks.
     """
-    rows, heads, posted = _heads(index, mode)
+    rows, heads = _heads(index, mode)
     heads = written(heads, "images")
-    buckets = written(_buckets(heads, posted, min_shared, tile, hot), "buckets")
-    roots = components(_anchored(buckets, heads, metric, threshold, min_shared))
-    rooted = heads.select("head").join(roots.withColumnRenamed("node", "head"), "head", "left")
-    rooted = written(rooted.select("head", F.coalesce("root", "head").alias("root")), "roots")
-    placed = buckets.join(rooted, "head")
-    few = placed.join(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size").between(2, crowd)), "bucket")
-    ends = lambda name: few.select("bucket", F.col("head").alias(name), F.col("root").alias(f"root_{name}"))
-    pairs = ends("a").join(ends("b"), "bucket").filter("a < b AND root_a <> root_b").select("a", "b", "root_a", "root_b").distinct()
-    pairs = _judged(pairs, heads, metric, threshold, min_shared).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-    tiles = _apart(placed, tile, crowd).join(heads.select("head", "vec", "sig"), "head")
-
-    def compared(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        _, low, high = key
-        sides, of = _tile(part, low, high)
-        if len(of) < len(sides):
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        met = linked(of[0][0], of[-1][0], of[0][1], of[-1][1], 0, metric, threshold, min_shared)
-        ids = np.concatenate([s["root"].to_numpy(np.int64) for s in sides])
-        links = _square(met, [len(s) for s in sides]) | (ids[:, None] == ids[None, :])
-        return pd.DataFrame({"a": ids, "b": _components(links, ids)}).query("a != b").drop_duplicates()
-
-    more = tiles.groupBy("bucket", "low", "high").applyInPandas(compared, "a bigint, b bigint")
-    joined = components(more.unionByName(pairs)).select(F.col("node").alias("root"), F.col("root").alias("class_id"))
-    named = rooted.join(joined, "root", "left").select("head", F.coalesce("class_id", "root").alias("class_id"))
-    named = heads.select("head", "vec").join(named, "head")
+    joined = components(connections(heads, metric, threshold, min_shared, tile, crowd)).select(F.col("node").alias("head"), F.col("root").alias("class_id"))
+    named = heads.select("head", "vec").join(joined, "head", "left").select("head", "vec", F.coalesce("class_id", "head").alias("class_id"))
     first = heads.select(F.col("head").alias("node"), F.col("vec").alias("root"))
     judged = looked_up(named, "class_id", "head", first)
     judged = judged.select("vec", "class_id", F.explode_outer(F.array(distance(metric, F.col("vec"), F.col("found")))).alias("distance"))
@@ -212,34 +48,11 @@ def image_links(
 ) -> DataFrame:
     """``(doc_id, links)``: with how many documents a document is linked, by the rule of :func:`image_classes`.
 
-    All images of a bucket are compared, those of a crowded one as pairs of blocks; a pair that several buckets see counts
-    in the first. The work is the square of a bucket's different images; a tile gives back a row for each of them.
+    All images of a bucket are compared, so the work is the square of a bucket's different images; ``crowd`` and ``hot`` have
+    no effect. A tile gives back a row for each of its images.
     """
-    rows, heads, posted = _heads(index, mode)
+    rows, heads = _heads(index, mode)
     heads = written(heads, "images")
-    sized = written(_sized(posted, hot), "buckets")
-    ends = lambda name: sized.filter(F.col("size") <= crowd).select("bundle", "h", F.col("head").alias(name))
-    pairs = ends("a").join(ends("b"), ["bundle", "h"]).filter("a < b").groupBy("a", "b").agg(F.min("bundle").alias("bundle"))
-    pairs = _judged(pairs, heads, metric, threshold, min_shared).filter("first = bundle")
-    copies = heads.select(F.col("head").alias("node"), F.col("copies").alias("root"))
-    seen = [looked_up(pairs.select(F.col(x).alias("head"), F.col(y).alias("other")), "other", "head", copies) for x, y in ("ab", "ba")]
-    seen = seen[0].unionByName(seen[1]).select("head", F.col("found").alias("links"))
-    blocks = F.ceil(F.col("size") / F.lit(tile)).cast("int")
-    placed = sized.filter(F.col("size") > crowd).withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("head"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("head", "bundle", "h", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
-    tiles = placed.join(heads.select("head", "vec", "sig", "copies"), "head")
-
-    def counted(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        bundle, _, low, high = key
-        sides, of = _tile(part, low, high)
-        if len(of) < len(sides):
-            return pd.DataFrame({"head": [], "links": []}).astype("int64")
-        met = linked(of[0][0], of[-1][0], of[0][1], of[-1][1], int(bundle), metric, threshold, min_shared)
-        ids, copies = (np.concatenate([s[c].to_numpy(np.int64) for s in sides]) for c in ("head", "copies"))
-        return pd.DataFrame({"head": ids, "links": _square(met, [len(s) for s in sides]) @ copies}).query("links > 0")
-
-    found = tiles.groupBy("bundle", "h", "low", "high").applyInPandas(counted, "head bigint, links bigint")
-    found = found.unionByName(seen).groupBy("head").agg(F.sum("links").alias("links"))
+    found = link_counts(heads, metric, threshold, min_shared, tile)
     of = heads.join(found, "head", "left").select("vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     return rows.select("doc_id", "vec").join(of, "vec").select("doc_id", "links")
