@@ -15,11 +15,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lumisift.errors import QueryError
 from lumisift.functions import hashing
-from lumisift.functions.vectors import LAYOUT_CHANNEL_SIZES, LAYOUT_SCALE, LAYOUT_WEIGHTS, QUANTUM
+from lumisift.functions.pairwise import pairwise, scores
 from lumisift.operators.topk import top_n_per_group
 from lumisift.plans.hash_join import hash_counts, hash_topk
+from lumisift.plans.tiles import TILE, near_pairs
 
 CHUNK_NUMBERS = 4_000_000
 """Vector elements of a chunk of queries (32 MB)."""
@@ -29,54 +29,6 @@ CROWD = 64
 HIT_SCHEMA = "query_id bigint, doc_id bigint, distance double, score double"
 
 
-def _jsd(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Divergence of each row of ``x`` from one query, with the arithmetic of the column expression."""
-    sx, sq = x.sum(axis=1), q.sum()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        p, r = x / sx[:, None], q / sq
-        half = lambda a, b: np.where(a > 0, a * np.log(2.0 * a / (a + b)), 0.0)
-        value = np.cumsum(half(p, r) + half(r, p), axis=1)[:, -1] / 2.0
-    apart = np.round(np.log(2.0), 6)
-    return np.where((sx == 0) & (sq == 0), 0.0, np.where((sx == 0) | (sq == 0), apart, np.round(value, 6)))
-
-
-def _layout(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    start, out = 0, np.zeros(len(x))
-    for size in LAYOUT_CHANNEL_SIZES:
-        at = slice(start, start + size)
-        out = out + np.sqrt(np.cumsum(((x[:, at] - q[at]) / LAYOUT_SCALE) ** 2 * np.array(LAYOUT_WEIGHTS[at]), axis=1)[:, -1])
-        start += size
-    return np.round(out, 6)
-
-
-_STEPWISE = {
-    "l1": lambda x, q: np.abs(x - q).sum(axis=1),
-    "l2": lambda x, q: np.sqrt(((x - q) ** 2).sum(axis=1)) / float(QUANTUM),
-    "jsd": _jsd,
-    "layout": _layout,
-}
-
-
-def pairwise(metric: str, docs: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """(docs x queries) distances with the arithmetic of the column expressions."""
-    x, q = docs.astype(np.float64), queries.astype(np.float64)
-    if metric in _STEPWISE:
-        return np.stack([_STEPWISE[metric](x, row) for row in q], axis=1)
-    ab, aa, bb = x @ q.T, (x * x).sum(axis=1)[:, None], (q * q).sum(axis=1)[None, :]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        if metric == "cosine":
-            return 1.0 - ab / np.sqrt(aa * bb)
-        if metric == "tanimoto":
-            out = 100.0 * (1.0 - ab / (aa + bb - ab))
-            return np.where((aa == 0) & (bb == 0), 0.0, np.where((aa == 0) | (bb == 0), 100.0, out))
-    raise QueryError(f"metric {metric!r} has no batch form")
-
-
-def scores(distances: np.ndarray) -> np.ndarray:
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(distances <= 1, 2.0 - distances, 1.0 / distances)
-
-
 class Matcher:
     """Scores document batches against a chunk of queries and keeps the best rows per query."""
 
@@ -170,35 +122,14 @@ def same_image(index: DataFrame, mode: str, metric: str = "cosine", threshold: f
     ``min_shared`` hashes in place, plus a pair of distance 0 from each further document of one and the same
     vector to the first.
 
-    Equal vectors are collapsed before, so a picture copied any number of times is one image here. Buckets of
-    more than ``CROWD`` images are split by a second hash if two must be shared, which leaves images that are
-    alike; the pairs reported are all there are. Their number, and with it the work, follows how many
-    different images are near each other, not how often any of them occurs.
+    Equal vectors are collapsed before, so a picture copied any number of times is one image here. Images are compared in
+    tiles of two blocks (``plans.tiles``), where buckets of more than ``CROWD`` images are as good as small ones: what
+    leaves a tile is near pairs, and the pairs reported are all there are.
     """
-    from lumisift.functions.vectors import distance
-
     sig = hashing.signature_column(mode)
     rows = index.filter(F.col("vec").isNotNull()).select("doc_id", "vec", F.col(sig).alias("sig"))
     heads = rows.groupBy("vec").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"))
     copies = rows.join(heads.filter("copies > 1"), "vec").filter("doc_id <> head")
     twins = copies.select(F.col("head").alias("a"), F.col("doc_id").alias("b"), F.size("sig").cast("bigint").alias("shared"), F.lit(0.0).alias("distance"))
-    images = rows.join(heads.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
-    posted = images.select("doc_id", F.posexplode_outer("sig").alias("bundle", "h")).filter("bundle IS NOT NULL")
-    sizes = posted.groupBy("bundle", "h").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    posted = posted.join(sizes, ["bundle", "h"])
-    few = posted.filter(f"size <= {CROWD}").select("doc_id", F.xxhash64("bundle", "h").alias("bucket"))
-    many = posted.filter(f"size > {CROWD}").select("doc_id", "bundle", "h")
-    if min_shared >= 2:
-        many = many.join(images.select("doc_id", "sig"), "doc_id").select("doc_id", "bundle", "h", F.posexplode_outer("sig").alias("other", "g"))
-        many = many.filter("other <> bundle").select("doc_id", F.xxhash64("bundle", "h", "other", "g").alias("bucket"))
-    else:
-        many = many.select("doc_id", F.xxhash64("bundle", "h").alias("bucket"))
-    posted = few.unionByName(many)
-    later = posted.select("bucket", F.col("doc_id").alias("b"))
-    pairs = posted.withColumnRenamed("doc_id", "a").join(later, "bucket").filter("a < b").select("a", "b").distinct()
-    left = images.select(F.col("doc_id").alias("a"), F.col("vec").alias("vec_a"), F.col("sig").alias("sig_a"))
-    right = images.select(F.col("doc_id").alias("b"), F.col("vec").alias("vec_b"), F.col("sig").alias("sig_b"))
-    shared = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda same: same)).cast("bigint")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", shared.alias("shared"), "vec_a", "vec_b").filter(F.col("shared") >= min_shared)
-    found = both.select("a", "b", "shared", F.explode_outer(F.array(distance(metric, F.col("vec_a"), F.col("vec_b")))).alias("distance"))
-    return found.filter(F.col("distance") <= threshold).unionByName(twins)
+    images = rows.join(heads.select(F.col("head").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "head")
+    return near_pairs(images, metric, threshold, min_shared, TILE).unionByName(twins)
