@@ -5,9 +5,11 @@ passes through the driver. Work follows the candidates, not documents times quer
 
 * Equal vectors are one candidate. Of a group of copies the first ids are kept, as many as a query could want, and a
   vector that is asked many times is searched once.
-* A bucket that holds more than ``1 / HOT`` of all postings is split into parts by the document; the queries that ask for
-  it visit every part. There are at most ``HOT`` such buckets, so their list may be broadcast.
-* What leaves the join is ids; vectors are fetched for the pairs that are left.
+* A search joins in tiles of a block of documents and a block of queries (``plans.tiles``): candidates are scored where they
+  meet, and a tile gives back the best of each query.
+* Counts of candidates join tables of postings. A bucket that holds more than ``1 / HOT`` of all postings is split into parts
+  by the document; the queries that ask for it visit every part. There are at most ``HOT`` such buckets, so their list may be
+  broadcast.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from lumisift.functions import hashing
 from lumisift.functions.scoring import score_of
 from lumisift.functions.vectors import distance
 from lumisift.operators.topk import top_n_per_group
+from lumisift.plans.tiles import best_hits
 
 HOT = 200
 """A bucket is split if it holds more than this part of all postings."""
@@ -99,16 +102,15 @@ def hash_topk(
     bundle_aware = bundle_aware or probes > 0
     members = distinct_documents(index, mode, max(k, limit), per_shard and limit > 0)
     heads, asked = members.filter("doc_id = head"), distinct_queries(queries, mode, probes)
-    pairs = candidates(heads, asked, bundle_aware)
     if limit > 0:
-        of_shard = pairs.join(heads.select("head", "shard"), "head")
+        of_shard = best_hits(heads, asked, limit, bundle_aware)
         order = lambda key: [F.col("overlap").desc(), F.col(key)]
         few = top_n_per_group(of_shard, ["asked", "shard"], order("head"), limit, ["head"]).drop("rank")
-        few = few.join(members.select("head", "doc_id"), "head")
+        few = few.join(members.select("head", "shard", "doc_id"), ["head", "shard"])
         few = top_n_per_group(few, ["asked", "shard"], order("doc_id"), limit, ["doc_id"]).select("asked", "head", "doc_id")
         hits = _scored(few, heads, asked, metric)
     else:
-        hits = _scored(pairs.select("asked", "head"), heads, asked, metric)
+        hits = best_hits(heads, asked, k, bundle_aware, metric)
         best = top_n_per_group(hits, ["asked"], [F.col("score").desc(), F.col("head")], k, ["head"]).drop("rank")
         hits = best.join(members.select("head", "doc_id"), "head")
     best = top_n_per_group(hits, ["asked"], [F.col("score").desc(), F.col("doc_id")], k, ["doc_id"])
