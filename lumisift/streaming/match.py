@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from lumisift.functions import hashing
 from lumisift.functions.scoring import score_of
 from lumisift.functions.vectors import distance
+from lumisift.plans.tiles import near_pairs
 
 
 def match_incoming(
@@ -95,7 +96,30 @@ def self_matches(
     return judged.filter(F.col("distance") <= threshold)
 
 
-def start_self_matching(stream: DataFrame, alerts_path: str, checkpoint: str, **how):
-    """Writes the matches of :func:`self_matches` to files, each once, and stops when what is available is processed."""
-    writer = self_matches(stream, **how).writeStream.format("parquet").option("path", alerts_path)
-    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def start_self_matching(stream: DataFrame, alerts_path: str, checkpoint: str, event_time: str | None = None, **how):
+    """Writes the matches of :func:`self_matches` to files, each once, and stops when what is available is processed.
+
+    Without ``event_time`` nothing ever leaves, and state would hold every image once for each bundle, on either side. So
+    what arrived lies with its signature in a table beside the checkpoint, a folder for each micro-batch, and a micro-batch is
+    compared in tiles (``plans.tiles``) with itself and those before it. A batch that is run again replaces what it wrote.
+    """
+    if event_time is not None:
+        writer = self_matches(stream, event_time=event_time, **how).writeStream.format("parquet").option("path", alerts_path)
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(_matcher(alerts_path, f"{checkpoint.rstrip('/')}-seen", **how)).option(
+        "checkpointLocation", checkpoint
+    ).trigger(availableNow=True).start()
+
+
+def _matcher(alerts_path: str, seen: str, mode: str = "BIT_SAMPLING", metric: str = "cosine", threshold: float = 1.0, min_shared: int = 1):
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        signed = hashing.with_signature(batch.select("doc_id", "vec").filter("vec IS NOT NULL"), mode)
+        signed = signed.withColumnsRenamed({"doc_id": "head", hashing.signature_column(mode): "sig"})
+        signed.write.mode("overwrite").parquet(f"{seen}/batch={number}")
+        read = lambda *paths: spark.read.schema(signed.schema).parquet(*paths)
+        earlier = read(*(f"{seen}/batch={n}" for n in range(number))) if number else None
+        found = near_pairs(read(f"{seen}/batch={number}"), metric, threshold, min_shared, earlier=earlier)
+        found.write.mode("overwrite").parquet(f"{alerts_path}/batch={number}")
+
+    return write
