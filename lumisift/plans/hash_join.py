@@ -5,9 +5,9 @@ passes through the driver. Work follows the candidates, not documents times quer
 
 * Equal vectors are one candidate. Of a group of copies the first ids are kept, as many as a query could want, and a
   vector that is asked many times is searched once.
-* A search joins in tiles of a block of documents and a block of queries (``plans.tiles``): candidates are scored where they
+* A search without a limit joins in tiles of a block of documents and a block of queries (``plans.tiles``): candidates are scored where they
   meet, and a tile gives back the best of each query.
-* Counts of candidates join tables of postings. A bucket that holds more than ``1 / HOT`` of all postings is split into parts
+* A search with a limit, and counts of candidates, join tables of postings. A bucket that holds more than ``1 / HOT`` of all postings is split into parts
   by the document; the queries that ask for it visit every part. There are at most ``HOT`` such buckets, so their list may be
   broadcast.
 """
@@ -103,10 +103,10 @@ def hash_topk(
     members = distinct_documents(index, mode, max(k, limit), per_shard and limit > 0)
     heads, asked = members.filter("doc_id = head"), distinct_queries(queries, mode, probes)
     if limit > 0:
-        of_shard = best_hits(heads, asked, limit, bundle_aware)
+        of_shard = candidates(heads, asked, bundle_aware).join(heads.select("head", "shard"), "head")
         order = lambda key: [F.col("overlap").desc(), F.col(key)]
         few = top_n_per_group(of_shard, ["asked", "shard"], order("head"), limit, ["head"]).drop("rank")
-        few = few.join(members.select("head", "shard", "doc_id"), ["head", "shard"])
+        few = few.join(members.select("head", "doc_id"), "head")
         few = top_n_per_group(few, ["asked", "shard"], order("doc_id"), limit, ["doc_id"]).select("asked", "head", "doc_id")
         hits = _scored(few, heads, asked, metric)
     else:

@@ -276,71 +276,50 @@ def _postings(table: pa.Table, form: str) -> list[tuple[np.ndarray, np.ndarray,
     return [(both[:, 0], both[:, 1], np.ones(len(both), np.int64) if form == "distinct" else times)]
 
 
-def _first(order: list[np.ndarray], groups: int, n: int) -> np.ndarray:
-    """The first ``n`` rows of each group, sorted by keys of which the first ``groups`` name the group."""
-    at = np.lexsort(order[::-1])
-    if not len(at):
-        return at
-    new = np.zeros(len(at), bool)
-    new[0] = True
-    for key in order[:groups]:
-        new[1:] |= key[at][1:] != key[at][:-1]
-    begins = np.flatnonzero(new)
-    place = np.arange(len(at)) - np.repeat(begins, np.diff(np.concatenate([begins, [len(at)]])))
-    return at[place < n]
-
-
-def best_hits(
-    documents: DataFrame, queries: DataFrame, n: int, bundle_aware: bool, metric: str | None = None, tile: int = TILE
-) -> DataFrame:
-    """Candidates among documents ``(head, shard, vec, sig)`` of queries ``(asked, vec, sig)``, or with other hashes to ask as
-    ``near``; the best of each tile only, so the best of all are to be taken of them.
-
-    With a metric ``(asked, head, distance, score)``, a query's ``n`` best scores; without, ``(asked, head, shard, overlap)``, its
-    ``n`` largest overlaps in each shard. Equal ones go by ``head``.
-    """
-    probed = "near" in queries.columns
-    form = ("places", "near" if probed else "places") if bundle_aware else ("distinct", "counted")
-    vec = ["vec"] if metric else []
-    own, asking = _with_sig(documents.select("head", "shard", "sig", *vec)), queries.select("asked", "near" if probed else "sig", *vec)
-    asking = asking.filter(F.col("near" if probed else "sig").isNotNull())
-    dim = F.size("vec") if metric else F.lit(0)
+def _first(group: np.ndarray, order: list[np.ndarray], n: int) -> np.ndarray:
+    """The first ``n`` rows of each group."""
+    at = np.lexsort([*order[::-1], group])
+    begins = np.searchsorted(group[at], group[at], "left")
+    return at[np.arange(len(at)) - begins < n]
+
+
+def best_hits(documents: DataFrame, queries: DataFrame, k: int, bundle_aware: bool, metric: str, tile: int = TILE) -> DataFrame:
+    """``(asked, head, distance, score)`` of candidates among documents ``(head, vec, sig)`` of queries ``(asked, vec, sig)``, or
+    with other hashes to ask as ``near``: of each tile a query's ``k`` best scores, equal ones by ``head``, so the best of all are
+    to be taken of them."""
+    column = "near" if "near" in queries.columns else "sig"
+    form = ("places", "near" if column == "near" else "places") if bundle_aware else ("distinct", "counted")
+    own = _with_sig(documents.select("head", "sig", "vec"))
+    asking = queries.select("asked", column, "vec").filter(F.col(column).isNotNull())
     both = own.select(F.lit(1).alias("d"), F.lit(0).alias("q")).unionByName(asking.select(F.lit(0).alias("d"), F.lit(1).alias("q")))
     number = lambda name, least: F.greatest(F.lit(least), F.ceil(F.coalesce(F.sum(name), F.lit(0)) / F.lit(tile))).cast("int").alias(f"{name}_blocks")
     blocks = F.broadcast(both.agg(number("d", LEAST), number("q", 1)))  # one row
 
     def dealt(rows: DataFrame, key: str, side: str, other: str) -> DataFrame:
         placed = rows.crossJoin(blocks).withColumn(side, F.pmod(F.xxhash64(key), F.col(f"{side}_blocks")).cast("int"))
-        return placed.withColumns({other: F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)), "dim": dim}).drop("d_blocks", "q_blocks")
-
-    schema = "asked bigint, head bigint, distance double, score double" if metric else "asked bigint, head bigint, shard bigint, overlap bigint"
+        return placed.withColumns({other: F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)), "dim": F.size("vec")}).drop("d_blocks", "q_blocks")
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         left, right = left.combine_chunks(), right.combine_chunks()
-        names = [part.split()[0] for part in schema.split(", ")]
         out = []
         if len(left) and len(right):
-            ids, asked, shard = left["head"].to_numpy(), right["asked"].to_numpy(), left["shard"].to_numpy()
-            vecs = [_matrix(t, "vec") for t in (left, right)] if metric else []
+            ids, asked = left["head"].to_numpy(), right["asked"].to_numpy()
+            vecs = [_matrix(t, "vec") for t in (left, right)]
             ranges, times = [], []
             for (rows, h, _), (owner, of, weight) in zip(_postings(left, form[0]), _postings(right, form[1]), strict=False):
                 (order, first, size) = next(_ranges(h, of, False))
                 ranges.append((rows[order], first, size))
                 times.append((owner, weight))
-            for q, d, overlap in _strips(ranges, len(asked), len(ids), times):
-                if metric:
-                    apart = distances(metric, vecs[0], d, vecs[1], q)
-                    score = scores(apart)
-                    q, d, apart, score = (x[~np.isnan(score)] for x in (q, d, apart, score))
-                    keep = _first([q, -score, ids[d]], 1, n)
-                    out.append([asked[q[keep]], ids[d[keep]], apart[keep], score[keep]])
-                else:
-                    keep = _first([q, shard[d], -overlap, ids[d]], 2, n)
-                    out.append([asked[q[keep]], ids[d[keep]], shard[d[keep]], overlap[keep]])
-        kinds = [pa.int64(), pa.int64(), *([pa.float64()] * 2 if metric else [pa.int64()] * 2)]
-        columns = [pa.array(np.concatenate([part[k] for part in out]) if out else [], kind) for k, kind in enumerate(kinds)]
-        return pa.table(columns, names)
+            for q, d, _ in _strips(ranges, len(asked), len(ids), times):
+                apart = distances(metric, vecs[0], d, vecs[1], q)
+                score = scores(apart)
+                q, d, apart, score = (x[~np.isnan(score)] for x in (q, d, apart, score))
+                keep = _first(q, [-score, ids[d]], k)
+                out.append([asked[q[keep]], ids[d[keep]], apart[keep], score[keep]])
+        kinds = {"asked": pa.int64(), "head": pa.int64(), "distance": pa.float64(), "score": pa.float64()}
+        columns = [pa.array(np.concatenate([part[c] for part in out]) if out else [], kind) for c, kind in enumerate(kinds.values())]
+        return pa.table(columns, list(kinds))
 
     docs, asks = dealt(own, "head", "d", "q"), dealt(asking, "asked", "q", "d")
     asks = asks.select([F.col(c).alias(c) for c in asks.columns])  # columns of its own, where both come from one table
-    return docs.groupBy("dim", "d", "q").cogroup(asks.groupBy("dim", "d", "q")).applyInArrow(run, schema)
+    return docs.groupBy("dim", "d", "q").cogroup(asks.groupBy("dim", "d", "q")).applyInArrow(run, "asked bigint, head bigint, distance double, score double")
