@@ -270,10 +270,12 @@ def fit(
         for texts in batches:
             yield pd.Series([scorer.logit(text) for text in texts], dtype=float)
 
-    # all labelled documents that the model was not fitted on; texts are not dealt out again, and numbers are what is kept
-    rest = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang")).where("text is not null").join(known, "id")
+    # texts are scored where they lie and only numbers meet the labels; what was fitted on goes
+    given = F.col("text").isNotNull() & F.col("id").isNotNull() & (remainder("id") != 1)
+    rest = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang")).where(given)
+    rest = stored(rest.select("id", "lang", logit("text").alias("logit")), "logits").join(known, "id")
     rest = rest.join(F.broadcast(few.where("not aside").select("id")), "id", "left_anti")  # at most 2 * FIT_ROWS rows
-    marked = stored(rest.select("id", "toxic", "lang", logit("text").alias("logit")).dropDuplicates(["id"]), "calibration")
+    marked = stored(rest.select("id", "toxic", "lang", "logit").dropDuplicates(["id"]), "calibration")
     shared.destroy()
     seen = dict.fromkeys((0, 1), 0) | {r.toxic: r["count"] for r in marked.groupBy("toxic").count().collect()}
     if seen[0] and seen[1]:

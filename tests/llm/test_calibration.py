@@ -33,3 +33,20 @@ def test_thresholds_of_counts_are_those_of_scores(spark):
         best = [c for c, v in f1.items() if v >= max(f1.values()) - 1e-12]
         assert got[lang] == min(best, key=lambda c: abs(c - toxicity.DEFAULT))
     assert "fr" not in got
+
+
+def test_texts_are_scored_where_they_lie(spark, monkeypatch):
+    rows = [(i, f"word{i % 7} and more" + (" vile scum" if i % 3 == 0 else " kind words"), "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    plans, store = [], toxicity.stored
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 20)
+    monkeypatch.setattr(toxicity, "stored", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or store(df, name))
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many labels
+    try:
+        toxicity.fit(docs, labels)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    scoring = [plan for plan in plans if "ArrowEvalPython" in plan.split("== Physical Plan ==")[1]]
+    assert scoring and not any("Exchange" in plan for plan in scoring)
