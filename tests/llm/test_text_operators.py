@@ -161,6 +161,29 @@ def test_pages_without_article_agree_with_ranked_suffixes(spark):
     assert got == want and any(want.values()) and want != {i: " ".join(p) for i, (_, p) in pages.items()}
 
 
+def test_suffix_arrays_are_sorted_with_common_prefixes(spark):
+    rng = random.Random(6)
+    texts = {i: [f"u{rng.randint(0, 2)}" for _ in range(rng.randint(0, 40))] for i in range(40)}
+    pages = [(i, 0, f"http://h{i % 2}.example/", "<p>" + " ".join(words)) for i, words in texts.items()]
+    found = html_text.suffixes(frame(spark, pages, "id bigint, version bigint, url string, html string"))
+    rows = sorted(html_text.suffix_array(found).collect(), key=lambda r: r["rank"])
+    cut = lambda i: {tuple(texts[i][k : k + html_text.DEPTH]) for k in range(len(texts[i]) - html_text.RUN + 1)}
+    want = sorted({(f"h{i % 2}.example", *suffix) for i in texts for suffix in cut(i)})
+    got = [(r.host, *r.suffix.decode().split("\x1f")) for r in rows]
+    assert got == want
+    for r, row in zip(rows, want, strict=True):
+        held = [i for i in texts if f"h{i % 2}.example" == row[0] and row[1:] in cut(i)]
+        assert (r.a, r.b) == (min(held), max(held))
+    for (x, y), above, r in zip(zip(want, want[1:]), rows, rows[1:]):  # noqa: B905
+        shared = next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y))) - 1 if x[0] == y[0] else 0  # noqa: B905
+        assert r.common == (shared if above["rank"] + 1 == r["rank"] else 0)
+    repeated = {(r.host, r.key) for r in html_text.repeated_runs(html_text.suffix_array(found)).collect()}
+    pages_of = {}
+    for r in found.collect():
+        pages_of.setdefault((r.host, r.key), set()).add(r.id)
+    assert repeated == {k for k, ids in pages_of.items() if len(ids) > 1} and len(repeated) < len(pages_of)
+
+
 def test_main_text_of_the_given_pages(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}
