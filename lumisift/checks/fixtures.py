@@ -66,11 +66,13 @@ def tiles8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tiles32(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tiles enlarged to 32x32 and lightly textured, shifted so that blocks cross tile edges."""
 
+    place = [(((p // 32 + 1) // 4 % 8 * 8 + (p % 32 + 1) // 4 % 8), (p % 32 * 3 + p // 32 * 5) % 4) for p in range(1024)]
+
     def enlarged(turn: int):
-        """A channel is the first one turned by a few places, so all three read one plane."""
-        x, y = "p % 32", "CAST(p div 32 AS INT)"
-        source = f"CAST(((({y} + 1) div 4) % 8 * 8 + (({x} + 1) div 4) % 8 + {turn}) % 64 AS INT)"
-        return F.expr(f"transform(sequence(0, 1023), p -> CAST(least(255, get(r, {source}) + ({x} * 3 + {y} * 5) % 4) AS INT))")
+        """A channel is the first one turned by a few places, so all three read one plane; where a pixel comes from and what
+        is added to it are constants, in one number each."""
+        codes = " ".join(str((at + turn) % 64 * 4 + more) for at, more in place)
+        return F.expr(f"transform(CAST(split('{codes}', ' ') AS array<int>), c -> least(255, get(r, shiftright(c, 2)) + (c & 3)))")
 
     return tiles8(spark, sf_dir).select(
         "image_id", F.lit(32).alias("w"), F.lit(32).alias("h"),

@@ -36,7 +36,7 @@ def index_documents(
     """
     spark = docs.sparkSession
     content = documents.with_content(docs, field, mode)
-    sent = documents.accepted(content).select(F.col("doc_id").alias("image_id"), "content")
+    sent = content.select(F.col("doc_id").alias("image_id"), "content", "error")
     path = shared_folder(spark, "planes")
     images.decode_images(sent, max_side).write.parquet(path)
     planes = spark.read.parquet(path)
@@ -71,5 +71,4 @@ def index_documents(
     declared = {key: options["type"] for key, options in mapping.metadata.items()}
     stored = documents.stored_source(docs, list(excludes))
     stored = metadata.attach(stored, tags, declared) if declared else stored
-    rejected = documents.quarantined(content).select("doc_id", "error")
-    return Indexed(stored.join(vectors, "doc_id"), posted, rejected.unionByName(broken))
+    return Indexed(stored.join(vectors, "doc_id"), posted, broken)

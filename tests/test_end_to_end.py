@@ -67,6 +67,23 @@ def test_failures_are_rows(outcome):
     assert set(errors) == {100, 101} and errors[100] == "the document carries no image"
 
 
+def test_an_image_is_made_and_decoded_once(spark, tiles):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def photo(i):
+        made.add(1)
+        return base64.b64encode(tiles[i]).decode() if i in tiles else None
+
+    docs = spark.range(COUNT + 2).select(F.col("id").alias("doc_id"), photo("id").alias("photo"))
+    mappings, excludes = parse_properties({"properties": {"photo": {"type": "image", "feature": {"SIMPLE_COLOR_HISTOGRAM": {}}}}})
+    tags = spark.createDataFrame([], "doc_id bigint, directory string, tag_name string, description string")
+    out = index_documents(docs, tags, "photo", mappings["photo"], ["photo"])
+    assert made.value == COUNT + 2
+    assert {r.doc_id for r in out.errors.collect()} == {COUNT, COUNT + 1} and out.index.count() == COUNT
+    assert made.value == COUNT + 2
+
+
 def test_signatures_follow_the_mapping(index):
     signed = {r.feature: (r.a, r.b) for r in index.groupBy("feature").agg(F.count("sig_lsh").alias("a"), F.count("sig_bit_sampling").alias("b")).collect()}
     assert signed == {"EDGE_HISTOGRAM": (COUNT, 0), "GABOR": (COUNT, COUNT), "TAMURA": (0, 0)}
