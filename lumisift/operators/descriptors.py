@@ -123,9 +123,14 @@ def with_patterns(rows: DataFrame) -> DataFrame:
     code = " + ".join(f"IF(n{bit} >= lum, {1 << bit}, 0)" for bit in range(8))
     rank = " + ".join(f"IF(n{bit} < lum, 1, 0)" for bit in range(8))
     classes = ", ".join(map(str, rotation_classes()))
-    rows = rows.withColumns({"code": F.expr(code), "rank": F.expr(rank), "gx": F.expr("n3 - n7"), "gy": F.expr("n5 - n1")})
+    rows = rows.withColumns({"code": F.expr(code), "rank": F.expr(rank)})
+    return with_gradient(rows.withColumn("rclass", F.expr(f"get(array({classes}), code)")))
+
+
+def with_gradient(rows: DataFrame) -> DataFrame:
+    """Adds ``gx`` and ``gy`` from the neighbours beside, above and below, and what they make."""
+    rows = rows.withColumns({"gx": F.expr("n3 - n7"), "gy": F.expr("n5 - n1")})
     rows = rows.withColumns({
-        "rclass": F.expr(f"get(array({classes}), code)"),
         "octant": F.expr("IF(gx < 0, 4, 0) + IF(gy < 0, 2, 0) + IF(abs(gx) < abs(gy), 1, 0)"),
         "small": F.expr("least(abs(gx), abs(gy))"),
         "large": F.expr("greatest(abs(gx), abs(gy))"),
@@ -445,10 +450,10 @@ def with_box_sum(images: DataFrame, plane: str, half: int, name: str) -> DataFra
 
 
 def tamura_windows(images: DataFrame) -> DataFrame:
-    """Luminance with window sums of side 2 and 4 around each pixel."""
+    """Luminance with window sums of side 2 and 4 around each pixel, and the four neighbours its gradient needs."""
     rows = with_box_sum(stencils.with_luminance(images), "lum", 1, "w2")
     rows = with_box_sum(rows, "w2", 2, "w4")
-    planes = {"lum": c("lum")}
+    planes = {"lum": c("lum")} | {f"n{bit}": shifted for bit, shifted in enumerate(stencils.shifted("lum", *at) for at in stencils.RING) if bit % 2}
     for side, plane in ((2, "w2"), (4, "w4")):
         half = side // 2
         planes |= {
@@ -457,7 +462,7 @@ def tamura_windows(images: DataFrame) -> DataFrame:
             f"below{side}": stencils.shifted(plane, -half, 0),
             f"above{side}": stencils.shifted(plane, -half, -side),
         }
-    return stencils.pixels(rows, planes)
+    return with_gradient(stencils.pixels(rows, planes))
 
 
 def best_window() -> Column:
@@ -473,12 +478,20 @@ def best_window() -> Column:
 
 
 def tamura(images: DataFrame) -> DataFrame:
-    """Bin 0 coarseness, bin 1 contrast at four decimals, bins 2-17 directions."""
-    px = tamura_windows(images)
+    """Bin 0 coarseness, bin 1 contrast at four decimals, bins 2-17 directions.
+
+    One pass over the pixels: sums of each image and direction first, bins of the image from those few rows.
+    """
     lum = c("lum").cast("bigint")
-    stats = px.groupBy("image_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(best_window()).alias("coarse"),
-        *[F.sum(power(lum, k)).alias(f"s{k}") for k in (1, 2, 3, 4)],
+    inside = c("x").between(F.lit(1), c("w") - 2) & c("y").between(F.lit(1), c("h") - 2) & (c("large") > 0)
+    direction = c("octant") * 2 + F.when(c("small") * 1000 < c("large") * 414, 1).otherwise(0)
+    px = tamura_windows(images).select("image_id", F.when(inside, direction + 2).cast("bigint").alias("bin"), best_window().alias("side"), lum.alias("lum"))
+    parts = px.groupBy("image_id", "bin").agg(
+        F.count(F.lit(1)).alias("value"), F.sum("side").alias("coarse"), *[F.sum(power(c("lum"), k)).alias(f"s{k}") for k in (1, 2, 3, 4)]
+    )
+    stats = parts.groupBy("image_id").agg(
+        F.sum("value").alias("n"), *[F.sum(name).alias(name) for name in ("coarse", "s1", "s2", "s3", "s4")],
+        F.collect_list(F.when(c("bin").isNotNull(), F.struct("bin", "value"))).alias("directions"),
     )
     n, s1, s2, s3, s4 = (c(k).cast("double") for k in ("n", "s1", "s2", "s3", "s4"))
     mean = s1 / n
@@ -486,16 +499,11 @@ def tamura(images: DataFrame) -> DataFrame:
     fourth = s4 / n - mean * s3 / n * 4.0 + mean * mean * s2 / n * 6.0 - mean * mean * mean * mean * 3.0
     flat = c("n") * c("s2") == c("s1") * c("s1")
     contrast = F.when(flat, F.lit(0.0)).otherwise(F.sqrt(variance) / F.pow(fourth / (variance * variance), F.lit(0.25)))
-    moments = stats.select(
-        "image_id",
-        F.explode(F.array(
-            F.struct(F.lit(0).cast("bigint").alias("bin"), F.coalesce("coarse", F.lit(0)).cast("bigint").alias("value")),
-            F.struct(F.lit(1).cast("bigint").alias("bin"), F.floor(contrast * 10000 + 0.5).cast("bigint").alias("value")),
-        )).alias("e"),
-    ).select("image_id", "e.bin", "e.value").filter(c("value") != 0)
-    direction = c("octant") * 2 + F.when(c("small") * 1000 < c("large") * 414, 1).otherwise(0)
-    directions = tally(rings(images), [Entry(direction + 2, 1, c("large") > 0)])
-    return moments.unionByName(directions)
+    moments = F.array(
+        F.struct(F.lit(0).cast("bigint").alias("bin"), F.coalesce("coarse", F.lit(0)).cast("bigint").alias("value")),
+        F.struct(F.lit(1).cast("bigint").alias("bin"), F.floor(contrast * 10000 + 0.5).cast("bigint").alias("value")),
+    )
+    return stats.select("image_id", F.explode(F.concat(moments, "directions")).alias("e")).select("image_id", "e.bin", "e.value").filter(c("value") != 0)
 
 
 def power(x: Column, k: int) -> Column:

@@ -88,6 +88,11 @@ def test_no_pixel_shuffle(images):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
+def test_tamura_goes_through_the_pixels_once(images):
+    plan = described(images, DESCRIPTORS["TAMURA"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("posexplode") == 1
+
+
 def test_user_descriptor(images):
     features.register_descriptor("test_brightness", 4, "l1", Tally(stencils.point, lambda: [Entry(stencils.idiv("lum", 64))]))
     table = {r.image_id: r.vec for r in features.feature_table(images, ["test_brightness"]).collect()}
