@@ -11,8 +11,8 @@ windows have equal keys, and neighbouring windows mostly share one. The job has
 3. A bucket merges its shards by refining their interleaving: rows ordered by their first h bytes, taken stably by the
    byte before each, are ordered by h + 1 bytes, and a boundary appears where the byte changes or the rows came from
    different groups. The round in which a boundary appears is a common prefix's length; rows without a boundary after
-   `WINDOW` rounds are repeated intervals. Groups of one row are dropped on the way, so rounds get shorter. No suffix is
-   sorted again.
+   `WINDOW` rounds are repeated intervals. Only rows with `WINDOW` bytes before them in their segment begin, and groups
+   of one row are dropped on the way, so rounds get shorter. No suffix is sorted again.
 
 Bytes of a bucket are bounded by the number of buckets, which follows the size of the input; what a frequent passage
 sends to a bucket is bounded by the number of tasks, not of documents.
@@ -190,7 +190,8 @@ class Shards:
         order = self._order(np.repeat(np.array(self.place) - start, length) + np.arange(len(text)), left)
         bucket = np.array([v[2] for v in self.first.values()], np.uint64) % np.uint64(self.buckets)
         place = bucket[owner[order]]
-        split = np.argsort(place, kind="stable")  # keeps the sorted order within a bucket
+        # keeps the sorted order within a bucket; short numbers are sorted by digits
+        split = np.argsort(place.astype(np.uint16) if self.buckets <= 1 << 16 else place, kind="stable")
         order, place = order[split], place[split]
         at = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         members = np.argsort(bucket, kind="stable")
@@ -235,16 +236,24 @@ class Shards:
             active = active[text[a + depth] == text[b + depth]]
             depth += 1
             common[active] = depth
-        key = np.empty(len(at), np.int64)
+        key = np.empty(len(at), np.int32)
         by_length = np.argsort(left.astype(np.uint8), kind="stable")
         bounds = np.searchsorted(left[by_length], np.arange(1, RUN + WINDOW + 1))
-        here = np.arange(len(order), dtype=np.int32)
+        shared = np.flatnonzero(common)
         for n, a, b in zip(range(1, RUN + WINDOW), bounds[:-1], bounds[1:], strict=True):
+            shared = shared[common[shared] >= n]
             if a < b:
-                first = np.maximum.accumulate(np.where(common < n, here, 0))
                 rows = by_length[a:b]
-                key[rows] = first[rank[at[rows]]].astype(np.int64) * 256 + n
-        return np.argsort(key, kind="stable").astype(np.int32)
+                first = rank[at[rows]]
+                later = np.flatnonzero(common[first] >= n)
+                if len(later):
+                    starts = shared[np.flatnonzero(np.diff(shared, prepend=-2) != 1)] - 1
+                    first[later] = starts[np.searchsorted(starts, first[later], side="right") - 1]
+                key[rows] = first
+        order = by_length
+        for digit in (0, 16):  # least significant digits first; a length was the digit before
+            order = order[np.argsort((key[order] >> digit).astype(np.uint16), kind="stable")]
+        return order.astype(np.int32)
 
 
 def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -321,25 +330,29 @@ class Merge:
             own, row = own[row >= 0], row[row >= 0]
         return segment, left
 
-    def intervals(self) -> list[tuple[np.ndarray, np.ndarray]]:
+    def begun(self) -> np.ndarray:
+        """Rows that the refinement begins with: of one of each set of equal segments, those with `WINDOW` bytes before them,
+        one for each window. The others would come to their segment's start before the last round."""
+        self.segment, self.left = self.walk()
+        self.length = np.zeros(len(self.docs), np.int64)
+        start = self.before == 0
+        self.length[self.segment[start]] = self.left[start]
+        lone = self.same[self.segment] == self.segment
+        return np.flatnonzero(lone & (self.length[self.segment] - self.left >= WINDOW)).astype(np.int32)
+
+    def intervals(self) -> tuple[np.ndarray, np.ndarray]:
         """Rows of suffixes that share their first `WINDOW` bytes with another row, and the interval of each."""
-        segment, left = self.walk()
-        lone = self.same[segment] == segment  # of equal segments one takes part
-        self.segment, self.left = segment, left
-        rows = np.flatnonzero(lone & (self.before > 0)).astype(np.int32)  # every suffix of one byte, through the row after it
+        rows = self.begun()
         group = np.zeros(len(rows), np.int32)
-        done = rows, group
         for _ in range(WINDOW):
-            order = np.argsort(self.before[rows], kind="stable")
-            byte, came, rows = self.before[rows][order], group[order], self.longer[rows][order]
+            byte = self.before[rows]
+            order = np.argsort(byte, kind="stable")
+            byte, came, rows = byte[order], group[order], self.longer[rows[order]]
             new = np.ones(len(rows) + 1, bool)  # a boundary before each row, and one at the end
             new[1:-1] = (byte[1:] != byte[:-1]) | (came[1:] != came[:-1])
             shared = ~(new[:-1] & new[1:])
             rows, group = rows[shared], (np.cumsum(new[:-1], dtype=np.int32) - 1)[shared]
-            done = rows, group
-            further = self.before[rows] > 0
-            rows, group = rows[further], group[further]
-        return done
+        return rows, group
 
     def covered(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Document, starts and ends of the windows that also start in a document with a smaller id."""
@@ -347,8 +360,7 @@ class Merge:
         least = docs.copy()
         np.minimum.at(least, self.same, docs)
         rows, group = self.intervals()
-        length = np.zeros(len(docs), np.int64)
-        np.maximum.at(length, self.segment, self.left)
+        length = self.length
         # the least document of each window of a segment: its own class's, or that of its interval
         offset = length[self.segment[rows]] - self.left[rows]
         own = self.segment[rows]
@@ -402,7 +414,8 @@ def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for doc, text, shared in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 at, key = runs(np.frombuffer(text, np.uint8))
-                wanted = np.isin(key, np.frombuffer(b"".join(shared), np.uint64))
+                have = np.sort(np.frombuffer(b"".join(shared), np.uint64))
+                wanted = have[np.minimum(np.searchsorted(have, key), len(have) - 1)] == key
                 shards.add(doc, text, at[:-1][wanted], at[1:][wanted], key[wanted], covered)
                 if shards.size > PART:
                     yield flush()

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry_points
@@ -299,3 +300,17 @@ def test_pipeline_stages(spark):
 def test_registered():
     names = set(entry_points.queries())
     assert {"pipeline", *(f"op{n}" for n in range(1, 11))} <= {n.split("_")[0] for n in names}
+
+
+def test_refinement_begins_with_one_row_for_each_window():
+    rng, shards = np.random.default_rng(3), suffix_dedup.Shards(1)
+    passage = bytes(rng.integers(97, 101, 200).astype(np.uint8))
+    texts = [bytes(rng.integers(97, 101, n).astype(np.uint8)) + passage + b"x" * n for n in (0, 30, 90)]
+    windows = set()
+    for doc, text in enumerate(texts):
+        at, key = suffix_dedup.runs(np.frombuffer(text, np.uint8))
+        shards.add(doc, text, at[:-1], at[1:], key, {})
+        windows |= {(text[a : b + suffix_dedup.WINDOW - 1], k) for a, b in zip(at[:-1], at[1:], strict=True) for k in range(b - a)}
+    merge = suffix_dedup.Merge(list(shards.rows()))
+    assert len(merge.begun()) == len(windows) < len(merge.before)
+    assert {int(n) for n in merge.length} == {len(segment) for segment, _ in windows}
