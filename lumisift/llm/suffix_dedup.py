@@ -2,20 +2,22 @@
 
 A byte is removed if it lies in a string of `WINDOW` bytes that also starts in a document with a smaller id. Windows
 that can be equal are brought together by content: every window has a key, the least hash of the grams in it, so equal
-windows have equal keys, and neighbouring windows mostly share one. The job has three passes:
-
-1. Keys that occur in texts of more than one content are found; identical texts count as one.
-2. For those keys, runs of windows are cut out of the texts as segments. Equal segments of a task become one, since all
-   but the first document's are removed whatever others hold. Each task sorts the suffixes of its segments once and sends
-   the Burrows-Wheeler transform of each bucket's segments, a shard.
-3. A bucket merges its shards by refining their interleaving: rows ordered by their first h bytes, taken stably by the
-   byte before each, are ordered by h + 1 bytes, and a boundary appears where the byte changes or the rows came from
-   different groups. The round in which a boundary appears is a common prefix's length; rows without a boundary after
-   `WINDOW` rounds are repeated intervals. Only rows with `WINDOW` bytes before them in their segment begin, and groups
+windows have equal keys, and neighbouring windows mostly share one. Windows of a text that follow each other and have one
+key are a segment. The job has three passes:
+
+1. Segments meet by key, as hashes. A key that texts of one content have is dropped; identical texts count as one. Of equal
+   segments the first document's stays and the others are removed, whatever else holds them.
+2. What stays is cut out of the texts if its key has other segments too: windows that are in one segment only have no equal
+   ones. Each task sorts the suffixes of its segments, bucket by bucket, and sends the Burrows-Wheeler transform of each
+   bucket's segments, a shard.
+3. A bucket merges its shards by refining their interleaving: rows ordered by their first h bytes, taken stably by the `STEP`
+   bytes before each, are ordered by h + `STEP` bytes, and a boundary appears where the bytes change or the rows came from
+   different groups. The round in which a boundary appears bounds a common prefix; rows without a boundary after
+   `WINDOW` bytes are repeated intervals. Only rows with `WINDOW` bytes before them in their segment begin, and groups
    of one row are dropped on the way, so rounds get shorter. No suffix is sorted again.
 
-Bytes of a bucket are bounded by the number of buckets, which follows the size of the input; what a frequent passage
-sends to a bucket is bounded by the number of tasks, not of documents.
+Bytes of a bucket are bounded by the number of buckets, which follows the size of the input; a frequent
+passage sends its hashes there once for each document, its bytes once for each different segment.
 """
 
 from __future__ import annotations
@@ -37,10 +39,12 @@ from lumisift.llm.workers import hold
 WINDOW, GRAM = 50, 24
 #: Windows of a segment at most, bytes of text handled at a time, and bytes of text for each bucket.
 RUN, PART, BUCKET_BYTES = 64, 3_000_000, 6_000_000
+#: Bytes that a round of the merge looks at.
+STEP = 5
 
 
-def window_keys(data: np.ndarray) -> np.ndarray:
-    """The key of each window of a byte array that is at least `WINDOW` long."""
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """The hash of each gram of a byte array that is at least `GRAM` long."""
     word = lambda at: np.ndarray(len(data) - GRAM + 1, np.uint64, data, at, (1,)) * np.uint64(0x9E3779B97F4A7C15 + 2 * at)
     h = word(0)
     for at in range(8, GRAM, 8):
@@ -50,23 +54,70 @@ def window_keys(data: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(31)
     h *= np.uint64(0x94D049BB133111EB)
     h ^= h >> np.uint64(30)
+    return h
+
+
+def window_keys(h: np.ndarray) -> np.ndarray:
+    """The key of each window, from the hashes of the grams."""
     width, have = WINDOW - GRAM + 1, 1
     while have < width:
         by = min(have, width - have)
         h = np.minimum(h[: len(h) - by], h[by:])
         have += by
-    return h >> np.uint64(16)  # six bytes are enough to tell keys of a bucket apart; what they confuse is compared later
+    # multiplied, since least hashes are small; six bytes are enough to tell keys of a bucket apart; what they confuse is compared later
+    return (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)
 
 
-def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of runs of windows with one key, and the key of each; the last start is the number of windows."""
+def named_runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of runs of windows with one key, and for each run its key and the name of its segment, a hash of six bytes of
+    all that its windows cover; the last start is the number of windows."""
     if len(data) < WINDOW:
-        return np.zeros(1, np.int64), np.zeros(0, np.uint64)
-    key = window_keys(data)
+        return np.zeros(1, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    h = gram_hashes(data)
+    key = window_keys(h)
     at = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
     if (np.diff(at) > RUN).any():  # long runs are cut, wherever: every part has the same key
         at = np.unique(np.concatenate([at, *(np.arange(a, b, RUN) for a, b in zip(at[:-1], at[1:], strict=True) if b - a > RUN)]))
-    return at, key[at[:-1]]
+    start, last = at[:-1], at[1:] + (WINDOW - 1 - GRAM)  # of a segment and its last gram
+    # grams that follow each other without a gap, and the last one
+    name = h[last] + (last - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for by in range(0, RUN + WINDOW - GRAM, GRAM):
+        odd = np.uint64(0xD6E8FEB86659FD93 + (by << 32))
+        if by <= WINDOW - GRAM:  # all have that one
+            name += h[start + by] * odd
+        else:
+            long = np.flatnonzero(last - start > by)
+            name[long] += h[start[long] + by] * odd
+    name ^= name >> np.uint64(32)
+    name *= np.uint64(0xD6E8FEB86659FD93)
+    return at, key[start], name >> np.uint64(16)
+
+
+def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of runs of windows with one key, and the key of each; the last start is the number of windows."""
+    return named_runs(data)[:2]
+
+
+def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of keys."""
+    return ((key >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def tags(key: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """What a segment is known by among those of a document; the last bit is free."""
+    return (key << np.uint64(16) ^ name) & ~np.uint64(1)
+
+
+def places(number: np.ndarray) -> np.ndarray:
+    """The stable order of unsigned numbers: they are sorted as one word with their places, which is fast, if both fit."""
+    if not len(number):
+        return np.zeros(0, np.int64)
+    number, bits = number - number.min(), len(number).bit_length()
+    if int(number.max()).bit_length() + bits > 64:
+        return np.argsort(number, kind="stable")
+    word = number << np.uint64(bits) | np.arange(len(number), dtype=np.uint64)
+    word.sort()
+    return (word & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def _texts(column: pa.Array) -> Iterator[bytes]:
@@ -74,69 +125,86 @@ def _texts(column: pa.Array) -> Iterator[bytes]:
         yield (text.as_py() or "").encode()
 
 
-def repeated_keys(docs: DataFrame, buckets: int) -> DataFrame:
-    """For each document the keys it shares with a text of other content, as packed integers (`id, shared`), in as many
-    rows as there are buckets with such keys."""
+def _planes(number: np.ndarray) -> bytes:
+    """Numbers of six bytes, bytes of equal significance together: the leading ones of sorted numbers compress well."""
+    return np.ascontiguousarray(number.view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes()
+
+
+def _numbers(planes: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :6] = np.frombuffer(planes, np.uint8).reshape(6, -1).T
+    return out.view(np.uint64).ravel()
+
+
+def repeated_segments(docs: DataFrame, buckets: int) -> DataFrame:
+    """The segments of each document whose key is in a text of other content (`id, segment`): their tags, with 0 as the last bit
+    if a document with a smaller id has an equal one, else 1. The latter are left out if no other segment has their key."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("suffix_dedup", int)
 
         def flush() -> pa.RecordBatch:
-            key, doc = np.concatenate(keys), np.concatenate(owner).astype(np.int32)
-            bucket = (key % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((key, bucket))
-            key, doc, bucket = key[order], doc[order], bucket[order]
+            key, name, doc = np.concatenate(keys), np.concatenate(names), np.repeat(np.arange(len(ids), dtype=np.int32), [len(k) for k in keys])
+            order = places(key >> np.uint64(8))
+            key, name, doc = key[order], name[order], doc[order]
+            bucket = bucket_of(key, buckets)
             at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(key) else []
             rows = []
             for a, b in zip(at, [*at[1:], len(key)], strict=True):
-                used, local = np.unique(doc[a:b], return_inverse=True)
-                # bytes of equal significance together: the leading ones of sorted keys compress well
-                planes = np.ascontiguousarray(key[a:b].view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes()
-                rows.append((int(bucket[a]), planes, local.astype(np.uint16).tobytes(), [ids[i] for i in used], [content[i] for i in used]))
+                held = np.zeros(len(ids), bool)
+                held[doc[a:b]] = True
+                used, local = np.flatnonzero(held), (np.cumsum(held) - 1)[doc[a:b]]
+                rows.append((int(bucket[a]), _planes(key[a:b]), _planes(name[a:b]), local.astype(np.uint16).tobytes(), [ids[i] for i in used], [content[i] for i in used]))
             made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            return pa.RecordBatch.from_arrays(made, ["bucket", "planes", "docs", "ids", "content"])
+            return pa.RecordBatch.from_arrays(made, ["bucket", "keys", "names", "docs", "ids", "content"])
 
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        keys, owner, ids, content, size = [], [], [], [], 0
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        keys, names, ids, content, size = [], [], [], [], 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), strict=True):
-                found = np.unique(runs(np.frombuffer(text, np.uint8))[1])
-                keys.append(found)
-                owner.append(np.full(len(found), len(ids)))
+                _, key, name = named_runs(np.frombuffer(text, np.uint8))
+                other = np.ones(len(key), bool)
+                other[1:] = (name[1:] != name[:-1]) | (key[1:] != key[:-1])  # parts of a long run may be equal
+                keys.append(key[other])
+                names.append(name[other])
                 ids.append(doc)
                 content.append(xxhash.xxh3_64_intdigest(text) - (1 << 63))
                 size += len(text)
                 if size > 4 * PART or len(ids) == 1 << 16:
                     yield flush()
-                    keys, owner, ids, content, size = [], [], [], [], 0
+                    keys, names, ids, content, size = [], [], [], [], 0
         if ids:
             yield flush()
 
     def meet(table: pa.Table) -> pa.Table:
-        keys, contents, owners, ids = [], [], [], []
-        for row in table.to_pylist():
-            local = np.frombuffer(row["docs"], np.uint16).astype(np.int32)
-            key = np.zeros((len(local), 8), np.uint8)
-            key[:, :6] = np.frombuffer(row["planes"], np.uint8).reshape(6, -1).T
-            keys.append(key.view(np.uint64).ravel())
-            contents.append(np.array(row["content"], np.int64)[local])
-            owners.append(local + len(ids))
-            ids += row["ids"]
-        key, content, owner = map(np.concatenate, (keys, contents, owners))
-        order = np.argsort(key, kind="stable")
-        key, content, owner = key[order], content[order], owner[order]
+        keys, names, contents, owners = [], [], [], []
+        for _, key, name, doc, ids, content in zip(*table.columns, strict=True):
+            local = np.frombuffer(doc.as_py(), np.uint16)
+            keys.append(_numbers(key.as_py(), len(local)))
+            names.append(_numbers(name.as_py(), len(local)))
+            contents.append(content.values.to_numpy()[local])
+            owners.append(ids.values.to_numpy()[local])
+        key, name, content, owner = map(np.concatenate, (keys, names, contents, owners))
+        order = places(key)
+        key, content = key[order], content[order]
         at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         many = np.minimum.reduceat(content, at) != np.maximum.reduceat(content, at)
-        keep = np.repeat(many, np.diff([*at, len(key)]))
-        key, owner = key[keep], owner[keep]
-        order = np.argsort(owner, kind="stable")
-        key, owner = key[order], owner[order]
-        used, at = np.unique(owner, return_index=True)
-        shared = [key[a:b].tobytes() for a, b in zip(at, [*at[1:], len(key)], strict=True)]
-        return pa.table({"id": pa.array([ids[i] for i in used], pa.int64()), "shared": pa.array(shared, pa.binary())})
-
-    parts = docs.mapInArrow(cut, "bucket bigint, planes binary, docs binary, ids array<bigint>, content array<bigint>")
-    return parts.groupBy("bucket").applyInArrow(meet, "id bigint, shared binary")
+        keep = np.repeat(many, np.diff(at, append=len(key)))
+        key, name, owner = key[keep], name[order[keep]], owner[order[keep]]
+        order = np.lexsort((owner, name, key))
+        key, name, owner = key[order], name[order], owner[order]
+        new = np.ones((2, len(key)), bool)  # a key's first row, and an equal segment's, which has the least document
+        new[0, 1:] = key[1:] != key[:-1]
+        new[1, 1:] = new[0, 1:] | (name[1:] != name[:-1])
+        group = np.cumsum(new, axis=1) - 1
+        first = owner == owner[new[1]][group[1]]
+        alone = np.bincount(group[0][new[1]])[group[0]] == 1 if len(key) else first
+        keep = ~(first & alone)
+        segment = (tags(key, name) | first.astype(np.uint64))[keep].view(np.int64)
+        return pa.table({"id": pa.array(owner[keep], pa.int64()), "segment": pa.array(segment, pa.int64())})
+
+    parts = docs.mapInArrow(cut, "bucket bigint, keys binary, names binary, docs binary, ids array<bigint>, content array<bigint>")
+    return parts.groupBy("bucket").applyInArrow(meet, "id bigint, segment bigint")
 
 
 class Shards:
@@ -146,27 +214,15 @@ class Shards:
         self.buckets = buckets
         self.first: dict[bytes, list] = {}  # segment -> [document, starts, key]
         self.size = 0
-        self.union = bytearray()  # texts of the segments, what neighbours share once
-        self.ends: list[int] = []  # of the pieces of the union
-        self.place: list[int] = []  # of each segment in it
 
     def add(self, doc: int, text: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, covered: dict[int, list]) -> None:
         """Take a document's segments. What an earlier document's equal segment settles goes to `covered`."""
-        piece_end = -1  # of the last piece of the union, in this text
         for a, b, key in zip(starts.tolist(), ends.tolist(), keys.tolist(), strict=True):
             segment = text[a : b + WINDOW - 1]
             had = self.first.get(segment)
             if had is None:
                 self.first[segment] = [doc, [a], key]
                 self.size += len(segment)
-                if a < piece_end:
-                    self.union += text[piece_end : b + WINDOW - 1]
-                    self.ends[-1] = len(self.union)
-                else:
-                    self.union += segment
-                    self.ends.append(len(self.union))
-                piece_end = b + WINDOW - 1
-                self.place.append(len(self.union) - (piece_end - a))
             elif had[0] == doc:
                 had[1].append(a)
             elif had[0] < doc:
@@ -177,118 +233,72 @@ class Shards:
 
     def rows(self) -> Iterator[dict]:
         """One shard for each bucket: the transform over all suffixes of its segments, a segment's last row standing for
-        its end, and what belongs to each segment. Suffixes of all segments are sorted once; those of a bucket are in
-        the same order among themselves."""
+        its end, and what belongs to each segment."""
         if not self.first:
             return
-        segments = list(self.first)
+        bucket = bucket_of(np.array([v[2] for v in self.first.values()], np.uint64), self.buckets)
+        by = np.argsort(bucket, kind="stable")
+        bucket, segments, values = bucket[by], list(self.first), list(self.first.values())
+        segments, values = [segments[i] for i in by], [values[i] for i in by]
         length = np.array([len(s) for s in segments])
         text = np.frombuffer(b"".join(segments), np.uint8)
-        owner = np.repeat(np.arange(len(segments), dtype=np.int32), length)
-        start = np.concatenate([[0], np.cumsum(length)[:-1]])
-        left = (np.repeat(start + length, length) - np.arange(len(text))).astype(np.int32)  # bytes from a suffix's start to its segment's end
-        order = self._order(np.repeat(np.array(self.place) - start, length) + np.arange(len(text)), left)
-        bucket = np.array([v[2] for v in self.first.values()], np.uint64) % np.uint64(self.buckets)
-        place = bucket[owner[order]]
-        # keeps the sorted order within a bucket; short numbers are sorted by digits
-        split = np.argsort(place.astype(np.uint16) if self.buckets <= 1 << 16 else place, kind="stable")
-        order, place = order[split], place[split]
-        at = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        members = np.argsort(bucket, kind="stable")
-        member_at = np.searchsorted(bucket[members], place[at])
-        values = list(self.first.values())
-        for i, (a, b) in enumerate(zip(at, [*at[1:], len(order)], strict=True)):
-            rows = order[a:b]
-            own = members[member_at[i] : member_at[i + 1] if i + 1 < len(at) else len(members)]
-            # rows of the ends come first, in segment order; the byte before a suffix, 0 with a flag at a segment's start
-            ends = start[own] + length[own] - 1
-            inner = rows != start[owner[rows]]
-            before = np.where(inner, text[rows - 1], 0)
-            bwt = np.concatenate([text[ends], before]).astype(np.uint8)
-            heads = np.flatnonzero(~inner) + len(own)
+        end = np.cumsum(length)
+        left = (np.repeat(end, length) - np.arange(len(text))).astype(np.int32)  # bytes from a suffix's start to its segment's end
+        new = np.concatenate([[True], bucket[1:] != bucket[:-1]])
+        order = suffix_order(text, left, np.repeat(np.cumsum(new) - 1, length))
+        at = np.flatnonzero(new)
+        # rows of the ends come first, in segment order; the byte before a suffix, 0 with a flag at a segment's start
+        start = np.zeros(len(text), bool)
+        start[end - length] = True
+        start, before = start[order], text[order - 1]
+        before[start] = 0
+        for a, b in zip(at.tolist(), [*at[1:].tolist(), len(segments)], strict=True):
+            x, y = end[a] - length[a], end[b - 1]
             yield {
-                "bucket": int(place[a]), "bwt": zstandard.compress(bwt.tobytes(), 3), "heads": heads.astype(np.int32).tobytes(),
-                "digests": b"".join(xxhash.xxh3_64_digest(segments[s]) for s in own),
-                "docs": [values[s][0] for s in own], "starts": [values[s][1] for s in own],
+                "bucket": int(bucket[a]), "bwt": zstandard.compress(text[end[a:b] - 1].tobytes() + before[x:y].tobytes(), 3),
+                "heads": (np.flatnonzero(start[x:y]) + (b - a)).astype(np.int32).tobytes(),
+                "digests": b"".join(map(xxhash.xxh3_64_digest, segments[a:b])), "docs": [v[0] for v in values[a:b]], "starts": [v[1] for v in values[a:b]],
             }
 
 
-    def _order(self, at: np.ndarray, left: np.ndarray) -> np.ndarray:
-        """The order of the segments' suffixes, which begin `at` places of the union and are `left` bytes long.
-
-        Segments of one text overlap, so only the union's suffixes are sorted. A suffix that is cut off after `left`
-        bytes stands before all that continue it: at the first place of the union's order with which it shares them,
-        shorter ones first.
-        """
-        text = np.frombuffer(bytes(self.union), np.uint8)
-        ends = np.array(self.ends)
-        rest = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(text))
-        rest = np.minimum(rest, RUN + WINDOW).astype(np.int32)
-        order = suffix_order(text, rest)
-        rank = np.empty(len(order), np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32)
-        common = np.zeros(len(order), np.int16)  # bytes shared with the suffix before, in order
-        active, depth = np.arange(1, len(order)), 0
-        while len(active):
-            a, b = order[active - 1], order[active]
-            longer = (rest[a] > depth) & (rest[b] > depth)
-            active, a, b = active[longer], a[longer], b[longer]
-            active = active[text[a + depth] == text[b + depth]]
-            depth += 1
-            common[active] = depth
-        key = np.empty(len(at), np.int32)
-        by_length = np.argsort(left.astype(np.uint8), kind="stable")
-        bounds = np.searchsorted(left[by_length], np.arange(1, RUN + WINDOW + 1))
-        shared = np.flatnonzero(common)
-        for n, a, b in zip(range(1, RUN + WINDOW), bounds[:-1], bounds[1:], strict=True):
-            shared = shared[common[shared] >= n]
-            if a < b:
-                rows = by_length[a:b]
-                first = rank[at[rows]]
-                later = np.flatnonzero(common[first] >= n)
-                if len(later):
-                    starts = shared[np.flatnonzero(np.diff(shared, prepend=-2) != 1)] - 1
-                    first[later] = starts[np.searchsorted(starts, first[later], side="right") - 1]
-                key[rows] = first
-        order = by_length
-        for digit in (0, 16):  # least significant digits first; a length was the digit before
-            order = order[np.argsort((key[order] >> digit).astype(np.uint16), kind="stable")]
-        return order.astype(np.int32)
-
-
-def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Positions sorted by their suffixes, each `left` bytes long; a suffix that ends is before its continuations, and
-    equal suffixes stay in order of position. Seven bytes and how many of them there are make one key; ties only are
-    compared further."""
+def suffix_order(text: np.ndarray, left: np.ndarray, part: np.ndarray | None = None) -> np.ndarray:
+    """Positions sorted by part, if given, and their suffixes, which are `left` bytes long, one less at each position up to a
+    string's end; a suffix that ends is before its continuations, and equal suffixes stay in order of position. A few bytes
+    come first; those that share them go by the rank of what follows, which doubles the bytes each time."""
     n = len(text)
-    padded = np.concatenate([text, np.zeros(16, np.uint8)])
-    words = np.ndarray(n + 8, np.dtype(">u8"), padded, 0, (1,)).astype(np.uint64)
-    byte = np.uint64(8)
-    mask = np.array([0, *((1 << 64) - (1 << (64 - 8 * k)) for k in range(1, 8)), (1 << 64) - 256], np.uint64)  # the first k bytes, 7 at most
-    order, depth, active, group = np.arange(n, dtype=np.int32), 0, None, None
-    while True:
-        at = order if active is None else order[active]
-        rest = np.clip(left[at] - np.int32(depth), 0, 8)
-        key = (words[np.minimum(at + np.int32(depth), n + 7)] & mask[rest]) | rest.astype(np.uint64)
-        by = np.argsort(key, kind="stable") if active is None else np.lexsort((key, group))
-        key = key[by]
-        new = np.empty(len(key), bool)
-        new[:1] = True
-        new[1:] = key[1:] != key[:-1]
-        if active is not None:
-            group = group[by]
-            new[1:] |= group[1:] != group[:-1]
-            order[active] = at[by]
-        else:
-            order = at[by]
-        alone = new.copy()
-        alone[:-1] &= new[1:]
-        tied = ~alone & ((key & np.uint64(255)) == byte)
-        if not tied.any():
-            return order
-        group = np.cumsum(new, dtype=np.int32)[tied]
-        active = np.flatnonzero(tied).astype(np.int32) if active is None else active[tied]
-        depth += 7
+    codes = np.zeros(256, np.uint64)
+    codes[np.bincount(text, minlength=256) > 0] = 1
+    codes = np.cumsum(codes, dtype=np.uint64) * codes  # 0 is what is behind an end
+    bits = int(codes.max()).bit_length()
+    top = 0 if part is None else int(part.max(initial=0)).bit_length()
+    depth, key, code = 1, codes[text], codes[text]
+    while depth < 8 and top + bits * (depth + 1) + n.bit_length() <= 64:
+        key <<= np.uint64(bits)
+        key[:-depth] |= np.where(left[:-depth] > depth, code[depth:], np.uint64(0))
+        depth += 1
+    if part is not None:
+        key |= part.astype(np.uint64) << np.uint64(bits * depth)
+    order = places(key)
+    key = key[order]
+    slots, rank = np.arange(n), np.empty(n, np.int32)  # slots are places in the order that are not settled
+    at = order
+    while len(slots):
+        new = np.ones(len(slots) + 1, bool)
+        new[1:-1] = key[1:] != key[:-1]
+        group = np.cumsum(new[:-1])
+        rank[at] = slots[np.flatnonzero(new[:-1])][group - 1]
+        tied = ~(new[:-1] & new[1:])
+        tied &= left[at] >= depth  # those that ended before are equal
+        slots, at, group = slots[tied], at[tied], group[tied]
+        rest = left[at] > depth
+        key = np.zeros(len(at), np.uint64)
+        key[rest] = rank[at[rest] + depth] + 1
+        key |= group.astype(np.uint64) << np.uint64(n.bit_length())
+        by = places(key)
+        key, at = key[by], at[by]
+        order[slots] = at
+        depth *= 2
+    return order
 
 
 class Merge:
@@ -340,14 +350,28 @@ class Merge:
         lone = self.same[self.segment] == self.segment
         return np.flatnonzero(lone & (self.length[self.segment] - self.left >= WINDOW)).astype(np.int32)
 
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each row the `STEP` bytes before it as a number, and the row of the suffix that is longer by them. Rows with
+        fewer bytes before them get some number; the refinement does not come to them."""
+        codes = np.zeros(257, np.uint64)
+        codes[np.bincount(self.before, minlength=257) > 0] = 1
+        codes = np.cumsum(codes, dtype=np.uint64) - 1
+        byte = codes[self.before]
+        word, longer = byte, self.longer
+        for n in range(1, STEP):
+            word = word | byte[longer] << np.uint64(n * int(codes[-1]).bit_length())
+            longer = self.longer[longer]
+        return word, longer
+
     def intervals(self) -> tuple[np.ndarray, np.ndarray]:
         """Rows of suffixes that share their first `WINDOW` bytes with another row, and the interval of each."""
         rows = self.begun()
+        word, longer = self.words()
         group = np.zeros(len(rows), np.int32)
-        for _ in range(WINDOW):
-            byte = self.before[rows]
-            order = np.argsort(byte, kind="stable")
-            byte, came, rows = byte[order], group[order], self.longer[rows[order]]
+        for _ in range(0, WINDOW, STEP):
+            byte = word[rows]
+            order = places(byte)
+            byte, came, rows = byte[order], group[order], longer[rows[order]]
             new = np.ones(len(rows) + 1, bool)  # a boundary before each row, and one at the end
             new[1:-1] = (byte[1:] != byte[:-1]) | (came[1:] != came[:-1])
             shared = ~(new[:-1] & new[1:])
@@ -372,17 +396,17 @@ class Merge:
         else:
             best = np.zeros(0, np.int64)
         at = np.searchsorted(own, np.arange(len(docs) + 1))
-        for i, doc in enumerate(docs.tolist()):
-            lone = int(self.same[i])
-            if least[lone] < doc:  # an equal segment of an earlier document
+        some = np.bincount(own[best < least[own]], minlength=len(docs)) > 0
+        earlier = least[self.same] < docs  # an equal segment of an earlier document
+        for i in np.flatnonzero(some[self.same] | earlier).tolist():
+            doc, lone = int(docs[i]), int(self.same[i])
+            if earlier[i]:
                 spans = [(0, int(length[i]))]
             else:
                 a, b = at[lone], at[lone + 1]
                 hit = offset[a:b][best[a:b] < doc]
-                if not len(hit):
-                    continue
-                new = np.flatnonzero(np.concatenate([[True], np.diff(hit) > WINDOW]))
-                spans = [(int(hit[x]), int(hit[y - 1]) + WINDOW) for x, y in zip(new, [*new[1:], len(hit)], strict=True)]
+                new = np.concatenate([[True], hit[1:] - hit[:-1] > WINDOW])
+                spans = list(zip(hit[new].tolist(), (hit[np.concatenate([new[1:], [True]])] + WINDOW).tolist(), strict=True))
             yield doc, [s + x for s in self.starts[i] for x, _ in spans], [s + y for s in self.starts[i] for _, y in spans]
 
 
@@ -396,7 +420,7 @@ def _spans(found: Iterator[tuple[int, list, list]]) -> pa.Table:
 
 
 def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
-    """Spans `id, starts, ends`, in several rows, of documents `id, text, shared` covered by windows of earlier ones."""
+    """Spans `id, starts, ends`, in several rows, of documents `id, text, segments` covered by windows of earlier ones."""
     shard = "bucket bigint, bwt binary, heads binary, digests binary, docs array<bigint>, starts array<array<int>>, ends array<array<int>>"
     kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int32())), pa.list_(pa.list_(pa.int32()))]
     names = [c.split()[0] for c in shard.split(", ")]
@@ -410,16 +434,25 @@ def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
                                  "starts": [[a for a, _ in covered[d]] for d in part.tolist()], "ends": [[b for _, b in covered[d]] for d in part.tolist()]})
             return pa.RecordBatch.from_arrays([pa.array([r.get(k) for r in rows], kind) for k, kind in zip(names, kinds, strict=True)], names)
 
-        shards, covered = Shards(buckets), {}
+        shards, covered, settled = Shards(buckets), {}, 0
         for batch in batches:
-            for doc, text, shared in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                at, key = runs(np.frombuffer(text, np.uint8))
-                have = np.sort(np.frombuffer(b"".join(shared), np.uint64))
-                wanted = have[np.minimum(np.searchsorted(have, key), len(have) - 1)] == key
-                shards.add(doc, text, at[:-1][wanted], at[1:][wanted], key[wanted], covered)
-                if shards.size > PART:
+            batch = batch.filter(batch.column(2).is_valid())
+            for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), _texts(batch.column(1)), strict=True)):
+                at, key, name = named_runs(np.frombuffer(text, np.uint8))
+                have = np.sort(batch.column(2)[i].values.to_numpy().view(np.uint64))
+                tag = tags(key, name)
+                found = have[np.minimum(np.searchsorted(have, tag), len(have) - 1)] ^ tag
+                start, end = at[:-1], at[1:]
+                wanted, gone = found == 1, found == 0
+                shards.add(doc, text, start[wanted], end[wanted], key[wanted], covered)
+                if gone.any():
+                    a, b = start[gone], end[gone] + (WINDOW - 1)
+                    new = np.concatenate([[True], a[1:] > b[:-1]])
+                    settled += int(new.sum())
+                    covered.setdefault(doc, []).extend(zip(a[new].tolist(), b[np.concatenate([new[1:], [True]])].tolist(), strict=True))
+                if shards.size > PART or settled > PART:
                     yield flush()
-                    shards, covered = Shards(buckets), {}
+                    shards, covered, settled = Shards(buckets), {}, 0
         yield flush()
 
     def merge(table: pa.Table) -> pa.Table:
@@ -456,13 +489,14 @@ def removed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     known = docs.where("id is not null")
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     buckets = max(8, int(size // BUCKET_BYTES) + 1)
-    shared = stored(repeated_keys(known.where(F.octet_length("text") >= WINDOW), buckets), "shared")
+    shared = stored(repeated_segments(known.where(F.octet_length("text") >= WINDOW), buckets), "shared")
     heads = known.select(F.sha2("text", 256).alias("digest"), "id").groupBy("digest").agg(F.min("id").alias("head"))
     heads = stored(known.select(F.sha2("text", 256).alias("digest"), "id").join(heads, "digest").select("id", "digest", (F.col("id") == F.col("head")).alias("first")).distinct(), "heads")
     dealt = docs.repartition(partitions, "id")  # both uses below read this exchange
     first = heads.where("first").select("id").distinct()
-    keys = shared.groupBy("id").agg(F.collect_list("shared").alias("shared")).join(first, "id", "left_semi")  # a document's own keys
-    spans = repeated_spans(dealt.join(keys, "id").select("id", "text", "shared"), buckets)
+    segments = shared.groupBy("id").agg(F.collect_list("segment").alias("segments")).join(first, "id", "left_semi")  # a document's own
+    # a left join, since an inner one tests the ids before the exchange and makes it another
+    spans = repeated_spans(dealt.join(segments, "id", "left").select("id", "text", "segments"), buckets)
     spans = spans.groupBy("id").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))  # its own spans
     copies = heads.groupBy("id").agg(F.bool_and("first").alias("first"))
     whole = dealt.join(copies, "id", "left").join(spans, "id", "left")

@@ -314,3 +314,33 @@ def test_refinement_begins_with_one_row_for_each_window():
     merge = suffix_dedup.Merge(list(shards.rows()))
     assert len(merge.begun()) == len(windows) < len(merge.before)
     assert {int(n) for n in merge.length} == {len(segment) for segment, _ in windows}
+
+
+def test_suffixes_are_sorted_part_by_part():
+    rng = random.Random(6)
+    parts = ["".join(rng.choice("ab\0") for _ in range(rng.randint(1, 40))).encode() for _ in range(60)]
+    text, length = np.frombuffer(b"".join(parts), np.uint8), [len(p) for p in parts]
+    left = np.repeat(np.cumsum(length), length) - np.arange(len(text))
+    part = np.repeat(np.arange(60) // 7, length)
+    want = sorted(range(len(text)), key=lambda i: (part[i], bytes(text[i : i + left[i]]), i))
+    assert suffix_dedup.suffix_order(text, left, part).tolist() == want
+
+
+def test_equal_segments_are_settled_before_any_is_sorted(spark):
+    """Of a passage in other surroundings each time, only segments at its ends differ and have to be sorted."""
+    rng = random.Random(8)
+    passage = prose(rng, 300)
+    rows = [(i, f"{prose(rng, 20)} {passage} {prose(rng, 20)}") for i in (5, 3, 9, 7)]
+    found = defaultdict(list)
+    for r in suffix_dedup.repeated_segments(frame(spark, rows), 8).collect():
+        found[r.id].append(r.segment & 1)
+    in_passage = len(suffix_dedup.runs(np.frombuffer(passage.encode(), np.uint8))[1])
+    assert sorted(found) == [3, 5, 7, 9] and all(sum(v) <= 6 for v in found.values())
+    assert not found[3].count(0) and all(found[i].count(0) >= in_passage - 6 > 40 for i in (5, 7, 9))
+    assert {r.doc_id: tuple(r) for r in suffix_dedup.removed(frame(spark, rows)).drop("kept").collect()} == brute_substrings(rows)
+
+
+def test_texts_are_dealt_once(spark):
+    out = suffix_dedup.removed(frame(spark, corpus(3)))
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
