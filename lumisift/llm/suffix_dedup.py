@@ -43,8 +43,8 @@ RUN, PART, BUCKET_BYTES = 64, 3_000_000, 6_000_000
 STEP = 5
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """The hash of each gram of a byte array that is at least `GRAM` long."""
+def window_keys(data: np.ndarray) -> np.ndarray:
+    """The key of each window of a byte array that is at least `WINDOW` long."""
     word = lambda at: np.ndarray(len(data) - GRAM + 1, np.uint64, data, at, (1,)) * np.uint64(0x9E3779B97F4A7C15 + 2 * at)
     h = word(0)
     for at in range(8, GRAM, 8):
@@ -54,11 +54,6 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(31)
     h *= np.uint64(0x94D049BB133111EB)
     h ^= h >> np.uint64(30)
-    return h
-
-
-def window_keys(h: np.ndarray) -> np.ndarray:
-    """The key of each window, from the hashes of the grams."""
     width, have = WINDOW - GRAM + 1, 1
     while have < width:
         by = min(have, width - have)
@@ -68,34 +63,23 @@ def window_keys(h: np.ndarray) -> np.ndarray:
     return (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)
 
 
-def named_runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of runs of windows with one key, and for each run its key and the name of its segment, a hash of six bytes of
-    all that its windows cover; the last start is the number of windows."""
+def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of runs of windows with one key, and the key of each; the last start is the number of windows."""
     if len(data) < WINDOW:
-        return np.zeros(1, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    h = gram_hashes(data)
-    key = window_keys(h)
+        return np.zeros(1, np.int64), np.zeros(0, np.uint64)
+    key = window_keys(data)
     at = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
     if (np.diff(at) > RUN).any():  # long runs are cut, wherever: every part has the same key
         at = np.unique(np.concatenate([at, *(np.arange(a, b, RUN) for a, b in zip(at[:-1], at[1:], strict=True) if b - a > RUN)]))
-    start, last = at[:-1], at[1:] + (WINDOW - 1 - GRAM)  # of a segment and its last gram
-    # grams that follow each other without a gap, and the last one
-    name = h[last] + (last - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for by in range(0, RUN + WINDOW - GRAM, GRAM):
-        odd = np.uint64(0xD6E8FEB86659FD93 + (by << 32))
-        if by <= WINDOW - GRAM:  # all have that one
-            name += h[start + by] * odd
-        else:
-            long = np.flatnonzero(last - start > by)
-            name[long] += h[start[long] + by] * odd
-    name ^= name >> np.uint64(32)
-    name *= np.uint64(0xD6E8FEB86659FD93)
-    return at, key[start], name >> np.uint64(16)
+    return at, key[at[:-1]]
 
 
-def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of runs of windows with one key, and the key of each; the last start is the number of windows."""
-    return named_runs(data)[:2]
+def named_runs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of a text, and the name of each one's segment: six bytes of the digest of all that its windows cover."""
+    at, key = runs(np.frombuffer(text, np.uint8))
+    ends = (at[1:] + (WINDOW - 1)).tolist()
+    name = np.fromiter((xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(at[:-1].tolist(), ends, strict=True)), np.uint64, len(key))
+    return at, key, name >> np.uint64(16)
 
 
 def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -162,7 +146,7 @@ def repeated_segments(docs: DataFrame, buckets: int) -> DataFrame:
         keys, names, ids, content, size = [], [], [], [], 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), strict=True):
-                _, key, name = named_runs(np.frombuffer(text, np.uint8))
+                _, key, name = named_runs(text)
                 other = np.ones(len(key), bool)
                 other[1:] = (name[1:] != name[:-1]) | (key[1:] != key[:-1])  # parts of a long run may be equal
                 keys.append(key[other])
@@ -438,7 +422,7 @@ def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             batch = batch.filter(batch.column(2).is_valid())
             for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), _texts(batch.column(1)), strict=True)):
-                at, key, name = named_runs(np.frombuffer(text, np.uint8))
+                at, key, name = named_runs(text)
                 have = np.sort(batch.column(2)[i].values.to_numpy().view(np.uint64))
                 tag = tags(key, name)
                 found = have[np.minimum(np.searchsorted(have, tag), len(have) - 1)] ^ tag
