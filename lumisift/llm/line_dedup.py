@@ -14,20 +14,21 @@ lines are all that is needed, however long the runs are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from lumisift.llm.stored import stored
+from lumisift.llm.workers import hold
 
 #: Words that a repeated run must have.
 MIN_WORDS = 10
+#: Documents made into lines at a time; bounds memory, never the result.
+STRIDE = 1_000
 
 
 def split_lines(text: str | None) -> tuple[list[str], list[int]]:
@@ -45,30 +46,37 @@ def windows(words: list[int], least: int = MIN_WORDS) -> tuple[np.ndarray, np.nd
     return np.where(end <= len(words), end - at, 0), np.where(total[1:] >= least, at - begin + 1, 0)
 
 
+def version(text: Column) -> Column:
+    """Tells texts of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def line_table(docs: DataFrame, min_words: int) -> DataFrame:
     """`id, version, i, high, low, ahead, back`: the lines with a word of documents `id, text`; versions tell texts of
     one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, versions, places, digests, ahead, back = [], [], [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                lines, used = split_lines(text)
+        hold("line_dedup", int)  # what others left goes
+        for batch in (whole.slice(k, STRIDE) for whole in batches for k in range(0, whole.num_rows, STRIDE)):
+            many, places, digests, ahead, back = [], [], [], [], []
+            for text in batch.column(2):
+                lines, used = split_lines(text.as_py())
                 words = [len(lines[i].encode().split()) for i in used]
                 a, b = windows(words, min_words)
-                ids += [doc] * len(used)
-                versions += [xxhash.xxh3_64_intdigest((text or "").encode()) - (1 << 63)] * len(used)
+                many.append(len(used))
                 places += range(len(used))
                 digests += [xxhash.xxh3_128_digest(lines[i].encode()) for i in used]
                 ahead.append(a)
                 back.append(b)
             both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            columns = [pa.array(ids, pa.int64()), pa.array(versions, pa.int64()), pa.array(places, pa.int32())]
+            row = pa.array(np.repeat(np.arange(len(many)), many))
+            columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(places, pa.int32())]
             columns += [pa.array(np.ascontiguousarray(c)) for c in (both[:, 0], both[:, 1])]
             columns += [pa.array(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int32)) for x in (ahead, back)]
             yield pa.RecordBatch.from_arrays(columns, ["id", "version", "i", "high", "low", "ahead", "back"])
 
-    return docs.mapInArrow(run, "id bigint, version bigint, i int, high bigint, low bigint, ahead int, back int")
+    own = docs.select(F.col("id").cast("long").alias("id"), version(F.col("text")).alias("version"), "text")
+    return own.mapInArrow(run, "id bigint, version bigint, i int, high bigint, low bigint, ahead int, back int")
 
 
 def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -109,6 +117,26 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return spans.groupBy("id", "version").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))  # a document's own lines
 
 
+def rest(text: Column, gone: Column) -> Column:
+    """A text without the lines at the places `gone` among its lines with a word; whole if that is null.
+
+    The lines between two deleted ones are taken as one slice, so the work is linear in a text's lines. What several
+    steps need is the argument of a function, as an expression would be worked out again for every line.
+    """
+
+    def given(value: Column, then: Callable[[Column], Column]) -> Column:
+        return F.get(F.transform(F.array(value), then), 0)
+
+    def left(lines: Column) -> Column:
+        used = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).rlike(r"[^\x20\x09-\x0D]"))
+        places = given(used, lambda u: F.transform(F.sort_array(gone), lambda i: F.get(u, i)))
+        ends = F.concat(F.array(F.lit(-1)), places, F.array(F.size(lines)))
+        between = lambda e: F.transform(F.sequence(F.lit(1), F.size(e) - 1), lambda k: F.slice(lines, F.get(e, k - 1) + 2, F.get(e, k) - F.get(e, k - 1) - 1))
+        return F.array_join(F.flatten(given(ends, between)), "\n")
+
+    return F.when(text.isNull() | gone.isNull(), text).otherwise(given(F.split(text, "\n"), left))
+
+
 def without_repeats(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The table with later copies of repeated runs of lines deleted from its texts, and `n_lines` (all lines) and
     `n_removed`.
@@ -119,22 +147,6 @@ def without_repeats(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     gone = stored(deleted_lines(docs.where("id is not null"), min_words), "gone").withColumnsRenamed({"id": "__id", "version": "__version", "gone": "__gone"})
-
-    @pandas_udf("bigint")
-    def version(texts: pd.Series) -> pd.Series:
-        return pd.Series([xxhash.xxh3_64_intdigest((t or "").encode()) - (1 << 63) for t in texts], dtype="int64")
-
-    @pandas_udf("string")
-    def rest(texts: pd.Series, gone: pd.Series) -> pd.Series:
-        out = []
-        for text, drop in zip(texts, gone, strict=True):
-            if text is not None and drop is not None:
-                lines, used = split_lines(text)
-                drop = {used[i] for i in drop}
-                text = "\n".join(line for i, line in enumerate(lines) if i not in drop)
-            out.append(text)
-        return pd.Series(out, dtype=object)
-
     own = df.withColumn("__own", version(F.col(text_col)))
     both = own.join(gone, (F.col(id_col).cast("long") == F.col("__id")) & (F.col("__own") == F.col("__version")), "left")
     lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(F.col(text_col), "\n")))

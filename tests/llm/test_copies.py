@@ -198,6 +198,42 @@ def test_line_cases(spark):
     assert line_dedup.without_repeats(frame(spark, [])).count() == 0
 
 
+def test_what_is_left_is_put_together_without_python(spark):
+    """Batches of whole texts in workers and Arrow buffers, beside the join, took an executor's memory."""
+    out = line_dedup.without_repeats(frame(spark, corpus(5)))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "ArrowEvalPython" not in plan
+
+
+def test_rest_of_a_text(spark):
+    """Places count lines with a word; white space is that of ASCII, other blanks are words."""
+    rng = random.Random(12)
+    pool = ["a b", "", " ", "\t\r\x0b\x0c", "\x1c", "\u00a0", "\u2028x", "é\0", "c"]
+    rows = [(0, None, [0]), (1, "", None), (2, "\n \n", None), (3, "a\nb\n", [1, 0]), (4, None, None)]
+    for i in range(5, 200):
+        text = "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 30)))
+        n = len(line_dedup.split_lines(text)[1])
+        rows.append((i, text, rng.sample(range(n), rng.randint(1, n)) if n else None))
+    got = frame(spark, rows, "doc_id bigint, text string, gone array<int>")
+    got = {r.doc_id: r.left for r in got.select("doc_id", line_dedup.rest(got.text, got.gone).alias("left")).collect()}
+    want = {}
+    for i, text, gone in rows:
+        lines, used = line_dedup.split_lines(text)
+        drop = {used[k] for k in gone or [] if text is not None}
+        want[i] = None if text is None else "\n".join(line for k, line in enumerate(lines) if k not in drop)
+    assert got == want
+
+
+def test_lines_are_made_a_part_at_a_time(spark, monkeypatch):
+    rows = corpus(3)
+    docs = frame(spark, rows).withColumnRenamed("doc_id", "id").coalesce(1)
+    whole = sorted(map(tuple, line_dedup.line_table(docs, 10).collect()))
+    monkeypatch.setattr(line_dedup, "STRIDE", 7)
+    assert sorted(map(tuple, line_dedup.line_table(docs, 10).collect())) == whole
+    assert Counter(r[0] for r in whole) == Counter({d: n for d, t in rows if (n := len(line_dedup.split_lines(t)[1]))})
+
+
 def brute_leaks(docs, items):
     out = set()
     for item, text in items:
