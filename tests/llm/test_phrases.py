@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -94,3 +95,45 @@ def test_query_agrees_with_sql(spark):
     mine = queries.QUERIES["op12_phrase_collocations"](spark, SMALL).toPandas()
     other = oracle_connection(SMALL).execute(queries.ORACLES["op12_phrase_collocations"]).df()
     assert len(mine) and differences(mine, other) == []
+
+
+def test_texts_are_read_as_often_however_many_phrases_there_are(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [("en", " ".join(f"w{rng.randint(0, 9)}" for _ in range(100))) for _ in range(20)]
+    want = Counter(" ".join(ws[i : i + k]) for _, t in rows for ws in pieces(t) for k in (1, 2, 3) for i in range(len(ws) - k + 1))
+    for size in (30, 500_000):
+        monkeypatch.setattr(phrases, "PHRASES", size)
+        read = spark.sparkContext.accumulator(0)
+
+        def noted(batches, read=read):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        docs = spark.createDataFrame(rows, "lang string, text string").mapInArrow(noted, "lang string, text string")
+        counts, totals = phrases.phrase_counts(docs, least=2, longest=3)
+        assert {r.phrase: r.f for r in counts.collect()} == {p: f for p, f in want.items() if f >= 2}
+        assert [tuple(r) for r in totals.collect()] == [("en", 2000)]
+        assert read.value == 20 * (1 + 3 + 1)  # sizes, bounds, candidates
+
+
+def test_phrases_of_one_key_are_told_apart():
+    rng = random.Random(7)
+    met, want = {}, Counter()
+    for _ in range(6):
+        rows = [(rng.choice("de"), "".join(rng.choice("ab") for _ in range(rng.randint(1, 3)))) for _ in range(60)]
+        want.update(rows)
+        keys, lang = np.array([len(p) for _, p in rows], np.uint64), np.array(["de".index(x) for x, _ in rows])
+        held = pa.array([p.encode() + b"\n" for _, p in rows], pa.binary())
+        some, counts = phrases._distinct(keys, lang, held)
+        for code, name in enumerate("de"):
+            own = lang[some] == code
+            met.setdefault(name, phrases._Met()).add(keys[some[own]], counts[own], held.take(pa.array(some[own])))
+    got = Counter()
+    for name, own in met.items():
+        for part, many, size, packed, counts in own.handed_on(2):
+            found = pa.decompress(packed, size, "zstd", asbytes=True).decode().split("\n")[:-1]
+            assert len(found) == many and {len(p) % 2 for p in found} == {part}
+            for phrase, f in zip(found, phrases._counts(counts, many).tolist(), strict=True):
+                got[name, phrase] += f
+    assert got == want
