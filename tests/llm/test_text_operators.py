@@ -5,6 +5,7 @@ import hashlib
 import html
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -184,6 +185,45 @@ def test_suffix_arrays_are_sorted_with_common_prefixes(spark):
     assert repeated == {k for k, ids in pages_of.items() if len(ids) > 1} and len(repeated) < len(pages_of)
 
 
+LOST = [
+    ("<article><p class='ad'>buy<p>real text<p>more</article>", "real text more"),
+    ("<article><ul><li class=share>s<li>real <b>item</ul>end</article>", "real item end"),
+    ("<article><table><tr><td class=ad>x<td>y<tr><td>z</table><dl><dt class=promo>p<dd>q</dl></article>", "y z q"),
+    ("<main> </main><p>all of it", "all of it"),
+    ("<article><div class=comments><p>a<div>b</div><p>c</div>d</article>", "d"),
+]
+
+
+@pytest.mark.parametrize("page,text", LOST)
+def test_main_text_behind_implied_ends_and_empty_elements(page, text):
+    main, words, open_ = html_text.tokens(page)
+    assert (" ".join(w for w, o in zip(words, open_, strict=True) if o) if main is None else main) == text
+
+
+def test_many_stray_end_tags_take_no_time():
+    page = "<b>" * 20_000 + "</i>" * 20_000 + "<p>x"
+    began = time.monotonic()
+    assert html_text.tokens(page)[1] == ["x"] and time.monotonic() - began < 5
+
+
+def test_whole_pages_take_part_in_the_suffixes_of_a_host(spark):
+    """Main text is there with everything else: what is on half of the host's pages goes, passages that a few share stay,
+    and open text stays if another page has it as main text."""
+    notice, shared = "sign up here for our weekly letter today", "as the old saying goes there is no free lunch"
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(8))
+    rows = [(i, "http://a.example/", f"<nav>n{i} m</nav><article><p>{own(i)}<p>{notice if i < 10 else 'z'}<p>{shared if i < 7 else 'z'}</article>") for i in range(18)]
+    rows += [(i, "http://a.example/", f"<p>{own(i)}<p>{shared}<p>q{i}<p>{notice}") for i in (18, 19)]
+    rows += [(20 + i, "http://b.example/", f"<article>{own(i)} {notice}</article>") for i in range(9)]
+    got = {r.page_id: r.text for r in html_text.main_text(frame(spark, rows, "page_id bigint, url string, html string")).collect()}
+    want = {i: f"{own(i)}{'' if i < 10 else ' z'} {shared if i < 7 else 'z'}" for i in range(18)}
+    want |= {i: f"{own(i)} {shared} q{i}" for i in (18, 19)} | {20 + i: f"{own(i)} {notice}" for i in range(9)}
+    assert got == want
+    pages = [(i, 0, url, page) for i, url, page in rows]
+    found = html_text.suffixes(frame(spark, pages, "id bigint, version bigint, url string, html string")).collect()
+    words = {i: html_text.marked(page)[0] for i, _, page in rows}
+    assert sorted((r.id, r.start) for r in found) == sorted((i, k) for i in words for k in range(len(words[i]) - html_text.RUN + 1))
+
+
 def test_main_text_of_the_given_pages(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}
